@@ -111,8 +111,8 @@ def _pandas(body: Callable, schema: T.StructType):
     def call(*frames):
         return body(*frames)[names]
 
-    # The parameters arrive as one pandas frame per struct column.
-    return F.pandas_udf(call, schema, functionType=200)
+    # A struct column arrives as a pandas frame.
+    return F.pandas_udf(call, schema, functionType=F.PandasUDFType.SCALAR)
 
 
 def on_demand(*, inputs: list, mode: str, schema: str | T.StructType):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -136,8 +136,8 @@ class Service:
 
 def _merged(a: View, b: View) -> View:
     if a.aggregations:
-        return View(**{**a.__dict__, "aggregations": tuple(dict.fromkeys(a.aggregations + b.aggregations))})
-    return View(**{**a.__dict__, "columns": tuple(dict.fromkeys(a.features + b.features))})
+        return replace(a, aggregations=tuple(dict.fromkeys(a.aggregations + b.aggregations)))
+    return replace(a, columns=tuple(dict.fromkeys(a.features + b.features)))
 
 
 def _stored_rows(store, view: View) -> DataFrame | None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.time import as_micros, date_parts
+from tidemark.functions.time import date_parts
 
 
 def utc(df: DataFrame) -> DataFrame:
@@ -97,15 +97,11 @@ PARTITIONS = ("partition_0", "partition_1", "partition_2")
 def write_partitioned(df: DataFrame, ts: str, path: str) -> None:
     """A table partitioned by year, month and day strings.
 
-    Rows of a day go to several files, as many as the shuffle gives, so that no day is
-    written by one task.
+    The rebalance groups rows by day and lets Spark split a day too large for one task.
     """
-    parts = dict(zip(PARTITIONS, date_parts(F.col(ts))))
-    spread = F.pmod(F.xxhash64(as_micros(F.col(ts))), F.lit(64))
-    dated = df.withColumns(parts)
-    dated.repartition(*PARTITIONS, spread).write.mode("overwrite").partitionBy(
-        *PARTITIONS
-    ).parquet(path)
+    dated = df.withColumns(dict(zip(PARTITIONS, date_parts(F.col(ts)))))
+    grouped = dated.hint("rebalance", *PARTITIONS)
+    grouped.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
