@@ -2,7 +2,7 @@
 
 For each spine row: the newest feature row of its key that was visible at its time.
 All feature tables with the same key share one union and one window, so a service
-pays one shuffle per key set rather than one per table.
+pays one window shuffle per key set rather than one per table.
 """
 
 from __future__ import annotations
@@ -15,20 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import as_micros, effective_micros, micros
+from tidemark.operators.points import AT, all_present, attach, points_of
 from tidemark.operators.skew import (
-    AT,
     DEFAULT_RULE,
     PLAN,
+    SLICE,
     SkewRule,
-    all_present,
-    by_weight,
     heavy_keys,
-    heavy_part,
-    light_part,
+    sliced,
 )
 
-SLICE = "_slice"
-
 
 @dataclass(frozen=True)
 class FeatureTable:
@@ -48,62 +44,41 @@ def _candidates(table: FeatureTable, keys: list[str], column: str) -> DataFrame:
     ts = F.col(table.ts)
     seen = effective_micros(ts, table.schedule)
     value = F.struct(seen.alias("seen"), as_micros(ts).alias("ts"), *table.features)
-    return table.frame.select(*keys, seen.alias(AT), value.alias(column)).filter(
-        all_present([*keys, AT])
-    )
-
-
-def _running_max(points: DataFrame, rows: DataFrame, by: list[str], values: list[str]) -> DataFrame:
-    """Points with the greatest value at or before them, in one shuffle by ``by``."""
-    marks = points.select(*by, AT, F.struct(*points.columns).alias("_row"))
-    until = Window.partitionBy(*by).orderBy(AT).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    found = both.select("_row", *[F.max(v).over(until).alias(v) for v in values])
-    return found.filter(F.col("_row").isNotNull()).select("_row.*", *values)
-
-
-def _slice(at: Column) -> Column:
-    offset, width = at - F.col(f"{PLAN}.lo"), F.col(f"{PLAN}.width")
-    return F.floor((offset - F.pmod(offset, width)) / width)
+    rows = table.frame.select(*keys, seen.alias(AT), value.alias(column))
+    return rows.filter(all_present([*keys, AT]))
 
 
-def _sliced_max(
-    points: DataFrame, rows: DataFrame, keys: list[str], values: list[str], rule: SkewRule
-) -> DataFrame:
-    """The same for heavy keys, cut into time slices.
+def _heavy_rows(
+    rows: DataFrame, keys: list[str], values: list[str], rule: SkewRule
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of heavy keys, and what each time slice inherits from the slices before it.
 
-    Copies at one (key, time) merge before the shuffle. Each slice then needs only its
-    own rows and the maximum carried over from earlier slices; there are at most
-    ``slices`` carried rows per heavy key.
+    Copies at one (key, time) merge before the shuffle. A slice inherits one row, the
+    maximum so far; there are at most ``slices`` such rows per heavy key.
     """
     newest = [F.max(v).alias(v) for v in values]
-    cut = rows.withColumn(SLICE, _slice(F.col(AT)))
-    own = cut.groupBy(*keys, SLICE, AT).agg(*newest)
+    heavy = rows.filter(F.col(PLAN).isNotNull())
+    own = heavy.groupBy(*keys, SLICE, AT).agg(*newest)
     order = Window.partitionBy(*keys).orderBy(SLICE)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    following = F.lead(SLICE).over(order)
-    carried = (
-        cut.groupBy(*keys, PLAN, SLICE)
+    inherited = (
+        heavy.groupBy(*keys, PLAN, SLICE)
         .agg(*newest)
         .select(
             *keys,
             PLAN,
             (F.col(SLICE) + 1).alias("first"),
-            F.coalesce(following, F.lit(rule.slices - 1)).alias("final"),
+            F.coalesce(F.lead(SLICE).over(order), F.lit(rule.slices - 1)).alias("final"),
             *[F.max(v).over(so_far).alias(v) for v in values],
         )
         .filter(F.col("first") <= F.col("final"))
         .withColumn(SLICE, F.explode(F.sequence("first", "final")))
         .withColumn(AT, F.col(f"{PLAN}.lo") + F.col(SLICE) * F.col(f"{PLAN}.width"))
-        .select(*keys, SLICE, AT, *values)
     )
-    marked = points.select(*keys, AT, _slice(F.col(AT)).alias(SLICE))
-    return _running_max(marked, own.unionByName(carried), [*keys, SLICE], values).drop(SLICE)
+    return own, inherited.select(*keys, SLICE, AT, *values)
 
 
-def asof_join(
+def asof_answers(
     spine: DataFrame,
     keys: list[str],
     ts: str,
@@ -111,26 +86,33 @@ def asof_join(
     rule: SkewRule = DEFAULT_RULE,
     effective: bool = False,
 ) -> DataFrame:
-    """Spine columns first and unchanged, then each table's features as of the row's time.
+    """Features at each distinct (key, time) of the spine, time as ``_at`` microseconds.
 
-    A feature older than its table's ``ttl`` reads as null. ``effective`` also returns
-    when the value used became visible.
+    One window by key and time slice. Ordinary keys are one slice; heavy keys are many,
+    so that no task gets all rows of one.
     """
     values = [f"_v{i}" for i in range(len(tables))]
     candidates = [_candidates(t, keys, v) for t, v in zip(tables, values)]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), candidates)
-    timed = spine.withColumn(AT, as_micros(F.col(ts)))
-    heavy = heavy_keys([timed, *candidates], keys, rule)
-    joined = by_weight(
-        timed,
-        keys,
-        heavy,
-        light=lambda points: _running_max(points, light_part(rows, heavy, keys), keys, values),
-        dense=lambda points: _sliced_max(
-            points, heavy_part(rows, heavy, keys), keys, values, rule
-        ),
+    points = points_of(spine, keys, as_micros(F.col(ts)))
+    heavy = heavy_keys([points, *candidates], keys, rule)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), candidates)
+    rows = sliced(stacked, heavy, keys)
+    ordinary = rows.filter(F.col(PLAN).isNull()).drop(PLAN)
+    own, inherited = _heavy_rows(rows, keys, values, rule)
+    marks = sliced(points, heavy, keys).drop(PLAN).withColumn("_point", F.lit(True))
+    both = (
+        ordinary.unionByName(own)
+        .unionByName(inherited)
+        .unionByName(marks, allowMissingColumns=True)
+    )
+    until = (
+        Window.partitionBy(*keys, SLICE)
+        .orderBy(AT)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    out: list[Column | str] = [*spine.columns]
+    newest = [F.max(v).over(until).alias(v) for v in values]
+    found = both.select(*keys, AT, "_point", *newest).filter("_point")
+    out: list[Column] = []
     for table, value in zip(tables, values):
         alive = F.col(value).isNotNull()
         if table.ttl is not None:
@@ -140,7 +122,24 @@ def asof_join(
         if effective:
             seen = F.timestamp_micros(F.col(f"{value}.seen"))
             out.append(F.when(alive, seen).alias(f"{table.prefix}effective_ts"))
-    return joined.select(*out)
+    return found.select(*keys, AT, *out)
+
+
+def asof_join(
+    spine: DataFrame,
+    keys: list[str],
+    ts: str,
+    tables: list[FeatureTable],
+    rule: SkewRule = DEFAULT_RULE,
+    effective: bool = False,
+) -> DataFrame:
+    """Spine columns first and unchanged, then each table's features as of the row's time.
+
+    A feature older than its table's ``ttl`` reads as null. ``effective`` also returns
+    when the value used became visible.
+    """
+    answers = asof_answers(spine, keys, ts, tables, rule, effective)
+    return attach(spine, keys, as_micros(F.col(ts)), answers)
 
 
 def latest(table: FeatureTable, keys: list[str]) -> DataFrame:

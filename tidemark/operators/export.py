@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Times keep their microseconds.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").options(**_TIMES).option("header", header).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema, header: bool = False) -> DataFrame:
+    return spark.read.schema(schema).options(**_TIMES).option("header", header).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**_TIMES).json(path)
 
 
 def csv_lines(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     """One CSV line per row, without a header."""
-    return df.select(*keep, F.to_csv(F.struct(*names)).alias("line"))
+    return df.select(*keep, F.to_csv(F.struct(*names), _TIMES).alias("line"))
 
 
 def json_lines(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     """One JSON object per row; nulls are kept as nulls."""
-    options = {"ignoreNullFields": "false"}
+    options = {"ignoreNullFields": "false", **_TIMES}
     return df.select(*keep, F.to_json(F.struct(*names), options).alias("line"))
 
 

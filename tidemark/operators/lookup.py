@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate, check
 from tidemark.functions.time import bucket_start, micros
-from tidemark.operators.skew import AT
+from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet, _newest, fill_empty
 from tidemark.sources.tables import instant
 
@@ -30,7 +30,7 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     reach = max(a.buckets(interval) for a in aggregates)
     recent = tiles.map(lambda t: t.filter((F.col(AT) >= now - reach) & (F.col(AT) < now)))
     parts = []
-    merged, listed = [], []
+    merged = []
     for a in aggregates:
         inside = F.col(AT) >= now - a.buckets(interval)
         name = a.feature(interval)
@@ -57,9 +57,9 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     table = parts[0]
     for part in parts[1:]:
         table = table.join(part, keys, "full")
-    filled = fill_empty(table, aggregates, interval)
+    names = [a.feature(interval) for a in aggregates]
     seen = bucket_start(F.lit(now).cast("long"), interval).alias("effective_ts")
-    return filled.select(*keys, seen, *[a.feature(interval) for a in aggregates])
+    return fill_empty(table, names, aggregates).select(*keys, seen, *names)
 
 
 @dataclass(frozen=True)

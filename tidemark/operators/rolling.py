@@ -12,47 +12,38 @@ fraction of a window long however many events a key has.
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import Aggregate, check
 from tidemark.functions.time import CONTINUOUS, as_micros, floor_div, micros
-from tidemark.operators.skew import (
-    AT,
-    DEFAULT_RULE,
-    SkewRule,
-    by_weight,
-    heavy_keys,
-    heavy_part,
-    light_part,
-)
-from tidemark.operators.tiles import TileSet, _named, finish, fill_empty
+from tidemark.operators.points import AT, points_of
+from tidemark.operators.tiles import TileSet, attach_aggregates, finish
 
 MAX_CELLS = 64
 CELL = "_cell"
 
 
 def _cells_per_window(window: int) -> int:
+    """The most cells, up to a limit, that divide the window evenly."""
     return next(n for n in range(MAX_CELLS, 0, -1) if window % n == 0)
 
 
-def _between(points: DataFrame, events: DataFrame, keys: list[str], cell: int, cells: int, partials):
-    """Sums over the whole cells between start and end cell, per (key, end cell)."""
+def _between(
+    ends: DataFrame, events: DataFrame, keys: list[str], cell: int, cells: int, partials: list[str]
+) -> DataFrame:
+    """Sums over the whole cells before each end cell, as rows in front of that cell."""
     step = timedelta(microseconds=cell)
     coarse = (
         events.withColumn(AT, floor_div(F.col(AT), cell))
         .groupBy(*keys, AT)
-        .agg(*[F.sum(p).alias(p) for p in partials])
-    )
-    ends = points.select(*keys, F.col(CELL).alias(AT)).distinct()
-    span = step * (cells - 1)
-    # Partials named n_<c> and s_<c> are themselves summed over the coarse tiles.
-    renamed = coarse.select(*keys, AT, *[F.col(p).alias(f"s_{p}") for p in partials]).withColumns(
-        {f"n_{p}": F.lit(1) for p in partials}
+        .agg(*[F.sum(p).alias(f"s_{p}") for p in partials])
+        .withColumns({f"n_{p}": F.lit(1) for p in partials})
     )
-    sums = [Aggregate(p, "sum", span) for p in partials]
-    done = finish(ends, TileSet(tuple(keys), step, renamed), sums)
+    sums = [Aggregate(p, "sum", step * (cells - 1)) for p in partials]
+    done = finish(ends, TileSet(tuple(keys), step, coarse), sums)
     return done.select(
         *keys,
         F.col(AT).alias(CELL),
@@ -61,7 +52,9 @@ def _between(points: DataFrame, events: DataFrame, keys: list[str], cell: int, c
     )
 
 
-def _one_window(points: DataFrame, events: DataFrame, keys: list[str], wanted: list[Aggregate]):
+def _one_window(
+    points: DataFrame, events: DataFrame, keys: list[str], wanted: list[Aggregate]
+) -> DataFrame:
     window = micros(wanted[0].window)
     cells = _cells_per_window(window)
     cell = window // cells
@@ -70,38 +63,38 @@ def _one_window(points: DataFrame, events: DataFrame, keys: list[str], wanted: l
         | {f"s_{a.column}" for a in wanted if a.function != "count"}
     )
     events = events.select(*keys, AT, *partials)
-    # The point sees events up to and including its own microsecond.
-    marked = points.withColumn("_end", F.col(AT) + 1).withColumn(
-        CELL, floor_div(F.col("_end"), cell)
+    # A point sees events up to and including its own microsecond.
+    end = F.col(AT) + 1
+    marks = points.select(
+        *keys, floor_div(end, cell).alias(CELL), end.alias(AT), F.lit(True).alias("_point")
     )
-    starts = events.select(
+    late = events.select(
         *keys,
         floor_div(F.col(AT), cell).alias(CELL),
         AT,
         *[F.col(p).alias(f"pre_{p}") for p in partials],
     )
-    ends = events.select(
+    early = events.select(
         *keys,
         floor_div(F.col(AT) + window, cell).alias(CELL),
         (F.col(AT) + window).alias(AT),
         *[F.col(p).alias(f"suf_{p}") for p in partials],
     )
-    rows = starts.unionByName(ends, allowMissingColumns=True)
+    parts = [late, early, marks]
     if cells > 1:
-        middle = _between(marked, events, keys, cell, cells, partials)
-        rows = rows.unionByName(middle, allowMissingColumns=True)
-    marks = marked.select(
-        *keys, CELL, F.col("_end").alias(AT), F.struct(*points.columns).alias("_row")
-    )
-    both = rows.unionByName(marks, allowMissingColumns=True)
+        ends = marks.select(*keys, F.col(CELL).alias(AT)).distinct()
+        parts.append(_between(ends, events, keys, cell, cells, partials))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     by = Window.partitionBy(*keys, CELL)
     forward = by.orderBy(AT).rangeBetween(Window.unboundedPreceding, -1)
     backward = by.orderBy(F.desc(AT)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     found = both.select(
-        "_row",
+        *keys,
+        (F.col(AT) - 1).alias(AT),
+        "_point",
         *[F.sum(f"pre_{p}").over(forward).alias(f"pre_{p}") for p in partials],
         *[F.sum(f"suf_{p}").over(backward).alias(f"suf_{p}") for p in partials],
-    ).filter(F.col("_row").isNotNull())
+    ).filter("_point")
 
     def total(p):
         pre, suf = F.col(f"pre_{p}"), F.col(f"suf_{p}")
@@ -115,14 +108,7 @@ def _one_window(points: DataFrame, events: DataFrame, keys: list[str], wanted: l
         n = total(f"n_{a.column}")
         return F.when(n > 0, total(f"s_{a.column}") / n)
 
-    return found.select("_row.*", *[value(a).alias(a.feature(CONTINUOUS)) for a in wanted])
-
-
-def _all_windows(points: DataFrame, events: DataFrame, keys, aggregates) -> DataFrame:
-    done = points
-    for window in sorted({a.window for a in aggregates}):
-        done = _one_window(done, events, keys, [a for a in aggregates if a.window == window])
-    return done
+    return found.select(*keys, AT, *[value(a).alias(a.feature(CONTINUOUS)) for a in wanted])
 
 
 def rolling_asof(
@@ -130,32 +116,24 @@ def rolling_asof(
     ts: str,
     tiles: TileSet,
     aggregates: list[Aggregate],
-    rule: SkewRule = DEFAULT_RULE,
     prefix: str = "",
     effective: bool = False,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Spine columns first and unchanged, then each aggregate up to the row's exact time.
 
     ``tiles`` are built with the continuous interval: events of one key at one
-    microsecond are already merged.
+    microsecond are already merged. ``base`` is as in ``aggregate_asof``.
     """
     check(aggregates, CONTINUOUS)
-    keys, events = list(tiles.keys), tiles.merged
-    timed = spine.withColumn(AT, as_micros(F.col(ts)))
-    heavy = heavy_keys([timed], keys, rule)
-    joined = by_weight(
-        timed,
-        keys,
-        heavy,
-        light=lambda points: _all_windows(
-            points, light_part(events, heavy, keys), keys, aggregates
-        ),
-        dense=lambda points: _all_windows(
-            points.drop("_heavy"),
-            heavy_part(events, heavy, keys).drop("_heavy"),
-            keys,
-            aggregates,
-        ),
+    keys = list(tiles.keys)
+    at = as_micros(F.col(ts))
+    points = points_of(base or spine, keys, at)
+    answers = [
+        _one_window(points, tiles.merged, keys, [a for a in aggregates if a.window == w])
+        for w in sorted({a.window for a in aggregates})
+    ]
+    joined = reduce(lambda a, b: a.join(b, [*keys, AT], "inner"), answers)
+    return attach_aggregates(
+        spine, keys, at, F.timestamp_micros(at), joined, aggregates, CONTINUOUS, prefix, effective
     )
-    filled = fill_empty(joined, aggregates, CONTINUOUS)
-    return _named(filled, spine, aggregates, CONTINUOUS, prefix, effective)

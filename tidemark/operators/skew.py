@@ -1,23 +1,17 @@
-"""Heavy keys: finding them and giving them a plan of their own.
-
-Most keys fit one task. For those the cheapest plan is one shuffle by key with the
-row payload riding along. A key that holds a large share of the rows does not fit,
-so its rows take a second route: look up each distinct point once, with the work cut
-by time, then join the answers back. Both routes give the same rows; which keys count
-as heavy changes speed, never results.
-"""
+"""Heavy keys: finding the few keys whose rows would not fit one task."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AT = "_at"
+from tidemark.operators.points import AT, all_present
+
 PLAN = "_heavy"
+SLICE = "_slice"
 
 
 @dataclass(frozen=True)
@@ -25,8 +19,10 @@ class SkewRule:
     """A key is heavy if it has ``min_rows`` rows and is among the ``max_keys`` largest.
 
     The list of heavy keys never exceeds ``max_keys`` rows, whatever the data, so it is
-    safe to broadcast; every key left out holds at most 1/``max_keys`` of the rows or
-    fewer than ``min_rows`` of them. ``slices`` is the number of time slices per heavy key.
+    safe to broadcast; a key left out holds at most 1/``max_keys`` of all rows or fewer
+    than ``min_rows``. ``slices`` is the number of time slices of a heavy key.
+
+    Which keys count as heavy changes speed, never results.
     """
 
     min_rows: int = 1_000_000
@@ -37,15 +33,11 @@ class SkewRule:
 DEFAULT_RULE = SkewRule()
 
 
-def all_present(names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-
-
 def heavy_keys(frames: list[DataFrame], keys: list[str], rule: SkewRule) -> DataFrame:
     """Heavy keys of frames that carry the keys and a position column ``_at``.
 
-    Only key and position columns are read, and counting combines before the shuffle.
-    The plan column holds the start and width of the key's time slices.
+    Only those columns are read, and counting combines before the shuffle. The plan
+    column holds the start and width of the key's time slices.
     """
     rows = reduce(DataFrame.unionByName, [f.select(*keys, AT) for f in frames])
     span = (F.col("hi") - F.col("lo")) / F.lit(rule.slices)
@@ -60,37 +52,13 @@ def heavy_keys(frames: list[DataFrame], keys: list[str], rule: SkewRule) -> Data
     )
 
 
-def tag(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(F.broadcast(heavy), keys, "left")
-
+def slice_number() -> Column:
+    """Time slice of a row of a heavy key, from its position and the key's plan."""
+    offset, width = F.col(AT) - F.col(f"{PLAN}.lo"), F.col(f"{PLAN}.width")
+    return F.floor((offset - F.pmod(offset, width)) / width)
 
-def light_part(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
-    return tag(df, heavy, keys).filter(F.col(PLAN).isNull()).drop(PLAN)
 
-
-def heavy_part(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(F.broadcast(heavy), keys, "inner")
-
-
-def by_weight(
-    spine: DataFrame,
-    keys: list[str],
-    heavy: DataFrame,
-    light: Callable[[DataFrame], DataFrame],
-    dense: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Run ``light`` on the rows of ordinary keys and ``dense`` on distinct heavy points.
-
-    ``light`` keeps all spine columns and adds its own. ``dense`` gets each distinct
-    (keys, ``_at``) of the heavy keys once, with their plan column, and returns keys,
-    ``_at`` and the same added columns. Rows without a key or time join to nothing
-    and keep nulls, without being herded into the task of the null key.
-    """
-    tagged = tag(spine, heavy, keys)
-    plain = F.col(PLAN).isNull() & all_present([*keys, AT])
-    few = light(tagged.filter(plain).drop(PLAN))
-    rest = tagged.filter(~plain)
-    points = rest.filter(F.col(PLAN).isNotNull() & F.col(AT).isNotNull())
-    answers = dense(points.select(*keys, AT, PLAN).distinct())
-    many = rest.drop(PLAN).join(answers, [*keys, AT], "left")
-    return few.unionByName(many)
+def sliced(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their plan, null for ordinary keys, and their slice, 0 for those."""
+    planned = df.join(F.broadcast(heavy), keys, "left")
+    return planned.withColumn(SLICE, F.coalesce(slice_number(), F.lit(0).cast("long")))

@@ -22,16 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import MERGED, Aggregate, check
 from tidemark.functions.time import as_micros, bucket, bucket_start, floor_div, micros
-from tidemark.operators.skew import (
-    AT,
-    DEFAULT_RULE,
-    SkewRule,
-    all_present,
-    by_weight,
-    heavy_keys,
-    heavy_part,
-    light_part,
-)
+from tidemark.operators.points import AT, all_present, attach, points_of
 
 EPOCH = "_epoch"
 EPOCH_WINDOWS = 4
@@ -198,7 +189,7 @@ def _recent_lists(df: DataFrame, keys: list[str], name: str, size: int) -> DataF
 
 
 def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
-    """Values at ``points``: keys and an interval number ``_at``, other columns ride along.
+    """Values at distinct ``points``, given by keys and an interval number ``_at``.
 
     All aggregates share one union and one window shuffle.
     """
@@ -223,23 +214,17 @@ def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> Da
         repeated = _repeat_over_epochs(tiles.recent[(column, size)], reach, length)
         rows.append(_recent_lists(repeated, keys, f"r_{column}_{size}", size))
     marks = points.select(
-        *keys,
-        AT,
-        floor_div(F.col(AT), length).alias(EPOCH),
-        F.struct(*points.columns).alias("_row"),
+        *keys, AT, floor_div(F.col(AT), length).alias(EPOCH), F.lit(True).alias("_point")
     )
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*rows, marks])
     order = Window.partitionBy(*keys, EPOCH).orderBy(AT)
-    found = both.select(
-        "_row", AT, *[_raw(a, order, interval).alias(f"_a{i}") for i, a in enumerate(aggregates)]
-    ).filter(F.col("_row").isNotNull())
-    return found.select(
-        "_row.*",
-        *[
-            _finished(a, F.col(f"_a{i}"), interval).alias(a.feature(interval))
-            for i, a in enumerate(aggregates)
-        ],
-    )
+    raw = [_raw(a, order, interval).alias(f"_a{i}") for i, a in enumerate(aggregates)]
+    found = both.select(*keys, AT, "_point", *raw).filter("_point")
+    done = [
+        _finished(a, F.col(f"_a{i}"), interval).alias(a.feature(interval))
+        for i, a in enumerate(aggregates)
+    ]
+    return found.select(*keys, AT, *done)
 
 
 def _raw(a: Aggregate, order, interval: timedelta) -> Column:
@@ -262,16 +247,35 @@ def _raw(a: Aggregate, order, interval: timedelta) -> Column:
 def _finished(a: Aggregate, raw: Column, interval: timedelta) -> Column:
     if a.function != "last":
         return raw
-    oldest = (F.col(f"_row.{AT}") - a.buckets(interval)) * F.lit(micros(interval))
+    oldest = (F.col(AT) - a.buckets(interval)) * F.lit(micros(interval))
     inside = F.filter(raw, lambda item: item["ts"] >= oldest)
     values = F.reverse(F.transform(inside, lambda item: item["value"]))
     return F.when(F.size(inside) > 0, values)
 
 
-def fill_empty(df: DataFrame, aggregates: list[Aggregate], interval: timedelta) -> DataFrame:
+def fill_empty(df: DataFrame, names: list[str], aggregates: list[Aggregate]) -> DataFrame:
     """Nothing seen counts as 0; sums, means and lists of nothing stay null."""
-    names = [a.feature(interval) for a in aggregates if a.function in ("count", "distinct")]
-    return df.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
+    zero = [n for n, a in zip(names, aggregates) if a.function in ("count", "distinct")]
+    return df.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in zero})
+
+
+def attach_aggregates(
+    df: DataFrame,
+    keys: list[str],
+    at: Column,
+    seen: Column,
+    answers: DataFrame,
+    aggregates: list[Aggregate],
+    interval: timedelta,
+    prefix: str,
+    effective: bool,
+) -> DataFrame:
+    """``df`` with the aggregates of ``answers``, and 0 where there is nothing to count."""
+    plain = [a.feature(interval) for a in aggregates]
+    names = [prefix + n for n in plain]
+    renamed = answers.select(*keys, AT, *[F.col(n).alias(prefix + n) for n in plain])
+    done = fill_empty(attach(df, keys, at, renamed), names, aggregates)
+    return done.withColumn(f"{prefix}effective_ts", seen) if effective else done
 
 
 def aggregate_asof(
@@ -279,44 +283,23 @@ def aggregate_asof(
     ts: str,
     tiles: TileSet,
     aggregates: list[Aggregate],
-    rule: SkewRule = DEFAULT_RULE,
     prefix: str = "",
     effective: bool = False,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """Spine columns first and unchanged, then each aggregate as of the row's time."""
+    """Spine columns first and unchanged, then each aggregate as of the row's time.
+
+    ``base`` is a smaller frame with the same keys and times to take the points from,
+    when the spine already went through other joins.
+    """
     check(aggregates, tiles.interval)
     keys, interval = list(tiles.keys), tiles.interval
-    numbered = spine.withColumn(AT, bucket(F.col(ts), interval))
-    heavy = heavy_keys([numbered], keys, rule)
-    joined = by_weight(
-        numbered,
-        keys,
-        heavy,
-        light=lambda points: finish(
-            points, tiles.map(lambda t: light_part(t, heavy, keys)), aggregates
-        ),
-        dense=lambda points: finish(
-            points.drop("_heavy"),
-            tiles.map(lambda t: heavy_part(t, heavy, keys).drop("_heavy")),
-            aggregates,
-        ),
+    at = bucket(F.col(ts), interval)
+    answers = finish(points_of(base or spine, keys, at), tiles, aggregates)
+    seen = bucket_start(at, interval)
+    return attach_aggregates(
+        spine, keys, at, seen, answers, aggregates, interval, prefix, effective
     )
-    return _named(fill_empty(joined, aggregates, interval), spine, aggregates, interval, prefix, effective)
-
-
-def _named(
-    df: DataFrame,
-    spine: DataFrame,
-    aggregates: list[Aggregate],
-    interval: timedelta,
-    prefix: str,
-    effective: bool,
-) -> DataFrame:
-    names = [a.feature(interval) for a in aggregates]
-    out = [F.col(n).alias(prefix + n) for n in names]
-    if effective:
-        out.append(bucket_start(F.col(AT), interval).alias(f"{prefix}effective_ts"))
-    return df.select(*spine.columns, *out)
 
 
 def boundaries(tiles: TileSet, reach: int, low: int | None, high: int | None) -> DataFrame:
@@ -348,8 +331,8 @@ def rolled(
     check(aggregates, tiles.interval)
     reach = max(a.buckets(tiles.interval) for a in aggregates)
     points = boundaries(tiles, reach, low, high)
-    done = fill_empty(finish(points, tiles, aggregates), aggregates, tiles.interval)
     names = [a.feature(tiles.interval) for a in aggregates]
+    done = fill_empty(finish(points, tiles, aggregates), names, aggregates)
     return done.select(
         *tiles.keys, bucket_start(F.col(AT), tiles.interval).alias("window_end"), *names
     )

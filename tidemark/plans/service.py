@@ -8,12 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import CONTINUOUS
-from tidemark.operators.asof import asof_join
+from tidemark.functions.time import as_micros
+from tidemark.operators.asof import asof_answers
 from tidemark.operators.ondemand import OnDemand
-from tidemark.operators.rolling import rolling_asof
+from tidemark.operators.points import attach
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
-from tidemark.operators.tiles import aggregate_asof
 from tidemark.plans.views import View
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import instant
@@ -86,7 +85,7 @@ class Service:
         """Every spine row once, with all features as of its time.
 
         Features come from ``store`` where it holds the view, else from the sources.
-        Row-level views with the same keys share one shuffle, and so do the aggregates
+        Row-level views with the same keys share one window, and so do the aggregates
         of one view; ``effective`` adds the effective time per view.
         """
         views = self._views()
@@ -97,7 +96,8 @@ class Service:
             raise ValueError(f"service {self.name} needs spine columns {missing}")
         for request in [r for o in self._on_demand() for r in o.requests]:
             df = request.apply(df)
-        kept = df.columns
+        # All lookups take their points from the spine itself, not from one another.
+        base, kept = df, df.columns
         plain = [v for v in views if not v.aggregations]
         for keys in dict.fromkeys(v.keys for v in plain):
             tables = [
@@ -105,13 +105,11 @@ class Service:
                 for v in plain
                 if v.keys == keys
             ]
-            df = asof_join(df, list(keys), ts, tables, rule, effective)
+            answers = asof_answers(base, list(keys), ts, tables, rule, effective)
+            df = attach(df, list(keys), as_micros(F.col(ts)), answers)
         for view in [v for v in views if v.aggregations]:
-            tiles = _stored_tiles(store, view) or view.tiles()
-            finish = rolling_asof if view.interval == CONTINUOUS else aggregate_asof
-            df = finish(
-                df, ts, tiles, list(view.aggregations), rule, f"{view.name}{SEP}", effective
-            )
+            tiles = _stored_tiles(store, view)
+            df = view.add_aggregates(df, ts, tiles, f"{view.name}{SEP}", effective, base)
         for item in self._on_demand():
             asked = {r.name for r in item.requests}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import bucket_start, micros
-from tidemark.operators.skew import AT
+from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
 from tidemark.plans.views import View
 from tidemark.sources.tables import between

@@ -161,10 +161,20 @@ class View:
         if not self.aggregations:
             table = self.table(rows, prefix)
             return asof_join(spine, list(self.keys), ts, [table], rule, effective)
+        return self.add_aggregates(spine, ts, tiles, prefix, effective)
+
+    def add_aggregates(
+        self,
+        spine: DataFrame,
+        ts: str,
+        tiles: TileSet | None = None,
+        prefix: str = "",
+        effective: bool = False,
+        base: DataFrame | None = None,
+    ) -> DataFrame:
         finish = rolling_asof if self.interval == CONTINUOUS else aggregate_asof
-        return finish(
-            spine, ts, tiles or self.tiles(), list(self.aggregations), rule, prefix, effective
-        )
+        wanted = list(self.aggregations)
+        return finish(spine, ts, tiles or self.tiles(), wanted, prefix, effective, base)
 
     def history(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Feature values of ``[start, end)`` without a spine.

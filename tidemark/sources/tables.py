@@ -30,10 +30,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, folder: str, name: str, files: int = 1000) -> DataFrame:
     """A stream over the same files, at most ``files`` new ones per micro-batch."""
-    path = f"{folder}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
-    return utc(reader.parquet(path))
+    # As a pattern, the path may also name a table that is one file.
+    return utc(reader.parquet(f"{folder}/{name}.parque[t]"))
 
 
 def stream_from(
