@@ -34,7 +34,7 @@ def floor_div(value: Column, step: int) -> Column:
     """Whole-number floor division of a long column, right for negatives too."""
     if step == 1:
         return value
-    return F.floor((value - F.pmod(value, F.lit(step))) / F.lit(step))
+    return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))
 
 
 def as_micros(ts: Column) -> Column:

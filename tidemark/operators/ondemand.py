@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,11 +109,13 @@ def _rows(body: Callable, schema: T.StructType):
 def _pandas(body: Callable, schema: T.StructType):
     names = schema.fieldNames()
 
-    def call(*frames):
+    # A struct column arrives as a pandas frame.
+    def call(*frames: pd.DataFrame) -> pd.DataFrame:
         return body(*frames)[names]
 
-    # A struct column arrives as a pandas frame.
-    return F.pandas_udf(call, schema, functionType=F.PandasUDFType.SCALAR)
+    # Spark reads the types from the annotations, which must not be strings here.
+    call.__annotations__ = {"frames": pd.DataFrame, "return": pd.DataFrame}
+    return F.pandas_udf(call, schema)
 
 
 def on_demand(*, inputs: list, mode: str, schema: str | T.StructType):

@@ -55,7 +55,7 @@ def heavy_keys(frames: list[DataFrame], keys: list[str], rule: SkewRule) -> Data
 def slice_number() -> Column:
     """Time slice of a row of a heavy key, from its position and the key's plan."""
     offset, width = F.col(AT) - F.col(f"{PLAN}.lo"), F.col(f"{PLAN}.width")
-    return F.floor((offset - F.pmod(offset, width)) / width)
+    return F.call_function("div", offset, width)
 
 
 def sliced(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,29 +15,44 @@ _BAD = "_corrupt_record"
 
 
 def unpack(envelopes: DataFrame, column: str = "value") -> DataFrame:
-    """One row per pushed record: workspace, dry-run flag, source and the record's JSON."""
+    """One row per pushed record: workspace, dry-run flag, source and the record's JSON.
+
+    The flag travels inside the exploded array. A filter on it then cannot move below the
+    explode, where it would parse every envelope a second time.
+    """
     parsed = envelopes.select(F.from_json(F.col(column), ENVELOPE).alias("e"))
-    by_source = parsed.select(
-        "e.workspace_name",
-        F.coalesce("e.dry_run", F.lit(False)).alias("dry_run"),
-        F.explode("e.records").alias("source", "items"),
-    )
-    return by_source.select(
-        "workspace_name", "dry_run", "source", F.explode("items.record").alias("record")
+
+    def row(source: Column, item: Column) -> Column:
+        return F.struct(
+            F.col("e.workspace_name").alias("workspace_name"),
+            F.coalesce(F.col("e.dry_run"), F.lit(False)).alias("dry_run"),
+            source.alias("source"),
+            item["record"].alias("record"),
+        )
+
+    by_source = F.transform(
+        F.map_entries("e.records"),
+        lambda entry: F.transform(entry["value"], lambda item: row(entry["key"], item)),
     )
+    return parsed.select(F.inline(F.flatten(by_source)))
 
 
-def _typed(records: DataFrame, schema: T.StructType) -> DataFrame:
+def _parsed(schema: T.StructType) -> Column:
     marked = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    options = {"columnNameOfCorruptRecord": _BAD}
-    return records.withColumn("r", F.from_json("record", marked, options))
+    return F.from_json("record", marked, {"columnNameOfCorruptRecord": _BAD})
+
+
+def _fits(parsed: Column) -> Column:
+    return parsed.isNotNull() & parsed[_BAD].isNull()
 
 
 def typed(records: DataFrame, source: str, schema: T.StructType) -> DataFrame:
     """Records of one source as columns; records that do not fit the schema are left out."""
-    rows = _typed(records.filter(F.col("source") == source), schema)
-    good = rows.filter(F.col(f"r.{_BAD}").isNull() & F.col("r").isNotNull())
-    return good.select(*[F.col(f"r.`{n}`").alias(n) for n in schema.fieldNames()])
+    # Filtering inside an array parses each record once; a row filter would be pushed
+    # below the projection together with another copy of the parser.
+    fitting = F.filter(F.array(_parsed(schema)), _fits)
+    rows = records.filter(F.col("source") == source).select(F.inline(fitting))
+    return rows.select(*[f"`{n}`" for n in schema.fieldNames()])
 
 
 def accepted(records: DataFrame, source: str, schema: T.StructType) -> DataFrame:
@@ -51,15 +66,11 @@ def report(records: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
     A record is bad if it does not fit its source's schema or its source is unknown.
     """
     good = F.lit(False)
-    rows = records
-    for i, (source, schema) in enumerate(schemas.items()):
-        marked = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-        parsed = F.from_json("record", marked, {"columnNameOfCorruptRecord": _BAD})
-        rows = rows.withColumn(f"_p{i}", F.when(F.col("source") == source, parsed))
-        fits = F.col(f"_p{i}").isNotNull() & F.col(f"_p{i}.{_BAD}").isNull()
-        good = good | fits
+    for source, schema in schemas.items():
+        fits = F.exists(F.array(_parsed(schema)), _fits)
+        good = F.when(F.col("source") == source, fits).otherwise(good)
     return (
-        rows.select("source", "dry_run", good.alias("good"))
+        records.select("source", "dry_run", good.alias("good"))
         .groupBy("source", "dry_run")
         .agg(
             F.count_if("good").alias("n_good"),
