@@ -1,0 +1,236 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from help import EVENT, HOUR, MINUTE, plain, random_events
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.aggregates import Aggregate
+from tidemark.plans.views import stream_view
+from tidemark.sources import push
+from tidemark.sources.tables import Source, stream_from
+from tidemark.streaming.jobs import (
+    BatchLog,
+    Preview,
+    finish,
+    fold_latest,
+    fold_tiles,
+    latest_stream,
+    stream_latest,
+    stream_tiles,
+    tile_stream,
+)
+
+SCHEMA = T.StructType.fromJson(
+    {
+        "type": "struct",
+        "fields": [
+            {"name": n, "type": t, "nullable": True, "metadata": {}}
+            for n, t in [("k", "string"), ("t", "timestamp"), ("v", "double"), ("s", "string")]
+        ],
+    }
+)
+
+
+def landed(spark, path, order, files=5):
+    """The same events in several files, in time order or not, one file per micro-batch."""
+    events = random_events(300, 1)
+    if order == "time":
+        events.sort(key=lambda e: (e[1] is not None, str(e[1])))
+    if order == "backwards":
+        events.sort(key=lambda e: str(e[1]), reverse=True)
+    for i in range(files):
+        part = events[i * 60 : (i + 1) * 60]
+        spark.createDataFrame(part, EVENT).coalesce(1).write.mode("append").parquet(path)
+    batch = spark.read.schema(SCHEMA).parquet(path)
+    stream = stream_from(spark, "parquet", SCHEMA, path=path, maxFilesPerTrigger="1")
+    return Source("events", batch, "t", stream)
+
+
+def mixed(source):
+    @stream_view(
+        source=source,
+        keys=["k"],
+        ts="t",
+        interval=5 * MINUTE,
+        aggregations=[
+            Aggregate("v", "count", HOUR),
+            Aggregate("v", "sum", HOUR),
+            Aggregate("s", "distinct", HOUR),
+            Aggregate("s", "last", HOUR, 2),
+        ],
+    )
+    def mixed(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    return mixed
+
+
+def rows(source):
+    @stream_view(source=source, keys=["k"], ts="t")
+    def rows(events):
+        return f"SELECT k, t, v > 50 AS high, v FROM {events}"
+
+    return rows
+
+
+def parts(tiles):
+    return {n: plain(p.select(sorted(p.columns))) for n, p in tiles.parts().items()}
+
+
+@pytest.mark.parametrize("order", ["time", "mixed", "backwards"])
+def test_stream_tiles_equal_batch_tiles_however_late_events_are(spark, tmp_path, order):
+    source = landed(spark, str(tmp_path / "in"), order)
+    view, out = mixed(source), str(tmp_path / "out")
+    finish(tile_stream(view, out))
+    assert spark.read.parquet(f"{out}/merged/batches").select("batch").distinct().count() == 5
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+
+
+def test_restart_retry_and_folding(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source = landed(spark, path, "mixed", files=3)
+    view = mixed(source)
+    finish(tile_stream(view, out))
+    fold_tiles(spark, view, out)
+    fold_tiles(spark, view, out)
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+    # More events arrive after the fold; the restarted stream takes only those.
+    more = random_events(80, 2)
+    spark.createDataFrame(more, EVENT).coalesce(1).write.mode("append").parquet(path)
+    later = Source("events", spark.read.schema(SCHEMA).parquet(path), "t", source.stream)
+    view = mixed(later)
+    finish(tile_stream(view, out))
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+    # A retried batch overwrites itself.
+    log = BatchLog(spark, f"{out}/merged")
+    again = spark.read.parquet(f"{out}/merged/batches").filter("batch = 3").drop("batch")
+    log.write(spark.createDataFrame(again.collect(), again.schema), 3)
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+    fold_tiles(spark, view, out)
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+
+
+def test_latest_values_from_a_stream(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "mixed")
+    view, out = rows(source), str(tmp_path / "out")
+    finish(latest_stream(view, out))
+    want = plain(view.latest())
+    assert plain(stream_latest(spark, view, out)) == want
+    fold_latest(spark, view, out)
+    assert plain(stream_latest(spark, view, out)) == want
+
+
+def test_previews_can_be_queried(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "time")
+    raw = Preview(source.read_stream(), "raw_events")
+    view = Preview(rows(source).stream(), "transformed")
+    finish(raw.query)
+    finish(view.query)
+    raw.table()
+    view.table()
+    assert spark.sql("SELECT count(*) FROM raw_events").first()[0] == 300
+    assert plain(spark.table("transformed")) == plain(rows(source).frame())
+    raw.stop()
+
+
+def test_stream_and_batch_schemas_must_agree(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "time", files=1)
+    with pytest.raises(ValueError):
+        Source("e", source.batch.drop("s"), "t", source.stream).read_stream()
+    with pytest.raises(ValueError):
+        Source("e", source.batch, "t").read_stream()
+
+
+CLICK = "timestamp timestamp, word string, n int"
+VISIT = "timestamp timestamp, user string, n int"
+
+
+def envelope(dry_run, **records):
+    wrapped = {s: [{"record": r} for r in rs] for s, rs in records.items()}
+    return json.dumps({"workspace_name": "w", "dry_run": dry_run, "records": wrapped})
+
+
+def day(n):
+    return f"2023-01-0{n}T00:25:06Z"
+
+
+SAMPLE = {
+    "clicks": [{"timestamp": day(4), "word": "a", "n": 1}, {"timestamp": day(2), "word": "b", "n": 3}],
+    "visits": [{"timestamp": day(d), "user": u, "n": n} for d, u, n in [(2, "p", 2), (1, "e", 4), (1, "c", 4)]],
+}
+
+
+def frame(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def schemas():
+    return {"clicks": T.StructType.fromDDL(CLICK), "visits": T.StructType.fromDDL(VISIT)}
+
+
+def test_envelope_is_taken_apart(spark):
+    records = push.unpack(frame(spark, envelope(False, **SAMPLE)))
+    assert sorted(r.source for r in records.collect()) == ["clicks"] * 2 + ["visits"] * 3
+    clicks = push.typed(records, "clicks", schemas()["clicks"]).orderBy("n").collect()
+    assert [(r.word, r.n) for r in clicks] == [("a", 1), ("b", 3)]
+    assert clicks[0].timestamp.isoformat().startswith("2023-01-04T")
+
+
+def test_dry_run_reports_and_writes_nothing(spark, tmp_path):
+    bad = {"clicks": [{"timestamp": day(1), "word": "a", "n": "many"}], "unknown": [{"x": 1}]}
+    records = push.unpack(
+        frame(spark, envelope(True, **SAMPLE), envelope(False, **bad), "not json", "{}")
+    )
+    got = {(r.source, r.dry_run): (r.n_good, r.n_bad) for r in push.report(records, schemas()).collect()}
+    assert got == {
+        ("clicks", True): (2, 0),
+        ("visits", True): (3, 0),
+        ("clicks", False): (0, 1),
+        ("unknown", False): (0, 1),
+    }
+    push.ingest(records, schemas(), str(tmp_path / "in"))
+    assert spark.read.schema(CLICK).parquet(str(tmp_path / "in" / "clicks")).count() == 0
+
+
+def test_accepted_records_are_written_per_source(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for _ in range(2):
+        push.ingest(push.unpack(frame(spark, envelope(False, **SAMPLE))), schemas(), path)
+    assert spark.read.parquet(f"{path}/clicks").count() == 4
+    assert spark.read.parquet(f"{path}/visits").agg(F.sum("n")).first()[0] == 20
+
+
+def test_pushed_records_feed_aggregates(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    frame(spark, envelope(False, **SAMPLE), envelope(False, **SAMPLE)).write.text(path)
+    schema = schemas()["visits"]
+    batch = push.accepted(push.unpack(spark.read.text(path)), "visits", schema)
+    stream = push.accepted(push.unpack(spark.readStream.text(path)), "visits", schema)
+
+    @stream_view(
+        source=Source("visits", batch, "timestamp", stream),
+        keys=["user"],
+        ts="timestamp",
+        interval=HOUR,
+        aggregations=[Aggregate("n", "sum", 2 * HOUR)],
+    )
+    def visits(visits):
+        return f"SELECT user, timestamp, n FROM {visits}"
+
+    out = str(tmp_path / "out")
+    finish(tile_stream(visits, out))
+    tiles = stream_tiles(spark, visits, out)
+    assert parts(tiles) == parts(visits.tiles())
+    assert tiles.merged.agg(F.sum("s_n")).first()[0] == 20
+
+
+def test_log_reads_batches_in_any_order(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"))
+    for n in (10, 2, 1):
+        log.write(spark.createDataFrame([(n,)], "x long"), n)
+    log.fold(lambda df: df.agg(F.sum("x").alias("x")))
+    log.write(spark.createDataFrame([(100,)], "x long"), 11)
+    assert sorted(r.x for r in log.read().collect()) == [13, 100]
