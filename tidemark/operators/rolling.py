@@ -123,7 +123,7 @@ def rolling_asof(
     """Spine columns first and unchanged, then each aggregate up to the row's exact time.
 
     ``tiles`` are built with the continuous interval: events of one key at one
-    microsecond are already merged. ``base`` is as in ``aggregate_asof``.
+    microsecond are already merged. ``base`` is as in ``aggregates_asof``.
     """
     check(aggregates, CONTINUOUS)
     keys = list(tiles.keys)
@@ -134,6 +134,6 @@ def rolling_asof(
         for w in sorted({a.window for a in aggregates})
     ]
     joined = reduce(lambda a, b: a.join(b, [*keys, AT], "inner"), answers)
-    return attach_aggregates(
-        spine, keys, at, F.timestamp_micros(at), joined, aggregates, CONTINUOUS, prefix, effective
-    )
+    names = [prefix + a.feature(CONTINUOUS) for a in aggregates]
+    times = {f"{prefix}effective_ts": F.timestamp_micros(at)} if effective else {}
+    return attach_aggregates(spine, keys, at, joined, aggregates, CONTINUOUS, names, times)

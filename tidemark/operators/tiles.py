@@ -13,7 +13,7 @@ a key, however long the history and however many events the key has.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 from functools import reduce
 
@@ -259,47 +259,74 @@ def fill_empty(df: DataFrame, names: list[str], aggregates: list[Aggregate]) ->
     return df.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in zero})
 
 
+def combine(sets: list[tuple[TileSet, list[Aggregate]]]) -> tuple[TileSet, list[Aggregate]]:
+    """Tiles of several views with the same keys and interval as one set.
+
+    Columns are numbered by view. A window adds up rows, so cells of different views may
+    stay rows of their own.
+    """
+    keys, interval = sets[0][0].keys, sets[0][0].interval
+    merged, distinct, recent, wanted = [], {}, {}, []
+    for i, (tiles, aggregates) in enumerate(sets):
+        if tiles.merged is not None:
+            partials = [c for c in tiles.merged.columns if c not in (*keys, AT)]
+            renamed = [F.col(c).alias(f"{c[:2]}{i}_{c[2:]}") for c in partials]
+            merged.append(tiles.merged.select(*keys, AT, *renamed))
+        distinct |= {f"{i}_{c}": part for c, part in tiles.distinct.items()}
+        recent |= {(f"{i}_{c}", n): part for (c, n), part in tiles.recent.items()}
+        wanted += [replace(a, column=f"{i}_{a.column}") for a in aggregates]
+    stacked = None
+    if merged:
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), merged)
+    return TileSet(keys, interval, stacked, distinct, recent), wanted
+
+
 def attach_aggregates(
     df: DataFrame,
     keys: list[str],
     at: Column,
-    seen: Column,
     answers: DataFrame,
     aggregates: list[Aggregate],
     interval: timedelta,
-    prefix: str,
-    effective: bool,
+    names: list[str],
+    times: dict[str, Column],
 ) -> DataFrame:
-    """``df`` with the aggregates of ``answers``, and 0 where there is nothing to count."""
-    plain = [a.feature(interval) for a in aggregates]
-    names = [prefix + n for n in plain]
-    renamed = answers.select(*keys, AT, *[F.col(n).alias(prefix + n) for n in plain])
-    done = fill_empty(attach(df, keys, at, renamed), names, aggregates)
-    return done.withColumn(f"{prefix}effective_ts", seen) if effective else done
+    """``df`` with the answers under ``names``, 0 where nothing counts, and effective times."""
+    renamed = [F.col(a.feature(interval)).alias(n) for a, n in zip(aggregates, names)]
+    done = attach(df, keys, at, answers.select(*keys, AT, *renamed))
+    return fill_empty(done, names, aggregates).withColumns(times)
 
 
-def aggregate_asof(
+def aggregates_asof(
     spine: DataFrame,
     ts: str,
-    tiles: TileSet,
-    aggregates: list[Aggregate],
-    prefix: str = "",
+    parts: list[tuple[str, TileSet, list[Aggregate]]],
     effective: bool = False,
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """Spine columns first and unchanged, then each aggregate as of the row's time.
+    """Spine columns first and unchanged, then the aggregates of all parts.
 
-    ``base`` is a smaller frame with the same keys and times to take the points from,
-    when the spine already went through other joins.
+    A part is an output prefix, its tiles and its aggregates. Parts share keys and interval,
+    and with that one window and one join. ``base`` is a frame with the spine's keys and
+    times to take the points from, when the spine already went through other joins.
     """
-    check(aggregates, tiles.interval)
+    sets = [(tiles, aggregates) for _, tiles, aggregates in parts]
+    tiles, wanted = combine(sets) if len(sets) > 1 else sets[0]
     keys, interval = list(tiles.keys), tiles.interval
+    check(wanted, interval)
     at = bucket(F.col(ts), interval)
-    answers = finish(points_of(base or spine, keys, at), tiles, aggregates)
+    answers = finish(points_of(base or spine, keys, at), tiles, wanted)
+    names = [prefix + a.feature(interval) for prefix, _, listed in parts for a in listed]
     seen = bucket_start(at, interval)
-    return attach_aggregates(
-        spine, keys, at, seen, answers, aggregates, interval, prefix, effective
-    )
+    times = {f"{prefix}effective_ts": seen for prefix, _, _ in parts} if effective else {}
+    return attach_aggregates(spine, keys, at, answers, wanted, interval, names, times)
+
+
+def aggregate_asof(
+    spine: DataFrame, ts: str, tiles: TileSet, aggregates: list[Aggregate], **options
+) -> DataFrame:
+    """Spine columns first and unchanged, then each aggregate as of the row's time."""
+    return aggregates_asof(spine, ts, [("", tiles, aggregates)], **options)
 
 
 def boundaries(tiles: TileSet, reach: int, low: int | None, high: int | None) -> DataFrame:

@@ -8,14 +8,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import as_micros
+from tidemark.functions.time import CONTINUOUS, as_micros
 from tidemark.operators.asof import asof_answers
 from tidemark.operators.ondemand import OnDemand
 from tidemark.operators.points import attach
+from tidemark.operators.rolling import rolling_asof
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
+from tidemark.operators.tiles import aggregates_asof
 from tidemark.plans.views import View
 from tidemark.sources.spine import spine_of
-from tidemark.sources.tables import instant
+from tidemark.sources.tables import instant, only_between
 
 SEP = "__"
 
@@ -80,13 +82,18 @@ class Service:
         store=None,
         rule: SkewRule = DEFAULT_RULE,
         effective: bool = False,
+        period: tuple[datetime, datetime] | None = None,
         spark: SparkSession | None = None,
     ) -> DataFrame:
         """Every spine row once, with all features as of its time.
 
-        Features come from ``store`` where it holds the view, else from the sources.
-        Row-level views with the same keys share one window, and so do the aggregates
-        of one view; ``effective`` adds the effective time per view.
+        Features come from ``store`` where it holds the view, else from the sources. Views
+        with the same keys share one window and one join, aggregating ones if they also
+        have the same interval. ``effective`` adds the effective time per view. A
+        ``period`` promises that all spine times lie in it and limits what is read.
+
+        The spine is read once per group of views; one that is dear to compute is better
+        cached or written first.
         """
         views = self._views()
         spark = spark or (views[0].sources[0].batch.sparkSession if views else None)
@@ -94,6 +101,8 @@ class Service:
         missing = [c for c in [*self.join_keys, ts] if c not in df.columns]
         if missing:
             raise ValueError(f"service {self.name} needs spine columns {missing}")
+        if period is not None:
+            df = only_between(df, ts, period)
         for request in [r for o in self._on_demand() for r in o.requests]:
             df = request.apply(df)
         # All lookups take their points from the spine itself, not from one another.
@@ -101,15 +110,22 @@ class Service:
         plain = [v for v in views if not v.aggregations]
         for keys in dict.fromkeys(v.keys for v in plain):
             tables = [
-                v.table(_stored_rows(store, v), f"{v.name}{SEP}")
+                v.table(v.stored_rows(store, period), f"{v.name}{SEP}")
                 for v in plain
                 if v.keys == keys
             ]
             answers = asof_answers(base, list(keys), ts, tables, rule, effective)
             df = attach(df, list(keys), as_micros(F.col(ts)), answers)
+        tiled: dict[tuple, list] = {}
         for view in [v for v in views if v.aggregations]:
-            tiles = _stored_tiles(store, view)
-            df = view.add_aggregates(df, ts, tiles, f"{view.name}{SEP}", effective, base)
+            part = view.part(store, period, f"{view.name}{SEP}")
+            if view.interval == CONTINUOUS:
+                prefix, tiles, wanted = part
+                df = rolling_asof(df, ts, tiles, wanted, prefix, effective, base)
+            else:
+                tiled.setdefault((view.keys, view.interval), []).append(part)
+        for parts in tiled.values():
+            df = aggregates_asof(df, ts, parts, effective, base)
         for item in self._on_demand():
             asked = {r.name for r in item.requests}
 
@@ -136,11 +152,3 @@ def _merged(a: View, b: View) -> View:
     if a.aggregations:
         return replace(a, aggregations=tuple(dict.fromkeys(a.aggregations + b.aggregations)))
     return replace(a, columns=tuple(dict.fromkeys(a.features + b.features)))
-
-
-def _stored_rows(store, view: View) -> DataFrame | None:
-    return store.rows(view) if store is not None and store.has(view) else None
-
-
-def _stored_tiles(store, view: View):
-    return store.tiles(view) if store is not None and store.has(view) else None

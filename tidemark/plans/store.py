@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import bucket_start, micros
+from tidemark.functions.aggregates import MERGED
+from tidemark.functions.time import bucket_start
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
 from tidemark.plans.views import View
@@ -95,32 +96,47 @@ class Store:
     def finished(self, view: View) -> DataFrame:
         return self._read(f"{view.name}/finished").drop("day")
 
-    def rows(self, view: View) -> DataFrame:
-        return self._read(f"{view.name}/rows").drop("day")
-
-    def tiles(self, view: View) -> TileSet:
+    def _days(self, name: str, start: datetime | None, end: datetime | None) -> DataFrame:
+        """Stored part, pruned to the day partitions a range touches."""
+        part = self._read(name)
+        if start is not None:
+            part = part.filter(F.col("day").cast("string") >= f"{start:%Y-%m-%d}")
+        if end is not None:
+            part = part.filter(F.col("day").cast("string") <= f"{end:%Y-%m-%d}")
+        return part.drop("day")
+
+    def rows(self, view: View, start: datetime | None = None, end: datetime | None = None):
+        """Stored rows of the days from ``start`` to ``end``."""
+        return self._days(f"{view.name}/rows", start, end)
+
+    def tiles(
+        self, view: View, start: datetime | None = None, end: datetime | None = None
+    ) -> TileSet:
         """Stored tiles in the shape the view would compute them."""
-        shape = TileSet(
+
+        def part(name: str) -> DataFrame:
+            return self._days(f"{view.name}/{name}", start, end)
+
+        plain = any(a.function in MERGED for a in view.aggregations)
+        return TileSet(
             view.keys,
             view.interval,
-            self._read(f"{view.name}/merged"),
+            part("merged") if plain else None,
             {
-                a.column: self._read(f"{view.name}/distinct_{a.column}")
+                a.column: part(f"distinct_{a.column}")
                 for a in view.aggregations
                 if a.function == "distinct"
             },
             {
-                (a.column, a.size): self._read(f"{view.name}/recent{a.size}_{a.column}")
+                (a.column, a.size): part(f"recent{a.size}_{a.column}")
                 for a in view.aggregations
                 if a.function == "last"
             },
         )
-        return shape.map(lambda part: part.drop("day"))
 
     def loaded_until(self, view: View) -> datetime | None:
         """Load mark: the end of the newest stored range."""
         loaded = self._read(f"{view.name}/loaded")
-        return None if loaded is None else loaded.agg(F.max(F.col("end").cast("timestamp_ntz"))).first()[0]
-
-
-__all__ = ["Store", "slices", "micros"]
+        if loaded is None:
+            return None
+        return loaded.agg(F.max(F.col("end").cast("timestamp_ntz"))).first()[0]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.aggregates import MERGED, Aggregate, check
+from tidemark.functions.aggregates import Aggregate, check
 from tidemark.functions.time import (
     CONTINUOUS,
     bucket,
@@ -22,9 +21,9 @@ from tidemark.functions.time import (
 from tidemark.operators.asof import FeatureTable, asof_join, latest
 from tidemark.operators.rolling import rolling_asof
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
-from tidemark.operators.tiles import TileSet, aggregate_asof, build_tiles, rolled
+from tidemark.operators.tiles import TileSet, aggregates_asof, build_tiles, rolled
 from tidemark.sources.spine import spine_of
-from tidemark.sources.tables import Source, between
+from tidemark.sources.tables import Source, between, only_between
 
 _EPOCH = datetime(1970, 1, 1)
 
@@ -143,38 +142,55 @@ class View:
     def latest(self) -> DataFrame:
         return latest(self.table(), list(self.keys))
 
+    def reads(self, period: tuple[datetime, datetime] | None):
+        """Range of event times that can matter for spine times in a period."""
+        if period is None:
+            return None, None
+        start, end = period
+        if self.aggregations:
+            return start - self.reach - self.interval, end
+        return (start - self.ttl if self.ttl else None), end
+
     def historical(
         self,
         spine,
         ts: str,
-        rows: DataFrame | None = None,
-        tiles: TileSet | None = None,
+        store=None,
         rule: SkewRule = DEFAULT_RULE,
-        prefix: str = "",
         effective: bool = False,
+        period: tuple[datetime, datetime] | None = None,
     ) -> DataFrame:
-        """Spine rows with the view's features as of each row's time.
+        """Spine rows with the view's features, under their bare names, as of each row's time.
 
-        Computes from the sources, unless stored ``rows`` or ``tiles`` are given.
+        Computes from the sources, unless a ``store`` holds the view. A ``period`` promises
+        that all spine times lie in it; only events that can matter there are then read.
         """
         spine = spine_of(self.sources[0].batch.sparkSession, spine)
+        if period is not None:
+            spine = only_between(spine, ts, period)
         if not self.aggregations:
-            table = self.table(rows, prefix)
+            table = self.table(self.stored_rows(store, period))
             return asof_join(spine, list(self.keys), ts, [table], rule, effective)
-        return self.add_aggregates(spine, ts, tiles, prefix, effective)
-
-    def add_aggregates(
-        self,
-        spine: DataFrame,
-        ts: str,
-        tiles: TileSet | None = None,
-        prefix: str = "",
-        effective: bool = False,
-        base: DataFrame | None = None,
-    ) -> DataFrame:
-        finish = rolling_asof if self.interval == CONTINUOUS else aggregate_asof
-        wanted = list(self.aggregations)
-        return finish(spine, ts, tiles or self.tiles(), wanted, prefix, effective, base)
+        part = self.part(store, period, "")
+        if self.interval == CONTINUOUS:
+            return rolling_asof(spine, ts, *part[1:], effective=effective)
+        return aggregates_asof(spine, ts, [part], effective)
+
+    def stored_rows(self, store, period=None) -> DataFrame:
+        """Rows for a period, from a store that holds the view or else computed."""
+        start, end = self.reads(period)
+        if store is not None and store.has(self):
+            return store.rows(self, start, end)
+        return between(self.frame(start, end), self.ts, start, end)
+
+    def part(self, store, period, prefix: str):
+        """Prefix, tiles for a period and aggregates, as the joins take them."""
+        start, end = self.reads(period)
+        if store is not None and store.has(self):
+            tiles = store.tiles(self, start, end)
+        else:
+            tiles = self.tiles(start, end)
+        return prefix, tiles, list(self.aggregations)
 
     def history(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Feature values of ``[start, end)`` without a spine.
@@ -230,10 +246,7 @@ class View:
 
 def boundary(moment: datetime, interval: timedelta) -> int:
     """Number of the first interval boundary at or after a moment."""
-    passed = (moment.replace(tzinfo=None) - _EPOCH) // timedelta(microseconds=1)
-    return math.ceil(passed / micros(interval)) if passed % micros(interval) else (
-        passed // micros(interval)
-    )
+    return -((_EPOCH - moment.replace(tzinfo=None)) // interval)
 
 
 def window_complete(end, window: timedelta, read_from: datetime | None):
@@ -316,6 +329,3 @@ def stream_view(
         )
 
     return declare
-
-
-__all__ = ["MERGED", "View", "batch_view", "boundary", "coverage", "stream_view"]

@@ -310,7 +310,7 @@ def _stored(fraud: Fraud, view, jobs: int, until: datetime | None = None) -> Sto
 def from_source_parity(fraud):
     view = fraud.amounts
     store = _stored(fraud, view, 3)
-    done = view.historical(fraud.spine, "timestamp", tiles=store.tiles(view))
+    done = view.historical(fraud.spine, "timestamp", store=store)
     return keyed(done, view.features)
 
 
@@ -429,7 +429,8 @@ def stream_asof(fraud):
     path = workdir(fraud.spark, "tiles")
     finish(tile_stream(view, path))
     tiles = stream_tiles(fraud.spark, view, path)
-    return keyed(view.historical(fraud.spine, "timestamp", tiles=tiles), view.features)
+    done = aggregate_asof(fraud.spine, "timestamp", tiles, list(view.aggregations))
+    return keyed(done, view.features)
 
 
 @query

@@ -90,6 +90,15 @@ class Source:
         return self.stream
 
 
+def only_between(df: DataFrame, ts: str, period: tuple[datetime, datetime]) -> DataFrame:
+    """``df``, failing at run time on a row whose time lies outside ``[start, end)``."""
+    start, end = period
+    inside = (F.col(ts) >= instant(start)) & (F.col(ts) < instant(end))
+    message = F.concat(F.lit(f"{ts} outside {start} .. {end}: "), F.col(ts).cast("string"))
+    failed = F.raise_error(message).cast("timestamp")
+    return df.withColumn(ts, F.when(F.col(ts).isNull() | inside, F.col(ts)).otherwise(failed))
+
+
 # Names of the string partition columns for year, month and day.
 PARTITIONS = ("partition_0", "partition_1", "partition_2")
 
