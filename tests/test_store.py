@@ -102,6 +102,25 @@ def test_emitted_window_equals_the_listing(spark, source, tmp_path):
     assert plain(store.finished(view)) == listed
 
 
+def test_a_period_reads_less_and_answers_the_same(spark, source, spine, tmp_path):
+    start, end = FIRST + 3 * DAY, FIRST + 4 * DAY
+    some = spine.filter(f"t >= '{start}' AND t < '{end}'")
+    service = Service.of("s", [row_view(source), mixed_view(source)])
+    want = plain(service.historical(some, "t"))
+    assert want
+    store = Store(spark, str(tmp_path))
+    for view in service.features:
+        store.backfill(view, FIRST, LAST, 1)
+        alone = view.historical(some, "t", period=(start, end))
+        assert plain(alone) == plain(view.historical(some, "t"))
+    assert plain(service.historical(some, "t", period=(start, end))) == want
+    assert plain(service.historical(some, "t", store=store, period=(start, end))) == want
+    pruned = store.tiles(mixed_view(source), start, end).merged
+    assert "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="outside"):
+        service.historical(spine, "t", period=(start, end)).collect()
+
+
 def test_load_mark_of_nothing(spark, source, tmp_path):
     assert Store(spark, str(tmp_path)).loaded_until(row_view(source)) is None
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.aggregates import Aggregate
 from tidemark.functions.scalar import card_issuer, flag_above, joined, or_zero
 from tidemark.operators.ondemand import on_demand
-from tidemark.plans.service import Service
+from tidemark.plans.service import Service, on_demand_historical
 from tidemark.plans.views import batch_view, coverage, stream_view
 from tidemark.sources.spine import Request, spine_of
 from tidemark.sources.tables import (
@@ -332,3 +332,69 @@ def test_time_filter_and_columns_reach_the_scan(spark, tmp_path):
     plan = tiles._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t" in plan and "LessThan(t" in plan
     assert "s:string" not in plan
+
+
+def test_lookup_equals_training_join_at_the_same_moment(spark, source):
+    requests = spine_of(spark, spine_rows(), SPINE).drop("t")
+    service = Service.of(
+        "s", [row_view(source, ttl=2 * HOUR), sum_view(source), store_view(source), check_mode(source, "native")]
+    )
+    for minutes in (123.4, 300, 660):
+        online = service.lookup(requests, at(minutes), effective=True)
+        offline = service.at(requests, at(minutes), effective=True).drop("current_timestamp")
+        assert online.columns == offline.columns
+        assert plain(online) == plain(offline)
+
+
+def test_lookup_of_a_continuous_view(spark, source):
+    @stream_view(
+        source=source, keys=["k"], ts="t", aggregations=[Aggregate("v", "sum", HOUR), Aggregate("v", "count", HOUR)]
+    )
+    def live(events):
+        return f"SELECT k, t, v FROM {events}"
+
+    requests = spine_of(spark, spine_rows(), SPINE).drop("t")
+    service = Service.of("s", [live])
+    moment = at(300)
+    assert plain(service.lookup(requests, moment)) == plain(
+        service.at(requests, moment).drop("current_timestamp")
+    )
+
+
+def test_lookup_from_given_snapshots(spark, source):
+    view = row_view(source)[["high"]]
+    shot = view.snapshot(at(300), prefix="rows__")
+    requests = spine_of(spark, spine_rows(), SPINE).select("id", "k")
+    service = Service.of("s", [view])
+    given = service.lookup(requests, at(300), snapshots={"rows": shot})
+    assert plain(given) == plain(service.lookup(requests, at(300)))
+
+
+def test_on_demand_history_has_bare_names(spark, source):
+    spine = spine_of(spark, spine_rows(), SPINE)
+    check = check_mode(source, "native")
+    done = on_demand_historical(check, spine, "t")
+    assert done.columns == [*spine.columns, "above"]
+    listed = Service.of("s", [check]).historical(spine, "t")
+    assert plain(done) == plain(listed)
+
+
+def test_views_of_one_service_share_a_window(spark, source):
+    @stream_view(
+        source=source,
+        keys=["k"],
+        ts="t",
+        interval=5 * MINUTE,
+        aggregations=[Aggregate("v", "count", HOUR), Aggregate("s", "distinct", HOUR), Aggregate("s", "last", HOUR, 2)],
+    )
+    def others(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    spine = spine_of(spark, spine_rows(), SPINE)
+    views = [sum_view(source), others]
+    done = Service.of("s", views).historical(spine, "t", effective=True)
+    joins = done._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+    assert joins == 1
+    for view in views:
+        alone = view.historical(spine, "t").select("id", *view.features)
+        assert plain(done.select("id", *[f"{view.name}__{f}" for f in view.features])) == plain(alone)

@@ -58,8 +58,9 @@ def effective_micros(ts: Column, schedule: timedelta | None) -> Column:
     return (floor_div(as_micros(ts), step) + F.lit(1)) * F.lit(step)
 
 
-def midnight(ts: Column) -> Column:
-    return F.date_trunc("day", ts)
+def midnight(ts: Column, days_before: int = 0) -> Column:
+    """Start of the day of a time, or of an earlier day."""
+    return F.date_trunc("day", ts) - F.make_interval(days=F.lit(days_before))
 
 
 def date_parts(ts: Column) -> tuple[Column, Column, Column]:

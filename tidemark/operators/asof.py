@@ -8,7 +8,7 @@ pays one window shuffle per key set rather than one per table.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +24,9 @@ from tidemark.operators.skew import (
     heavy_keys,
     sliced,
 )
+from tidemark.sources.tables import instant
+
+RANK = "_rank"
 
 
 @dataclass(frozen=True)
@@ -99,19 +102,15 @@ def asof_answers(
     rows = sliced(stacked, heavy, keys)
     ordinary = rows.filter(F.col(PLAN).isNull()).drop(PLAN)
     own, inherited = _heavy_rows(rows, keys, values, rule)
-    marks = sliced(points, heavy, keys).drop(PLAN).withColumn("_point", F.lit(True))
-    both = (
-        ordinary.unionByName(own)
-        .unionByName(inherited)
-        .unionByName(marks, allowMissingColumns=True)
-    )
-    until = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(AT)
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    newest = [F.max(v).over(until).alias(v) for v in values]
-    found = both.select(*keys, AT, "_point", *newest).filter("_point")
+    points = sliced(points, heavy, keys).drop(PLAN)
+    parts = [(inherited, 0), (ordinary, 1), (own, 1), (points, 2)]
+    ranked = [df.withColumn(RANK, F.lit(rank)) for df, rank in parts]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
+    # At one time: what a slice inherits, then its rows from old to new, then points.
+    order = Window.partitionBy(*keys, SLICE).orderBy(AT, RANK, *values)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    newest = [F.last(v, ignorenulls=True).over(so_far).alias(v) for v in values]
+    found = both.select(*keys, AT, RANK, *newest).filter(F.col(RANK) == 2)
     out: list[Column] = []
     for table, value in zip(tables, values):
         alive = F.col(value).isNotNull()
@@ -142,11 +141,13 @@ def asof_join(
     return attach(spine, keys, as_micros(F.col(ts)), answers)
 
 
-def latest(table: FeatureTable, keys: list[str]) -> DataFrame:
-    """Newest feature row per key, combined before the shuffle."""
+def latest(table: FeatureTable, keys: list[str], moment: datetime | None = None) -> DataFrame:
+    """Newest feature row per key, of those visible at a moment; combined before the shuffle."""
+    rows = _candidates(table, keys, "_v")
+    if moment is not None:
+        rows = rows.filter(F.col(AT) <= F.unix_micros(instant(moment)))
     return (
-        _candidates(table, keys, "_v")
-        .groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.max("_v").alias("_v"))
         .select(
             *keys,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate, check
-from tidemark.functions.time import bucket_start, micros
+from tidemark.functions.time import CONTINUOUS, bucket_start, micros
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet, _newest, fill_empty
 from tidemark.sources.tables import instant
@@ -26,7 +26,11 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     """
     check(aggregates, tiles.interval)
     keys, interval = list(tiles.keys), tiles.interval
-    now = ((moment - _EPOCH) // timedelta(microseconds=1)) // micros(interval)
+    now = (moment - _EPOCH) // interval
+    seen = bucket_start(F.lit(now).cast("long"), interval).alias("effective_ts")
+    if interval == CONTINUOUS:
+        # Continuous windows include the moment itself.
+        now += 1
     reach = max(a.buckets(interval) for a in aggregates)
     recent = tiles.map(lambda t: t.filter((F.col(AT) >= now - reach) & (F.col(AT) < now)))
     parts = []
@@ -58,13 +62,16 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     for part in parts[1:]:
         table = table.join(part, keys, "full")
     names = [a.feature(interval) for a in aggregates]
-    seen = bucket_start(F.lit(now).cast("long"), interval).alias("effective_ts")
     return fill_empty(table, names, aggregates).select(*keys, seen, *names)
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """One row per key: ``effective_ts``, the features and, for a ttl, the event time."""
+    """One row per key: ``effective_ts``, the features and, for a ttl, the event time.
+
+    Aggregates are known for every key, also one without data: ``zero`` names the counts
+    that are then 0, and ``seen`` is the one time all values stand for.
+    """
 
     frame: DataFrame
     keys: tuple[str, ...]
@@ -73,6 +80,7 @@ class Snapshot:
     ts: str | None = None
     ttl: timedelta | None = None
     zero: tuple[str, ...] = ()
+    seen: datetime | None = None
 
 
 def lookup(
@@ -93,10 +101,12 @@ def lookup(
             limit = F.unix_micros(instant(moment)) - F.lit(micros(snap.ttl))
             alive = F.unix_micros(F.col(snap.ts)) > limit
         columns = [F.when(alive, F.col(f)).alias(snap.prefix + f) for f in snap.features]
-        if effective:
-            seen = F.when(alive, F.col("effective_ts"))
-            columns.append(seen.alias(f"{snap.prefix}effective_ts"))
+        seen = f"{snap.prefix}effective_ts"
+        if effective and snap.seen is None:
+            columns.append(F.when(alive, F.col("effective_ts")).alias(seen))
         out = out.join(table.select(*snap.keys, *columns), list(snap.keys), "left")
+        if effective and snap.seen is not None:
+            out = out.withColumn(seen, instant(snap.seen))
         zeros = [snap.prefix + f for f in snap.zero]
         out = out.withColumns({z: F.coalesce(F.col(z), F.lit(0)) for z in zeros})
     added = [c for c in out.columns if c not in requests.columns]

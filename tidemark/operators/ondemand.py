@@ -82,10 +82,10 @@ class OnDemand:
             *df.columns, *[F.col(f"_made.`{n}`").alias(prefix + n) for n in self.features]
         )
 
-    def run(self, df: DataFrame) -> DataFrame:
-        """Try the function on mock inputs: a frame with one struct column per input."""
+    def run(self, df: DataFrame, *keep: str) -> DataFrame:
+        """Try the function on given inputs: a frame with one struct column per input."""
         made = self.columns(lambda name, field: F.col(f"{name}.`{field}`"))
-        return df.select(*made)
+        return df.select(*keep, *made)
 
     def validate(self) -> OnDemand:
         """Check the declaration; for native functions also the type of the result."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import CONTINUOUS, as_micros
 from tidemark.operators.asof import asof_answers
+from tidemark.operators.lookup import Snapshot, lookup
 from tidemark.operators.ondemand import OnDemand
 from tidemark.operators.points import attach
 from tidemark.operators.rolling import rolling_asof
@@ -126,6 +127,10 @@ class Service:
                 tiled.setdefault((view.keys, view.interval), []).append(part)
         for parts in tiled.values():
             df = aggregates_asof(df, ts, parts, effective, base)
+        return self._finish(df, kept, effective)
+
+    def _finish(self, df: DataFrame, kept: list[str], effective: bool) -> DataFrame:
+        """On-demand features on top of the looked-up ones, and the columns asked for."""
         for item in self._on_demand():
             asked = {r.name for r in item.requests}
 
@@ -139,6 +144,29 @@ class Service:
             out += [f"`{n}{SEP}effective_ts`" for n in listed]
         return df.select(*kept, *out)
 
+    def lookup(
+        self,
+        requests,
+        moment: datetime,
+        store=None,
+        snapshots: dict[str, Snapshot] | None = None,
+        effective: bool = False,
+    ) -> DataFrame:
+        """The latest features for a batch of requests: keys, and request columns if needed.
+
+        Values are what was visible at the moment. A view's values come from ``snapshots``
+        if given there, else from the store or the sources.
+        """
+        views = self._views()
+        df = spine_of(views[0].sources[0].batch.sparkSession, requests)
+        for request in [r for o in self._on_demand() for r in o.requests]:
+            df = request.apply(df)
+        given = snapshots or {}
+        shots = [
+            given.get(v.name) or v.snapshot(moment, store, f"{v.name}{SEP}") for v in views
+        ]
+        return self._finish(lookup(df, shots, moment, effective), df.columns, effective)
+
     def at(self, spine, moment: datetime | None = None, **options) -> DataFrame:
         """Features as of one moment, by default now, for every row of a spine."""
         time = F.current_timestamp() if moment is None else instant(moment)
@@ -148,6 +176,12 @@ class Service:
         return self.historical(stamped, "current_timestamp", **options)
 
 
+def on_demand_historical(item: OnDemand, spine, ts: str, **options) -> DataFrame:
+    """Spine rows with one on-demand view's features under their bare names."""
+    done = Service.of(item.name, [item]).historical(spine, ts, **options)
+    return done.withColumnsRenamed({f"{item.name}{SEP}{f}": f for f in item.features})
+
+
 def _merged(a: View, b: View) -> View:
     if a.aggregations:
         return replace(a, aggregations=tuple(dict.fromkeys(a.aggregations + b.aggregations)))

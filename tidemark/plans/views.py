@@ -19,6 +19,7 @@ from tidemark.functions.time import (
     micros,
 )
 from tidemark.operators.asof import FeatureTable, asof_join, latest
+from tidemark.operators.lookup import Snapshot, current_values
 from tidemark.operators.rolling import rolling_asof
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
 from tidemark.operators.tiles import TileSet, aggregates_asof, build_tiles, rolled
@@ -139,8 +140,23 @@ class View:
         rows = between(self.frame(start, end), self.ts, start, end)
         return build_tiles(rows, list(self.keys), self.ts, list(self.aggregations), self.interval)
 
-    def latest(self) -> DataFrame:
-        return latest(self.table(), list(self.keys))
+    def latest(self, moment: datetime | None = None, store=None) -> DataFrame:
+        """Newest row per key, of those visible at a moment."""
+        rows = self.stored_rows(store, moment and (moment, moment + CONTINUOUS))
+        return latest(self.table(rows), list(self.keys), moment)
+
+    def snapshot(self, moment: datetime, store=None, prefix: str = "") -> Snapshot:
+        """One row per key with the view's values at a moment."""
+        names = tuple(self.features)
+        if not self.aggregations:
+            rows = self.latest(moment, store)
+            return Snapshot(rows, self.keys, names, prefix, self.ts, self.ttl)
+        wanted = list(self.aggregations)
+        _, tiles, _ = self.part(store, (moment, moment + CONTINUOUS), prefix)
+        zero = [a.feature(self.interval) for a in wanted if a.function in ("count", "distinct")]
+        seen = _EPOCH + ((moment - _EPOCH) // self.interval) * self.interval
+        rows = current_values(tiles, wanted, moment)
+        return Snapshot(rows, self.keys, names, prefix, zero=tuple(zero), seen=seen)
 
     def reads(self, period: tuple[datetime, datetime] | None):
         """Range of event times that can matter for spine times in a period."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import Aggregate
 from tidemark.functions.scalar import card_issuer, flag_above, or_zero
+from tidemark.functions.time import midnight
 from tidemark.operators.ondemand import OnDemand, on_demand
 from tidemark.plans.service import Service
 from tidemark.plans.views import View, batch_view, stream_view
@@ -78,7 +79,7 @@ class Fraud:
     @cached_property
     def days(self) -> tuple[datetime, datetime]:
         """First day with transactions and the day after the last."""
-        day = F.date_trunc("day", "timestamp")
+        day = midnight(F.col("timestamp"))
         low, high = self.txn.agg(
             F.min(day).cast("timestamp_ntz"), F.max(day).cast("timestamp_ntz")
         ).first()

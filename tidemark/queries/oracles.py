@@ -42,8 +42,7 @@ def windows(name: str, key: str, interval: str, columns: dict[str, tuple[str, st
     ``columns`` maps a name to an aggregate with ``{}`` for the window's condition,
     and the window's length.
     """
-    longest = " + ".join(["INTERVAL 0 DAY"])
-    longest = f"greatest({', '.join(f'INTERVAL {w}' for _, w in columns.values())}, {longest})"
+    longest = f"greatest({', '.join(f'INTERVAL {w}' for _, w in columns.values())})"
     outs = ",\n    ".join(
         f"{agg.format(f'f.{chr(34)}timestamp{chr(34)} >= s.b - INTERVAL {w}')} AS {column}"
         for column, (agg, w) in columns.items()
@@ -254,6 +253,11 @@ SELECT event_id, amt > CASE WHEN is_fraud = 1 THEN 75 ELSE 0 END AS above_mean F
 
 # -- stored history ---------------------------------------------------------
 
+ORACLES["training_period"] = f"""WITH {TXN}, {CARDS}, {CARD_ASOF},
+{windows('amounts', 'user_id', '10 MINUTE', MEAN)}
+SELECT txn.event_id, {prefixed('amounts', MEAN)}, card.issuer AS card__issuer
+FROM txn JOIN amounts USING (event_id) JOIN card USING (event_id)
+WHERE txn."timestamp" >= TIMESTAMP '2024-01-20' AND txn."timestamp" < TIMESTAMP '2024-01-27'"""
 ORACLES["incremental_day"] = f"""WITH {TXN}
 SELECT user_id, time_bucket(INTERVAL 10 MINUTE, "timestamp") AS tile_start,
   count(amt) AS n_amt, round(sum(amt), 6) AS s_amt
@@ -285,8 +289,10 @@ ORACLES["latest_vector"] = f"""WITH {NEWEST}
 SELECT event_id, 'card__issuer' AS name, CASE WHEN {FRESH} THEN issuer END AS value
 FROM txn LEFT JOIN issued USING (user_id)
 UNION ALL SELECT event_id, 'user_id', user_id FROM txn"""
+ORACLES["lookup_parity"] = """SELECT count(*) AS n_rows,
+  CAST(0 AS BIGINT) AS n_mismatches FROM events"""
 ORACLES["on_demand_lookup"] = f"""WITH {NEWEST}
-SELECT event_id, m AS amounts__amt_mean_3d_10m, amt > coalesce(m, 0) AS above_mean
+SELECT event_id, m AS amounts__amt_mean_3d_10m, amt > coalesce(m, 0) AS amount_check__above_mean
 FROM txn LEFT JOIN recent USING (user_id)"""
 ORACLES["latest_windows"] = f"""WITH {TXN}
 SELECT user_id,
@@ -327,6 +333,8 @@ FROM events WHERE event_type <> 'signup' GROUP BY ALL"""
 
 ORACLES["export_csv_row"] = f"""WITH {TXN}
 SELECT event_id, concat_ws(',', user_id, merchant, is_fraud) AS line FROM txn"""
+ORACLES["export_joined_row"] = f"""WITH {TXN}
+SELECT event_id, concat_ws('|', user_id, merchant, is_fraud) AS line FROM txn"""
 ORACLES["export_json_row"] = f"""WITH {TXN}
 SELECT event_id, '{{"user_id":"' || user_id || '","merchant":"' || merchant || '","is_fraud":'
   || CAST(is_fraud AS VARCHAR) || '}}' AS line FROM txn"""

@@ -3,26 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate
+from tidemark.functions.scalar import joined
 from tidemark.functions.time import bucket, bucket_start
 from tidemark.operators.asof import FeatureTable, asof_join
 from tidemark.operators.export import csv_lines, json_lines, read_csv, write_csv
-from tidemark.operators.lookup import Snapshot, current_values, lookup, vector
+from tidemark.operators.lookup import current_values, vector
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import aggregate_asof, build_tiles
 from tidemark.plans.service import Service
 from tidemark.plans.store import Store
-from tidemark.plans.views import coverage
-from tidemark.queries.fraud import DAY, HOUR, MINUTE, Fraud
+from tidemark.plans.views import coverage, stream_view
+from tidemark.queries.fraud import DAY, HOUR, Fraud
 from tidemark.session import configure, workdir
 from tidemark.sources import push
-from tidemark.sources.tables import on_day, read_partitioned, read_table, write_partitioned, zoneless
+from tidemark.sources.tables import (
+    Source,
+    between,
+    on_day,
+    read_partitioned,
+    read_table,
+    write_partitioned,
+    zoneless,
+)
 from tidemark.streaming.jobs import (
     Preview,
     finish,
@@ -291,9 +300,7 @@ def on_demand_run(fraud):
     inputs = fraud.spine.select(
         F.struct("event_id", "amt").alias("purchase"), F.struct(limit).alias("amounts")
     )
-    check = fraud.amount_check()
-    made = check.columns(lambda name, field: F.col(f"{name}.{field}"))
-    return inputs.select("purchase.event_id", *made)
+    return fraud.amount_check().run(inputs, "purchase.event_id")
 
 
 # -- stored history ---------------------------------------------------------
@@ -323,6 +330,18 @@ def adhoc_from_source(fraud):
     return done.select("event_id", *service.names)
 
 
+@query
+def training_period(fraud):
+    """One week of spine against a stored history, reading only the days that matter."""
+    start, end = datetime(2024, 1, 20), datetime(2024, 1, 27)
+    service = Service.of("week", [fraud.amounts[["amt_mean_3d_10m"]], fraud.card])
+    store = _stored(fraud, fraud.amounts, 1)
+    store.backfill(fraud.card, *fraud.days, 1)
+    week = between(fraud.spine, "timestamp", start, end)
+    done = service.historical(week, "timestamp", store=store, period=(start, end))
+    return done.select("event_id", *service.names)
+
+
 @query
 def incremental_day(fraud):
     store = Store(fraud.spark, workdir(fraud.spark, "store"))
@@ -358,40 +377,41 @@ def _requests(fraud: Fraud) -> DataFrame:
     return fraud.spine.select("event_id", "user_id", "amt")
 
 
-def _snapshots(fraud: Fraud) -> list[Snapshot]:
-    amounts = fraud.amounts[["amt_mean_3d_10m", "amt_sum_1d_10m"]]
-    now = current_values(amounts.tiles(NOW - amounts.reach, NOW), list(amounts.aggregations), NOW)
-    card = fraud.card
-    return [
-        Snapshot(card.latest(), card.keys, ("issuer",), "card__", card.ts, card.ttl),
-        Snapshot(now, amounts.keys, tuple(amounts.features), "amounts__"),
-    ]
-
-
 @query
 def latest_lookup(fraud):
-    found = lookup(_requests(fraud), _snapshots(fraud), NOW, effective=True)
-    return found.drop("amounts__effective_ts")
+    kept = fraud.amounts[["amt_mean_3d_10m", "amt_sum_1d_10m"]]
+    service = Service.of("latest", [fraud.card, kept])
+    return service.lookup(_requests(fraud), NOW, effective=True).drop("amounts__effective_ts")
 
 
 @query
 def latest_vector(fraud):
     """One array of names and values per request, shown as its parts."""
-    found = lookup(_requests(fraud), _snapshots(fraud)[:1], NOW)
+    found = Service.of("vector", [fraud.card]).lookup(_requests(fraud), NOW)
     packed = vector(found, ["card__issuer", "user_id"], ["event_id"])
     return packed.select("event_id", F.inline("features"))
 
 
 @query
 def on_demand_lookup(fraud):
-    found = lookup(_requests(fraud), _snapshots(fraud)[1:], NOW)
-    check = fraud.amount_check()
-
-    def locate(name, field):
-        return F.col(field if name == "purchase" else f"{name}__{field}")
-
-    done = check.apply(found, locate)
-    return done.select("event_id", "amounts__amt_mean_3d_10m", "above_mean")
+    service = Service.of("ask", [fraud.amounts[["amt_mean_3d_10m"]], fraud.amount_check()])
+    return service.lookup(_requests(fraud), NOW).select("event_id", *service.names)
+
+
+@query
+def lookup_parity(fraud):
+    """Requests whose looked-up values differ from a training join at the same moment."""
+    service = Service.of("both", [fraud.card, fraud.amounts, fraud.merchant_fraud, fraud.variety])
+    requests = fraud.spine.select("event_id", "user_id", "merchant")
+    moment = datetime(2024, 1, 29, 7, 3)
+    values = F.hash(*[F.round(n, 6) if "_mean_" in n or "_sum_" in n else n for n in service.names])
+    online = service.lookup(requests, moment).select("event_id", values.alias("online"))
+    offline = service.at(requests, moment).select("event_id", values.alias("offline"))
+    both = online.join(offline, "event_id", "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("online").eqNullSafe(F.col("offline"))).alias("n_mismatches"),
+    )
 
 
 @query
@@ -524,9 +544,6 @@ def stream_ingest_tiles(fraud):
 
 
 def _click_view(batch: DataFrame, stream: DataFrame):
-    from tidemark.plans.views import stream_view
-    from tidemark.sources.tables import Source
-
     @stream_view(
         source=Source("clicks", batch, "timestamp", stream),
         keys=["content_keyword"],
@@ -548,6 +565,12 @@ def export_csv_row(fraud):
     return csv_lines(fraud.spine, ["user_id", "merchant", "is_fraud"], ["event_id"])
 
 
+@query
+def export_joined_row(fraud):
+    columns = [F.col(c) for c in ("user_id", "merchant", "is_fraud")]
+    return fraud.spine.select("event_id", joined(columns, "|").alias("line"))
+
+
 @query
 def export_json_row(fraud):
     return json_lines(fraud.spine, ["user_id", "merchant", "is_fraud"], ["event_id"])
@@ -564,6 +587,3 @@ def export_csv_files(fraud):
 
 def entry(spark: SparkSession, folder: str) -> DataFrame:
     return QUERIES["flagship_over50_counts"](configure(spark), folder)
-
-
-__all__ = ["MINUTE", "QUERIES", "entry", "timedelta"]
