@@ -182,7 +182,9 @@ def test_values_at_one_moment_equal_the_windowed_ones(spark):
         assert all(same(a, b) for a, b in zip(got, [r[n] for n in names])), r
 
 
-@pytest.mark.parametrize("window", [HOUR, 7 * MINUTE, timedelta(microseconds=1), 3 * DAY])
+@pytest.mark.parametrize(
+    "window", [HOUR, 7 * MINUTE, timedelta(microseconds=1), 3 * HOUR, 3 * DAY, 90 * DAY]
+)
 def test_continuous_aggregates_match_brute_force(spark, window):
     events, spine = random_events(300, 61), spine_of(62)
     wanted = [Aggregate("v", f, window) for f in ("count", "sum", "mean")]

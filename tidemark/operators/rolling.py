@@ -1,7 +1,7 @@
 """Continuous window aggregates: events of ``(t - window, t]``, no rounding of ``t``.
 
 A sliding frame over raw events re-adds the whole window for every row, which a dense key
-cannot afford. Here time is cut into cells, a fixed number per window, and a value is put
+cannot afford. Here time is cut into cells, a whole number per window, and a value is put
 together from three parts: the end of the cell the window starts in, the whole cells
 between, and the start of the cell it ends in. Moving the events of the starting cell
 forward by one window length puts all three parts of a point into one (key, cell) group,
@@ -22,13 +22,20 @@ from tidemark.functions.time import CONTINUOUS, as_micros, floor_div, micros
 from tidemark.operators.points import AT, points_of
 from tidemark.operators.tiles import TileSet, attach_aggregates, finish
 
-MAX_CELLS = 64
 CELL = "_cell"
+CELL_LENGTH = micros(timedelta(hours=1))
+MAX_CELLS = 512
 
 
 def _cells_per_window(window: int) -> int:
-    """The most cells, up to a limit, that divide the window evenly."""
-    return next(n for n in range(MAX_CELLS, 0, -1) if window % n == 0)
+    """Equal cells of at most an hour, or more than that for very long windows.
+
+    Short cells split a dense key over many tasks; a window of up to an hour needs no
+    whole cells in between.
+    """
+    least = min(-(-window // CELL_LENGTH), MAX_CELLS)
+    fine = [n for n in range(least, MAX_CELLS + 1) if window % n == 0]
+    return fine[0] if fine else next(n for n in range(least, 0, -1) if window % n == 0)
 
 
 def _between(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import MERGED
 from tidemark.functions.time import bucket_start
+from tidemark.operators.lookup import current_values
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
 from tidemark.plans.views import View
@@ -90,7 +91,11 @@ class Store:
 
     def emit_window(self, view: View, moment: datetime) -> None:
         """Store finished values at one boundary, reading one longest window of source."""
-        done = view.run(moment, moment + view.interval)
+        if (moment - _EPOCH) % view.interval:
+            raise ValueError(f"{moment} is no boundary of {view.interval}")
+        tiles = view.tiles(moment - view.reach, moment)
+        done = current_values(tiles, list(view.aggregations), moment)
+        done = done.withColumnRenamed("effective_ts", "window_end")
         self._write(done, F.col("window_end"), f"{view.name}/finished")
 
     def finished(self, view: View) -> DataFrame:

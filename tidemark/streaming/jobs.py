@@ -22,51 +22,58 @@ from tidemark.session import workdir
 
 
 class BatchLog:
-    """Partial results by batch number, and bases that fold all batches up to a number."""
+    """Partial results by batch number, and bases that fold all batches up to a number.
+
+    A batch counts once its mark is there, which is written after its data. Batches run
+    one after another, so everything up to the highest mark is whole.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
+    def _mark(self, kind: str, number: int) -> None:
+        mark = self.spark.createDataFrame([(number,)], "number long").coalesce(1)
+        mark.write.mode("append").parquet(f"{self.path}/{kind}")
 
-    def _folded(self) -> int | None:
+    def _highest(self, kind: str) -> int | None:
         try:
-            marks = self.spark.read.parquet(f"{self.path}/folded")
+            marks = self.spark.read.parquet(f"{self.path}/{kind}")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return marks.agg(F.max("upto")).first()[0]
+        return marks.agg(F.max("number")).first()[0]
 
-    def read(self) -> DataFrame:
-        """All partials not yet folded, and the newest base."""
-        batches = self.spark.read.parquet(f"{self.path}/batches")
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
+        self._mark("written", batch)
+
+    def _batches(self, above: int | None, upto: int) -> DataFrame:
         number = F.col("batch").cast("long")
-        upto = self._folded()
+        rows = self.spark.read.parquet(f"{self.path}/batches").filter(number <= upto)
+        if above is not None:
+            rows = rows.filter(number > above)
+        return rows.drop("batch")
+
+    def read(self) -> DataFrame:
+        """The newest base and all whole batches after it."""
+        upto, folded = self._highest("written"), self._highest("folded")
         if upto is None:
-            return batches.drop("batch")
-        base = self.spark.read.parquet(f"{self.path}/bases/upto={upto}")
-        return base.unionByName(batches.filter(number > upto).drop("batch"))
+            raise ValueError(f"nothing written yet under {self.path}")
+        rows = self._batches(folded, upto)
+        if folded is None:
+            return rows
+        base = self.spark.read.parquet(f"{self.path}/bases/upto={folded}")
+        return base.unionByName(rows)
 
     def fold(self, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Merge everything so far into a new base. Readers switch once its mark is there."""
-        number = F.col("batch").cast("long")
-        batches = self.spark.read.parquet(f"{self.path}/batches")
-        upto = batches.agg(F.max(number)).first()[0]
-        previous = self._folded()
-        if upto is None or upto == previous:
+        """Merge all whole batches into a new base. Readers switch once its mark is there."""
+        upto = self._highest("written")
+        if upto is None or upto == self._highest("folded"):
             return
-        fresh = batches.filter(number <= upto)
-        if previous is not None:
-            fresh = fresh.filter(number > previous)
-        rows = fresh.drop("batch")
-        if previous is not None:
-            rows = self.spark.read.parquet(f"{self.path}/bases/upto={previous}").unionByName(rows)
-        merge(rows).write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto}")
-        mark = self.spark.createDataFrame([(upto,)], "upto long").coalesce(1)
-        mark.write.mode("append").parquet(f"{self.path}/folded")
+        merge(self.read()).write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto}")
+        self._mark("folded", upto)
 
 
 def _start(stream: DataFrame, write, path: str, interval: str | None) -> StreamingQuery:
