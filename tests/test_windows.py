@@ -17,18 +17,15 @@ from help import (
     same,
     window_rows,
 )
+from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import Aggregate
-from tidemark.functions.time import CONTINUOUS
+from tidemark.functions.time import CONTINUOUS, bucket
 from tidemark.operators.lookup import current_values
-from tidemark.operators.rolling import rolling_asof
-from tidemark.operators.tiles import (
-    TileSet,
-    aggregate_asof,
-    build_tiles,
-    merge_tiles,
-    rolled,
-)
+from tidemark.operators.rolling import linear_answers
+from tidemark.operators.points import points_of
+from tidemark.operators.tiles import TileSet, build_tiles, finish, merge_tiles, rolled
+from tidemark.operators.windows import aggregate_asof
 
 SPINE = "id int, k string, t timestamp"
 COLUMN = {"v": 2, "s": 3}
@@ -190,7 +187,7 @@ def test_continuous_aggregates_match_brute_force(spark, window):
     wanted = [Aggregate("v", f, window) for f in ("count", "sum", "mean")]
     wanted.append(Aggregate("v", "sum", 2 * HOUR))
     tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, CONTINUOUS)
-    done = rolling_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
     want = {}
     for i, key, time in spine:
         want[i] = [
@@ -203,13 +200,27 @@ def test_continuous_aggregates_match_brute_force(spark, window):
     check(done, want, wanted, CONTINUOUS)
 
 
+@pytest.mark.parametrize("interval", [MINUTE, timedelta(seconds=1)])
+def test_long_windows_take_the_linear_way_to_the_same_values(spark, interval):
+    events, spine = random_events(300, 71), spine_of(72)
+    wanted = [Aggregate("v", f, 2 * HOUR) for f in ("count", "sum", "mean")]
+    wanted += [Aggregate("v", "sum", 20 * HOUR), Aggregate("s", "distinct", 2 * HOUR)]
+    tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, interval)
+    frame = spark.createDataFrame(spine, SPINE)
+    done = aggregate_asof(frame, "t", tiles, wanted)
+    check(done, expected(spine, events, wanted, interval), wanted, interval)
+    points = points_of(frame, ["k"], bucket(F.col("t"), interval))
+    merged = wanted[:4]
+    assert plain(linear_answers(points, tiles, merged)) == plain(finish(points, tiles, merged))
+
+
 def test_continuous_window_edges(spark):
     events = [("a", at(0), 1.0, "x")]
     wanted = [Aggregate("v", "count", HOUR)]
     tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, CONTINUOUS)
     tick = timedelta(microseconds=1)
     spine = [(0, "a", T0 - tick), (1, "a", T0), (2, "a", T0 + HOUR - tick), (3, "a", T0 + HOUR)]
-    done = rolling_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
     assert {r.id: r.v_count_1h_continuous for r in done.collect()} == {0: 0, 1: 1, 2: 1, 3: 0}
 
 

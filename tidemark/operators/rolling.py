@@ -1,48 +1,59 @@
-"""Continuous window aggregates: events of ``(t - window, t]``, no rounding of ``t``.
-
-A sliding frame over raw events re-adds the whole window for every row, which a dense key
-cannot afford. Here time is cut into cells, a whole number per window, and a value is put
-together from three parts: the end of the cell the window starts in, the whole cells
-between, and the start of the cell it ends in. Moving the events of the starting cell
-forward by one window length puts all three parts of a point into one (key, cell) group,
-so two running sums finish it: linear work, one shuffle, and a group that is a small
-fraction of a window long however many events a key has.
+"""Window aggregates in linear time, for continuous windows and very long ones.
+
+A sliding frame re-adds the whole window for every row, which a dense key cannot afford.
+Here time is cut into cells, a whole number per window, and a value is put together from
+three parts: the end of the cell the window starts in, the whole cells between, and the
+start of the cell it ends in. Moving the events of the starting cell forward by one window
+length puts all three parts of a point into one (key, cell) group, so two running sums
+finish it: linear work, one shuffle, and a group that is a small fraction of a window long
+however many events a key has.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.aggregates import Aggregate, check
-from tidemark.functions.time import CONTINUOUS, as_micros, floor_div, micros
-from tidemark.operators.points import AT, points_of
-from tidemark.operators.tiles import TileSet, attach_aggregates, finish
+from tidemark.functions.aggregates import Aggregate
+from tidemark.functions.time import CONTINUOUS, floor_div, micros
+from tidemark.operators.points import AT
+from tidemark.operators.tiles import TileSet, finish
 
 CELL = "_cell"
-CELL_LENGTH = micros(timedelta(hours=1))
 MAX_CELLS = 512
 
 
-def _cells_per_window(window: int) -> int:
-    """Equal cells of at most an hour, or more than that for very long windows.
+def _cells_per_window(window: int, interval: timedelta) -> int:
+    """Number of equal cells, for a window given in intervals.
 
-    Short cells split a dense key over many tasks; a window of up to an hour needs no
-    whole cells in between.
+    Continuous windows get cells of about an hour, so that a dense key is split over many
+    tasks and short windows need no whole cells in between. Windows over tiles balance
+    the tiles in a cell against the cells in a window.
     """
-    least = min(-(-window // CELL_LENGTH), MAX_CELLS)
+    if interval == CONTINUOUS:
+        least = -(-window // micros(timedelta(hours=1)))
+    else:
+        least = math.isqrt(window)
+    least = min(least, MAX_CELLS)
     fine = [n for n in range(least, MAX_CELLS + 1) if window % n == 0]
     return fine[0] if fine else next(n for n in range(least, 0, -1) if window % n == 0)
 
 
 def _between(
-    ends: DataFrame, events: DataFrame, keys: list[str], cell: int, cells: int, partials: list[str]
+    ends: DataFrame,
+    events: DataFrame,
+    keys: list[str],
+    interval: timedelta,
+    cell: int,
+    cells: int,
+    partials: list[str],
 ) -> DataFrame:
     """Sums over the whole cells before each end cell, as rows in front of that cell."""
-    step = timedelta(microseconds=cell)
+    step = interval * cell
     coarse = (
         events.withColumn(AT, floor_div(F.col(AT), cell))
         .groupBy(*keys, AT)
@@ -59,19 +70,19 @@ def _between(
     )
 
 
-def _one_window(
-    points: DataFrame, events: DataFrame, keys: list[str], wanted: list[Aggregate]
-) -> DataFrame:
-    window = micros(wanted[0].window)
-    cells = _cells_per_window(window)
+def _one_window(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFrame:
+    keys, interval = list(tiles.keys), tiles.interval
+    window = wanted[0].buckets(interval)
+    cells = _cells_per_window(window, interval)
     cell = window // cells
     partials = sorted(
         {f"n_{a.column}" for a in wanted}
         | {f"s_{a.column}" for a in wanted if a.function != "count"}
     )
-    events = events.select(*keys, AT, *partials)
-    # A point sees events up to and including its own microsecond.
-    end = F.col(AT) + 1
+    events = tiles.merged.select(*keys, AT, *partials)
+    # A continuous point sees events up to and including its own microsecond.
+    after = 1 if interval == CONTINUOUS else 0
+    end = F.col(AT) + after
     marks = points.select(
         *keys, floor_div(end, cell).alias(CELL), end.alias(AT), F.lit(True).alias("_point")
     )
@@ -90,14 +101,14 @@ def _one_window(
     parts = [late, early, marks]
     if cells > 1:
         ends = marks.select(*keys, F.col(CELL).alias(AT)).distinct()
-        parts.append(_between(ends, events, keys, cell, cells, partials))
+        parts.append(_between(ends, events, keys, interval, cell, cells, partials))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     by = Window.partitionBy(*keys, CELL)
     forward = by.orderBy(AT).rangeBetween(Window.unboundedPreceding, -1)
     backward = by.orderBy(F.desc(AT)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     found = both.select(
         *keys,
-        (F.col(AT) - 1).alias(AT),
+        (F.col(AT) - after).alias(AT),
         "_point",
         *[F.sum(f"pre_{p}").over(forward).alias(f"pre_{p}") for p in partials],
         *[F.sum(f"suf_{p}").over(backward).alias(f"suf_{p}") for p in partials],
@@ -115,32 +126,13 @@ def _one_window(
         n = total(f"n_{a.column}")
         return F.when(n > 0, total(f"s_{a.column}") / n)
 
-    return found.select(*keys, AT, *[value(a).alias(a.feature(CONTINUOUS)) for a in wanted])
-
+    return found.select(*keys, AT, *[value(a).alias(a.feature(interval)) for a in wanted])
 
-def rolling_asof(
-    spine: DataFrame,
-    ts: str,
-    tiles: TileSet,
-    aggregates: list[Aggregate],
-    prefix: str = "",
-    effective: bool = False,
-    base: DataFrame | None = None,
-) -> DataFrame:
-    """Spine columns first and unchanged, then each aggregate up to the row's exact time.
 
-    ``tiles`` are built with the continuous interval: events of one key at one
-    microsecond are already merged. ``base`` is as in ``aggregates_asof``.
-    """
-    check(aggregates, CONTINUOUS)
-    keys = list(tiles.keys)
-    at = as_micros(F.col(ts))
-    points = points_of(base or spine, keys, at)
-    answers = [
-        _one_window(points, tiles.merged, keys, [a for a in aggregates if a.window == w])
+def linear_answers(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
+    """Counts, sums and means at distinct ``points``, one pass per window length."""
+    done = [
+        _one_window(points, tiles, [a for a in aggregates if a.window == w])
         for w in sorted({a.window for a in aggregates})
     ]
-    joined = reduce(lambda a, b: a.join(b, [*keys, AT], "inner"), answers)
-    names = [prefix + a.feature(CONTINUOUS) for a in aggregates]
-    times = {f"{prefix}effective_ts": F.timestamp_micros(at)} if effective else {}
-    return attach_aggregates(spine, keys, at, joined, aggregates, CONTINUOUS, names, times)
+    return reduce(lambda a, b: a.join(b, [*tiles.keys, AT], "inner"), done)

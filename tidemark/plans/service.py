@@ -8,14 +8,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import CONTINUOUS, as_micros
+from tidemark.functions.time import as_micros
 from tidemark.operators.asof import asof_answers
 from tidemark.operators.lookup import Snapshot, lookup
 from tidemark.operators.ondemand import OnDemand
 from tidemark.operators.points import attach
-from tidemark.operators.rolling import rolling_asof
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
-from tidemark.operators.tiles import aggregates_asof
+from tidemark.operators.windows import aggregates_asof
 from tidemark.plans.views import View
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import instant, only_between
@@ -120,11 +119,7 @@ class Service:
         tiled: dict[tuple, list] = {}
         for view in [v for v in views if v.aggregations]:
             part = view.part(store, period, f"{view.name}{SEP}")
-            if view.interval == CONTINUOUS:
-                prefix, tiles, wanted = part
-                df = rolling_asof(df, ts, tiles, wanted, prefix, effective, base)
-            else:
-                tiled.setdefault((view.keys, view.interval), []).append(part)
+            tiled.setdefault((view.keys, view.interval), []).append(part)
         for parts in tiled.values():
             df = aggregates_asof(df, ts, parts, effective, base)
         return self._finish(df, kept, effective)

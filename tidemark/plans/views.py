@@ -20,9 +20,9 @@ from tidemark.functions.time import (
 )
 from tidemark.operators.asof import FeatureTable, asof_join, latest
 from tidemark.operators.lookup import Snapshot, current_values
-from tidemark.operators.rolling import rolling_asof
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
-from tidemark.operators.tiles import TileSet, aggregates_asof, build_tiles, rolled
+from tidemark.operators.tiles import TileSet, build_tiles, rolled
+from tidemark.operators.windows import aggregates_asof
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import Source, between, only_between
 
@@ -187,10 +187,7 @@ class View:
         if not self.aggregations:
             table = self.table(self.stored_rows(store, period))
             return asof_join(spine, list(self.keys), ts, [table], rule, effective)
-        part = self.part(store, period, "")
-        if self.interval == CONTINUOUS:
-            return rolling_asof(spine, ts, *part[1:], effective=effective)
-        return aggregates_asof(spine, ts, [part], effective)
+        return aggregates_asof(spine, ts, [self.part(store, period, "")], effective)
 
     def stored_rows(self, store, period=None) -> DataFrame:
         """Rows for a period, from a store that holds the view or else computed."""

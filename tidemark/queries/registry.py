@@ -16,7 +16,8 @@ from tidemark.operators.asof import FeatureTable, asof_join
 from tidemark.operators.export import csv_lines, json_lines, read_csv, write_csv
 from tidemark.operators.lookup import current_values, vector
 from tidemark.operators.points import AT
-from tidemark.operators.tiles import aggregate_asof, build_tiles
+from tidemark.operators.tiles import build_tiles
+from tidemark.operators.windows import aggregate_asof
 from tidemark.plans.service import Service
 from tidemark.plans.store import Store
 from tidemark.plans.views import coverage, stream_view

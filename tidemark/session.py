@@ -9,9 +9,21 @@ from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the session to UTC: event times are instants, stored tables are zone-less."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Settings the results or the plans rely on.
+
+    Event times are instants while stored tables are zone-less, so the session is in UTC.
+    Lookups join a spine several times; when those joins share their keys, Spark would
+    rather keep the partitioning than split a skewed one, unless told to.
+    """
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for name, value in wanted.items():
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -21,8 +33,6 @@ def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores) if cores != "*" else "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
