@@ -398,3 +398,28 @@ def test_views_of_one_service_share_a_window(spark, source):
     for view in views:
         alone = view.historical(spine, "t").select("id", *view.features)
         assert plain(done.select("id", *[f"{view.name}__{f}" for f in view.features])) == plain(alone)
+
+
+def test_a_skewed_point_is_split_in_every_join(spark, source):
+    """One key scored at one moment: Spark must cut the rows of that point in each join."""
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {name: spark.conf.get(name, None) for name in tight}
+    for name, value in tight.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        spine = spark.range(0, 60000, 1, 8).select("id", key.alias("k"), F.uuid().alias("note"))
+        service = Service.of("s", [row_view(source)[["high"]], sum_view(source)])
+        done = service.at(spine, at(300)).groupBy().agg(F.max("note"), *[F.max(n) for n in service.names])
+        done.collect()
+        plan = done._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

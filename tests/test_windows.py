@@ -185,7 +185,10 @@ def test_values_at_one_moment_equal_the_windowed_ones(spark):
 def test_continuous_aggregates_match_brute_force(spark, window):
     events, spine = random_events(300, 61), spine_of(62)
     wanted = [Aggregate("v", f, window) for f in ("count", "sum", "mean")]
-    wanted.append(Aggregate("v", "sum", 2 * HOUR))
+    wanted += [Aggregate("v", "sum", 2 * HOUR), Aggregate("s", "distinct", window)]
+    wanted += [Aggregate("s", "last", window, 3), Aggregate("s", "last", 2 * HOUR, 3)]
+    wanted += [Aggregate("v", "last", window, 1)]
+    wanted = list(dict.fromkeys(wanted))
     tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, CONTINUOUS)
     done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
     want = {}
@@ -194,6 +197,8 @@ def test_continuous_aggregates_match_brute_force(spark, window):
             aggregate(
                 [] if time is None else window_rows(events, key, time - a.window, time, "right"),
                 a.function,
+                a.size,
+                COLUMN[a.column],
             )
             for a in wanted
         ]

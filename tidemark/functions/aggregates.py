@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from tidemark.functions.time import CONTINUOUS, label, micros
+from tidemark.functions.time import label, micros
 
 MERGED = ("count", "sum", "mean")
 FUNCTIONS = (*MERGED, "distinct", "last")
@@ -52,5 +52,3 @@ def check(aggregates: list[Aggregate], interval: timedelta) -> None:
         raise ValueError(f"duplicate aggregates: {sorted(names)}")
     for a in aggregates:
         a.buckets(interval)
-        if interval == CONTINUOUS and a.function not in MERGED:
-            raise ValueError(f"continuous mode has {MERGED}, not {a.function!r}")

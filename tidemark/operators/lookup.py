@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.aggregates import Aggregate, check
 from tidemark.functions.time import CONTINUOUS, bucket_start, micros
 from tidemark.operators.points import AT
-from tidemark.operators.tiles import TileSet, _newest, fill_empty
+from tidemark.operators.tiles import TileSet, fill_empty, keep_newest
 from tidemark.sources.tables import instant
 
 _EPOCH = datetime(1970, 1, 1)
@@ -51,7 +51,7 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
             pairs = values.select(*keys, "value").distinct()
             parts.append(pairs.groupBy(*keys).agg(F.count("value").alias(name)))
         else:
-            newest = _newest(recent.recent[(a.column, a.size)].filter(inside), keys, a.size)
+            newest = keep_newest(recent.recent[(a.column, a.size)].filter(inside), keys, a.size)
             ordered = F.sort_array(F.collect_list(F.struct("ts", "value")), asc=False)
             listed = newest.groupBy(*keys).agg(ordered.alias("_l"))
             values = F.transform("_l", lambda item: item["value"]).alias(name)

@@ -12,19 +12,21 @@ however many events a key has.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.aggregates import Aggregate
+from tidemark.functions.aggregates import MERGED, Aggregate
 from tidemark.functions.time import CONTINUOUS, floor_div, micros
 from tidemark.operators.points import AT
-from tidemark.operators.tiles import TileSet, finish
+from tidemark.operators.tiles import TileSet, finish, keep_newest
 
 CELL = "_cell"
 MAX_CELLS = 512
+HOUR = micros(timedelta(hours=1))
 
 
 def _cells_per_window(window: int, interval: timedelta) -> int:
@@ -35,7 +37,7 @@ def _cells_per_window(window: int, interval: timedelta) -> int:
     the tiles in a cell against the cells in a window.
     """
     if interval == CONTINUOUS:
-        least = -(-window // micros(timedelta(hours=1)))
+        least = -(-window // HOUR)
     else:
         least = math.isqrt(window)
     least = min(least, MAX_CELLS)
@@ -129,10 +131,130 @@ def _one_window(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> D
     return found.select(*keys, AT, *[value(a).alias(a.feature(interval)) for a in wanted])
 
 
+def _before_cells(
+    rows: DataFrame,
+    ends: DataFrame,
+    keys: list[str],
+    value: Callable[[WindowSpec], Column],
+    name: str,
+) -> DataFrame:
+    """What each end cell inherits from all cells before it, as a row in front of the cell.
+
+    ``rows`` has one row per key and cell; ``value`` turns a window into the inherited value.
+    """
+    marks = ends.withColumn("_end", F.lit(True))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy(*keys).orderBy(CELL)
+    earlier = order.rangeBetween(Window.unboundedPreceding, -1)
+    found = both.select(*keys, CELL, "_end", value(earlier).alias(name)).filter("_end")
+    return found.select(*keys, CELL, (F.col(CELL) * HOUR - 1).alias(AT), name)
+
+
+def _hourly(points: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Points as marks in hour cells, at the first microsecond they do not see."""
+    end = F.col(AT) + 1
+    marks = points.select(
+        *keys, floor_div(end, HOUR).alias(CELL), end.alias(AT), F.lit(True).alias("_point")
+    )
+    return marks, marks.select(*keys, CELL).distinct()
+
+
+def _distinct(points: DataFrame, tiles: TileSet, a: Aggregate) -> DataFrame:
+    """Continuous distinct counts, as running sums of values entering and leaving.
+
+    The next sighting of a value is found within hour cells, each closed by the first
+    sighting of the next one, so that no task gets all sightings of a frequent value.
+    """
+    keys, window = list(tiles.keys), micros(a.window)
+    seen = tiles.distinct[a.column].withColumn(CELL, floor_div(F.col(AT), HOUR))
+    cells = seen.groupBy(*keys, "value", CELL).agg(F.min(AT).alias("first"))
+    by_value = Window.partitionBy(*keys, "value").orderBy(CELL)
+    closing = cells.select(
+        *keys, "value", CELL, F.lead("first").over(by_value).alias(AT), F.lit(True).alias("_closing")
+    ).filter(F.col(AT).isNotNull())
+    in_cell = Window.partitionBy(*keys, "value", CELL).orderBy(AT)
+    spans = (
+        seen.unionByName(closing, allowMissingColumns=True)
+        .withColumn("_next", F.lead(AT).over(in_cell))
+        .filter(F.col("_closing").isNull())
+    )
+    until = F.least(F.col(AT) + window, F.col("_next")) + 1
+    enter = F.struct((F.col(AT) + 1).alias(AT), F.lit(1).cast("long").alias("step"))
+    leave = F.struct(until.alias(AT), F.lit(-1).cast("long").alias("step"))
+    steps = (
+        spans.select(*keys, F.explode(F.array(enter, leave)).alias("_s"))
+        .select(*keys, "_s.*")
+        .groupBy(*keys, AT)
+        .agg(F.sum("step").alias("step"))
+        .withColumn(CELL, floor_div(F.col(AT), HOUR))
+    )
+    marks, ends = _hourly(points, keys)
+    per_cell = steps.groupBy(*keys, CELL).agg(F.sum("step").alias("step"))
+    inherited = _before_cells(per_cell, ends, keys, lambda w: F.sum("step").over(w), "step")
+    both = steps.unionByName(inherited).unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, CELL).orderBy(AT)
+    so_far = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    name = a.feature(CONTINUOUS)
+    found = both.select(*keys, AT, "_point", F.sum("step").over(so_far).alias(name))
+    return found.filter("_point").select(*keys, (F.col(AT) - 1).alias(AT), name)
+
+
+def _last(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFrame:
+    """Continuous last N: the newest few of the hour so far, after those it inherits."""
+    keys, size = list(tiles.keys), wanted[0].size
+    rows = tiles.recent[(wanted[0].column, size)].withColumn(CELL, floor_div(F.col(AT), HOUR))
+    item = F.struct("ts", "value")
+
+    def lists(df: DataFrame, by: list[str], until: str, name: str) -> DataFrame:
+        """Newest few up to and including each value of ``until``."""
+        order = Window.partitionBy(*by).orderBy("ts", "value")
+        listed = df.select(
+            *keys,
+            CELL,
+            AT,
+            F.collect_list(item).over(order.rowsBetween(1 - size, 0)).alias(name),
+            F.lead(until).over(order).alias("_next"),
+        )
+        return listed.filter(F.col("_next").isNull() | (F.col("_next") != F.col(until)))
+
+    own = lists(rows, [*keys, CELL], AT, "own").drop("_next")
+    few = keep_newest(rows, [*keys, CELL], size)
+    per_cell = lists(few, keys, CELL, "_list").select(*keys, CELL, "_list")
+    marks, ends = _hourly(points, keys)
+    inherited = _before_cells(
+        per_cell, ends, keys, lambda w: F.last("_list", ignorenulls=True).over(w), "old"
+    )
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [own, inherited, marks])
+    order = Window.partitionBy(*keys, CELL).orderBy(AT)
+    earlier = order.rangeBetween(Window.unboundedPreceding, -1)
+    newest = [F.last(c, ignorenulls=True).over(earlier).alias(c) for c in ("own", "old")]
+    found = both.select(*keys, (F.col(AT) - 1).alias(AT), "_point", *newest).filter("_point")
+    joined = F.coalesce(F.concat("old", "own"), "own", "old")
+
+    def value(a: Aggregate):
+        oldest = F.col(AT) - micros(a.window)
+        inside = F.filter(F.col("_all"), lambda i: i["ts"] > oldest)
+        kept = F.slice(F.reverse(F.transform(inside, lambda i: i["value"])), 1, size)
+        return F.when(F.size(inside) > 0, kept).alias(a.feature(CONTINUOUS))
+
+    return found.withColumn("_all", joined).select(*keys, AT, *[value(a) for a in wanted])
+
+
 def linear_answers(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
-    """Counts, sums and means at distinct ``points``, one pass per window length."""
+    """Values at distinct ``points``: one pass per window length, distinct count or list.
+
+    Distinct counts and lists are linear over tiles anyway, so they come here only for the
+    continuous interval.
+    """
+    merged = [a for a in aggregates if a.function in MERGED]
+    listed = [a for a in aggregates if a.function == "last"]
     done = [
-        _one_window(points, tiles, [a for a in aggregates if a.window == w])
-        for w in sorted({a.window for a in aggregates})
+        _one_window(points, tiles, [a for a in merged if a.window == w])
+        for w in sorted({a.window for a in merged})
+    ]
+    done += [_distinct(points, tiles, a) for a in aggregates if a.function == "distinct"]
+    done += [
+        _last(points, tiles, [a for a in listed if (a.column, a.size) == pair])
+        for pair in sorted({(a.column, a.size) for a in listed})
     ]
     return reduce(lambda a, b: a.join(b, [*tiles.keys, AT], "inner"), done)

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import MERGED, Aggregate, check
@@ -76,7 +76,7 @@ def _partials(aggregates: list[Aggregate]) -> tuple[list[str], list[str]]:
     return counted, summed
 
 
-def _newest(df: DataFrame, by: list[str], size: int) -> DataFrame:
+def keep_newest(df: DataFrame, by: list[str], size: int) -> DataFrame:
     # A rank filter: Spark drops all but `size` rows per group before the shuffle too.
     order = Window.partitionBy(*by).orderBy(F.desc("ts"), F.desc("value"))
     ranked = df.withColumn("_rank", F.row_number().over(order))
@@ -108,7 +108,7 @@ def build_tiles(
     recent = {}
     for c, n in sorted({(a.column, a.size) for a in aggregates if a.function == "last"}):
         stamped = rows.select(*by, as_micros(F.col(ts)).alias("ts"), F.col(c).alias("value"))
-        recent[(c, n)] = _newest(stamped.filter("value IS NOT NULL"), by, n)
+        recent[(c, n)] = keep_newest(stamped.filter("value IS NOT NULL"), by, n)
     return TileSet(tuple(keys), interval, merged, distinct, recent)
 
 
@@ -123,7 +123,7 @@ def merge_tiles(tiles: TileSet) -> TileSet:
         if name.startswith("distinct_"):
             return df.select(*by, "value").distinct()
         size = int(name.split("_", 1)[0].removeprefix("recent"))
-        return _newest(df.select(*by, "ts", "value"), by, size)
+        return keep_newest(df.select(*by, "ts", "value"), by, size)
 
     return tiles.replace({name: merge(name, df) for name, df in tiles.parts().items()})
 
@@ -227,7 +227,7 @@ def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> Da
     return found.select(*keys, AT, *done)
 
 
-def _raw(a: Aggregate, order, interval: timedelta) -> Column:
+def _raw(a: Aggregate, order: WindowSpec, interval: timedelta) -> Column:
     trailing = order.rangeBetween(-a.buckets(interval), -1)
     if a.function == "count":
         return F.sum(f"n_{a.column}").over(trailing)

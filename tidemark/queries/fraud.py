@@ -261,6 +261,25 @@ class Fraud:
 
         return live
 
+    @cached_property
+    def live_stores(self) -> View:
+        """Stores of the last day and the newest five of them, up to the moment."""
+
+        @stream_view(
+            source=self.txn_source,
+            keys=["user_id"],
+            ts="timestamp",
+            aggregations=[
+                Aggregate("merchant", "distinct", DAY),
+                Aggregate("merchant", "distinct", 7 * DAY),
+                Aggregate("merchant", "last", 7 * DAY, 5),
+            ],
+        )
+        def live_stores(transactions):
+            return f"SELECT user_id, timestamp, merchant FROM {transactions}"
+
+        return live_stores
+
     @cached_property
     def hourly(self) -> View:
         @stream_view(

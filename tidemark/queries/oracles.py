@@ -121,6 +121,16 @@ FROM txn s LEFT JOIN txn f ON f.user_id = s.user_id AND f."timestamp" <= s."time
   AND f."timestamp" > s."timestamp" - INTERVAL 3 DAY
 GROUP BY s.event_id"""
 
+ORACLES["continuous_stores"] = f"""WITH {TXN}
+SELECT s.event_id,
+  count(DISTINCT f.merchant) FILTER (f."timestamp" > s."timestamp" - INTERVAL 1 DAY)
+    AS merchant_distinct_1d_continuous,
+  count(DISTINCT f.merchant) AS merchant_distinct_7d_continuous,
+  array_to_string((list(f.merchant ORDER BY f."timestamp" DESC))[1:5], ',') AS merchants
+FROM txn s LEFT JOIN txn f ON f.user_id = s.user_id AND f."timestamp" <= s."timestamp"
+  AND f."timestamp" > s."timestamp" - INTERVAL 7 DAY
+GROUP BY s.event_id"""
+
 LISTING = """SELECT k.merchant, k.b AS window_end,
   round(avg(f.is_fraud) FILTER (f."timestamp" >= k.b - INTERVAL 1 DAY), 6) AS is_fraud_mean_1d_1d,
   round(avg(f.is_fraud) FILTER (f."timestamp" >= k.b - INTERVAL 30 DAY), 6) AS is_fraud_mean_30d_1d,

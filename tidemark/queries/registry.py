@@ -134,6 +134,14 @@ def continuous_count_1h(fraud):
     return keyed(view.historical(fraud.spine, "timestamp"), view.features)
 
 
+@query
+def continuous_stores(fraud):
+    view = fraud.live_stores
+    done = view.historical(fraud.spine, "timestamp")
+    one, seven, listed = view.features
+    return done.select("event_id", one, seven, F.array_join(listed, ",").alias("merchants"))
+
+
 @query
 def merchant_rate_listing(fraud):
     return fraud.merchant_fraud.run()
