@@ -9,6 +9,7 @@ batch job folds old ones together.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,28 +50,33 @@ class BatchLog:
         df.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
         self._mark("written", batch)
 
-    def _batches(self, above: int | None, upto: int) -> DataFrame:
-        number = F.col("batch").cast("long")
-        rows = self.spark.read.parquet(f"{self.path}/batches").filter(number <= upto)
-        if above is not None:
-            rows = rows.filter(number > above)
-        return rows.drop("batch")
+    def _upto(self) -> int:
+        marks = [m for m in (self._highest("written"), self._highest("folded")) if m is not None]
+        if not marks:
+            raise ValueError(f"nothing written yet under {self.path}")
+        return max(marks)
 
     def read(self) -> DataFrame:
-        """The newest base and all whole batches after it."""
-        upto, folded = self._highest("written"), self._highest("folded")
-        if upto is None:
-            raise ValueError(f"nothing written yet under {self.path}")
-        rows = self._batches(folded, upto)
-        if folded is None:
-            return rows
-        base = self.spark.read.parquet(f"{self.path}/bases/upto={folded}")
-        return base.unionByName(rows)
+        """The newest base and all whole batches after it.
+
+        Folders and marks of batches up to the newest base are not needed any more; a
+        retention job may delete them.
+        """
+        upto, folded = self._upto(), self._highest("folded")
+        parts = []
+        if folded is not None:
+            parts.append(self.spark.read.parquet(f"{self.path}/bases/upto={folded}"))
+        if folded is None or folded < upto:
+            number = F.col("batch").cast("long")
+            after = F.lit(True) if folded is None else number > folded
+            batches = self.spark.read.parquet(f"{self.path}/batches")
+            parts.append(batches.filter((number <= upto) & after).drop("batch"))
+        return reduce(DataFrame.unionByName, parts)
 
     def fold(self, merge: Callable[[DataFrame], DataFrame]) -> None:
         """Merge all whole batches into a new base. Readers switch once its mark is there."""
-        upto = self._highest("written")
-        if upto is None or upto == self._highest("folded"):
+        upto = self._upto()
+        if upto == self._highest("folded"):
             return
         merge(self.read()).write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto}")
         self._mark("folded", upto)
