@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _UNITS = (("d", 86_400_000_000), ("h", 3_600_000_000), ("m", 60_000_000), ("s", 1_000_000))
 CONTINUOUS = timedelta(microseconds=1)
+EPOCH = datetime(1970, 1, 1)
+
+
+def instant_micros(moment: datetime) -> int:
+    """Microseconds since the epoch; a moment without a zone is UTC."""
+    naive = moment.replace(tzinfo=None) - (moment.utcoffset() or timedelta(0))
+    return (naive - EPOCH) // timedelta(microseconds=1)
 
 
 def micros(duration: timedelta) -> int:

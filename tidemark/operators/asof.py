@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import as_micros, effective_micros, micros
+from tidemark.functions.time import as_micros, effective_micros, instant_micros, micros
 from tidemark.operators.points import AT, all_present, attach, points_of
 from tidemark.operators.skew import (
     DEFAULT_RULE,
@@ -24,7 +24,6 @@ from tidemark.operators.skew import (
     heavy_keys,
     sliced,
 )
-from tidemark.sources.tables import instant
 
 RANK = "_rank"
 
@@ -145,7 +144,7 @@ def latest(table: FeatureTable, keys: list[str], moment: datetime | None = None)
     """Newest feature row per key, of those visible at a moment; combined before the shuffle."""
     rows = _candidates(table, keys, "_v")
     if moment is not None:
-        rows = rows.filter(F.col(AT) <= F.unix_micros(instant(moment)))
+        rows = rows.filter(F.col(AT) <= instant_micros(moment))
     return (
         rows.groupBy(*keys)
         .agg(F.max("_v").alias("_v"))

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate, check
-from tidemark.functions.time import CONTINUOUS, bucket_start, micros
+from tidemark.functions.time import CONTINUOUS, bucket_start, instant_micros, micros
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet, fill_empty, keep_newest
 from tidemark.sources.tables import instant
 
-_EPOCH = datetime(1970, 1, 1)
-
 
 def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime) -> DataFrame:
     """Aggregates of every key as of one moment.
@@ -26,7 +24,7 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     """
     check(aggregates, tiles.interval)
     keys, interval = list(tiles.keys), tiles.interval
-    now = (moment - _EPOCH) // interval
+    now = instant_micros(moment) // micros(interval)
     seen = bucket_start(F.lit(now).cast("long"), interval).alias("effective_ts")
     if interval == CONTINUOUS:
         # Continuous windows include the moment itself.
@@ -98,8 +96,8 @@ def lookup(
         table = snap.frame
         alive = F.lit(True)
         if snap.ttl is not None:
-            limit = F.unix_micros(instant(moment)) - F.lit(micros(snap.ttl))
-            alive = F.unix_micros(F.col(snap.ts)) > limit
+            limit = instant_micros(moment) - micros(snap.ttl)
+            alive = F.unix_micros(F.col(snap.ts)) > F.lit(limit)
         columns = [F.when(alive, F.col(f)).alias(snap.prefix + f) for f in snap.features]
         seen = f"{snap.prefix}effective_ts"
         if effective and snap.seen is None:

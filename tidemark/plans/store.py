@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import MERGED
-from tidemark.functions.time import bucket_start
+from tidemark.functions.time import EPOCH, bucket_start
 from tidemark.operators.lookup import current_values
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
@@ -17,18 +17,17 @@ from tidemark.plans.views import View
 from tidemark.sources.tables import between
 
 DAY = timedelta(days=1)
-_EPOCH = datetime(1970, 1, 1)
 
 
 def slices(
     start: datetime, end: datetime, jobs: int, step: timedelta = DAY
 ) -> list[tuple[datetime, datetime]]:
     """``[start, end)`` cut into at most ``jobs`` ranges of whole steps, widened to steps."""
-    first = (start - _EPOCH) // step
-    last = -((_EPOCH - end) // step)
+    first = (start - EPOCH) // step
+    last = -((EPOCH - end) // step)
     jobs = max(1, min(jobs, last - first))
     cuts = [first + (last - first) * i // jobs for i in range(jobs + 1)]
-    return [(_EPOCH + a * step, _EPOCH + b * step) for a, b in zip(cuts, cuts[1:])]
+    return [(EPOCH + a * step, EPOCH + b * step) for a, b in zip(cuts, cuts[1:])]
 
 
 class Store:
@@ -67,7 +66,7 @@ class Store:
         """Compute and store one range. Its bounds lie on days and on tile intervals."""
         steps = [DAY, view.interval] if view.aggregations else [DAY]
         for step in steps:
-            if (start - _EPOCH) % step or (end - _EPOCH) % step:
+            if (start - EPOCH) % step or (end - EPOCH) % step:
                 raise ValueError(f"range {start} .. {end} does not lie on steps of {step}")
         if view.aggregations:
             tiles = view.tiles(start, end)
@@ -91,7 +90,7 @@ class Store:
 
     def emit_window(self, view: View, moment: datetime) -> None:
         """Store finished values at one boundary, reading one longest window of source."""
-        if (moment - _EPOCH) % view.interval:
+        if (moment - EPOCH) % view.interval:
             raise ValueError(f"{moment} is no boundary of {view.interval}")
         tiles = view.tiles(moment - view.reach, moment)
         done = current_values(tiles, list(view.aggregations), moment)

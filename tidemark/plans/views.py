@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 from tidemark.functions.aggregates import Aggregate, check
 from tidemark.functions.time import (
     CONTINUOUS,
+    EPOCH,
     bucket,
     bucket_start,
     effective_micros,
+    instant_micros,
     micros,
 )
 from tidemark.operators.asof import FeatureTable, asof_join, latest
@@ -26,8 +28,6 @@ from tidemark.operators.windows import aggregates_asof
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import Source, between, only_between
 
-_EPOCH = datetime(1970, 1, 1)
-
 
 @dataclass(frozen=True)
 class View:
@@ -154,7 +154,8 @@ class View:
         wanted = list(self.aggregations)
         _, tiles, _ = self.part(store, (moment, moment + CONTINUOUS), prefix)
         zero = [a.feature(self.interval) for a in wanted if a.function in ("count", "distinct")]
-        seen = _EPOCH + ((moment - _EPOCH) // self.interval) * self.interval
+        step = micros(self.interval)
+        seen = EPOCH + timedelta(microseconds=instant_micros(moment) // step * step)
         rows = current_values(tiles, wanted, moment)
         return Snapshot(rows, self.keys, names, prefix, zero=tuple(zero), seen=seen)
 
@@ -259,23 +260,21 @@ class View:
 
 def boundary(moment: datetime, interval: timedelta) -> int:
     """Number of the first interval boundary at or after a moment."""
-    return -((_EPOCH - moment.replace(tzinfo=None)) // interval)
+    return -(-instant_micros(moment) // micros(interval))
 
 
 def window_complete(end, window: timedelta, read_from: datetime | None):
     if read_from is None:
         return F.lit(True)
-    first = (read_from.replace(tzinfo=None) - _EPOCH) // timedelta(microseconds=1)
-    return F.unix_micros(end) - F.lit(micros(window)) >= F.lit(first)
+    first = instant_micros(read_from) + micros(window)
+    return F.unix_micros(end) >= F.lit(first)
 
 
 def coverage(df: DataFrame, ts: str, interval: timedelta, loaded_until: datetime) -> DataFrame:
     """Whether stored tiles reach up to each row: its boundary against the load mark."""
     end = bucket_start(bucket(F.col(ts), interval), interval)
-    mark = (loaded_until.replace(tzinfo=None) - _EPOCH) // timedelta(microseconds=1)
-    return df.withColumns(
-        {"boundary": end, "covered": F.unix_micros(end) <= F.lit(mark)}
-    )
+    covered = F.unix_micros(end) <= F.lit(instant_micros(loaded_until))
+    return df.withColumns({"boundary": end, "covered": covered})
 
 
 def batch_view(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.time import date_parts
+from tidemark.functions.time import date_parts, instant_micros
 
 
 def utc(df: DataFrame) -> DataFrame:
@@ -46,8 +46,7 @@ def stream_from(
 
 def instant(moment: datetime):
     """A literal for a Python datetime; one without a zone is UTC."""
-    naive = moment.replace(tzinfo=None) - (moment.utcoffset() or moment - moment)
-    return F.lit(naive.isoformat(sep=" ")).cast("timestamp")
+    return F.timestamp_micros(F.lit(instant_micros(moment)))
 
 
 def between(df: DataFrame, ts: str, start: datetime | None, end: datetime | None) -> DataFrame:
