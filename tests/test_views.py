@@ -70,6 +70,30 @@ def store_view(source):
     return stores
 
 
+def hours(source):
+    @stream_view(
+        source=source, keys=["k"], ts="t", interval=HOUR, aggregations=[Aggregate("v", "count", 3 * HOUR)]
+    )
+    def hours(events):
+        return f"SELECT k, t, v FROM {events}"
+
+    return hours
+
+
+def minutes_21(source):
+    @stream_view(
+        source=source,
+        keys=["k"],
+        ts="t",
+        interval=21 * MINUTE,
+        aggregations=[Aggregate("v", "sum", 42 * MINUTE)],
+    )
+    def minutes_21(events):
+        return f"SELECT k, t, v FROM {events}"
+
+    return minutes_21
+
+
 def check_mode(source, mode):
     amounts = sum_view(source)[["v_mean_1h_5m"]]
     request = Request.of("purchase", "amt double")
@@ -395,6 +419,16 @@ def test_views_of_one_service_share_a_window(spark, source):
     done = Service.of("s", views).historical(spine, "t", effective=True)
     joins = done._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
     assert joins == 1
+    # A third view with another interval joins the points, not the spine.
+    more = Service.of("m", [*views, hours(source), row_view(source)]).historical(spine, "t")
+    assert plain(more.select(*done.columns[:-2])) == plain(done.select(*done.columns[:-2]))
+    for view in (hours(source), row_view(source)):
+        alone = view.historical(spine, "t").select("id", *view.features)
+        assert plain(more.select("id", *[f"{view.name}__{f}" for f in view.features])) == plain(alone)
+    odd = Service.of("o", [hours(source), minutes_21(source)]).historical(spine, "t")
+    for view in (hours(source), minutes_21(source)):
+        alone = view.historical(spine, "t").select("id", *view.features)
+        assert plain(odd.select("id", *[f"{view.name}__{f}" for f in view.features])) == plain(alone)
     for view in views:
         alone = view.historical(spine, "t").select("id", *view.features)
         assert plain(done.select("id", *[f"{view.name}__{f}" for f in view.features])) == plain(alone)
@@ -414,8 +448,10 @@ def test_a_skewed_point_is_split_in_every_join(spark, source):
         spark.conf.set(name, value)
     try:
         key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
-        spine = spark.range(0, 60000, 1, 8).select("id", key.alias("k"), F.uuid().alias("note"))
-        service = Service.of("s", [row_view(source)[["high"]], sum_view(source)])
+        spine = spark.range(0, 60000, 1, 8).select(
+            "id", key.alias("k"), F.lit("a").alias("m"), F.uuid().alias("note")
+        )
+        service = Service.of("s", [row_view(source)[["high"]], sum_view(source), store_view(source)])
         done = service.at(spine, at(300)).groupBy().agg(F.max("note"), *[F.max(n) for n in service.names])
         done.collect()
         plan = done._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

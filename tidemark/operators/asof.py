@@ -81,28 +81,26 @@ def _heavy_rows(
 
 
 def asof_answers(
-    spine: DataFrame,
+    points: DataFrame,
     keys: list[str],
-    ts: str,
     tables: list[FeatureTable],
     rule: SkewRule = DEFAULT_RULE,
     effective: bool = False,
 ) -> DataFrame:
-    """Features at each distinct (key, time) of the spine, time as ``_at`` microseconds.
+    """Features at distinct ``points``, given by keys and ``_at`` in microseconds.
 
     One window by key and time slice. Ordinary keys are one slice; heavy keys are many,
     so that no task gets all rows of one.
     """
     values = [f"_v{i}" for i in range(len(tables))]
     candidates = [_candidates(t, keys, v) for t, v in zip(tables, values)]
-    points = points_of(spine, keys, as_micros(F.col(ts)))
     heavy = heavy_keys([points, *candidates], keys, rule)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), candidates)
     rows = sliced(stacked, heavy, keys)
     ordinary = rows.filter(F.col(PLAN).isNull()).drop(PLAN)
     own, inherited = _heavy_rows(rows, keys, values, rule)
-    points = sliced(points, heavy, keys).drop(PLAN)
-    parts = [(inherited, 0), (ordinary, 1), (own, 1), (points, 2)]
+    marks = sliced(points, heavy, keys).drop(PLAN)
+    parts = [(inherited, 0), (ordinary, 1), (own, 1), (marks, 2)]
     ranked = [df.withColumn(RANK, F.lit(rank)) for df, rank in parts]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
     # At one time: what a slice inherits, then its rows from old to new, then points.
@@ -136,8 +134,9 @@ def asof_join(
     A feature older than its table's ``ttl`` reads as null. ``effective`` also returns
     when the value used became visible.
     """
-    answers = asof_answers(spine, keys, ts, tables, rule, effective)
-    return attach(spine, keys, as_micros(F.col(ts)), answers)
+    at = as_micros(F.col(ts))
+    answers = asof_answers(points_of(spine, keys, at), keys, tables, rule, effective)
+    return attach(spine, keys, at, answers)
 
 
 def latest(table: FeatureTable, keys: list[str], moment: datetime | None = None) -> DataFrame:

@@ -59,31 +59,50 @@ def answers(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> D
     return reduce(lambda a, b: a.join(b, [*tiles.keys, AT], "inner"), parts)
 
 
-def aggregates_asof(
-    spine: DataFrame,
-    ts: str,
-    parts: list[tuple[str, TileSet, list[Aggregate]]],
-    effective: bool = False,
-    base: DataFrame | None = None,
-) -> DataFrame:
-    """Spine columns first and unchanged, then the aggregates of all parts.
+Part = tuple[str, TileSet, list[Aggregate]]
+
+
+def part_answers(points: DataFrame, parts: list[Part]) -> DataFrame:
+    """Values of several parts at distinct points, under their output names.
 
     A part is an output prefix, its tiles and its aggregates. Parts share keys and interval,
-    and with that one window and one join. ``base`` is a frame with the spine's keys and
-    times to take the points from, when the spine already went through other joins.
+    and with that one window.
     """
     sets = [(tiles, aggregates) for _, tiles, aggregates in parts]
     tiles, wanted = combine(sets) if len(sets) > 1 else sets[0]
-    keys, interval = list(tiles.keys), tiles.interval
-    check(wanted, interval)
-    at = bucket(F.col(ts), interval)
-    found = answers(points_of(base or spine, keys, at), tiles, wanted)
-    names = [prefix + a.feature(interval) for prefix, _, listed in parts for a in listed]
-    renamed = [F.col(a.feature(interval)).alias(n) for a, n in zip(wanted, names)]
-    done = attach(spine, keys, at, found.select(*keys, AT, *renamed))
-    seen = bucket_start(at, interval)
-    times = {f"{prefix}effective_ts": seen for prefix, _, _ in parts} if effective else {}
-    return fill_empty(done, names, wanted).withColumns(times)
+    check(wanted, tiles.interval)
+    found = answers(points, tiles, wanted)
+    renamed = [
+        F.col(a.feature(tiles.interval)).alias(n) for a, n in zip(wanted, part_names(parts))
+    ]
+    return found.select(*tiles.keys, AT, *renamed)
+
+
+def part_names(parts: list[Part]) -> list[str]:
+    return [p + a.feature(tiles.interval) for p, tiles, listed in parts for a in listed]
+
+
+def complete(df: DataFrame, ts: str, parts: list[Part], effective: bool) -> DataFrame:
+    """0 where a part has nothing to count and, if asked for, effective times."""
+    done = fill_empty(df, part_names(parts), [a for _, _, listed in parts for a in listed])
+    if not effective:
+        return done
+    return done.withColumns(
+        {
+            f"{prefix}effective_ts": bucket_start(bucket(F.col(ts), tiles.interval), tiles.interval)
+            for prefix, tiles, _ in parts
+        }
+    )
+
+
+def aggregates_asof(
+    spine: DataFrame, ts: str, parts: list[Part], effective: bool = False
+) -> DataFrame:
+    """Spine columns first and unchanged, then the aggregates of all parts."""
+    _, tiles, _ = parts[0]
+    keys, at = list(tiles.keys), bucket(F.col(ts), tiles.interval)
+    found = part_answers(points_of(spine, keys, at), parts)
+    return complete(attach(spine, keys, at, found), ts, parts, effective)
 
 
 def aggregate_asof(

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import as_micros
-from tidemark.operators.asof import asof_answers
+from tidemark.functions.time import CONTINUOUS, bucket, floor_div, micros
+from tidemark.operators.asof import FeatureTable, asof_answers
 from tidemark.operators.lookup import Snapshot, lookup
 from tidemark.operators.ondemand import OnDemand
-from tidemark.operators.points import attach
+from tidemark.operators.points import AT, attach, points_of
 from tidemark.operators.skew import DEFAULT_RULE, SkewRule
-from tidemark.operators.windows import aggregates_asof
+from tidemark.operators.windows import Part, complete, part_answers
 from tidemark.plans.views import View
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import instant, only_between
@@ -88,8 +89,8 @@ class Service:
         """Every spine row once, with all features as of its time.
 
         Features come from ``store`` where it holds the view, else from the sources. Views
-        with the same keys share one window and one join, aggregating ones if they also
-        have the same interval. ``effective`` adds the effective time per view. A
+        with the same keys share one join of the spine. Of these, row-level views share one
+        window, and so do aggregating views with the same interval. ``effective`` adds the effective time per view. A
         ``period`` promises that all spine times lie in it and limits what is read.
 
         The spine is read once per group of views; one that is dear to compute is better
@@ -106,22 +107,22 @@ class Service:
         for request in [r for o in self._on_demand() for r in o.requests]:
             df = request.apply(df)
         # All lookups take their points from the spine itself, not from one another.
-        base, kept = df, df.columns
-        plain = [v for v in views if not v.aggregations]
-        for keys in dict.fromkeys(v.keys for v in plain):
+        base, kept, parts = df, df.columns, []
+        for keys in dict.fromkeys(v.keys for v in views):
+            mine = [v for v in views if v.keys == keys]
             tables = [
                 v.table(v.stored_rows(store, period), f"{v.name}{SEP}")
-                for v in plain
-                if v.keys == keys
+                for v in mine
+                if not v.aggregations
             ]
-            answers = asof_answers(base, list(keys), ts, tables, rule, effective)
-            df = attach(df, list(keys), as_micros(F.col(ts)), answers)
-        tiled: dict[tuple, list] = {}
-        for view in [v for v in views if v.aggregations]:
-            part = view.part(store, period, f"{view.name}{SEP}")
-            tiled.setdefault((view.keys, view.interval), []).append(part)
-        for parts in tiled.values():
-            df = aggregates_asof(df, ts, parts, effective, base)
+            tiled: dict[timedelta, list[Part]] = {}
+            for view in [v for v in mine if v.aggregations]:
+                part = view.part(store, period, f"{view.name}{SEP}")
+                tiled.setdefault(view.interval, []).append(part)
+                parts.append(part)
+            finest, found = _by_key(base, list(keys), ts, tables, tiled, rule, effective)
+            df = attach(df, list(keys), bucket(F.col(ts), finest), found)
+        df = complete(df, ts, parts, effective)
         return self._finish(df, kept, effective)
 
     def _finish(self, df: DataFrame, kept: list[str], effective: bool) -> DataFrame:
@@ -171,6 +172,38 @@ class Service:
         return self.historical(stamped, "current_timestamp", **options)
 
 
+def _by_key(
+    base: DataFrame,
+    keys: list[str],
+    ts: str,
+    tables: list[FeatureTable],
+    tiled: dict[timedelta, list[Part]],
+    rule: SkewRule,
+    effective: bool,
+) -> tuple[timedelta, DataFrame]:
+    """All features of one key set, at points of the finest time step that they need.
+
+    Values of coarser steps are joined onto these points, which are narrow. So the spine
+    itself, with all its columns, is joined only once per key set.
+    """
+    steps = [CONTINUOUS] if tables else list(tiled)
+    finest = math.gcd(*[micros(s) for s in steps]) * CONTINUOUS
+    points = points_of(base, keys, bucket(F.col(ts), finest))
+    found = asof_answers(points, keys, tables, rule, effective) if tables else None
+    for interval in sorted(tiled):
+        ratio = interval // finest
+        step = floor_div(F.col(AT), ratio)
+        at = points if ratio == 1 else points.select(*keys, step.alias(AT)).distinct()
+        answers = part_answers(at, tiled[interval])
+        if found is None and ratio == 1:
+            found = answers
+            continue
+        coarse = answers.withColumnRenamed(AT, "_step")
+        left = points if found is None else found
+        found = left.withColumn("_step", step).join(coarse, [*keys, "_step"], "left").drop("_step")
+    return finest, found
+
+
 def on_demand_historical(item: OnDemand, spine, ts: str, **options) -> DataFrame:
     """Spine rows with one on-demand view's features under their bare names."""
     done = Service.of(item.name, [item]).historical(spine, ts, **options)
