@@ -449,7 +449,7 @@ def test_a_skewed_point_is_split_in_every_join(spark, source):
     try:
         key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
         spine = spark.range(0, 60000, 1, 8).select(
-            "id", key.alias("k"), F.lit("a").alias("m"), F.uuid().alias("note")
+            "id", key.alias("k"), key.alias("m"), F.uuid().alias("note")
         )
         service = Service.of("s", [row_view(source)[["high"]], sum_view(source), store_view(source)])
         done = service.at(spine, at(300)).groupBy().agg(F.max("note"), *[F.max(n) for n in service.names])
