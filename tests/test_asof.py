@@ -48,14 +48,15 @@ def test_matches_brute_force_under_every_skew_rule(spark, rule, schedule, ttl):
     assert got == sorted(brute(spine, features, schedule, ttl))
 
 
-def test_several_tables_share_a_window(spark):
+@pytest.mark.parametrize("rule", RULES)
+def test_several_tables_share_a_window(spark, rule):
     one, two = random_events(100, seed=3), random_events(100, seed=4)
     spine = spine_rows(random_events(100, seed=5))
     tables = [
         FeatureTable(spark.createDataFrame(one, EVENT), "t", ("v",), "one_"),
         FeatureTable(spark.createDataFrame(two, EVENT), "t", ("v", "s"), "two_", None, HOUR),
     ]
-    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", tables)
+    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", tables, rule)
     assert done.columns == ["id", "k", "t", "one_v", "two_v", "two_s"]
     got = sorted((r.id, r.one_v, r.two_v, r.two_s) for r in done.collect())
     first = {i: v for i, v, _ in brute(spine, one)}

@@ -62,13 +62,16 @@ class Fraud:
 
     @cached_property
     def txn_source(self) -> Source:
-        stream = transactions(stream_table(self.spark, self.folder, "events"))
-        source = Source("transactions", self.txn, "timestamp", stream)
-        return source.filter_by_time()
+        def stream():
+            return transactions(stream_table(self.spark, self.folder, "events"))
+
+        return Source("transactions", self.txn, "timestamp", stream).filter_by_time()
 
     @cached_property
     def user_source(self) -> Source:
-        stream = users(stream_table(self.spark, self.folder, "events"))
+        def stream():
+            return users(stream_table(self.spark, self.folder, "events"))
+
         return Source("users", users(self.events), "signup_timestamp", stream)
 
     @cached_property

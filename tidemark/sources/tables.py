@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -62,13 +63,13 @@ def between(df: DataFrame, ts: str, start: datetime | None, end: datetime | None
 class Source:
     """A named source: a batch table and, if it streams, the same events as a stream.
 
-    A ``filtered`` source hands out only the rows of a job's time range.
+    The stream may be a function that opens it. A ``filtered`` source hands out only the rows of a job's time range.
     """
 
     name: str
     batch: DataFrame
     ts: str | None = None
-    stream: DataFrame | None = None
+    stream: DataFrame | Callable[[], DataFrame] | None = None
     filtered: bool = False
 
     def filter_by_time(self) -> Source:
@@ -82,11 +83,12 @@ class Source:
     def read_stream(self) -> DataFrame:
         if self.stream is None:
             raise ValueError(f"source {self.name} does not stream")
-        if [(f.name, f.dataType) for f in self.stream.schema.fields] != [
+        stream = self.stream() if callable(self.stream) else self.stream
+        if [(f.name, f.dataType) for f in stream.schema.fields] != [
             (f.name, f.dataType) for f in self.batch.schema.fields
         ]:
             raise ValueError(f"source {self.name}: stream and batch schemas differ")
-        return self.stream
+        return stream
 
 
 def only_between(df: DataFrame, ts: str, period: tuple[datetime, datetime]) -> DataFrame:
