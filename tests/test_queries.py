@@ -45,6 +45,8 @@ def test_query_equals_oracle(spark, engine, name):
     want = sorted(repr(tuple(canonical(r[i]) for i in places)) for r in result.fetchall())
     assert got == want
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_every_query_has_an_oracle():

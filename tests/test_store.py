@@ -63,7 +63,20 @@ def test_slices_are_aligned_and_cover_the_range():
     assert slices(FIRST, FIRST + DAY, 10) == [(FIRST, FIRST + DAY)]
 
 
-@pytest.mark.parametrize("make", [row_view, mixed_view])
+def live_view(source):
+    @stream_view(
+        source=source,
+        keys=["k"],
+        ts="t",
+        aggregations=[Aggregate("v", "mean", 3 * HOUR), Aggregate("s", "distinct", DAY)],
+    )
+    def live(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    return live
+
+
+@pytest.mark.parametrize("make", [row_view, mixed_view, live_view])
 def test_stored_equals_computed_for_any_number_of_jobs(spark, source, spine, make, tmp_path):
     view = make(source)
     service = Service.of("s", [view])

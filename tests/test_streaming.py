@@ -18,7 +18,9 @@ from tidemark.streaming.jobs import (
     fold_latest,
     fold_tiles,
     latest_stream,
+    row_stream,
     stream_latest,
+    stream_rows,
     stream_tiles,
     tile_stream,
 )
@@ -123,6 +125,34 @@ def test_latest_values_from_a_stream(spark, tmp_path):
     assert plain(stream_latest(spark, view, out)) == want
 
 
+def test_row_history_from_a_stream(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "backwards")
+    view, out = rows(source), str(tmp_path / "out")
+    finish(row_stream(view, out))
+    # Other streams of the view may share the folder.
+    finish(latest_stream(view, out))
+    assert plain(stream_rows(spark, view, out)) == plain(view.frame())
+    assert plain(stream_latest(spark, view, out)) == plain(view.latest())
+
+
+def test_continuous_tiles_from_a_stream(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "mixed")
+
+    @stream_view(
+        source=source,
+        keys=["k"],
+        ts="t",
+        aggregations=[Aggregate("v", "sum", HOUR), Aggregate("s", "last", HOUR, 2)],
+    )
+    def live(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    out = str(tmp_path / "out")
+    finish(tile_stream(live, out))
+    stored = stream_tiles(spark, live, out)
+    assert parts(stored) == parts(live.tiles())
+
+
 def test_previews_can_be_queried(spark, tmp_path):
     source = landed(spark, str(tmp_path / "in"), "time")
     raw = Preview(source.read_stream(), "raw_events")

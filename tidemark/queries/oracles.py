@@ -192,6 +192,7 @@ ORACLES["asof_plain"] = f"""WITH {TXN}, {CARDS}
 SELECT txn.event_id, txn.user_id, cards.cc_num, cards.issuer
 FROM txn ASOF LEFT JOIN cards
   ON txn.user_id = cards.user_id AND txn."timestamp" >= cards.signup_timestamp"""
+ORACLES["stream_row_history"] = ORACLES["asof_plain"]
 AGED = 'daily.signup_timestamp > txn."timestamp" - INTERVAL 10 DAY'
 CARD_ASOF = f"""card AS (
   SELECT txn.event_id, CASE WHEN {AGED} THEN daily.issuer END AS issuer,

@@ -37,7 +37,9 @@ from tidemark.streaming.jobs import (
     Preview,
     finish,
     latest_stream,
+    row_stream,
     stream_latest,
+    stream_rows,
     stream_tiles,
     tile_stream,
 )
@@ -471,6 +473,17 @@ def stream_latest_card(fraud):
     return rows.select("user_id", "signup_timestamp", "cc_num", "issuer")
 
 
+@query
+def stream_row_history(fraud):
+    """A row-level stream appended to its history, then joined like any stored view."""
+    view = fraud.card_now
+    path = workdir(fraud.spark, "rows")
+    finish(row_stream(view, path))
+    rows = stream_rows(fraud.spark, view, path)
+    done = asof_join(fraud.spine, list(view.keys), "timestamp", [view.table(rows)])
+    return done.select("event_id", "user_id", "cc_num", "issuer")
+
+
 @query
 def stream_preview(fraud):
     shown = Preview(fraud.over_50.stream(), "over_50_preview")

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.asof import FeatureTable, latest
 from tidemark.operators.tiles import TileSet, build_tiles, merge_tiles
@@ -82,13 +82,11 @@ class BatchLog:
         self._mark("folded", upto)
 
 
-def _start(stream: DataFrame, write, path: str, interval: str | None) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(write).option(
-        "checkpointLocation", f"{path}/checkpoint"
-    )
-    if interval is None:
+def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    if every is None:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    return writer.trigger(processingTime=every).start()
 
 
 def tile_stream(view: View, path: str, every: str | None = None) -> StreamingQuery:
@@ -108,7 +106,8 @@ def tile_stream(view: View, path: str, every: str | None = None) -> StreamingQue
         if several:
             batch.unpersist()
 
-    return _start(view.stream(), write, path, every)
+    writer = view.stream().writeStream.foreachBatch(write)
+    return _start(writer, f"{path}/checkpoint-tiles", every)
 
 
 def stream_tiles(spark: SparkSession, view: View, path: str) -> TileSet:
@@ -137,7 +136,8 @@ def latest_stream(view: View, path: str, every: str | None = None) -> StreamingQ
         rows = FeatureTable(batch, table.ts, table.features, "", table.schedule, table.ttl)
         BatchLog(batch.sparkSession, f"{path}/latest").write(latest(rows, keys), number)
 
-    return _start(view.stream(), write, path, every)
+    writer = view.stream().writeStream.foreachBatch(write)
+    return _start(writer, f"{path}/checkpoint-latest", every)
 
 
 def stream_latest(spark: SparkSession, view: View, path: str) -> DataFrame:
@@ -158,6 +158,19 @@ def fold_latest(spark: SparkSession, view: View, path: str) -> None:
     BatchLog(spark, f"{path}/latest").fold(merge)
 
 
+def row_stream(view: View, path: str, every: str | None = None) -> StreamingQuery:
+    """Append the rows of a row-level view's stream to its history, partitioned by day."""
+    dated = view.stream().withColumn("day", F.date_format(view.ts, "yyyy-MM-dd"))
+    writer = dated.writeStream.format("parquet").partitionBy("day").option("path", f"{path}/rows")
+    return _start(writer, f"{path}/checkpoint-rows", every)
+
+
+def stream_rows(spark: SparkSession, view: View, path: str) -> DataFrame:
+    """The history a row stream has written."""
+    schema = view.frame().schema.add("day", "string")
+    return spark.read.schema(schema).parquet(f"{path}/rows").drop("day")
+
+
 class Preview:
     """A stream written as it comes into files that can be queried as a temporary view.
 
@@ -167,15 +180,8 @@ class Preview:
     def __init__(self, stream: DataFrame, name: str, every: str | None = None):
         self.spark, self.schema, self.name = stream.sparkSession, stream.schema, name
         self.path = workdir(self.spark, "preview")
-        writer = (
-            stream.writeStream.format("parquet")
-            .option("path", f"{self.path}/table")
-            .option("checkpointLocation", f"{self.path}/checkpoint")
-        )
-        if every is None:
-            self.query = writer.trigger(availableNow=True).start()
-        else:
-            self.query = writer.trigger(processingTime=every).start()
+        writer = stream.writeStream.format("parquet").option("path", f"{self.path}/table")
+        self.query = _start(writer, f"{self.path}/checkpoint", every)
 
     def table(self) -> DataFrame:
         """What has arrived so far, also registered under the preview's name."""
