@@ -200,6 +200,14 @@ def test_bare_names_for_a_view_prefixed_names_for_a_service(spark, source):
     assert done.count() == spine.count()
 
 
+def test_a_feature_may_not_replace_a_spine_column(spark, source):
+    spine = spine_of(spark, spine_rows(), SPINE).withColumn("high", F.lit(1))
+    with pytest.raises(ValueError, match="already has"):
+        row_view(source).historical(spine, "t")
+    done = Service.of("s", [row_view(source)]).historical(spine, "t")
+    assert {"high", "rows__high"} <= set(done.columns)
+
+
 def test_service_joins_views_with_different_keys(spark, source):
     spine = spine_of(spark, spine_rows(), SPINE)
     parts = [row_view(source), sum_view(source), store_view(source)]

@@ -28,5 +28,8 @@ def points_of(spine: DataFrame, keys: list[str], at: Column) -> DataFrame:
 def attach(spine: DataFrame, keys: list[str], at: Column, answers: DataFrame) -> DataFrame:
     """Every spine row once, its columns unchanged and first, then the answer's columns."""
     added = [c for c in answers.columns if c not in (*keys, AT)]
+    taken = [c for c in added if c in spine.columns]
+    if taken:
+        raise ValueError(f"the spine already has columns {taken}; use a service to prefix them")
     joined = spine.withColumn(AT, at).join(answers, [*keys, AT], "left")
     return joined.select(*[f"`{c}`" for c in spine.columns], *[f"`{c}`" for c in added])
