@@ -8,7 +8,10 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from tidemark.queries.oracles import ORACLES
+from tidemark.queries.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -33,12 +36,12 @@ def canonical(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, engine, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(repr(tuple(canonical(r[c]) for c in columns)) for r in df.collect())
-    result = engine.execute(oracle_sql()[name])
+    result = engine.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     places = [names.index(c) for c in columns]
@@ -50,7 +53,9 @@ def test_query_equals_oracle(spark, engine, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 def test_entry(spark):
