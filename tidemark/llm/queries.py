@@ -6,19 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, simhash
+from tidemark.llm import bpe, decontam, fm_quality, simhash
 from tidemark.llm.common import table
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.round_trip(table(spark, folder, "documents")))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return fm_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_bpe": op5_bpe,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op10_simhash": op10_simhash,
 }
