@@ -24,4 +24,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN p USING (rid) LEFT JOIN q USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op6_decontamination": DECONTAMINATION}
+_TOKENS = "list_filter(regexp_split_to_array(line, '[ \\t\\x0B\\f\\r]+'), lambda t: t <> '')"
+_STRETCH = "array_to_string(m[3 + CAST(floor((n - 2) * {i} / 5.0) AS INT):2 + CAST(floor((n - 2) * {j} / 5.0) AS INT)], ' ')"
+_OPEN = ", ".join(
+    "'open {i} ' || n || ' ' || array_to_string(m[1:2], ' ') || ' | ' || {rest}".format(
+        i=i, rest=" || ' | ' || ".join(_STRETCH.format(i=k, j=k + 1) for k in range(5) if k != i)
+    )
+    for i in range(5)
+)
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(range(0, len(ls))) AS place, unnest(ls) AS line FROM d),
+t AS (SELECT rid, doc_id, place, list_transform({_TOKENS}, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m FROM l),
+u AS (SELECT *, len(m) AS n FROM t WHERE doc_id IS NOT NULL AND len(m) >= 4),
+k AS (
+  SELECT rid, doc_id, place, 'whole ' || array_to_string(m, ' ') AS template FROM u
+  UNION ALL SELECT rid, doc_id, place, unnest([{_OPEN}]) FROM u WHERE n >= 10
+),
+f AS (SELECT template, min(doc_id) AS first FROM k GROUP BY template),
+x AS (SELECT DISTINCT rid, place FROM k JOIN f USING (template) WHERE first < doc_id),
+y AS (SELECT rid, count(*) AS n FROM x GROUP BY rid),
+z AS (SELECT rid, string_agg(line, chr(10) ORDER BY place) AS kept FROM l ANTI JOIN x USING (rid, place) GROUP BY rid)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS text_sha256
+FROM d LEFT JOIN y USING (rid) LEFT JOIN z USING (rid)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op6_decontamination": DECONTAMINATION,
+}

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontam, fm_quality, simhash
+from tidemark.llm import bpe, decontam, fm_quality, line_dedup, simhash
 from tidemark.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(table(spark, folder, "documents"))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, folder, "documents")))
 
@@ -27,6 +31,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op5_bpe": op5_bpe,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
