@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontam, fm_quality, line_dedup, simhash
+from tidemark.llm import bpe, decontam, fm_quality, line_dedup, rules_quality, simhash
 from tidemark.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return fm_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return rules_quality.judge(docs, rules_quality.train(docs, table(spark, folder, "labels")))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -35,5 +40,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
+    "op8_quality_rules": op8_quality_rules,
     "op10_simhash": op10_simhash,
 }
