@@ -42,3 +42,27 @@ def near_duplicates(rows: list[tuple], radius: int = 4) -> list[tuple]:
     for k, p in prints:
         least[reached[p]] = min(k, least.get(reached[p], k))
     return sorted((k, f"{p:016x}", least[reached[p]]) for k, p in prints)
+
+
+def base_spans(text: str | None) -> list[tuple]:
+    """(start, place of the kind, kind, end) by the plain patterns."""
+    text = text or ""
+
+    def luhn(digits: str) -> bool:
+        total = 0
+        for i, c in enumerate(reversed(digits)):
+            d = int(c) * (2 if i % 2 else 1)
+            total += d - 9 if d > 9 else d
+        return total % 10 == 0
+
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+    ]
+    found = []
+    for place, (kind, pattern, good) in enumerate(rules):
+        found += [(m.start(), place, kind, m.end()) for m in re.finditer(pattern, text) if good(m.group())]
+    return sorted(found)
