@@ -50,7 +50,30 @@ SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT
 FROM d LEFT JOIN y USING (rid) LEFT JOIN z USING (rid)
 """
 
+LM_SCORE = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> '') AS w
+  FROM documents
+),
+p AS (SELECT rid, unnest([chr(2)] || w[:-2]) AS a, unnest(w) AS b FROM d WHERE len(w) > 0),
+u AS (
+  SELECT word, count(*) AS n FROM (SELECT b AS word FROM p UNION ALL SELECT chr(2) FROM d WHERE len(w) > 0) GROUP BY word
+),
+t AS (SELECT sum(n) AS words FROM u WHERE word <> chr(2)),
+c AS (SELECT a, b, count(*) AS n FROM p GROUP BY a, b),
+s AS (
+  SELECT p.rid, count(*) AS n_words, count(*) FILTER (WHERE c.n < 2) AS n_backed_off,
+    avg(CASE WHEN c.n >= 2 THEN ln(c.n / x.n) ELSE ln(0.4 * y.n / t.words) END) AS score
+  FROM p JOIN c USING (a, b) JOIN u x ON x.word = p.a JOIN u y ON y.word = p.b, t GROUP BY p.rid
+)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_backed_off, 0) AS BIGINT) AS n_backed_off,
+  round(score, 6) AS mean_log_score
+FROM d LEFT JOIN s USING (rid)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_decontamination": DECONTAMINATION,
+    "op9_lm_score": LM_SCORE,
 }

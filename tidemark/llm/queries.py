@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontam, fm_quality, line_dedup, pii, rules_quality, simhash
+from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, rules_quality, simhash
 from tidemark.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules_quality.judge(docs, rules_quality.train(docs, table(spark, folder, "labels")))
 
 
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -46,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
 }
