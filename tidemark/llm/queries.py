@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, rules_quality, simhash
+from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, rules_quality, secrets_forest, simhash
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(table(spark, folder, "documents"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets_forest.report(table(spark, folder, "documents"))
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_secrets": op3_secrets,
     "op4_pii": op4_pii,
     "op5_bpe": op5_bpe,
     "op6_decontamination": op6_decontamination,
