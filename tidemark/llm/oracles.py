@@ -72,8 +72,35 @@ SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_
 FROM d LEFT JOIN s USING (rid)
 """
 
+QUOTES = """
+WITH RECURSIVE m AS (
+  SELECT conv_id || '/' || turn AS id, turn AS sent, trim(coalesce(text, ''), chr(10)) AS own,
+    lag(coalesce(text, ''), 1) OVER w AS q1, lag(coalesce(text, ''), 2) OVER w AS q2
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text)
+),
+n AS (
+  SELECT *, nullif(trim(regexp_replace(own, '\\s+', ' ', 'g')), '') AS own_n, nullif(trim(regexp_replace(q1, '\\s+', ' ', 'g')), '') AS q1_n,
+    nullif(trim(regexp_replace(q2, '\\s+', ' ', 'g')), '') AS q2_n FROM m
+),
+o AS (
+  SELECT own_n, coalesce(q1_n, '') AS q1_n, min((sent, id)) AS place FROM n WHERE own_n IS NOT NULL GROUP BY ALL
+),
+l AS (
+  SELECT n.*, CASE WHEN o.place < (n.sent, n.id) THEN o.place[2] END AS parent
+  FROM n LEFT JOIN o ON o.own_n = n.q1_n AND o.q1_n = coalesce(n.q2_n, '')
+),
+r AS (
+  SELECT id, id AS thread, 0 AS depth FROM l WHERE parent IS NULL
+  UNION ALL SELECT l.id, r.thread, r.depth + 1 FROM l JOIN r ON l.parent = r.id
+)
+SELECT id, thread, parent, CAST(depth AS BIGINT) AS depth, CAST((q1 IS NOT NULL)::INT + (q2 IS NOT NULL)::INT AS BIGINT) AS n_levels,
+  sha256(own) AS own_sha256
+FROM l JOIN r USING (id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
+    "op2_quotes": QUOTES,
     "op6_decontamination": DECONTAMINATION,
     "op9_lm_score": LM_SCORE,
 }

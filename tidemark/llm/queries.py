@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, rules_quality, secrets_forest, simhash
+from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, quotes, rules_quality, secrets_forest, simhash
 from tidemark.llm.common import table
 
 
@@ -14,6 +15,15 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(table(spark, folder, "documents"))
 
 
+def op2_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """The table holds no quotations; its turns are first put into mails that quote each other."""
+    mail = quotes.quoted_mail(table(spark, folder, "conversations"))
+    found = quotes.conversations(mail)
+    return found.select(
+        "id", "thread", "parent", "depth", "n_levels", F.sha2("own", 256).alias("own_sha256")
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets_forest.report(table(spark, folder, "documents"))
 
@@ -49,6 +59,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quotes": op2_quotes,
     "op3_secrets": op3_secrets,
     "op4_pii": op4_pii,
     "op5_bpe": op5_bpe,
