@@ -30,7 +30,8 @@ THRESHOLD = 0.7
 WORD_SLOTS = 1 << 15
 BINS = 12
 FACTORS = 8
-EPOCHS = 12
+#: Batches seen in the fit, as many for a small sample as for a large one.
+STEPS = 600
 BATCH = 128
 SYMBOLS = [b"#", b"$", b"%", b"&", b"*", b"|", b"!", b"<", b">", b"{", b"=", b"_", b".", b",", b"?", b":", b"@", b"-"]
 UPPER = bytes(range(65, 91))
@@ -112,7 +113,7 @@ def probability(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Machine:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> Machine:
     """Adaptive gradient descent on the log loss with a small decay. No rows: an even chance."""
     rng = np.random.default_rng(seed)
     prior = (labels.sum() + 1) / (len(labels) + 2)
@@ -122,7 +123,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
         rng.normal(0, 0.02, (SLOTS, FACTORS)).astype(np.float32),
     )
     squared_w, squared_v, squared_b = np.full(SLOTS, 1e-2), np.full((SLOTS, FACTORS), 1e-2), 1e-2
-    for _ in range(epochs if 0 < labels.sum() < len(labels) else 0):
+    epochs = -(-steps // max(1, len(rows) // BATCH)) if 0 < labels.sum() < len(labels) else 0
+    for _ in range(epochs):
         order = rng.permutation(len(rows))
         for batch in np.array_split(order, max(1, len(order) // BATCH)):
             sizes = [len(rows[i][0]) for i in batch]

@@ -27,7 +27,8 @@ KEEP = 0.5
 MIN_WORDS = 50
 MAX_REPEATED = 50
 SLOTS = 1 << 16
-EPOCHS = 12
+#: Batches seen in the fit, as many for a small sample as for a large one.
+STEPS = 600
 BATCH = 64
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -124,7 +125,7 @@ def _calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(slope, 0.0), shift
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Rules:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> Rules:
     """Fit and calibrate. Without both labels every text has the same score, the labels' share."""
     weights = np.zeros(3 * SLOTS)
     if not 0 < labels.sum() < len(labels):
@@ -134,7 +135,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
     kept, learned = order[::5], np.delete(order, np.arange(0, len(order), 5))
     squares = np.full(len(weights), 1e-3)
     shift = 0.0
-    for _ in range(epochs):
+    for _ in range(-(-steps // max(1, len(learned) // BATCH))):
         for batch in np.array_split(rng.permutation(learned), max(1, len(learned) // BATCH)):
             sizes = [len(rows[i][0]) for i in batch]
             text = np.repeat(np.arange(len(batch)), sizes)
