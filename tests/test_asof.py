@@ -7,10 +7,9 @@ from help import DAY, EVENT, HOUR, MINUTE, T0, at, plain, random_events
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import FeatureTable, asof_join, latest
-from tidemark.operators.skew import SkewRule, heavy_keys
+from tidemark.operators.cells import CELL, with_cell
 from tidemark.sources.tables import zoneless
 
-RULES = [SkewRule(), SkewRule(min_rows=1, max_keys=2, slices=7), SkewRule(min_rows=5, slices=300)]
 SPINE = "id int, k string, t timestamp"
 
 
@@ -35,28 +34,26 @@ def spine_rows(events):
     return [(i, k, t) for i, (k, t, _, _) in enumerate(events)]
 
 
-@pytest.mark.parametrize("rule", RULES)
 @pytest.mark.parametrize("schedule,ttl", [(None, None), (HOUR, None), (None, HOUR), (HOUR, 2 * HOUR)])
-def test_matches_brute_force_under_every_skew_rule(spark, rule, schedule, ttl):
+def test_matches_brute_force_(spark, schedule, ttl):
     features = random_events(300, seed=1)
     spine = spine_rows(random_events(200, seed=2))
     table = FeatureTable(
         spark.createDataFrame(features, EVENT), "t", ("v", "s"), "", schedule, ttl
     )
-    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", [table], rule)
+    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", [table])
     got = sorted((r.id, r.v, r.s) for r in done.collect())
     assert got == sorted(brute(spine, features, schedule, ttl))
 
 
-@pytest.mark.parametrize("rule", RULES)
-def test_several_tables_share_a_window(spark, rule):
+def test_several_tables_share_a_window(spark):
     one, two = random_events(100, seed=3), random_events(100, seed=4)
     spine = spine_rows(random_events(100, seed=5))
     tables = [
         FeatureTable(spark.createDataFrame(one, EVENT), "t", ("v",), "one_"),
         FeatureTable(spark.createDataFrame(two, EVENT), "t", ("v", "s"), "two_", None, HOUR),
     ]
-    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", tables, rule)
+    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", tables)
     assert done.columns == ["id", "k", "t", "one_v", "two_v", "two_s"]
     got = sorted((r.id, r.one_v, r.two_v, r.two_s) for r in done.collect())
     first = {i: v for i, v, _ in brute(spine, one)}
@@ -121,11 +118,27 @@ def test_input_order_and_partitioning_do_not_matter(spark):
     )
 
 
-def test_heavy_keys_are_bounded_and_ordered(spark):
-    rows = [("a", 1)] * 5 + [("b", 2)] * 3 + [("c", 3)] * 3 + [(None, 4)] * 9
-    df = spark.createDataFrame(rows, "k string, _at long")
-    found = heavy_keys([df], ["k"], SkewRule(min_rows=2, max_keys=2))
-    assert sorted(r.k for r in found.collect()) == ["a", "b"]
+def test_a_burst_of_half_of_all_rows_is_cut(spark):
+    """Half of the rows are one key in ten seconds, and as many points ask in them."""
+    burst = [("hot", T0 + timedelta(microseconds=1000 * i), float(i), "s") for i in range(10_000)]
+    other = [(f"k{i % 50}", at(i % 600), float(i), "s") for i in range(10_000)]
+    frame = spark.createDataFrame(burst + other, EVENT).withColumn("_at", F.unix_micros("t"))
+    largest = with_cell(frame).groupBy("k", CELL).count().agg(F.max("count")).first()[0]
+    assert largest <= 1_000
+    spine = [(i, "hot", T0 + timedelta(microseconds=1000 * i + 500)) for i in range(0, 10_000, 7)]
+    spine += [(20_000, "hot", T0 + 400 * DAY), (20_001, "hot", T0 - DAY)]
+    done = asof_join(spark.createDataFrame(spine, SPINE), ["k"], "t", [FeatureTable(frame, "t", ("v",))])
+    want = {i: float(i) for i in range(0, 10_000, 7)} | {20_000: 9999.0, 20_001: None}
+    assert {r.id: r.v for r in done.collect()} == want
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_features_named_like_internal_columns(spark):
+    rows = spark.createDataFrame([("a", at(0), 1, 2, 3, 4)], "n string, t timestamp, ts int, seen int, row int, lo int")
+    table = FeatureTable(rows, "t", ("ts", "seen", "row", "lo"))
+    spine = spark.createDataFrame([(0, "a", at(1))], "id int, n string, t timestamp")
+    assert tuple(asof_join(spine, ["n"], "t", [table]).first())[3:] == (1, 2, 3, 4)
 
 
 def test_latest_row_per_key(spark):

@@ -15,22 +15,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import as_micros, effective_micros, instant_micros, micros
+from tidemark.operators.cells import CELL, SECOND, inherited, with_cell
 from tidemark.operators.points import AT, all_present, attach, points_of
-from tidemark.operators.skew import (
-    DEFAULT_RULE,
-    PLAN,
-    SLICE,
-    SkewRule,
-    heavy_keys,
-    sliced,
-)
 
 RANK = "_rank"
 
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """Feature rows to look up. ``prefix`` goes in front of the output columns."""
+    """Feature rows to look up. ``prefix`` goes in front of the output columns.
+
+    Rows of equal time resolve by ``order``, the values of all columns of the view, so that a
+    table with some of its features answers from the same row as one with all.
+    """
 
     frame: DataFrame
     ts: str
@@ -38,73 +35,42 @@ class FeatureTable:
     prefix: str = ""
     schedule: timedelta | None = None
     ttl: timedelta | None = None
+    order: tuple[str, ...] = ()
 
 
 def _candidates(table: FeatureTable, keys: list[str], column: str) -> DataFrame:
     # The struct compares by visibility, then event time, then values: its maximum is
     # the newest row, and ties resolve the same way on every run.
-    ts = F.col(table.ts)
+    ts = F.col(f"`{table.ts}`")
     seen = effective_micros(ts, table.schedule)
-    value = F.struct(seen.alias("seen"), as_micros(ts).alias("ts"), *table.features)
-    rows = table.frame.select(*keys, seen.alias(AT), value.alias(column))
+    names = [*table.order, *(f for f in table.features if f not in table.order)]
+    row = F.struct(*[F.col(f"`{n}`") for n in names])
+    value = F.struct(seen.alias("seen"), as_micros(ts).alias("ts"), row.alias("row"))
+    rows = table.frame.select(*[f"`{k}`" for k in keys], seen.alias(AT), value.alias(column))
     return rows.filter(all_present([*keys, AT]))
 
 
-def _heavy_rows(
-    rows: DataFrame, keys: list[str], values: list[str], rule: SkewRule
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of heavy keys, and what each time slice inherits from the slices before it.
-
-    Copies at one (key, time) merge before the shuffle. A slice inherits one row, the
-    maximum so far; there are at most ``slices`` such rows per heavy key.
-    """
-    newest = [F.max(v).alias(v) for v in values]
-    heavy = rows.filter(F.col(PLAN).isNotNull())
-    own = heavy.groupBy(*keys, SLICE, AT).agg(*newest)
-    order = Window.partitionBy(*keys).orderBy(SLICE)
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inherited = (
-        heavy.groupBy(*keys, PLAN, SLICE)
-        .agg(*newest)
-        .select(
-            *keys,
-            PLAN,
-            (F.col(SLICE) + 1).alias("first"),
-            F.coalesce(F.lead(SLICE).over(order), F.lit(rule.slices - 1)).alias("final"),
-            *[F.max(v).over(so_far).alias(v) for v in values],
-        )
-        .filter(F.col("first") <= F.col("final"))
-        .withColumn(SLICE, F.explode(F.sequence("first", "final")))
-        .withColumn(AT, F.col(f"{PLAN}.lo") + F.col(SLICE) * F.col(f"{PLAN}.width"))
-    )
-    return own, inherited.select(*keys, SLICE, AT, *values)
-
-
 def asof_answers(
     points: DataFrame,
     keys: list[str],
     tables: list[FeatureTable],
-    rule: SkewRule = DEFAULT_RULE,
     effective: bool = False,
 ) -> DataFrame:
     """Features at distinct ``points``, given by keys and ``_at`` in microseconds.
 
-    One window by key and time slice. Ordinary keys are one slice; heavy keys are many,
-    so that no task gets all rows of one.
+    One window by key and time cell, over the rows of the cell and the one it inherits.
     """
     values = [f"_v{i}" for i in range(len(tables))]
     candidates = [_candidates(t, keys, v) for t, v in zip(tables, values)]
-    heavy = heavy_keys([points, *candidates], keys, rule)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), candidates)
-    rows = sliced(stacked, heavy, keys)
-    ordinary = rows.filter(F.col(PLAN).isNull()).drop(PLAN)
-    own, inherited = _heavy_rows(rows, keys, values, rule)
-    marks = sliced(points, heavy, keys).drop(PLAN)
-    parts = [(inherited, 0), (ordinary, 1), (own, 1), (marks, 2)]
-    ranked = [df.withColumn(RANK, F.lit(rank)) for df, rank in parts]
+    newest = [F.max(v).alias(v) for v in values]
+    rows = with_cell(stacked).groupBy(*keys, CELL, AT).agg(*newest)
+    marks = with_cell(points)
+    before = inherited(rows, marks, keys, values).withColumn(AT, F.col(CELL) * SECOND)
+    ranked = [df.withColumn(RANK, F.lit(rank)) for rank, df in enumerate([before, rows, marks])]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
-    # At one time: what a slice inherits, then its rows from old to new, then points.
-    order = Window.partitionBy(*keys, SLICE).orderBy(AT, RANK, *values)
+    # At one time: what a cell inherits, then its own row, then points.
+    order = Window.partitionBy(*keys, CELL).orderBy(AT, RANK)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     newest = [F.last(v, ignorenulls=True).over(so_far).alias(v) for v in values]
     found = both.select(*keys, AT, RANK, *newest).filter(F.col(RANK) == 2)
@@ -114,7 +80,7 @@ def asof_answers(
         if table.ttl is not None:
             alive = F.col(f"{value}.ts") > F.col(AT) - F.lit(micros(table.ttl))
         for name in table.features:
-            out.append(F.when(alive, F.col(f"{value}.`{name}`")).alias(table.prefix + name))
+            out.append(F.when(alive, F.col(f"{value}.row.`{name}`")).alias(table.prefix + name))
         if effective:
             seen = F.timestamp_micros(F.col(f"{value}.seen"))
             out.append(F.when(alive, seen).alias(f"{table.prefix}effective_ts"))
@@ -126,7 +92,6 @@ def asof_join(
     keys: list[str],
     ts: str,
     tables: list[FeatureTable],
-    rule: SkewRule = DEFAULT_RULE,
     effective: bool = False,
 ) -> DataFrame:
     """Spine columns first and unchanged, then each table's features as of the row's time.
@@ -135,7 +100,7 @@ def asof_join(
     when the value used became visible.
     """
     at = as_micros(F.col(ts))
-    answers = asof_answers(points_of(spine, keys, at), keys, tables, rule, effective)
+    answers = asof_answers(points_of(spine, keys, at), keys, tables, effective)
     return attach(spine, keys, at, answers)
 
 
@@ -151,6 +116,6 @@ def latest(table: FeatureTable, keys: list[str], moment: datetime | None = None)
             *keys,
             F.timestamp_micros("_v.ts").alias(table.ts),
             F.timestamp_micros("_v.seen").alias("effective_ts"),
-            *[F.col(f"_v.`{f}`").alias(f) for f in table.features],
+            *[F.col(f"_v.row.`{f}`").alias(f) for f in table.features],
         )
     )

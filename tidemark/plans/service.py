@@ -14,7 +14,6 @@ from tidemark.operators.asof import FeatureTable, asof_answers
 from tidemark.operators.lookup import Snapshot, lookup
 from tidemark.operators.ondemand import OnDemand
 from tidemark.operators.points import AT, attach, points_of
-from tidemark.operators.skew import DEFAULT_RULE, SkewRule
 from tidemark.operators.windows import Part, complete, part_answers
 from tidemark.plans.views import View
 from tidemark.sources.spine import spine_of
@@ -81,7 +80,6 @@ class Service:
         spine,
         ts: str,
         store=None,
-        rule: SkewRule = DEFAULT_RULE,
         effective: bool = False,
         period: tuple[datetime, datetime] | None = None,
         spark: SparkSession | None = None,
@@ -120,7 +118,7 @@ class Service:
                 part = view.part(store, period, f"{view.name}{SEP}")
                 tiled.setdefault(view.interval, []).append(part)
                 parts.append(part)
-            finest, found = _by_key(base, list(keys), ts, tables, tiled, rule, effective)
+            finest, found = _by_key(base, list(keys), ts, tables, tiled, effective)
             df = attach(df, list(keys), bucket(F.col(ts), finest), found)
         df = complete(df, ts, parts, effective)
         return self._finish(df, kept, effective)
@@ -178,7 +176,6 @@ def _by_key(
     ts: str,
     tables: list[FeatureTable],
     tiled: dict[timedelta, list[Part]],
-    rule: SkewRule,
     effective: bool,
 ) -> tuple[timedelta, DataFrame]:
     """All features of one key set, at points of the finest time step that they need.
@@ -189,7 +186,7 @@ def _by_key(
     steps = [CONTINUOUS] if tables else list(tiled)
     finest = math.gcd(*[micros(s) for s in steps]) * CONTINUOUS
     points = points_of(base, keys, bucket(F.col(ts), finest))
-    found = asof_answers(points, keys, tables, rule, effective) if tables else None
+    found = asof_answers(points, keys, tables, effective) if tables else None
     for interval in sorted(tiled):
         ratio = interval // finest
         step = floor_div(F.col(AT), ratio)

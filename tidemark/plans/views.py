@@ -22,7 +22,6 @@ from tidemark.functions.time import (
 )
 from tidemark.operators.asof import FeatureTable, asof_join, latest
 from tidemark.operators.lookup import Snapshot, current_values
-from tidemark.operators.skew import DEFAULT_RULE, SkewRule
 from tidemark.operators.tiles import TileSet, build_tiles, rolled
 from tidemark.operators.windows import aggregates_asof
 from tidemark.sources.spine import spine_of
@@ -132,8 +131,9 @@ class View:
     def table(self, rows: DataFrame | None = None, prefix: str = "") -> FeatureTable:
         """The view as a lookup table; stored rows may stand in for computed ones."""
         rows = self.frame() if rows is None else rows
+        order = tuple(c for c in rows.columns if c not in (*self.keys, self.ts))
         return FeatureTable(
-            rows, self.ts, tuple(self.features), prefix, self.schedule, self.ttl
+            rows, self.ts, tuple(self.features), prefix, self.schedule, self.ttl, order
         )
 
     def tiles(self, start: datetime | None = None, end: datetime | None = None) -> TileSet:
@@ -173,7 +173,6 @@ class View:
         spine,
         ts: str,
         store=None,
-        rule: SkewRule = DEFAULT_RULE,
         effective: bool = False,
         period: tuple[datetime, datetime] | None = None,
     ) -> DataFrame:
@@ -187,7 +186,7 @@ class View:
             spine = only_between(spine, ts, period)
         if not self.aggregations:
             table = self.table(self.stored_rows(store, period))
-            return asof_join(spine, list(self.keys), ts, [table], rule, effective)
+            return asof_join(spine, list(self.keys), ts, [table], effective)
         return aggregates_asof(spine, ts, [self.part(store, period, "")], effective)
 
     def stored_rows(self, store, period=None) -> DataFrame:

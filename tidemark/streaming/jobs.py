@@ -9,6 +9,7 @@ batch job folds old ones together.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.operators.asof import FeatureTable, latest
+from tidemark.operators.asof import latest
 from tidemark.operators.tiles import TileSet, build_tiles, merge_tiles
 from tidemark.plans.views import View
 from tidemark.session import workdir
@@ -133,7 +134,7 @@ def latest_stream(view: View, path: str, every: str | None = None) -> StreamingQ
     table, keys = view.table(), list(view.keys)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = FeatureTable(batch, table.ts, table.features, "", table.schedule, table.ttl)
+        rows = replace(table, frame=batch)
         BatchLog(batch.sparkSession, f"{path}/latest").write(latest(rows, keys), number)
 
     writer = view.stream().writeStream.foreachBatch(write)
@@ -143,17 +144,14 @@ def latest_stream(view: View, path: str, every: str | None = None) -> StreamingQ
 def stream_latest(spark: SparkSession, view: View, path: str) -> DataFrame:
     """The newest row per key over everything the stream has written."""
     rows = BatchLog(spark, f"{path}/latest").read()
-    table = view.table()
-    merged = FeatureTable(rows, table.ts, table.features, "", table.schedule, table.ttl)
-    return latest(merged, list(view.keys))
+    return latest(replace(view.table(), frame=rows), list(view.keys))
 
 
 def fold_latest(spark: SparkSession, view: View, path: str) -> None:
     table, keys = view.table(), list(view.keys)
 
     def merge(df: DataFrame) -> DataFrame:
-        rows = FeatureTable(df, table.ts, table.features, "", table.schedule, table.ttl)
-        return latest(rows, keys)
+        return latest(replace(table, frame=df), keys)
 
     BatchLog(spark, f"{path}/latest").fold(merge)
 
