@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from help import DAY, EVENT, HOUR, MINUTE, plain, random_events
@@ -99,10 +100,102 @@ def test_running_a_slice_again_changes_nothing(spark, source, tmp_path):
     assert {n: plain(p) for n, p in store.tiles(view).parts().items()} == before
 
 
-def test_a_range_must_lie_on_days(spark, source, tmp_path):
+def test_a_range_must_lie_on_intervals(spark, source, tmp_path):
     store = Store(spark, str(tmp_path))
-    with pytest.raises(ValueError):
-        store.materialize(mixed_view(source), FIRST, FIRST + 30 * HOUR)
+    for end in (FIRST + 30 * HOUR + MINUTE, FIRST):
+        with pytest.raises(ValueError):
+            store.materialize(mixed_view(source), FIRST, end)
+
+
+@pytest.mark.parametrize("make", [row_view, mixed_view, live_view])
+def test_what_is_not_loaded_comes_from_the_source(spark, source, spine, make, tmp_path):
+    view = make(source)
+    want = plain(view.historical(spine, "t"))
+    store = Store(spark, str(tmp_path))
+    store.materialize(view, FIRST + DAY, FIRST + 2 * DAY)
+    store.materialize(view, FIRST + 3 * DAY, FIRST + 3 * DAY + 6 * HOUR)
+    assert store.loaded_until(view) == FIRST + 2 * DAY
+    assert store.gaps(view, FIRST, LAST) == [
+        (FIRST, FIRST + DAY), (FIRST + 2 * DAY, FIRST + 3 * DAY), (FIRST + 3 * DAY + 6 * HOUR, LAST)
+    ]
+    assert store.gaps(view, FIRST + DAY, FIRST + 2 * DAY) == []
+    assert plain(view.historical(spine, "t", store=store)) == want
+    some = spine.filter(f"t >= '{FIRST + DAY}' AND t < '{FIRST + 4 * DAY}'")
+    part = view.historical(some, "t", store=store, period=(FIRST + DAY, FIRST + 4 * DAY))
+    assert plain(part) == plain(view.historical(some, "t"))
+
+
+@pytest.mark.parametrize("make", [row_view, mixed_view])
+def test_a_job_replaces_its_range_also_with_nothing(spark, source, make, tmp_path):
+    store, view = Store(spark, str(tmp_path)), make(source)
+    store.backfill(view, FIRST, LAST, 1)
+    low, high = FIRST + DAY, FIRST + DAY + 12 * HOUR
+    fewer = Source("events", source.batch.filter(f"t < '{low}' OR t >= '{high}'"), "t", filtered=True)
+    store.materialize(make(fewer), low, high)
+    assert plain(make(fewer).historical(spark.createDataFrame([(0, "hot", LAST)], SPINE), "t", store=store)) == plain(
+        make(fewer).historical(spark.createDataFrame([(0, "hot", LAST)], SPINE), "t")
+    )
+    if make is mixed_view:
+        assert plain(store.tiles(view).merged) == plain(make(fewer).tiles(FIRST, LAST).merged)
+
+
+def test_a_loaded_range_without_rows(spark, source, tmp_path):
+    store = Store(spark, str(tmp_path))
+    later = FIRST + 300 * DAY
+    for view in (row_view(source), mixed_view(source)):
+        store.materialize(view, later, later + DAY)
+        spine = spark.createDataFrame([(0, "hot", later + HOUR)], SPINE)
+        got = view.historical(spine, "t", store=store, period=(later, later + DAY))
+        assert plain(got) == plain(view.historical(spine, "t", period=(later, later + DAY)))
+
+
+def test_a_store_refuses_another_shape(spark, source, tmp_path):
+    store, view = Store(spark, str(tmp_path)), mixed_view(source)
+    store.materialize(view, FIRST, FIRST + DAY)
+    with pytest.raises(ValueError, match="store it anew"):
+        store.has(replace(view, interval=HOUR))
+
+
+def test_a_period_in_another_zone(spark, source, tmp_path):
+    store, view = Store(spark, str(tmp_path)), row_view(source)
+    store.backfill(view, FIRST, LAST, 1)
+    zone = timezone(timedelta(hours=14))
+    start, end = (FIRST + 2 * DAY), (FIRST + 3 * DAY)
+    shifted = tuple((m.replace(tzinfo=timezone.utc)).astimezone(zone) for m in (start, end))
+    assert plain(store.rows(view, *shifted)) == plain(store.rows(view, start, end))
+    assert store.rows(view, *shifted).count()
+
+
+def test_several_windows_emitted_on_one_day(spark, source, tmp_path):
+    view = mixed_view(source)
+    store = Store(spark, str(tmp_path))
+    moments = [FIRST + 2 * DAY + k * HOUR for k in range(3)]
+    for moment in moments:
+        store.emit_window(view, moment)
+    assert plain(store.finished(view)) == [r for r in plain(view.run()) if r[1] in moments]
+
+
+@pytest.mark.parametrize("every", [HOUR, 2 * DAY])
+def test_incremental_runs_of_any_period(spark, source, tmp_path, every):
+    @batch_view(sources=[source], keys=["k"], ts="t", schedule=every, aggregations=[Aggregate("v", "sum", 4 * every)])
+    def view(events):
+        return f"SELECT k, t, v FROM {events}"
+
+    store, first = Store(spark, str(tmp_path)), FIRST + DAY  # a boundary of two days too
+    for k in range(2):
+        store.incremental(view, first + k * every)
+    assert store.loaded(view) == [(first, first + 2 * every)]
+    assert plain(store.tiles(view).merged) == plain(view.tiles(first, first + 2 * every).merged)
+
+
+@pytest.mark.parametrize("filtered", [True, False])
+def test_nothing_before_the_start_of_a_view_counts(spark, source, spine, filtered):
+    start = FIRST + 2 * DAY
+    view = replace(mixed_view(replace(source, filtered=filtered)), start=start)
+    late = Source("events", source.batch.filter(f"t >= '{start}'"), "t", filtered=True)
+    want = plain(mixed_view(late).historical(spine, "t"))
+    assert plain(view.historical(spine, "t")) == want
+    assert plain(view.historical(spine, "t", period=(FIRST - DAY, LAST + DAY))) == want
 
 
 def test_emitted_window_equals_the_listing(spark, source, tmp_path):

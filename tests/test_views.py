@@ -321,7 +321,7 @@ def test_request_columns_are_checked_and_cast(spark):
 def test_coverage_of_stored_tiles(spark):
     rows = [(0, at(4)), (1, at(10)), (2, at(15))]
     df = spark.createDataFrame(rows, "id int, t timestamp")
-    got = {r.id: r.covered for r in coverage(df, "t", 5 * MINUTE, at(10)).collect()}
+    got = {r.id: r.covered for r in coverage(df, "t", 5 * MINUTE, [(at(0), at(5)), (at(8), at(10))]).collect()}
     assert got == {0: True, 1: True, 2: False}
 
 

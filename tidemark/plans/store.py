@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import time
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.aggregates import MERGED
-from tidemark.functions.time import EPOCH, bucket_start
+from tidemark.functions.time import EPOCH, bucket_start, instant_micros, micros
 from tidemark.operators.lookup import current_values
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
@@ -17,6 +19,24 @@ from tidemark.plans.views import View
 from tidemark.sources.tables import between
 
 DAY = timedelta(days=1)
+RUN = "_run"
+MARK = "low long, high long, run long, shape string"
+
+
+def moment_of(at: int) -> datetime:
+    return EPOCH + timedelta(microseconds=at)
+
+
+def day_of(moment: datetime) -> str:
+    return f"{moment_of(instant_micros(moment)):%Y-%m-%d}"
+
+
+def shape(view: View) -> str:
+    """What stored data depends on: other declarations cannot read it."""
+    facts = {"keys": list(view.keys), "ts": view.ts}
+    if view.aggregations:
+        facts["interval"] = micros(view.interval)
+    return json.dumps(facts)
 
 
 def slices(
@@ -31,116 +51,173 @@ def slices(
 
 
 class Store:
-    """History of views under one folder, partitioned by day.
+    """History of views under one folder, partitioned by day and by the job that wrote it.
 
-    A job replaces the days of its range, so running it again changes nothing. Day
-    partitions also carry the time pruning of later reads.
+    A job adds its rows under a number of its own and then its mark: the range it loaded. Rows
+    count if their job has a mark and no later job loaded their time again, so a job replaces its
+    whole range, also where it finds nothing, and one that died half-way leaves no trace. Reads
+    compare what they need with the loaded ranges; what lies outside is computed from the
+    sources. Day partitions carry the time pruning.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
-    def _read(self, name: str) -> DataFrame | None:
+    # -- marks ----------------------------------------------------------------
+
+    def _marks(self, view: View) -> list[Row]:
+        """The loaded ranges in microseconds, in the order in which they were loaded."""
         try:
-            return self.spark.read.parquet(f"{self.path}/{name}")
+            marks = self.spark.read.schema(MARK).parquet(f"{self.path}/{view.name}/loaded").collect()
         except AnalysisException as missing:
-            if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        for mark in marks:
+            if mark["shape"] != shape(view):
+                raise ValueError(
+                    f"view {view.name} is stored as {mark['shape']} but declared as {shape(view)}; store it anew"
+                )
+        return sorted(marks, key=lambda m: m["run"])
 
     def has(self, view: View) -> bool:
-        return self._read(f"{view.name}/loaded") is not None
-
-    def _write(self, df: DataFrame, day, path: str) -> None:
-        dated = df.withColumn("day", F.date_format(day, "yyyy-MM-dd"))
-        (
-            dated.hint("rebalance", "day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(f"{self.path}/{path}")
-        )
+        return bool(self._marks(view))
+
+    def loaded(self, view: View) -> list[tuple[datetime, datetime]]:
+        """The loaded ranges, apart from one another and in order of time."""
+        joined: list[list[int]] = []
+        for low, high in sorted((m["low"], m["high"]) for m in self._marks(view)):
+            if joined and low <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], high)
+            else:
+                joined.append([low, high])
+        return [(moment_of(low), moment_of(high)) for low, high in joined]
+
+    def loaded_until(self, view: View) -> datetime | None:
+        """The end of what is loaded without a gap from the first stored range on."""
+        ranges = self.loaded(view)
+        return ranges[0][1] if ranges else None
+
+    def gaps(self, view: View, start: datetime | None, end: datetime | None) -> list[tuple]:
+        """The parts of ``[start, end)`` that are not loaded; None stands for no bound."""
+        at = None if start is None else moment_of(instant_micros(start))
+        until = None if end is None else moment_of(instant_micros(end))
+        out = []
+        for low, high in self.loaded(view):
+            if until is not None and low >= until:
+                break
+            if at is None or low > at:
+                out.append((at, low))
+            at = high if at is None else max(at, high)
+        if until is None or at is None or at < until:
+            out.append((at, until))
+        return out
+
+    # -- jobs -----------------------------------------------------------------
+
+    def _write(self, df: DataFrame, time, run: int, path: str) -> None:
+        marked = df.withColumns({"day": F.date_format(time, "yyyy-MM-dd"), RUN: F.lit(run)})
+        marked.hint("rebalance", "day").write.mode("append").partitionBy("day", RUN).parquet(f"{self.path}/{path}")
 
     def materialize(self, view: View, start: datetime, end: datetime) -> None:
-        """Compute and store one range. Its bounds lie on days and on tile intervals."""
-        steps = [DAY, view.interval] if view.aggregations else [DAY]
-        for step in steps:
-            if (start - EPOCH) % step or (end - EPOCH) % step:
-                raise ValueError(f"range {start} .. {end} does not lie on steps of {step}")
+        """Compute and store one range; the bounds of tiles lie on tile intervals."""
+        low, high = instant_micros(start), instant_micros(end)
+        if low >= high:
+            raise ValueError(f"range {start} .. {end} is empty")
+        if view.aggregations and (low % micros(view.interval) or high % micros(view.interval)):
+            raise ValueError(f"range {start} .. {end} does not lie on intervals of {view.interval}")
+        known = [m["run"] for m in self._marks(view)]
+        run = max([time.time_ns(), *(r + 1 for r in known)])
+        rows = between(view.frame(start, end), view.ts, start, end)
         if view.aggregations:
-            tiles = view.tiles(start, end)
+            several = len(view.tiles().parts()) > 1
+            rows = rows.persist() if several else rows
+            tiles = view.tiles_of(rows)
             for name, part in tiles.parts().items():
-                self._write(part, bucket_start(F.col(AT), view.interval), f"{view.name}/{name}")
+                self._write(part, bucket_start(F.col(AT), view.interval), run, f"{view.name}/{name}")
+            if several:
+                rows.unpersist()
         else:
-            rows = between(view.frame(start, end), view.ts, start, end)
-            self._write(rows, F.col(view.ts), f"{view.name}/rows")
-        # The load mark is written last: a range counts once its data is there.
-        mark = self.spark.createDataFrame([(start, end)], "start timestamp, end timestamp")
+            self._write(rows, F.col(view.ts), run, f"{view.name}/rows")
+        # The mark is written last: a range counts once its data is there.
+        mark = self.spark.createDataFrame([(low, high, run, shape(view))], MARK)
         mark.coalesce(1).write.mode("append").parquet(f"{self.path}/{view.name}/loaded")
 
     def backfill(self, view: View, start: datetime, end: datetime, jobs: int = 10) -> None:
+        """A history in at most ``jobs`` ranges of whole days or schedule periods."""
         step = max(DAY, view.interval if view.aggregations else view.schedule or DAY)
         for low, high in slices(start, end, jobs, step):
             self.materialize(view, low, high)
 
-    def incremental(self, view: View, day: datetime) -> None:
-        """The recurring job: one schedule period."""
-        self.materialize(view, day, day + (view.schedule or DAY))
+    def incremental(self, view: View, start: datetime) -> None:
+        """The recurring job: one schedule period, or a day without a schedule."""
+        self.materialize(view, start, start + (view.every or view.schedule or DAY))
 
     def emit_window(self, view: View, moment: datetime) -> None:
-        """Store finished values at one boundary, reading one longest window of source."""
-        if (moment - EPOCH) % view.interval:
+        """Store finished values at one boundary, reading one longest window of source.
+
+        Each boundary has a folder of its own, which a later run for it replaces.
+        """
+        at = instant_micros(moment)
+        if at % micros(view.interval):
             raise ValueError(f"{moment} is no boundary of {view.interval}")
         tiles = view.tiles(moment - view.reach, moment)
         done = current_values(tiles, list(view.aggregations), moment)
         done = done.withColumnRenamed("effective_ts", "window_end")
-        self._write(done, F.col("window_end"), f"{view.name}/finished")
+        done.write.mode("overwrite").parquet(f"{self.path}/{view.name}/finished/boundary={at}")
 
     def finished(self, view: View) -> DataFrame:
-        return self._read(f"{view.name}/finished").drop("day")
+        return self.spark.read.parquet(f"{self.path}/{view.name}/finished").drop("boundary")
 
-    def _days(self, name: str, start: datetime | None, end: datetime | None) -> DataFrame:
-        """Stored part, pruned to the day partitions a range touches."""
-        part = self._read(name)
+    # -- reads ----------------------------------------------------------------
+
+    def _part(self, view: View, name: str, like: DataFrame, time, start, end) -> DataFrame:
+        """One stored part of ``[start, end)``: pruned by day, without what jobs have replaced."""
+        marks = self._marks(view)
+        schema = T.StructType([*like.schema.fields, T.StructField("day", T.StringType()), T.StructField(RUN, T.LongType())])
+        try:
+            part = self.spark.read.schema(schema).parquet(f"{self.path}/{view.name}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return like.limit(0)
         if start is not None:
-            part = part.filter(F.col("day").cast("string") >= f"{start:%Y-%m-%d}")
+            part = part.filter((F.col("day") >= day_of(start)) & (time >= instant_micros(start)))
         if end is not None:
-            part = part.filter(F.col("day").cast("string") <= f"{end:%Y-%m-%d}")
-        return part.drop("day")
+            part = part.filter((F.col("day") <= day_of(end)) & (time < instant_micros(end)))
+        for i, mark in enumerate(marks):
+            if any(m["low"] < mark["high"] and mark["low"] < m["high"] for m in marks[:i]):
+                part = part.filter(~((F.col(RUN) < mark["run"]) & (time >= mark["low"]) & (time < mark["high"])))
+        runs = self.spark.read.schema(MARK).parquet(f"{self.path}/{view.name}/loaded").select(F.col("run").alias(RUN)).distinct()
+        return part.join(runs, RUN, "left_semi").select(*[f"`{c}`" for c in like.columns])
 
     def rows(self, view: View, start: datetime | None = None, end: datetime | None = None):
-        """Stored rows of the days from ``start`` to ``end``."""
-        return self._days(f"{view.name}/rows", start, end)
+        """Stored rows of ``[start, end)``."""
+        return self._part(view, "rows", view.frame(), F.unix_micros(F.col(view.ts).cast("timestamp")), start, end)
 
     def tiles(
         self, view: View, start: datetime | None = None, end: datetime | None = None
     ) -> TileSet:
-        """Stored tiles in the shape the view would compute them."""
-
-        def part(name: str) -> DataFrame:
-            return self._days(f"{view.name}/{name}", start, end)
-
-        plain = any(a.function in MERGED for a in view.aggregations)
-        return TileSet(
-            view.keys,
-            view.interval,
-            part("merged") if plain else None,
-            {
-                a.column: part(f"distinct_{a.column}")
-                for a in view.aggregations
-                if a.function == "distinct"
-            },
-            {
-                (a.column, a.size): part(f"recent{a.size}_{a.column}")
-                for a in view.aggregations
-                if a.function == "last"
-            },
-        )
-
-    def loaded_until(self, view: View) -> datetime | None:
-        """Load mark: the end of the newest stored range."""
-        loaded = self._read(f"{view.name}/loaded")
-        if loaded is None:
-            return None
-        return loaded.agg(F.max(F.col("end").cast("timestamp_ntz"))).first()[0]
+        """Stored tiles in the shape the view would compute them, whole where they touch the range."""
+        step = micros(view.interval)
+        if start is not None:
+            start = moment_of(instant_micros(start) // step * step)
+        time = F.col(AT) * F.lit(step)
+        like = view.tiles()
+        return like.replace({n: self._part(view, n, df, time, start, end) for n, df in like.parts().items()})
+
+    def rows_or_computed(self, view: View, start, end) -> DataFrame:
+        """The rows of a range: stored ones, and computed ones where nothing is loaded."""
+        found = self.rows(view, start, end)
+        for low, high in self.gaps(view, start, end):
+            found = found.unionByName(between(view.frame(low, high), view.ts, low, high))
+        return found
+
+    def tiles_or_computed(self, view: View, start, end) -> TileSet:
+        """The tiles of a range: stored ones, and computed ones where nothing is loaded."""
+        found = self.tiles(view, start, end)
+        for low, high in self.gaps(view, start, end):
+            more = view.tiles(low, high).parts()
+            found = found.replace({n: df.unionByName(more[n]) for n, df in found.parts().items()})
+        return found

@@ -49,6 +49,7 @@ class View:
     interval: timedelta = CONTINUOUS
     start: datetime | None = None
     columns: tuple[str, ...] = ()
+    every: timedelta | None = None
 
     def __post_init__(self):
         if self.mode not in ("sql", "frame"):
@@ -91,8 +92,15 @@ class View:
 
     def frame(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Rows of the view over the sources' time range ``[start, end)``."""
-        start = start or self.start
-        return self._apply({s.name: s.read(start, end) for s in self.sources})
+        start = self._from(start)
+        rows = self._apply({s.name: s.read(start, end) for s in self.sources})
+        return between(rows, self.ts, self.start, None)
+
+    def _from(self, start: datetime | None) -> datetime | None:
+        """A range's start, no earlier than the view's own."""
+        if start is None or self.start is None:
+            return start or self.start
+        return max(start, self.start, key=instant_micros)
 
     def stream(self) -> DataFrame:
         """The same transform on the sources' streams."""
@@ -137,7 +145,9 @@ class View:
         )
 
     def tiles(self, start: datetime | None = None, end: datetime | None = None) -> TileSet:
-        rows = between(self.frame(start, end), self.ts, start, end)
+        return self.tiles_of(between(self.frame(start, end), self.ts, start, end))
+
+    def tiles_of(self, rows: DataFrame) -> TileSet:
         return build_tiles(rows, list(self.keys), self.ts, list(self.aggregations), self.interval)
 
     def latest(self, moment: datetime | None = None, store=None) -> DataFrame:
@@ -193,14 +203,14 @@ class View:
         """Rows for a period, from a store that holds the view or else computed."""
         start, end = self.reads(period)
         if store is not None and store.has(self):
-            return store.rows(self, start, end)
+            return store.rows_or_computed(self, start, end)
         return between(self.frame(start, end), self.ts, start, end)
 
     def part(self, store, period, prefix: str):
         """Prefix, tiles for a period and aggregates, as the joins take them."""
         start, end = self.reads(period)
         if store is not None and store.has(self):
-            tiles = store.tiles(self, start, end)
+            tiles = store.tiles_or_computed(self, start, end)
         else:
             tiles = self.tiles(start, end)
         return prefix, tiles, list(self.aggregations)
@@ -239,8 +249,7 @@ class View:
         read_from = start
         if start is not None and widen:
             read_from = start - self.reach
-        if self.start is not None:
-            read_from = max(read_from or self.start, self.start)
+        read_from = self._from(read_from)
         low = None if start is None else boundary(start, self.interval)
         high = None if end is None else boundary(end, self.interval)
         tiles = tiles or self.tiles(read_from, end)
@@ -269,10 +278,12 @@ def window_complete(end, window: timedelta, read_from: datetime | None):
     return F.unix_micros(end) >= F.lit(first)
 
 
-def coverage(df: DataFrame, ts: str, interval: timedelta, loaded_until: datetime) -> DataFrame:
-    """Whether stored tiles reach up to each row: its boundary against the load mark."""
+def coverage(df: DataFrame, ts: str, interval: timedelta, loaded: list[tuple[datetime, datetime]]) -> DataFrame:
+    """Whether stored tiles reach up to each row: its boundary against the loaded ranges."""
     end = bucket_start(bucket(F.col(ts), interval), interval)
-    covered = F.unix_micros(end) <= F.lit(instant_micros(loaded_until))
+    at, covered = F.unix_micros(end), F.lit(False)
+    for low, high in loaded:
+        covered = covered | at.between(instant_micros(low), instant_micros(high))
     return df.withColumns({"boundary": end, "covered": covered})
 
 
@@ -306,6 +317,7 @@ def batch_view(
             tuple(aggregations or ()),
             (interval or schedule) if aggregations else CONTINUOUS,
             start,
+            every=schedule,
         )
 
     return declare

@@ -96,6 +96,12 @@ SELECT * FROM w"""
 ORACLES["amount_metrics"] = f"""WITH {TXN}, {windows('w', 'user_id', '10 MINUTE', AMOUNTS)}
 SELECT * FROM w"""
 ORACLES["from_source_parity"] = ORACLES["amount_metrics"]
+ORACLES["partly_loaded_store"] = ORACLES["amount_metrics"]
+LATE = windows("w", "user_id", "10 MINUTE", AMOUNTS).replace(
+    "LEFT JOIN txn f ON", """LEFT JOIN txn f ON f."timestamp" >= TIMESTAMP '2024-01-15' AND"""
+)
+ORACLES["view_start_respected"] = f"""WITH {TXN}, {LATE}
+SELECT * FROM w"""
 ORACLES["adhoc_from_source"] = f"""WITH {TXN}, {windows('amounts', 'user_id', '10 MINUTE', AMOUNTS)}
 SELECT event_id, {prefixed('amounts', AMOUNTS)} FROM amounts"""
 ORACLES["user_txn_counts"] = f"""WITH {TXN}, {windows('w', 'user_id', '1 DAY', COUNTS)}
@@ -276,7 +282,9 @@ FROM txn WHERE "timestamp" >= TIMESTAMP '2024-01-15' AND "timestamp" < TIMESTAMP
 GROUP BY ALL"""
 ORACLES["coverage_report"] = f"""WITH {TXN}
 SELECT event_id, time_bucket(INTERVAL 5 MINUTE, "timestamp") AS boundary FROM txn
-WHERE time_bucket(INTERVAL 5 MINUTE, "timestamp") > TIMESTAMP '2024-01-25'"""
+WHERE time_bucket(INTERVAL 5 MINUTE, "timestamp") > TIMESTAMP '2024-01-25'
+  OR time_bucket(INTERVAL 5 MINUTE, "timestamp") > TIMESTAMP '2024-01-10'
+  AND time_bucket(INTERVAL 5 MINUTE, "timestamp") < TIMESTAMP '2024-01-12'"""
 ORACLES["partition_pruned_spine"] = f"""WITH {TXN}
 SELECT event_id, user_id, merchant, "timestamp", amt, '01' AS partition_1, '15' AS partition_2
 FROM txn WHERE date_trunc('day', "timestamp") = TIMESTAMP '2024-01-15'"""

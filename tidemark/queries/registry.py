@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -332,6 +333,23 @@ def from_source_parity(fraud):
     return keyed(done, view.features)
 
 
+@query
+def partly_loaded_store(fraud):
+    """One stored day out of a month; the rest comes from the source."""
+    store = Store(fraud.spark, workdir(fraud.spark, "store"))
+    store.incremental(fraud.amounts, ONE_DAY)
+    done = fraud.amounts.historical(fraud.spine, "timestamp", store=store)
+    return keyed(done, fraud.amounts.features)
+
+
+@query
+def view_start_respected(fraud):
+    """A view that starts at a day counts nothing from before it, stored or not."""
+    view = replace(fraud.amounts, start=ONE_DAY)
+    done = view.historical(fraud.spine, "timestamp")
+    return keyed(done, view.features)
+
+
 @query
 def adhoc_from_source(fraud):
     """A service with nothing stored falls back to the sources."""
@@ -364,10 +382,11 @@ def incremental_day(fraud):
 
 @query
 def coverage_report(fraud):
-    """Transactions whose windows the stored tiles do not reach yet."""
+    """Transactions whose windows the stored tiles do not reach: a gap, and the last days."""
     view = fraud.hourly
-    store = _stored(fraud, view, 1, until=datetime(2024, 1, 25))
-    checked = coverage(fraud.spine, "timestamp", view.interval, store.loaded_until(view))
+    store = _stored(fraud, view, 1, until=datetime(2024, 1, 10))
+    store.materialize(view, datetime(2024, 1, 12), datetime(2024, 1, 25))
+    checked = coverage(fraud.spine, "timestamp", view.interval, store.loaded(view))
     return checked.filter(~F.col("covered")).select("event_id", "boundary")
 
 
