@@ -3,11 +3,12 @@ from __future__ import annotations
 import json
 
 import pytest
-from help import EVENT, HOUR, MINUTE, plain, random_events
+from help import EVENT, HOUR, MINUTE, at, plain, random_events
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate
+from tidemark.operators.lookup import current_values
 from tidemark.plans.views import stream_view
 from tidemark.sources import push
 from tidemark.sources.tables import Source, stream_from
@@ -19,6 +20,7 @@ from tidemark.streaming.jobs import (
     fold_tiles,
     latest_stream,
     row_stream,
+    stream_current,
     stream_latest,
     stream_rows,
     stream_tiles,
@@ -106,12 +108,16 @@ def test_restart_retry_and_folding(spark, tmp_path):
     view = mixed(later)
     finish(tile_stream(view, out))
     assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
-    # A retried batch overwrites itself.
-    log = BatchLog(spark, f"{out}/merged")
-    again = spark.read.parquet(f"{out}/merged/batches").filter("batch = 3").drop("batch")
-    log.write(spark.createDataFrame(again.collect(), again.schema), 3)
+    # A retried batch counts once, whether it is folded or not.
+    log = BatchLog(spark, out)
+    again = spark.read.parquet(f"{out}/merged/batches/batch=3")
+    names = list(view.tiles().parts())
+    log.write({"merged": spark.createDataFrame(again.collect(), again.schema)}, 3)
     assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
     fold_tiles(spark, view, out)
+    log.write({"merged": spark.createDataFrame(again.collect(), again.schema)}, 3)
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+    log.prune(names)
     assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
 
 
@@ -259,8 +265,52 @@ def test_pushed_records_feed_aggregates(spark, tmp_path):
 
 def test_log_reads_batches_in_any_order(spark, tmp_path):
     log = BatchLog(spark, str(tmp_path / "log"))
+
+    def number(n):
+        return {"part": spark.createDataFrame([(n,)], "x long")}
+
     for n in (10, 2, 1):
-        log.write(spark.createDataFrame([(n,)], "x long"), n)
-    log.fold(lambda df: df.agg(F.sum("x").alias("x")))
-    log.write(spark.createDataFrame([(100,)], "x long"), 11)
-    assert sorted(r.x for r in log.read().collect()) == [13, 100]
+        log.write(number(n), n)
+    log.fold({"part": lambda df: df.agg(F.sum("x").alias("x"))})
+    log.write(number(100), 11)
+    assert sorted(r.x for r in log.read("part").collect()) == [13, 100]
+
+
+def test_a_batch_that_ends_during_a_fold_counts_once(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"))
+
+    def both(n):
+        return {p: spark.createDataFrame([(n,)], "x long") for p in ("a", "b")}
+
+    log.write(both(1), 0)
+
+    def merge(df):
+        log.write(both(100), 1)
+        return df.agg(F.sum("x").alias("x"))
+
+    log.fold({"a": merge, "b": merge})
+    for part in ("a", "b"):
+        assert sorted(r.x for r in log.read(part).collect()) == [1, 100]
+    log.fold({p: lambda df: df.agg(F.sum("x").alias("x")) for p in ("a", "b")})
+    log.prune(["a", "b"])
+    assert [r.x for r in log.read("a").collect()] == [101]
+
+
+def test_a_batch_without_its_mark_is_not_read(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"))
+    log.write({"a": spark.createDataFrame([(1,)], "x long")}, 0)
+    spark.createDataFrame([(9,)], "x long").write.parquet(f"{log.path}/a/batches/batch=1")
+    assert [r.x for r in log.read("a").collect()] == [1]
+    log.write({"a": spark.createDataFrame([(2,)], "x long")}, 1)
+    assert sorted(r.x for r in log.read("a").collect()) == [1, 2]
+
+
+def test_latest_of_an_aggregating_view_comes_from_tiles(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "mixed")
+    view, out = mixed(source), str(tmp_path / "out")
+    with pytest.raises(ValueError, match="aggregates"):
+        latest_stream(view, out)
+    finish(tile_stream(view, out))
+    moment = at(400)
+    want = current_values(view.tiles(), list(view.aggregations), moment)
+    assert plain(stream_current(spark, view, out, moment)) == plain(want)

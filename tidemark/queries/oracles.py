@@ -328,6 +328,14 @@ ORACLES["stream_tiles_5m"] = f"""WITH {TXN}
 SELECT user_id, time_bucket(INTERVAL 5 MINUTE, "timestamp") AS tile_start,
   count(*) AS n_over_50, CAST(sum(CAST(amt > 50 AS INT)) AS BIGINT) AS s_over_50
 FROM txn GROUP BY ALL"""
+ORACLES["stream_tiles_shuffled"] = ORACLES["stream_tiles_5m"]
+NOON = "TIMESTAMP '2024-01-20 12:00:00'"
+AT_NOON = ", ".join(
+    agg.format(f"""f."timestamp" >= {NOON} - INTERVAL {w}""") + f" AS {c}" for c, (agg, w) in AMOUNTS.items()
+)
+ORACLES["stream_latest_counts"] = f"""WITH {TXN}
+SELECT user_id, {AT_NOON} FROM txn f
+WHERE f."timestamp" < {NOON} AND f."timestamp" >= {NOON} - INTERVAL 3 DAY GROUP BY user_id"""
 ORACLES["stream_latest_card"] = f"""WITH {CARDS}
 SELECT user_id, max(signup_timestamp) AS signup_timestamp, arg_max(cc_num, signup_timestamp) AS cc_num,
   arg_max(issuer, signup_timestamp) AS issuer FROM cards GROUP BY user_id"""

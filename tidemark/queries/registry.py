@@ -37,8 +37,10 @@ from tidemark.sources.tables import (
 from tidemark.streaming.jobs import (
     Preview,
     finish,
+    fold_tiles,
     latest_stream,
     row_stream,
+    stream_current,
     stream_latest,
     stream_rows,
     stream_tiles,
@@ -472,6 +474,37 @@ def stream_tiles_5m(fraud):
     return tiles.select("user_id", start, "n_over_50", "s_over_50")
 
 
+def _shuffled(fraud: Fraud, view, files: int = 4):
+    """The view over its events dealt into files at random, one file per micro-batch."""
+    path = f"{workdir(fraud.spark, 'shuffled')}/events"
+    fraud.txn.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+    schema = fraud.txn.schema
+    stream = lambda: fraud.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return replace(view, sources=(replace(fraud.txn_source, stream=stream),))
+
+
+@query
+def stream_tiles_shuffled(fraud):
+    """Late events in every batch, and a fold before the last reading."""
+    view = _shuffled(fraud, fraud.over_50_flags)
+    path = workdir(fraud.spark, "tiles")
+    finish(tile_stream(view, path))
+    fold_tiles(fraud.spark, view, path)
+    tiles = stream_tiles(fraud.spark, view, path).merged
+    start = bucket_start(F.col(AT), view.interval).alias("tile_start")
+    return tiles.select("user_id", start, "n_over_50", "s_over_50")
+
+
+@query
+def stream_latest_counts(fraud):
+    """Latest values of an aggregating stream view at one moment."""
+    view = _shuffled(fraud, fraud.amounts)
+    path = workdir(fraud.spark, "tiles")
+    finish(tile_stream(view, path))
+    done = stream_current(fraud.spark, view, path, datetime(2024, 1, 20, 12))
+    return done.select("user_id", *[F.round(c, 6).alias(c) for c in view.features])
+
+
 @query
 def stream_asof(fraud):
     """Values as of each transaction, finished from tiles a stream has written."""

@@ -1,8 +1,7 @@
 """Streaming jobs: partial tiles, latest values, previews.
 
-Each micro-batch writes its own partial result under its batch number. A retried batch
-overwrites its folder, and late events simply land in a later partial of the same tile,
-so nothing is dropped and nothing counts twice. Readers merge the partials; a periodic
+Each micro-batch writes its own partial result under its batch number, once. Late events
+simply land in a later partial of the same tile, so nothing is dropped and nothing counts twice. Readers merge the partials; a periodic
 batch job folds old ones together.
 """
 
@@ -10,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.operators.asof import latest
+from tidemark.operators.asof import FeatureTable, latest
+from tidemark.operators.lookup import current_values
 from tidemark.operators.tiles import TileSet, build_tiles, merge_tiles
 from tidemark.plans.views import View
 from tidemark.session import workdir
@@ -26,8 +27,10 @@ from tidemark.session import workdir
 class BatchLog:
     """Partial results by batch number, and bases that fold all batches up to a number.
 
-    A batch counts once its mark is there, which is written after its data. Batches run
-    one after another, so everything up to the highest mark is whole.
+    A result may have several named parts. A batch counts once its mark is there, which is
+    written after all its parts, so readers see either all of them or none. Batches run one after
+    another, so everything up to the highest mark is whole. A batch that has its mark is never
+    written again: a retry of it would only repeat what is there.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -38,50 +41,80 @@ class BatchLog:
         mark = self.spark.createDataFrame([(number,)], "number long").coalesce(1)
         mark.write.mode("append").parquet(f"{self.path}/{kind}")
 
-    def _highest(self, kind: str) -> int | None:
+    def _marked(self, kind: str, above: int = -1) -> list[int]:
+        """Marks above a number: those since the last fold, not all there ever were."""
         try:
-            marks = self.spark.read.parquet(f"{self.path}/{kind}")
+            marks = self.spark.read.schema("number long").parquet(f"{self.path}/{kind}")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-        return marks.agg(F.max("number")).first()[0]
+        return sorted(r[0] for r in marks.filter(F.col("number") > above).distinct().collect())
 
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
+    def _folded(self) -> int:
+        return max(self._marked("folded"), default=-1)
+
+    def write(self, parts: dict[str, DataFrame], batch: int) -> None:
+        if batch <= self._folded() or batch in self._marked("written", batch - 1):
+            return
+        for name, df in parts.items():
+            df.write.mode("overwrite").parquet(f"{self.path}/{name}/batches/batch={batch}")
         self._mark("written", batch)
 
-    def _upto(self) -> int:
-        marks = [m for m in (self._highest("written"), self._highest("folded")) if m is not None]
-        if not marks:
+    def upto(self) -> int:
+        """The newest whole batch."""
+        folded = self._folded()
+        written = self._marked("written", folded)
+        if folded < 0 and not written:
             raise ValueError(f"nothing written yet under {self.path}")
-        return max(marks)
+        return max([folded, *written])
 
-    def read(self) -> DataFrame:
-        """The newest base and all whole batches after it.
+    def read(self, name: str, upto: int | None = None) -> DataFrame:
+        """One part: the newest base, and the whole batches after it up to a number.
 
-        Folders and marks of batches up to the newest base are not needed any more; a
-        retention job may delete them.
+        Only folders above the base are listed. Readers of several parts take ``upto`` once.
         """
-        upto, folded = self._upto(), self._highest("folded")
+        upto = self.upto() if upto is None else upto
+        folded = max([n for n in self._marked("folded") if n <= upto], default=-1)
         parts = []
-        if folded is not None:
-            parts.append(self.spark.read.parquet(f"{self.path}/bases/upto={folded}"))
-        if folded is None or folded < upto:
-            number = F.col("batch").cast("long")
-            after = F.lit(True) if folded is None else number > folded
-            batches = self.spark.read.parquet(f"{self.path}/batches")
-            parts.append(batches.filter((number <= upto) & after).drop("batch"))
+        if folded >= 0:
+            parts.append(self.spark.read.parquet(f"{self.path}/{name}/bases/upto={folded}"))
+        folders = [
+            f"{self.path}/{name}/batches/batch={n}" for n in self._marked("written", folded) if n <= upto
+        ]
+        if folders:
+            parts.append(self.spark.read.parquet(*folders))
         return reduce(DataFrame.unionByName, parts)
 
-    def fold(self, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Merge all whole batches into a new base. Readers switch once its mark is there."""
-        upto = self._upto()
-        if upto == self._highest("folded"):
+    def fold(self, merge: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
+        """Merge all whole batches of every part into a new base.
+
+        The number is taken once, so a batch that ends meanwhile stays above the base. Readers
+        switch once the mark is there, which is written after all parts.
+        """
+        upto = self.upto()
+        if upto == self._folded():
             return
-        merge(self.read()).write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto}")
+        for name, work in merge.items():
+            work(self.read(name, upto)).write.mode("overwrite").parquet(f"{self.path}/{name}/bases/upto={upto}")
         self._mark("folded", upto)
 
+    def prune(self, names: list[str]) -> None:
+        """Delete the folders of older bases and of the batches in the newest one.
+
+        For a time at which no reader still reads them.
+        """
+        folded = self._folded()
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            for kind, last in (("batches", folded), ("bases", folded - 1)):
+                top = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/{kind}")
+                files = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+                for status in files.listStatus(top) if files.exists(top) else []:
+                    number = status.getPath().getName().partition("=")[2]
+                    if number and int(number) <= last:
+                        files.delete(status.getPath(), True)
+
 
 def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -102,8 +135,7 @@ def tile_stream(view: View, path: str, every: str | None = None) -> StreamingQue
     def write(batch: DataFrame, number: int) -> None:
         if several:
             batch = batch.persist()
-        for name, part in build_tiles(batch, *wanted).parts().items():
-            BatchLog(batch.sparkSession, f"{path}/{name}").write(part, number)
+        BatchLog(batch.sparkSession, path).write(build_tiles(batch, *wanted).parts(), number)
         if several:
             batch.unpersist()
 
@@ -112,30 +144,39 @@ def tile_stream(view: View, path: str, every: str | None = None) -> StreamingQue
 
 
 def stream_tiles(spark: SparkSession, view: View, path: str) -> TileSet:
-    """Whole tiles from everything the stream has written."""
-    shape = view.tiles()
-    stored = {name: BatchLog(spark, f"{path}/{name}").read() for name in shape.parts()}
-    return merge_tiles(shape.replace(stored))
+    """Whole tiles from everything the stream has written, all parts up to the same batch."""
+    shape, log = view.tiles(), BatchLog(spark, path)
+    upto = log.upto()
+    return merge_tiles(shape.replace({name: log.read(name, upto) for name in shape.parts()}))
 
 
 def fold_tiles(spark: SparkSession, view: View, path: str) -> None:
     shape = view.tiles()
-    for name in shape.parts():
 
-        def merge(df: DataFrame, name=name) -> DataFrame:
-            alone = shape.replace({**shape.parts(), name: df})
-            return merge_tiles(alone).parts()[name]
+    def merger(name: str) -> Callable[[DataFrame], DataFrame]:
+        def merge(df: DataFrame) -> DataFrame:
+            return merge_tiles(shape.replace({**shape.parts(), name: df})).parts()[name]
+
+        return merge
+
+    BatchLog(spark, path).fold({name: merger(name) for name in shape.parts()})
 
-        BatchLog(spark, f"{path}/{name}").fold(merge)
+
+def _row_table(view: View) -> FeatureTable:
+    """The view as a table of all its columns, so that partials resolve ties as the whole does."""
+    if view.aggregations:
+        raise ValueError(f"view {view.name} aggregates: its latest values come from its tiles")
+    table = view.table()
+    return replace(table, features=table.order)
 
 
 def latest_stream(view: View, path: str, every: str | None = None) -> StreamingQuery:
     """Keep the newest feature row per key, as per-batch partials under ``path``."""
-    table, keys = view.table(), list(view.keys)
+    table, keys = _row_table(view), list(view.keys)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = replace(table, frame=batch)
-        BatchLog(batch.sparkSession, f"{path}/latest").write(latest(rows, keys), number)
+        rows = latest(replace(table, frame=batch), keys)
+        BatchLog(batch.sparkSession, f"{path}/newest").write({"latest": rows}, number)
 
     writer = view.stream().writeStream.foreachBatch(write)
     return _start(writer, f"{path}/checkpoint-latest", every)
@@ -143,17 +184,19 @@ def latest_stream(view: View, path: str, every: str | None = None) -> StreamingQ
 
 def stream_latest(spark: SparkSession, view: View, path: str) -> DataFrame:
     """The newest row per key over everything the stream has written."""
-    rows = BatchLog(spark, f"{path}/latest").read()
+    rows = BatchLog(spark, f"{path}/newest").read("latest")
     return latest(replace(view.table(), frame=rows), list(view.keys))
 
 
-def fold_latest(spark: SparkSession, view: View, path: str) -> None:
-    table, keys = view.table(), list(view.keys)
+def stream_current(spark: SparkSession, view: View, path: str, moment: datetime) -> DataFrame:
+    """The values of an aggregating view per key at a moment, finished from its stream's tiles."""
+    return current_values(stream_tiles(spark, view, path), list(view.aggregations), moment)
 
-    def merge(df: DataFrame) -> DataFrame:
-        return latest(replace(table, frame=df), keys)
 
-    BatchLog(spark, f"{path}/latest").fold(merge)
+def fold_latest(spark: SparkSession, view: View, path: str) -> None:
+    table, keys = _row_table(view), list(view.keys)
+    log = BatchLog(spark, f"{path}/newest")
+    log.fold({"latest": lambda df: latest(replace(table, frame=df), keys)})
 
 
 def row_stream(view: View, path: str, every: str | None = None) -> StreamingQuery:
