@@ -245,3 +245,20 @@ def test_schedule_longer_than_a_day(spark, source, tmp_path):
     store = Store(spark, str(tmp_path))
     store.backfill(slow, FIRST, LAST, 3)
     assert plain(store.tiles(slow).merged) == plain(slow.tiles().merged)
+
+
+def test_lookups_read_published_values(spark, source, tmp_path):
+    store, moment = Store(spark, str(tmp_path)), FIRST + 3 * DAY
+    requests = spark.createDataFrame([(0, "hot"), (1, "k1"), (2, "none")], "id int, k string")
+    service = Service.of("s", [row_view(source), mixed_view(source)])
+    want = plain(service.lookup(requests, moment, effective=True))
+    for view in service.features:
+        for at_ in (FIRST + DAY, moment):
+            store.publish(view, at_)
+    shots = {v.name: store.published(v, moment, f"{v.name}__") for v in service.features}
+    found = service.lookup(requests, moment, snapshots=shots, effective=True)
+    assert plain(found) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "ExistingRDD[k" not in plan.replace("ExistingRDD[id", "")
+    with pytest.raises(ValueError, match="nothing published"):
+        store.published(row_view(source), FIRST)

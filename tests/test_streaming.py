@@ -217,9 +217,8 @@ def test_envelope_is_taken_apart(spark):
 
 def test_dry_run_reports_and_writes_nothing(spark, tmp_path):
     bad = {"clicks": [{"timestamp": day(1), "word": "a", "n": "many"}], "unknown": [{"x": 1}]}
-    records = push.unpack(
-        frame(spark, envelope(True, **SAMPLE), envelope(False, **bad), "not json", "{}")
-    )
+    pushed = frame(spark, envelope(True, **SAMPLE), envelope(False, **bad), "not json", "{}")
+    records = push.unpack(pushed)
     got = {(r.source, r.dry_run): (r.n_good, r.n_bad) for r in push.report(records, schemas()).collect()}
     assert got == {
         ("clicks", True): (2, 0),
@@ -227,14 +226,26 @@ def test_dry_run_reports_and_writes_nothing(spark, tmp_path):
         ("clicks", False): (0, 1),
         ("unknown", False): (0, 1),
     }
-    push.ingest(records, schemas(), str(tmp_path / "in"))
-    assert spark.read.schema(CLICK).parquet(str(tmp_path / "in" / "clicks")).count() == 0
+    path = str(tmp_path / "in")
+    push.ingest(pushed, schemas(), path, "1")
+    assert spark.read.schema(CLICK).parquet(f"{path}/clicks").count() == 0
+    reasons = sorted((r.source, r.reason) for r in spark.read.parquet(f"{path}/_rejected").collect())
+    assert reasons == [("clicks", "does not fit"), ("unknown", "unknown source")]
+    assert sorted(r.envelope for r in spark.read.parquet(f"{path}/_malformed").collect()) == ["not json", "{}"]
+
+
+def test_records_without_their_time_are_kept_aside(spark, tmp_path):
+    path = str(tmp_path / "in")
+    pushed = frame(spark, envelope(False, clicks=[{"word": "a", "n": 1}, {"timestamp": day(1), "word": "b", "n": 2}]))
+    push.ingest(pushed, schemas(), path, "1", required={"clicks": "timestamp"})
+    assert [r.word for r in spark.read.parquet(f"{path}/clicks").collect()] == ["b"]
+    assert [r.reason for r in spark.read.parquet(f"{path}/_rejected").collect()] == ["no timestamp"]
 
 
 def test_accepted_records_are_written_per_source(spark, tmp_path):
     path = str(tmp_path / "in")
-    for _ in range(2):
-        push.ingest(push.unpack(frame(spark, envelope(False, **SAMPLE))), schemas(), path)
+    for run in ("a", "b", "a"):  # a run that is tried again counts once
+        push.ingest(frame(spark, envelope(False, **SAMPLE)), schemas(), path, run)
     assert spark.read.parquet(f"{path}/clicks").count() == 4
     assert spark.read.parquet(f"{path}/visits").agg(F.sum("n")).first()[0] == 20
 

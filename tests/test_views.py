@@ -467,3 +467,61 @@ def test_a_skewed_point_is_split_in_every_join(spark, source):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_service_of_request_features_only_can_be_looked_up(spark):
+    request = Request.of("r", "amt double")
+
+    @on_demand(inputs=[request], mode="native", schema="big boolean")
+    def check(r):
+        return {"big": r["amt"] > 10}
+
+    service = Service.of("only", [check])
+    rows = spark.createDataFrame([(1, 5.0), (2, 50.0)], "id int, amt double")
+    got = service.lookup(rows, at(0)).orderBy("id").collect()
+    assert [r["check__big"] for r in got] == [False, True]
+
+
+def test_two_views_of_one_name_are_refused(spark):
+    events = Source("events", spark.createDataFrame([("a", at(0), 1.0, "x")], EVENT), "t")
+
+    def declare(column):
+        @stream_view(source=events, keys=["k"], ts="t", interval=HOUR, aggregations=[Aggregate(column, "count", DAY)])
+        def same(events):
+            return f"SELECT k, t, {column} FROM {events}"
+
+        return same
+
+    with pytest.raises(ValueError, match="named same"):
+        Service.of("two", [declare("v"), declare("s")]).join_keys
+
+
+def test_nested_values_in_csv(spark, tmp_path):
+    from tidemark.operators.export import csv_lines, read_csv, write_csv
+
+    rows = spark.createDataFrame([(1, ["a", "b"], 2.0)], "id int, names array<string>, v double")
+    assert csv_lines(rows, ["names", "v"], ["id"]).first()["line"] == '"[\\"a\\",\\"b\\"]",2.0'
+    write_csv(rows, str(tmp_path / "csv"))
+    back = read_csv(spark, str(tmp_path / "csv"), "id int, names string, v double")
+    assert back.first()["names"] == '["a","b"]'
+
+
+def test_text_times(spark):
+    from tidemark.sources.tables import with_times, zoneless
+
+    rows = spark.createDataFrame([("2024-01-01 00:05:00",), ("never",), (None,)], "t string")
+    assert [r.t for r in zoneless(with_times(rows, None, "t")).collect()] == [at(5), None, None]
+
+
+def test_ties_resolve_the_same_for_some_features_as_for_all(spark):
+    rows = [("a", at(0), 2.0, "Z"), ("a", at(0), 3.0, "A")]
+    events = Source("events", spark.createDataFrame(rows, EVENT), "t")
+
+    @batch_view(sources=[events], keys=["k"], ts="t", schedule=DAY)
+    def tied(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    spine = spark.createDataFrame([(0, "a", at(0) + 2 * DAY)], "id int, k string, t timestamp")
+    whole, part = tied.historical(spine, "t").first(), tied[["s"]].historical(spine, "t").first()
+    assert (whole["v"], whole["s"], part["s"]) == (3.0, "A", "A")
+    assert tied[["s"]].latest().first()["s"] == "A"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 # Times keep their microseconds.
 _TIMES = {
@@ -13,8 +13,16 @@ _TIMES = {
 }
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Lists, maps and structs as JSON text, which CSV has no other way to hold."""
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    options = {"ignoreNullFields": "false", **_TIMES}
+    return df.withColumns({n: F.to_json(F.col(f"`{n}`"), options) for n in nested}) if nested else df
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
-    df.write.mode("overwrite").options(**_TIMES).option("header", header).csv(path)
+    """Rows as CSV files; nested values are JSON text and are read back as text."""
+    _flat(df).write.mode("overwrite").options(**_TIMES).option("header", header).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = False) -> DataFrame:
@@ -27,7 +35,9 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def csv_lines(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     """One CSV line per row, without a header."""
-    return df.select(*keep, F.to_csv(F.struct(*names), _TIMES).alias("line"))
+    places = [f"_value{i}" for i in range(len(names))]
+    packed = _flat(df.select(*keep, *[F.col(n).alias(p) for n, p in zip(names, places)]))
+    return packed.select(*keep, F.to_csv(F.struct(*places), _TIMES).alias("line"))
 
 
 def json_lines(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ One declaration, three ways to write the function:
 
 * ``native``: mappings of columns in, mapping of columns out. Stays in the JVM.
 * ``pandas``: pandas frames in, pandas frame out, one Arrow batch at a time.
-* ``python``: dicts in, dict out, one row at a time.
+* ``python``: dicts in, dict out, one row at a time, sent in Arrow batches.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def _rows(body: Callable, schema: T.StructType):
     def call(*structs):
         return body(*[s.asDict() for s in structs])
 
-    return F.udf(call, schema)
+    return F.udf(call, schema, useArrow=True)
 
 
 def _pandas(body: Callable, schema: T.StructType):

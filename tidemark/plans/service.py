@@ -145,6 +145,7 @@ class Service:
         store=None,
         snapshots: dict[str, Snapshot] | None = None,
         effective: bool = False,
+        spark: SparkSession | None = None,
     ) -> DataFrame:
         """The latest features for a batch of requests: keys, and request columns if needed.
 
@@ -152,7 +153,8 @@ class Service:
         if given there, else from the store or the sources.
         """
         views = self._views()
-        df = spine_of(views[0].sources[0].batch.sparkSession, requests)
+        spark = spark or (views[0].sources[0].batch.sparkSession if views else None)
+        df = spine_of(spark, requests)
         for request in [r for o in self._on_demand() for r in o.requests]:
             df = request.apply(df)
         given = snapshots or {}
@@ -207,7 +209,17 @@ def on_demand_historical(item: OnDemand, spine, ts: str, **options) -> DataFrame
     return done.withColumnsRenamed({f"{item.name}{SEP}{f}": f for f in item.features})
 
 
+def _code(view: View) -> tuple:
+    """What the body of a view does: its code and what it encloses."""
+    cells = getattr(view.body, "__closure__", None) or ()
+    return getattr(view.body, "__code__", view.body), tuple(c.cell_contents for c in cells)
+
+
 def _merged(a: View, b: View) -> View:
+    """One lookup for two subsets of a view; two views of one name are an error."""
+    rest = {"aggregations": (), "columns": (), "body": None}
+    if replace(a, **rest) != replace(b, **rest) or _code(a) != _code(b):
+        raise ValueError(f"two different views are named {a.name}")
     if a.aggregations:
         return replace(a, aggregations=tuple(dict.fromkeys(a.aggregations + b.aggregations)))
     return replace(a, columns=tuple(dict.fromkeys(a.features + b.features)))

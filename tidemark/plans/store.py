@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.time import EPOCH, bucket_start, instant_micros, micros
-from tidemark.operators.lookup import current_values
+from tidemark.operators.lookup import Snapshot, current_values
 from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet
 from tidemark.plans.views import View
@@ -167,6 +167,26 @@ class Store:
         done = done.withColumnRenamed("effective_ts", "window_end")
         done.write.mode("overwrite").parquet(f"{self.path}/{view.name}/finished/boundary={at}")
 
+    def publish(self, view: View, moment: datetime) -> None:
+        """Keep the view's values per key at a moment as a table that lookups read.
+
+        Each moment has a folder of its own, which a later run for it replaces; its mark follows.
+        """
+        at = instant_micros(moment)
+        frame = view.snapshot(moment, self).frame
+        frame.write.mode("overwrite").parquet(f"{self.path}/{view.name}/latest/at={at}")
+        mark = self.spark.createDataFrame([(at,)], "at long")
+        mark.coalesce(1).write.mode("append").parquet(f"{self.path}/{view.name}/published")
+
+    def published(self, view: View, moment: datetime, prefix: str = "") -> Snapshot:
+        """The newest published values that are not newer than a moment."""
+        marks = self.spark.read.schema("at long").parquet(f"{self.path}/{view.name}/published")
+        at = marks.filter(F.col("at") <= instant_micros(moment)).agg(F.max("at")).first()[0]
+        if at is None:
+            raise ValueError(f"view {view.name} has nothing published up to {moment}")
+        frame = self.spark.read.parquet(f"{self.path}/{view.name}/latest/at={at}")
+        return view.snapshot_of(frame, moment_of(at), prefix)
+
     def finished(self, view: View) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{view.name}/finished").drop("boundary")
 

@@ -157,16 +157,19 @@ class View:
 
     def snapshot(self, moment: datetime, store=None, prefix: str = "") -> Snapshot:
         """One row per key with the view's values at a moment."""
+        if not self.aggregations:
+            return self.snapshot_of(self.latest(moment, store), moment, prefix)
+        _, tiles, _ = self.part(store, (moment, moment + CONTINUOUS), prefix)
+        return self.snapshot_of(current_values(tiles, list(self.aggregations), moment), moment, prefix)
+
+    def snapshot_of(self, rows: DataFrame, moment: datetime, prefix: str = "") -> Snapshot:
+        """A table with the values of each key at a moment, as lookups take it."""
         names = tuple(self.features)
         if not self.aggregations:
-            rows = self.latest(moment, store)
             return Snapshot(rows, self.keys, names, prefix, self.ts, self.ttl)
-        wanted = list(self.aggregations)
-        _, tiles, _ = self.part(store, (moment, moment + CONTINUOUS), prefix)
-        zero = [a.feature(self.interval) for a in wanted if a.function in ("count", "distinct")]
+        zero = [a.feature(self.interval) for a in self.aggregations if a.function in ("count", "distinct")]
         step = micros(self.interval)
         seen = EPOCH + timedelta(microseconds=instant_micros(moment) // step * step)
-        rows = current_values(tiles, wanted, moment)
         return Snapshot(rows, self.keys, names, prefix, zero=tuple(zero), seen=seen)
 
     def reads(self, period: tuple[datetime, datetime] | None):

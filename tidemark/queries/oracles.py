@@ -172,8 +172,18 @@ ORACLES["distinct_window_emitted"] = f"""WITH {TXN}
 SELECT user_id, TIMESTAMP '2024-01-31' AS window_end, count(DISTINCT merchant) AS merchant_distinct_30d_1d
 FROM txn WHERE "timestamp" < TIMESTAMP '2024-01-31' AND "timestamp" >= TIMESTAMP '2024-01-01'
 GROUP BY user_id"""
-ORACLES["staleness_invariant"] = """SELECT count(*) AS n_rows,
-  CAST(0 AS BIGINT) AS n_mismatches FROM events"""
+ORACLES["staleness_invariant"] = """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatches,
+  max(epoch_us(ts) - epoch_us(time_bucket(INTERVAL 5 MINUTE, ts))) AS oldest_micros FROM events"""
+ORACLES["merchant_rate_widened"] = f"""WITH {TXN}
+SELECT k.merchant, k.b AS window_end,
+  round(avg(f.is_fraud) FILTER (f."timestamp" >= k.b - INTERVAL 1 DAY), 6) AS is_fraud_mean_1d_1d,
+  round(avg(f.is_fraud) FILTER (f."timestamp" >= k.b - INTERVAL 30 DAY), 6) AS is_fraud_mean_30d_1d,
+  round(avg(f.is_fraud), 6) AS is_fraud_mean_90d_1d
+FROM (SELECT DISTINCT merchant, unnest(generate_series(TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-21',
+        INTERVAL 1 DAY)) AS b FROM txn) k
+JOIN txn f ON f.merchant = k.merchant AND f."timestamp" < k.b AND f."timestamp" >= k.b - INTERVAL 90 DAY
+GROUP BY k.merchant, k.b"""
+ORACLES["string_times"] = ORACLES["amount_metrics"]
 ORACLES["customer_spend_windows"] = """SELECT s.o_orderkey,
   round(sum(f.o_totalprice), 6) AS o_totalprice_sum_365d_1d,
   count(f.o_totalprice) FILTER (f.o_orderdate >= date_trunc('day', s.o_orderdate) - INTERVAL 90 DAY)
@@ -304,6 +314,7 @@ SELECT event_id, user_id, amt, CASE WHEN {FRESH} THEN issuer END AS card__issuer
   CASE WHEN {FRESH} THEN e END AS card__effective_ts,
   m AS amounts__amt_mean_3d_10m, s AS amounts__amt_sum_1d_10m
 FROM txn LEFT JOIN issued USING (user_id) LEFT JOIN recent USING (user_id)"""
+ORACLES["latest_published"] = ORACLES["latest_lookup"]
 ORACLES["latest_vector"] = f"""WITH {NEWEST}
 SELECT event_id, 'card__issuer' AS name, CASE WHEN {FRESH} THEN issuer END AS value
 FROM txn LEFT JOIN issued USING (user_id)
@@ -351,6 +362,13 @@ FROM (SELECT 'clicks' AS source, event_type, true AS good FROM events
       UNION ALL SELECT 'user_clicks', event_type, true FROM events
       UNION ALL SELECT 'user_clicks', event_type, event_type <> 'error' FROM events)
 GROUP BY ALL"""
+ORACLES["ingest_rejects"] = """SELECT kind, count(*) AS n FROM (
+  SELECT 'clicks' AS kind FROM events WHERE event_type <> 'signup'
+  UNION ALL SELECT 'user_clicks' FROM events WHERE event_type <> 'signup'
+  UNION ALL SELECT CASE WHEN event_type = 'error' THEN 'does not fit' ELSE 'user_clicks' END FROM events
+    WHERE event_type <> 'signup'
+  UNION ALL SELECT CASE WHEN event_id % 3 = 2 THEN 'unknown source' ELSE 'malformed' END FROM events
+) GROUP BY kind"""
 ORACLES["stream_ingest_tiles"] = """SELECT event_type AS content_keyword,
   date_trunc('hour', ts) AS tile_start, count(*) AS n_clicked,
   CAST(sum(event_id % 5) AS BIGINT) AS s_clicked

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate
 from tidemark.functions.scalar import joined
-from tidemark.functions.time import bucket, bucket_start
+from tidemark.functions.time import CONTINUOUS, bucket, bucket_start
 from tidemark.operators.asof import FeatureTable, asof_join
 from tidemark.operators.export import csv_lines, json_lines, read_csv, write_csv
 from tidemark.operators.lookup import current_values, vector
@@ -31,6 +31,7 @@ from tidemark.sources.tables import (
     on_day,
     read_partitioned,
     read_table,
+    with_times,
     write_partitioned,
     zoneless,
 )
@@ -159,6 +160,13 @@ def merchant_rate_range(fraud):
     return fraud.merchant_fraud.run(start, end, widen=False, complete=True)
 
 
+@query
+def merchant_rate_widened(fraud):
+    """The same range with whole windows, reading what they need before it."""
+    start, end = datetime(2024, 1, 8), datetime(2024, 1, 22)
+    return fraud.merchant_fraud.run(start, end)
+
+
 @query
 def merchant_rate_top50(fraud):
     rate = "is_fraud_mean_1d_1d"
@@ -181,17 +189,23 @@ def distinct_window_emitted(fraud):
 
 @query
 def staleness_invariant(fraud):
-    """The value at a time equals the value at the start of its interval."""
+    """A value is never older than its interval: it counts all events up to the interval's start.
+
+    Tiled values against continuous windows asked for at the microsecond before that start, and
+    how many rows have events after it, which a later value will count.
+    """
     view = fraud.over_50_counts
     start = bucket_start(bucket(F.col("timestamp"), view.interval), view.interval)
-    both = fraud.spine.select(
-        "event_id", "user_id", F.explode(F.array("timestamp", start)).alias("timestamp")
-    )
-    done = view.historical(both, "timestamp")
-    values = F.struct(*view.features)
-    per_event = done.groupBy("event_id").agg((F.min(values) != F.max(values)).alias("differs"))
-    return per_event.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("differs").alias("n_mismatches")
+    spine = fraud.spine.select("event_id", "user_id", "timestamp", start.alias("start"))
+    tiled = view.historical(spine, "timestamp").select("event_id", F.struct(*view.features).alias("tiled"))
+    live = replace(view, interval=CONTINUOUS)
+    before = spine.select("event_id", "user_id", (F.col("start") - F.expr("INTERVAL 0.000001 SECOND")).alias("timestamp"))
+    exact = live.historical(before, "timestamp").select("event_id", F.struct(*live.features).alias("exact"))
+    both = tiled.join(exact, "event_id").join(spine, "event_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.hash("tiled") != F.hash("exact")).alias("n_mismatches"),
+        F.max(F.unix_micros("timestamp") - F.unix_micros("start")).alias("oldest_micros"),
     )
 
 
@@ -416,6 +430,19 @@ def latest_lookup(fraud):
     return service.lookup(_requests(fraud), NOW, effective=True).drop("amounts__effective_ts")
 
 
+@query
+def latest_published(fraud):
+    """The same requests, answered from published tables of latest values."""
+    kept = fraud.amounts[["amt_mean_3d_10m", "amt_sum_1d_10m"]]
+    service = Service.of("latest", [fraud.card, kept])
+    store = Store(fraud.spark, workdir(fraud.spark, "store"))
+    for view in (fraud.card, kept):
+        store.publish(view, NOW)
+    shots = {v.name: store.published(v, NOW, f"{v.name}__") for v in (fraud.card, kept)}
+    found = service.lookup(_requests(fraud), NOW, snapshots=shots, effective=True)
+    return found.drop("amounts__effective_ts")
+
+
 @query
 def latest_vector(fraud):
     """One array of names and values per request, shown as its parts."""
@@ -602,6 +629,38 @@ def ingest_dry_run(fraud):
     return push.report(records, {"clicks": CLICK, "user_clicks": USER_CLICK})
 
 
+@query
+def ingest_rejects(fraud):
+    """What an ingest keeps aside, by reason: bad records, unknown sources, broken envelopes."""
+    good = _envelopes(fraud)
+    broken = fraud.events.select(
+        F.when(F.col("event_id") % 3 == 0, F.lit("{not json"))
+        .when(F.col("event_id") % 3 == 1, F.lit('{"workspace_name": "w"}'))
+        .otherwise(F.lit('{"records": {"elsewhere": [{"record": {"a": 1}}]}}'))
+        .alias("value")
+    )
+    envelopes, schemas = good.unionByName(broken), {"clicks": CLICK, "user_clicks": USER_CLICK}
+    path = workdir(fraud.spark, "ingest")
+    for _ in range(2):  # a retry replaces what the run wrote
+        push.ingest(envelopes, schemas, path, "0", required={"clicks": "timestamp", "user_clicks": "timestamp"})
+    read = fraud.spark.read.parquet
+    kept = [read(f"{path}/{s}").select(F.lit(s).alias("kind")) for s in schemas]
+    aside = [read(f"{path}/_rejected").select(F.col("reason").alias("kind")), read(f"{path}/_malformed").select(F.lit("malformed").alias("kind"))]
+    every = kept[0]
+    for df in [*kept[1:], *aside]:
+        every = every.unionByName(df)
+    return every.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def string_times(fraud):
+    """A time column that arrives as text, aggregated like any other."""
+    as_text = zoneless(fraud.txn).withColumn("timestamp", F.date_format("timestamp", "dd.MM.yyyy HH:mm:ss.SSSSSS"))
+    parsed = with_times(as_text, "dd.MM.yyyy HH:mm:ss.SSSSSS", "timestamp")
+    view = replace(fraud.amounts, sources=(replace(fraud.txn_source, batch=parsed),))
+    return keyed(view.historical(fraud.spine, "timestamp"), view.features)
+
+
 @query
 def stream_ingest_tiles(fraud):
     """Envelopes landed as text files, read as a stream, aggregated in hourly tiles."""

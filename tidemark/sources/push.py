@@ -79,7 +79,62 @@ def report(records: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
     )
 
 
-def ingest(records: DataFrame, schemas: dict[str, T.StructType], path: str) -> None:
-    """Append the accepted records of every source to its folder."""
+def malformed(envelopes: DataFrame, column: str = "value") -> DataFrame:
+    """The envelopes that cannot be unpacked: no JSON, not of the wire format, or without records.
+
+    They have no sources to report under, so they are kept and counted as a whole.
+    """
+    marked = T.StructType([*T.StructType.fromDDL(ENVELOPE).fields, T.StructField(_BAD, T.StringType())])
+    parsed = F.from_json(F.col(column), marked, {"columnNameOfCorruptRecord": _BAD})
+    bad = F.exists(F.array(parsed), lambda e: e.isNull() | e[_BAD].isNotNull() | e["records"].isNull())
+    return envelopes.filter(bad | F.col(column).isNull()).select(F.col(column).alias("envelope"))
+
+
+def rejected(records: DataFrame, schemas: dict[str, T.StructType], required: dict[str, str] | None = None) -> DataFrame:
+    """Records that an ingest does not take, with the reason; dry runs are no ingest.
+
+    ``required`` names a column per source, such as its time, without which a record is no event.
+    """
+    reason = F.lit("unknown source")
+    for source, schema in schemas.items():
+        needed = (required or {}).get(source)
+        fits = F.exists(F.array(_parsed(schema)), _fits)
+        mine = F.when(~fits, "does not fit").when(_lacks(schema, needed), f"no {needed}")
+        reason = F.when(F.col("source") == source, mine).otherwise(reason)
+    return (
+        records.filter(~F.col("dry_run"))
+        .select("source", "record", reason.alias("reason"))
+        .filter(F.col("reason").isNotNull())
+    )
+
+
+def _lacks(schema: T.StructType, needed: str | None) -> Column:
+    if needed is None:
+        return F.lit(False)
+    return F.exists(F.array(_parsed(schema)), lambda p: p[needed].isNull())
+
+
+def ingest(
+    envelopes: DataFrame,
+    schemas: dict[str, T.StructType],
+    path: str,
+    run: str,
+    column: str = "value",
+    required: dict[str, str] | None = None,
+) -> None:
+    """Write the accepted records of every source, and keep aside all that is not accepted.
+
+    ``run`` names the job's input. Each run has folders of its own, which a retry replaces, so
+    nothing is written twice. Malformed envelopes and rejected records lie beside the sources.
+    """
+    records = unpack(envelopes, column)
+
+    def put(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/{name}/run={run}")
+
     for source, schema in schemas.items():
-        accepted(records, source, schema).write.mode("append").parquet(f"{path}/{source}")
+        rows = accepted(records, source, schema)
+        needed = (required or {}).get(source)
+        put(rows if needed is None else rows.filter(F.col(needed).isNotNull()), source)
+    put(rejected(records, schemas, required), "_rejected")
+    put(malformed(envelopes, column), "_malformed")

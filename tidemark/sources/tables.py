@@ -45,6 +45,12 @@ def stream_from(
     return reader.schema(schema).load() if schema is not None else reader.load()
 
 
+def with_times(df: DataFrame, format: str | None = None, *columns: str) -> DataFrame:
+    """Text columns as instants, by a pattern or in ISO form; what does not parse is null."""
+    options = [] if format is None else [F.lit(format)]
+    return utc(df.withColumns({c: F.try_to_timestamp(F.col(c), *options) for c in columns}))
+
+
 def instant(moment: datetime):
     """A literal for a Python datetime; one without a zone is UTC."""
     return F.timestamp_micros(F.lit(instant_micros(moment)))
