@@ -9,12 +9,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate
 from tidemark.operators.lookup import current_values
+from tidemark.plans.service import Service
 from tidemark.plans.views import stream_view
 from tidemark.sources import push
 from tidemark.sources.tables import Source, stream_from
 from tidemark.streaming.jobs import (
     BatchLog,
     Preview,
+    StreamHistory,
     finish,
     fold_latest,
     fold_tiles,
@@ -325,3 +327,19 @@ def test_latest_of_an_aggregating_view_comes_from_tiles(spark, tmp_path):
     moment = at(400)
     want = current_values(view.tiles(), list(view.aggregations), moment)
     assert plain(stream_current(spark, view, out, moment)) == plain(want)
+
+
+def test_a_service_reads_what_streams_wrote(spark, tmp_path):
+    source = landed(spark, str(tmp_path / "in"), "mixed")
+    tiled, listed, out = mixed(source), rows(source), str(tmp_path / "out")
+    finish(tile_stream(tiled, f"{out}/tiles"))
+    finish(row_stream(listed, f"{out}/rows"))
+    service = Service.of("s", [tiled, listed])
+    spine = [(i, k, t) for i, (k, t, _, _) in enumerate(random_events(60, 5)) if t]
+    frame = spark.createDataFrame(spine, "id int, k string, t timestamp")
+    history = StreamHistory(spark, {tiled.name: f"{out}/tiles"}, {listed.name: f"{out}/rows"})
+    assert plain(service.historical(frame, "t", store=history)) == plain(service.historical(frame, "t"))
+    period = (at(100), at(300))
+    some = frame.filter(f"t >= '{at(100)}' AND t < '{at(300)}'")
+    got = service.historical(some, "t", store=history, period=period)
+    assert plain(got) == plain(service.historical(some, "t"))

@@ -385,3 +385,6 @@ SELECT event_id, '{{"user_id":"' || user_id || '","merchant":"' || merchant || '
   || CAST(is_fraud AS VARCHAR) || '}}' AS line FROM txn"""
 ORACLES["export_csv_files"] = f"""WITH {TXN}
 SELECT event_id, merchant, amt, "timestamp" FROM txn"""
+
+ORACLES["service_from_stream"] = f"""SELECT a.*, c.cc_num AS card_now__cc_num, c.issuer AS card_now__issuer
+FROM ({ORACLES['adhoc_from_source']}) a JOIN ({ORACLES['stream_row_history']}) c USING (event_id)"""

@@ -37,6 +37,7 @@ from tidemark.sources.tables import (
 )
 from tidemark.streaming.jobs import (
     Preview,
+    StreamHistory,
     finish,
     fold_tiles,
     latest_stream,
@@ -563,6 +564,20 @@ def stream_row_history(fraud):
     return done.select("event_id", "user_id", "cc_num", "issuer")
 
 
+@query
+def service_from_stream(fraud):
+    """A service whose views are read from what their streams have written."""
+    tiled = _shuffled(fraud, fraud.amounts)
+    tiles, rows = workdir(fraud.spark, "tiles"), workdir(fraud.spark, "rows")
+    finish(tile_stream(tiled, tiles))
+    finish(row_stream(fraud.card_now, rows))
+    service = Service.of("streamed", [tiled, fraud.card_now])
+    history = StreamHistory(fraud.spark, {tiled.name: tiles}, {fraud.card_now.name: rows})
+    done = service.historical(fraud.spine, "timestamp", store=history)
+    names = [F.round(n, 6).alias(n) if n.startswith(tiled.name) else F.col(n) for n in service.names]
+    return done.select("event_id", *names)
+
+
 @query
 def stream_preview(fraud):
     shown = Preview(fraud.over_50.stream(), "over_50_preview")

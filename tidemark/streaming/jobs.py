@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.functions.time import instant_micros, micros
 from tidemark.operators.asof import FeatureTable, latest
 from tidemark.operators.lookup import current_values
+from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet, build_tiles, merge_tiles
 from tidemark.plans.views import View
 from tidemark.session import workdir
+from tidemark.sources.tables import between
 
 
 class BatchLog:
@@ -212,6 +215,33 @@ def stream_rows(spark: SparkSession, view: View, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/rows").drop("day")
 
 
+class StreamHistory:
+    """What streams have written, where a service or view takes a store.
+
+    ``tiles`` and ``rows`` name the folder of each aggregating and each row-level view. Answers
+    reach as far as the newest whole batch; there is nothing to fill in from elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, tiles: dict[str, str] | None = None, rows: dict[str, str] | None = None):
+        self.spark, self.folders = spark, {**(tiles or {}), **(rows or {})}
+
+    def has(self, view: View) -> bool:
+        return view.name in self.folders
+
+    def rows_or_computed(self, view: View, start: datetime | None, end: datetime | None) -> DataFrame:
+        return between(stream_rows(self.spark, view, self.folders[view.name]), view.ts, start, end)
+
+    def tiles_or_computed(self, view: View, start: datetime | None, end: datetime | None) -> TileSet:
+        step = micros(view.interval)
+
+        def inside(df: DataFrame) -> DataFrame:
+            if start is not None:
+                df = df.filter(F.col(AT) >= instant_micros(start) // step)
+            return df if end is None else df.filter(F.col(AT) <= instant_micros(end) // step)
+
+        return stream_tiles(self.spark, view, self.folders[view.name]).map(inside)
+
+
 class Preview:
     """A stream written as it comes into files that can be queried as a temporary view.
 
