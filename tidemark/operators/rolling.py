@@ -25,7 +25,9 @@ from tidemark.operators.points import AT
 from tidemark.operators.tiles import TileSet, finish, keep_newest
 
 CELL = "_cell"
+#: Cells per window at most. A longer continuous window has longer cells; results are the same.
 MAX_CELLS = 512
+MANY_CELLS = 4096
 HOUR = micros(timedelta(hours=1))
 
 
@@ -51,36 +53,57 @@ def _between(
     keys: list[str],
     interval: timedelta,
     cell: int,
-    cells: int,
-    partials: list[str],
+    wanted: dict[int, list[str]],
 ) -> DataFrame:
-    """Sums over the whole cells before each end cell, as rows in front of that cell."""
+    """Sums over the whole cells of each window before an end cell, as rows in front of it.
+
+    ``wanted`` has the partials of each window, by the window's length in intervals.
+    """
     step = interval * cell
+    partials = sorted({p for listed in wanted.values() for p in listed})
     coarse = (
         events.withColumn(AT, floor_div(F.col(AT), cell))
         .groupBy(*keys, AT)
         .agg(*[F.sum(p).alias(f"s_{p}") for p in partials])
         .withColumns({f"n_{p}": F.lit(1) for p in partials})
     )
-    sums = [Aggregate(p, "sum", step * (cells - 1)) for p in partials]
-    done = finish(ends, TileSet(tuple(keys), step, coarse), sums)
+    sums = {(w, p): Aggregate(p, "sum", step * (w // cell - 1)) for w, listed in wanted.items() for p in listed}
+    done = finish(ends, TileSet(tuple(keys), step, coarse), list(sums.values()))
     return done.select(
         *keys,
         F.col(AT).alias(CELL),
         (F.col(AT) * cell - 1).alias(AT),
-        *[F.col(a.feature(step)).alias(f"pre_{a.column}") for a in sums],
+        *[F.col(a.feature(step)).alias(f"_mid{w}_{p}") for (w, p), a in sums.items()],
     )
 
 
-def _one_window(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFrame:
+def _passes(merged: list[Aggregate], interval: timedelta) -> list[list[Aggregate]]:
+    """All windows together, or one length at a time where they have no usable common cell."""
+    lengths = sorted({a.buckets(interval) for a in merged})
+    if not lengths:
+        return []
+    common = math.gcd(*lengths)
+    if lengths[-1] * _cells_per_window(common, interval) // common <= MANY_CELLS:
+        return [merged]
+    return [[a for a in merged if a.buckets(interval) == w] for w in lengths]
+
+
+def _all_windows(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFrame:
+    """All window lengths in one union and one pair of running sums.
+
+    The cells are the same for all lengths, so the events before a point in its cell are summed
+    once; each length adds the events of the cell it starts in, moved forward, and its sum over
+    the whole cells between.
+    """
     keys, interval = list(tiles.keys), tiles.interval
-    window = wanted[0].buckets(interval)
-    cells = _cells_per_window(window, interval)
-    cell = window // cells
-    partials = sorted(
-        {f"n_{a.column}" for a in wanted}
-        | {f"s_{a.column}" for a in wanted if a.function != "count"}
-    )
+    lengths = sorted({a.buckets(interval) for a in wanted})
+    common = math.gcd(*lengths)
+    cell = common // _cells_per_window(common, interval)
+    needed: dict[int, list[str]] = {}
+    for w in lengths:
+        mine = [a for a in wanted if a.buckets(interval) == w]
+        needed[w] = sorted({f"n_{a.column}" for a in mine} | {f"s_{a.column}" for a in mine if a.function != "count"})
+    partials = sorted({p for listed in needed.values() for p in listed})
     events = tiles.merged.select(*keys, AT, *partials)
     # A continuous point sees events up to and including its own microsecond.
     after = 1 if interval == CONTINUOUS else 0
@@ -92,41 +115,49 @@ def _one_window(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> D
         *keys,
         floor_div(F.col(AT), cell).alias(CELL),
         AT,
-        *[F.col(p).alias(f"pre_{p}") for p in partials],
+        *[F.col(p).alias(f"_pre_{p}") for p in partials],
     )
-    early = events.select(
-        *keys,
-        floor_div(F.col(AT) + window, cell).alias(CELL),
-        (F.col(AT) + window).alias(AT),
-        *[F.col(p).alias(f"suf_{p}") for p in partials],
-    )
-    parts = [late, early, marks]
-    if cells > 1:
+    early = [
+        events.select(
+            *keys,
+            floor_div(F.col(AT) + w, cell).alias(CELL),
+            (F.col(AT) + w).alias(AT),
+            *[F.col(p).alias(f"_suf{w}_{p}") for p in needed[w]],
+        )
+        for w in lengths
+    ]
+    parts = [late, *early, marks]
+    spread = {w: needed[w] for w in lengths if w > cell}
+    if spread:
         ends = marks.select(*keys, F.col(CELL).alias(AT)).distinct()
-        parts.append(_between(ends, events, keys, interval, cell, cells, partials))
+        parts.append(_between(ends, events, keys, interval, cell, spread))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     by = Window.partitionBy(*keys, CELL)
     forward = by.orderBy(AT).rangeBetween(Window.unboundedPreceding, -1)
     backward = by.orderBy(F.desc(AT)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = [f"_pre_{p}" for p in partials] + [f"_mid{w}_{p}" for w, listed in spread.items() for p in listed]
+    behind = [f"_suf{w}_{p}" for w in lengths for p in needed[w]]
     found = both.select(
         *keys,
         (F.col(AT) - after).alias(AT),
         "_point",
-        *[F.sum(f"pre_{p}").over(forward).alias(f"pre_{p}") for p in partials],
-        *[F.sum(f"suf_{p}").over(backward).alias(f"suf_{p}") for p in partials],
+        *[F.sum(c).over(forward).alias(c) for c in before],
+        *[F.sum(c).over(backward).alias(c) for c in behind],
     ).filter("_point")
 
-    def total(p):
-        pre, suf = F.col(f"pre_{p}"), F.col(f"suf_{p}")
-        return F.coalesce(pre + suf, pre, suf)
+    def total(p: str, w: int) -> Column:
+        names = [f"_pre_{p}", f"_suf{w}_{p}", *([f"_mid{w}_{p}"] if w in spread else [])]
+        known = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
+        return F.when(known, reduce(lambda a, b: a + b, [F.coalesce(n, F.lit(0)) for n in names]))
 
-    def value(a: Aggregate):
+    def value(a: Aggregate) -> Column:
+        w = a.buckets(interval)
         if a.function == "count":
-            return total(f"n_{a.column}")
+            return total(f"n_{a.column}", w)
         if a.function == "sum":
-            return total(f"s_{a.column}")
-        n = total(f"n_{a.column}")
-        return F.when(n > 0, total(f"s_{a.column}") / n)
+            return total(f"s_{a.column}", w)
+        n = total(f"n_{a.column}", w)
+        return F.when(n > 0, total(f"s_{a.column}", w) / n)
 
     return found.select(*keys, AT, *[value(a).alias(a.feature(interval)) for a in wanted])
 
@@ -241,17 +272,14 @@ def _last(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFra
 
 
 def linear_answers(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
-    """Values at distinct ``points``: one pass per window length, distinct count or list.
+    """Values at distinct ``points``: one pass for all windows, and one per distinct count or list.
 
     Distinct counts and lists are linear over tiles anyway, so they come here only for the
     continuous interval.
     """
     merged = [a for a in aggregates if a.function in MERGED]
     listed = [a for a in aggregates if a.function == "last"]
-    done = [
-        _one_window(points, tiles, [a for a in merged if a.window == w])
-        for w in sorted({a.window for a in merged})
-    ]
+    done = [_all_windows(points, tiles, g) for g in _passes(merged, tiles.interval)]
     done += [_distinct(points, tiles, a) for a in aggregates if a.function == "distinct"]
     done += [
         _last(points, tiles, [a for a in listed if (a.column, a.size) == pair])

@@ -14,6 +14,8 @@ from tidemark.operators.points import AT, attach, points_of
 from tidemark.operators.rolling import linear_answers
 from tidemark.operators.tiles import TileSet, fill_empty, finish
 
+#: Windows over more intervals are put together from cells instead of adding up every tile for
+#: every point. Values are the same but for the order in which floats are added.
 LONG = 1024
 
 
