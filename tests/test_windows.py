@@ -249,3 +249,18 @@ def test_tile_set_names_its_parts(spark):
     tiles = build_tiles(df, ["k"], "t", MIXED, FIVE)
     assert set(tiles.parts()) == {"merged", "distinct_s", "recent3_s", "recent1_v"}
     assert isinstance(tiles.map(lambda d: d), TileSet)
+
+
+def test_keys_named_like_internal_columns(spark):
+    names = ["value", "ts", "step", "first", "final", "w"]
+    rows = [(*"abcdef", at(i), float(i % 3), "xy"[i % 2]) for i in range(6)]
+    schema = ", ".join(f"{n} string" for n in names) + ", t timestamp, v double, s string"
+    events = spark.createDataFrame(rows, schema)
+    wanted = [Aggregate("v", "sum", HOUR), Aggregate("s", "distinct", HOUR), Aggregate("s", "last", HOUR, 2)]
+    spine = spark.createDataFrame([(*"abcdef", at(60))], ", ".join(f"{n} string" for n in names) + ", t timestamp")
+    for interval, total in ((HOUR, 6.0), (timedelta(microseconds=1), 6.0)):
+        tiles = build_tiles(events, names, "t", wanted, interval)
+        got = aggregate_asof(spine, "t", tiles, wanted).first()
+        values = tuple(got)[len(names) + 1 :]
+        assert values[1] == 2 and values[2] == ["y", "x"]
+        assert values[0] == (6.0 if interval == HOUR else 6.0 - rows[0][7])

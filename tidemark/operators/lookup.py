@@ -46,13 +46,13 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
                 merged.append(value.alias(name))
         elif a.function == "distinct":
             values = recent.distinct[a.column].filter(inside)
-            pairs = values.select(*keys, "value").distinct()
-            parts.append(pairs.groupBy(*keys).agg(F.count("value").alias(name)))
+            pairs = values.select(*keys, "_value").distinct()
+            parts.append(pairs.groupBy(*keys).agg(F.count("_value").alias(name)))
         else:
             newest = keep_newest(recent.recent[(a.column, a.size)].filter(inside), keys, a.size)
-            ordered = F.sort_array(F.collect_list(F.struct("ts", "value")), asc=False)
+            ordered = F.sort_array(F.collect_list(F.struct("_ts", "_value")), asc=False)
             listed = newest.groupBy(*keys).agg(ordered.alias("_l"))
-            values = F.transform("_l", lambda item: item["value"]).alias(name)
+            values = F.transform("_l", lambda item: item["_value"]).alias(name)
             parts.append(listed.select(*keys, values))
     if merged:
         parts.insert(0, recent.merged.groupBy(*keys).agg(*merged))

@@ -198,35 +198,35 @@ def _distinct(points: DataFrame, tiles: TileSet, a: Aggregate) -> DataFrame:
     """
     keys, window = list(tiles.keys), micros(a.window)
     seen = tiles.distinct[a.column].withColumn(CELL, floor_div(F.col(AT), HOUR))
-    cells = seen.groupBy(*keys, "value", CELL).agg(F.min(AT).alias("first"))
-    by_value = Window.partitionBy(*keys, "value").orderBy(CELL)
+    cells = seen.groupBy(*keys, "_value", CELL).agg(F.min(AT).alias("_first"))
+    by_value = Window.partitionBy(*keys, "_value").orderBy(CELL)
     closing = cells.select(
-        *keys, "value", CELL, F.lead("first").over(by_value).alias(AT), F.lit(True).alias("_closing")
+        *keys, "_value", CELL, F.lead("_first").over(by_value).alias(AT), F.lit(True).alias("_closing")
     ).filter(F.col(AT).isNotNull())
-    in_cell = Window.partitionBy(*keys, "value", CELL).orderBy(AT)
+    in_cell = Window.partitionBy(*keys, "_value", CELL).orderBy(AT)
     spans = (
         seen.unionByName(closing, allowMissingColumns=True)
         .withColumn("_next", F.lead(AT).over(in_cell))
         .filter(F.col("_closing").isNull())
     )
     until = F.least(F.col(AT) + window, F.col("_next")) + 1
-    enter = F.struct((F.col(AT) + 1).alias(AT), F.lit(1).cast("long").alias("step"))
-    leave = F.struct(until.alias(AT), F.lit(-1).cast("long").alias("step"))
+    enter = F.struct((F.col(AT) + 1).alias(AT), F.lit(1).cast("long").alias("_step"))
+    leave = F.struct(until.alias(AT), F.lit(-1).cast("long").alias("_step"))
     steps = (
         spans.select(*keys, F.explode(F.array(enter, leave)).alias("_s"))
         .select(*keys, "_s.*")
         .groupBy(*keys, AT)
-        .agg(F.sum("step").alias("step"))
+        .agg(F.sum("_step").alias("_step"))
         .withColumn(CELL, floor_div(F.col(AT), HOUR))
     )
     marks, ends = _hourly(points, keys)
-    per_cell = steps.groupBy(*keys, CELL).agg(F.sum("step").alias("step"))
-    inherited = _before_cells(per_cell, ends, keys, lambda w: F.sum("step").over(w), "step")
+    per_cell = steps.groupBy(*keys, CELL).agg(F.sum("_step").alias("_step"))
+    inherited = _before_cells(per_cell, ends, keys, lambda w: F.sum("_step").over(w), "_step")
     both = steps.unionByName(inherited).unionByName(marks, allowMissingColumns=True)
     order = Window.partitionBy(*keys, CELL).orderBy(AT)
     so_far = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     name = a.feature(CONTINUOUS)
-    found = both.select(*keys, AT, "_point", F.sum("step").over(so_far).alias(name))
+    found = both.select(*keys, AT, "_point", F.sum("_step").over(so_far).alias(name))
     return found.filter("_point").select(*keys, (F.col(AT) - 1).alias(AT), name)
 
 
@@ -234,11 +234,11 @@ def _last(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFra
     """Continuous last N: the newest few of the hour so far, after those it inherits."""
     keys, size = list(tiles.keys), wanted[0].size
     rows = tiles.recent[(wanted[0].column, size)].withColumn(CELL, floor_div(F.col(AT), HOUR))
-    item = F.struct("ts", "value")
+    item = F.struct("_ts", "_value")
 
     def lists(df: DataFrame, by: list[str], until: str, name: str) -> DataFrame:
         """Newest few up to and including each value of ``until``."""
-        order = Window.partitionBy(*by).orderBy("ts", "value")
+        order = Window.partitionBy(*by).orderBy("_ts", "_value")
         listed = df.select(
             *keys,
             CELL,
@@ -248,24 +248,24 @@ def _last(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFra
         )
         return listed.filter(F.col("_next").isNull() | (F.col("_next") != F.col(until)))
 
-    own = lists(rows, [*keys, CELL], AT, "own").drop("_next")
+    own = lists(rows, [*keys, CELL], AT, "_own").drop("_next")
     few = keep_newest(rows, [*keys, CELL], size)
     per_cell = lists(few, keys, CELL, "_list").select(*keys, CELL, "_list")
     marks, ends = _hourly(points, keys)
     inherited = _before_cells(
-        per_cell, ends, keys, lambda w: F.last("_list", ignorenulls=True).over(w), "old"
+        per_cell, ends, keys, lambda w: F.last("_list", ignorenulls=True).over(w), "_old"
     )
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [own, inherited, marks])
     order = Window.partitionBy(*keys, CELL).orderBy(AT)
     earlier = order.rangeBetween(Window.unboundedPreceding, -1)
-    newest = [F.last(c, ignorenulls=True).over(earlier).alias(c) for c in ("own", "old")]
+    newest = [F.last(c, ignorenulls=True).over(earlier).alias(c) for c in ("_own", "_old")]
     found = both.select(*keys, (F.col(AT) - 1).alias(AT), "_point", *newest).filter("_point")
-    joined = F.coalesce(F.concat("old", "own"), "own", "old")
+    joined = F.coalesce(F.concat("_old", "_own"), "_own", "_old")
 
     def value(a: Aggregate):
         oldest = F.col(AT) - micros(a.window)
-        inside = F.filter(F.col("_all"), lambda i: i["ts"] > oldest)
-        kept = F.slice(F.reverse(F.transform(inside, lambda i: i["value"])), 1, size)
+        inside = F.filter(F.col("_all"), lambda i: i["_ts"] > oldest)
+        kept = F.slice(F.reverse(F.transform(inside, lambda i: i["_value"])), 1, size)
         return F.when(F.size(inside) > 0, kept).alias(a.feature(CONTINUOUS))
 
     return found.withColumn("_all", joined).select(*keys, AT, *[value(a) for a in wanted])

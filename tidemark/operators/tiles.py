@@ -78,7 +78,7 @@ def _partials(aggregates: list[Aggregate]) -> tuple[list[str], list[str]]:
 
 def keep_newest(df: DataFrame, by: list[str], size: int) -> DataFrame:
     # A rank filter: Spark drops all but `size` rows per group before the shuffle too.
-    order = Window.partitionBy(*by).orderBy(F.desc("ts"), F.desc("value"))
+    order = Window.partitionBy(*by).orderBy(F.desc("_ts"), F.desc("_value"))
     ranked = df.withColumn("_rank", F.row_number().over(order))
     return ranked.filter(F.col("_rank") <= size).drop("_rank")
 
@@ -102,13 +102,13 @@ def build_tiles(
             *[F.sum(c).alias(f"s_{c}") for c in summed],
         )
     distinct = {
-        c: rows.select(*by, F.col(c).alias("value")).filter("value IS NOT NULL").distinct()
+        c: rows.select(*by, F.col(c).alias("_value")).filter("_value IS NOT NULL").distinct()
         for c in sorted({a.column for a in aggregates if a.function == "distinct"})
     }
     recent = {}
     for c, n in sorted({(a.column, a.size) for a in aggregates if a.function == "last"}):
-        stamped = rows.select(*by, as_micros(F.col(ts)).alias("ts"), F.col(c).alias("value"))
-        recent[(c, n)] = keep_newest(stamped.filter("value IS NOT NULL"), by, n)
+        stamped = rows.select(*by, as_micros(F.col(ts)).alias("_ts"), F.col(c).alias("_value"))
+        recent[(c, n)] = keep_newest(stamped.filter("_value IS NOT NULL"), by, n)
     return TileSet(tuple(keys), interval, merged, distinct, recent)
 
 
@@ -121,9 +121,9 @@ def merge_tiles(tiles: TileSet) -> TileSet:
             added = [c for c in df.columns if c not in by]
             return df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in added])
         if name.startswith("distinct_"):
-            return df.select(*by, "value").distinct()
+            return df.select(*by, "_value").distinct()
         size = int(name.split("_", 1)[0].removeprefix("recent"))
-        return keep_newest(df.select(*by, "ts", "value"), by, size)
+        return keep_newest(df.select(*by, "_ts", "_value"), by, size)
 
     return tiles.replace({name: merge(name, df) for name, df in tiles.parts().items()})
 
@@ -144,30 +144,30 @@ def _presence_steps(
     at the value's next sighting, these spans never overlap for one value, so the running
     sum of steps is the number of different values, and no set is ever collected.
     """
-    order = Window.partitionBy(*keys, "value").orderBy(AT)
+    order = Window.partitionBy(*keys, "_value").orderBy(AT)
     begin, until = F.col("_from"), F.col("_until")
     spans = (
         df.withColumn("_next", F.lead(AT).over(order))
-        .withColumn("w", F.explode(F.array(*[F.lit(w) for w in windows])))
+        .withColumn("_w", F.explode(F.array(*[F.lit(w) for w in windows])))
         .select(
             *keys,
-            "w",
+            "_w",
             (F.col(AT) + 1).alias("_from"),
-            (F.least(F.col(AT) + F.col("w"), F.col("_next")) + 1).alias("_until"),
+            (F.least(F.col(AT) + F.col("_w"), F.col("_next")) + 1).alias("_until"),
         )
     )
     epochs = F.sequence(floor_div(begin, length), floor_div(until - 1, length))
-    enter = F.struct(F.greatest(begin, F.col(EPOCH) * length).alias(AT), F.lit(1).alias("step"))
-    leave = F.struct(until.alias(AT), F.lit(-1).alias("step"))
+    enter = F.struct(F.greatest(begin, F.col(EPOCH) * length).alias(AT), F.lit(1).alias("_step"))
+    leave = F.struct(until.alias(AT), F.lit(-1).alias("_step"))
     steps = (
         spans.withColumn(EPOCH, F.explode(epochs))
-        .select(*keys, EPOCH, "w", F.explode(F.array(enter, leave)).alias("_s"))
-        .select(*keys, EPOCH, "w", "_s.*")
+        .select(*keys, EPOCH, "_w", F.explode(F.array(enter, leave)).alias("_s"))
+        .select(*keys, EPOCH, "_w", "_s.*")
         .filter(floor_div(F.col(AT), length) == F.col(EPOCH))
     )
     return steps.groupBy(*keys, EPOCH, AT).agg(
         *[
-            F.sum(F.when(F.col("w") == w, F.col("step")).otherwise(0)).alias(f"d_{column}_{w}")
+            F.sum(F.when(F.col("_w") == w, F.col("_step")).otherwise(0)).alias(f"d_{column}_{w}")
             for w in windows
         ]
     )
@@ -175,8 +175,8 @@ def _presence_steps(
 
 def _recent_lists(df: DataFrame, keys: list[str], name: str, size: int) -> DataFrame:
     """Per cell, the newest ``size`` values up to and including it."""
-    order = Window.partitionBy(*keys, EPOCH).orderBy("ts", "value")
-    item = F.struct("ts", "value")
+    order = Window.partitionBy(*keys, EPOCH).orderBy("_ts", "_value")
+    item = F.struct("_ts", "_value")
     listed = df.select(
         *keys,
         EPOCH,
@@ -248,8 +248,8 @@ def _finished(a: Aggregate, raw: Column, interval: timedelta) -> Column:
     if a.function != "last":
         return raw
     oldest = (F.col(AT) - a.buckets(interval)) * F.lit(micros(interval))
-    inside = F.filter(raw, lambda item: item["ts"] >= oldest)
-    values = F.reverse(F.transform(inside, lambda item: item["value"]))
+    inside = F.filter(raw, lambda item: item["_ts"] >= oldest)
+    values = F.reverse(F.transform(inside, lambda item: item["_value"]))
     return F.when(F.size(inside) > 0, values)
 
 
@@ -273,9 +273,9 @@ def boundaries(tiles: TileSet, reach: int, low: int | None, high: int | None) ->
         first = F.greatest(first, F.lit(low))
     if high is not None:
         final = F.least(final, F.lit(high - 1))
-    spans = spans.select(*keys, first.alias("first"), final.alias("final"))
-    spans = spans.filter(F.col("first") <= F.col("final"))
-    return spans.select(*keys, F.explode(F.sequence("first", "final")).alias(AT))
+    spans = spans.select(*keys, first.alias("_first"), final.alias("_final"))
+    spans = spans.filter(F.col("_first") <= F.col("_final"))
+    return spans.select(*keys, F.explode(F.sequence("_first", "_final")).alias(AT))
 
 
 def rolled(
