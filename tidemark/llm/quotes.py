@@ -109,18 +109,28 @@ def links(parsed: DataFrame) -> DataFrame:
 def threads(parents: DataFrame) -> DataFrame:
     """(id, thread, depth): the first message that replies lead back to, and how many steps away.
 
-    Each round doubles the reach of every pointer.
+    Each round doubles the reach of the pointers that have not come to a first message yet; the
+    others are put aside.
     """
-    reach = settle(
-        parents.select("id", F.coalesce("parent", "id").alias("top"), F.col("parent").isNotNull().cast("long").alias("depth")), "threads"
+    known = parents.select(
+        "id",
+        F.coalesce("parent", "id").alias("top"),
+        F.col("parent").isNotNull().cast("long").alias("depth"),
+        F.col("parent").isNull().alias("first"),
     )
-    while True:
-        up = reach.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"))
-        moved = reach.join(up, "top").select("id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved"))
-        moved = settle(moved, "threads")
-        if moved.where("moved").isEmpty():
-            return moved.select("id", F.col("top").alias("thread"), "depth")
-        reach = moved.drop("moved")
+    known = settle(known, "threads")
+    done, moving = known.where("first"), known.where("not first")
+    while not moving.isEmpty():
+        every = done.unionByName(moving)
+        up = every.select(F.col("id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("first").alias("there"))
+        moved = settle(
+            moving.join(up, "top").select(
+                "id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("first")
+            ),
+            "threads",
+        )
+        done, moving = done.unionByName(moved.where("first")), moved.where("not first")
+    return done.select("id", F.col("top").alias("thread"), "depth")
 
 
 def conversations(messages: DataFrame, key: str = "id", sent: str = "sent", text: str = "text") -> DataFrame:
