@@ -189,15 +189,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     )
 
 
+def keep_least(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose key is the component id of their group in ``found``, one row for each."""
+    stays = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    rest = [text, *(c for c in docs.columns if c not in (key, text))]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
+    kept = docs.join(stays, key, "left_semi").withColumn("__first", first).where("__first = 1")
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay: of each group the one with the smallest key, columns unchanged.
 
     Of rows that repeat that key, the first by text and then by the other columns stays. Rows
     without a key cannot be told apart and all stay.
     """
-    found = near_duplicates(docs, key, text)
-    stays = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    rest = [text, *(c for c in docs.columns if c not in (key, text))]
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
-    kept = docs.join(stays, key, "left_semi").withColumn("__first", first).where("__first = 1")
-    return kept.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    return keep_least(docs, near_duplicates(docs, key, text), key, text)
