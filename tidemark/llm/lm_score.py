@@ -1,228 +1,54 @@
 """Language-model scores by stupid backoff, from count tables joined to the n-grams of the texts.
 
 The score of a word after another is the count of the pair over the count of the first, where the
-pair is in the table; else 0.4 times the share of the word. The table of pairs keeps pairs seen at
-least twice. A text's score is the mean logarithm over its words.
-
-Pairs travel once, partitioned by the hash of their second word and packed by slices of documents:
-the words of texts compress where hashes of them would not. A second word with a thousandth of
-all words or more is spread by its first word too. So every part counts its pairs and its second
-words whole. The counts of first words are at hand for frequent ones, of which there are at most
-``TABLE`` by the share they need; the others are joined from the table of word counts. All parts are
-summed per document.
+pair is seen at least twice; else 0.4 times the share of the word. A text's score is the mean
+logarithm over its words.
+
+Pairs are counted by Spark, partly before the shuffle, so a pair of any frequency is one row per task.
+A counted pair needs the count of one word, of its first if it is seen often enough and else of its
+second; the table of word counts is joined on that. The scores of the pairs are then joined to the
+pairs of the texts, which travel as one hash each, and summed per document. Frequent words and pairs
+are skew on the left of these joins, each with one row on the right, and adaptive execution splits it.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import ascii_lower, settle
+from tidemark.llm.common import ascii_lower, let, settle
 
 BACKOFF = 0.4
 CUTOFF = 2
-#: A word with one of this many of all words is spread over parts.
-SPREAD = 1_000
-#: A word with one of this many of all words has its count sent along.
-TABLE = 50_000
-#: Words that one part holds, about.
-PART_WORDS = 1_500_000
 #: Stands before the first word of a text.
-START = b"\x02"
-SLICE = 512
-_KNOWN = 300_000
-_ENTRY = np.dtype([("doc", "<u2"), ("backed", "<u4"), ("total", "<f8")])
-_ROW = np.dtype([("rid", "<i8"), ("n", "<i8")])
-_OUT = "slice long, doc int, word long, n long, sums binary, rows binary"
-
-
-def _hash(word: bytes) -> int:
-    """The hash that the SQL function gives a word."""
-    return xxh64_intdigest(word, 42)
-
-
-class _Hashes(dict):
-    """The hash of each word, with a bounded memory."""
+START = "\x02"
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
-        value = self[word] = _hash(word)
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def _inside(sorted_hashes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each hash would stand in a sorted table, and whether it does."""
-    if not len(sorted_hashes):
-        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    place = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
-    return place, sorted_hashes[place] == hashes
+def _words(text: str) -> Column:
+    words = F.split(ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]+")
+    return F.array_remove(words, "")
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): the count of every word, and of the start of a text as the word U+0002."""
-    words = F.split(ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]+")
-    real = docs.select(F.array_remove(words, "").alias("words")).where(F.size("words") > 0)
+    real = docs.select(_words(text).alias("words")).where(F.size("words") > 0)
     return (
-        real.select(F.explode(F.concat(F.array(F.lit(START.decode())), "words")).alias("word"))
+        real.select(F.explode(F.concat(F.array(F.lit(START)), "words")).alias("word"))
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
 
 
-def _packer(parts: int, spread: np.ndarray):
-    """Packs the pairs of each slice of documents by part.
-
-    A packed part has the documents that occur in it and how often, then the second and first
-    word of each pair. The rows of the slice go along once, with the number of their words.
-    """
+def _pairs(texts: DataFrame) -> DataFrame:
+    """(rid, first, second) of (rid, words): the hashes of each word and the one before it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, number = _Hashes(), TaskContext.get().partitionId() << 32
-        start = np.uint64(_hash(START))
-        for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                piece = batch.slice(at, SLICE)
-                seconds: list[bytes] = []
-                firsts: list[bytes] = []
-                sizes = []
-                for cell in piece.column(1):
-                    words = (cell.as_py() or "").encode().lower().split()
-                    sizes.append(len(words))
-                    if words:
-                        seconds += words
-                        firsts.append(START)
-                        firsts += words[:-1]
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                code = known.of(seconds)
-                before = np.concatenate([[start], code[:-1]]).astype(np.uint64)[: len(code)]
-                before[np.flatnonzero(np.diff(doc, prepend=-1))] = start
-                code = np.where(_inside(spread, code)[1], code ^ before, code)
-                part = (code % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                pairs = [s + b" " + f for s, f in zip(seconds, firsts, strict=True)]
-                filled, starts = np.unique(part[order], return_index=True)
-                blobs = []
-                for mine in np.split(order, starts[1:]) if len(order) else []:
-                    docs, counts = np.unique(doc[mine], return_counts=True)
-                    text = zlib.compress(b" ".join([pairs[i] for i in mine.tolist()]), 1)
-                    blobs.append(np.uint32(len(docs)).tobytes() + docs.astype("<u2").tobytes() + counts.astype("<u4").tobytes() + text)
-                rows = np.zeros(len(sizes), _ROW)
-                rows["rid"], rows["n"] = piece.column(0).to_numpy(zero_copy_only=False), sizes
-                k = len(blobs)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*filled.tolist()[:k], number % parts], pa.int32()),
-                        pa.array([number] * (k + 1), pa.int64()),
-                        pa.array([*blobs, None], pa.binary()),
-                        pa.array([*[None] * k, rows.tobytes()], pa.binary()),
-                    ],
-                    names=["part", "slice", "blob", "rows"],
-                )
-                number += 1
+    def zipped(h: Column) -> Column:
+        before = F.concat(F.array(F.xxhash64(F.lit(START))), F.slice(h, F.lit(1), F.size(h) - 1))
+        return F.arrays_zip(before.alias("first"), h.alias("second"))
 
-    return run
-
-
-def _scorer(words: int, spread: dict, table: tuple[np.ndarray, np.ndarray], cutoff: int):
-    """Counts the pairs of one part and sums what is known of their scores per document.
-
-    What is left is the count of first words outside the table: those go on, with their number.
-    """
-    spread_hashes = np.array(sorted(spread), dtype=np.uint64)
-    spread_counts = np.array([spread[h] for h in sorted(spread)], dtype=np.float64)
-
-    def run(part: pa.Table) -> pa.Table:
-        known = _Hashes()
-        numbers, docs, counts, seconds, firsts = [], [], [], [], []
-        mapped = []
-        for number, blob, rows in zip(*(part.column(c).to_pylist() for c in ("slice", "blob", "rows")), strict=True):
-            if blob is None:
-                mapped.append((number, rows))
-                continue
-            n = int(np.frombuffer(blob, "<u4", 1)[0])
-            doc = np.frombuffer(blob, "<u2", n, 4).astype(np.int64)
-            counts.append(np.frombuffer(blob[4 + 2 * n : 4 + 6 * n], "<u4").astype(np.int64))
-            docs.append(doc)
-            numbers.append(np.full(n, number, dtype=np.int64))
-            both = known.of(zlib.decompress(blob[4 + 6 * n :]).split(b" "))
-            seconds.append(both[::2].copy())
-            firsts.append(both[1::2].copy())
-        empty = pa.table(
-            {
-                "slice": pa.array([n for n, _ in mapped], pa.int64()), "doc": pa.nulls(len(mapped), pa.int32()),
-                "word": pa.nulls(len(mapped), pa.int64()), "n": pa.nulls(len(mapped), pa.int64()),
-                "sums": pa.nulls(len(mapped), pa.binary()), "rows": pa.array([r for _, r in mapped], pa.binary()),
-            }
-        )
-        if not seconds:
-            return empty
-        second, first = np.concatenate(seconds), np.concatenate(firsts)
-        del seconds, firsts
-        place = np.repeat(np.arange(sum(map(len, docs))), np.concatenate(counts))
-        _, which, found = np.unique(first * np.uint64(0x9E3779B97F4A7C15) ^ second, return_inverse=True, return_counts=True)
-        c12 = found[which]
-        kinds, which, found = np.unique(second, return_inverse=True, return_counts=True)
-        totals = found.astype(np.float64)
-        at, hot = _inside(spread_hashes, kinds)
-        if hot.any():
-            totals[hot] = spread_counts[at[hot]]
-        c2 = totals[which]
-        seen = c12 >= cutoff
-        at, listed = _inside(table[0], first)
-        score = np.where(seen, np.log(c12), np.log(BACKOFF * c2 / max(words, 1)))
-        have = seen & listed
-        score[have] -= np.log(table[1][at[have]])
-        size = sum(map(len, docs))
-        numbers, docs = np.concatenate(numbers), np.concatenate(docs)
-        entries = np.zeros(size, _ENTRY)
-        entries["doc"] = docs
-        entries["backed"] = np.bincount(place, ~seen, size)
-        entries["total"] = np.bincount(place, score, size)
-        order = np.argsort(numbers, kind="stable")
-        slices, starts = np.unique(numbers[order], return_index=True)
-        sums = [zlib.compress(entries[mine].tobytes(), 1) for mine in np.split(order, starts[1:])]
-        rest = np.flatnonzero(seen & ~listed)
-        k, m = len(slices), len(rest)
-        made = pa.table(
-            {
-                "slice": pa.array(np.concatenate([slices, numbers[place[rest]]])),
-                "doc": pa.array(np.concatenate([np.zeros(k, np.int32), docs[place[rest]].astype(np.int32)])),
-                "word": pa.array(np.concatenate([np.zeros(k, np.int64), first[rest].view(np.int64)])),
-                "n": pa.array(np.concatenate([np.zeros(k, np.int64), np.ones(m, np.int64)])),
-                "sums": pa.array([*sums, *[None] * m], pa.binary()),
-                "rows": pa.nulls(k + m, pa.binary()),
-            }
-        )
-        return pa.concat_tables([made, empty])
-
-    return run
-
-
-def _summed(group: pa.Table) -> pa.Table:
-    """The scores of the rows of one slice, from what all parts and the join have of it."""
-    column = lambda c: group.column(c).to_pylist()
-    rows = np.frombuffer(next(r for r in column("rows") if r is not None), _ROW)
-    total, backed = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
-    for packed in column("sums"):
-        if packed is not None:
-            entries = np.frombuffer(zlib.decompress(packed), _ENTRY)
-            total[entries["doc"]] += entries["total"]
-            backed[entries["doc"]] += entries["backed"]
-    for doc, value in zip(column("doc"), column("value"), strict=True):
-        if value is not None:
-            total[doc] += value
-    return pa.table({"rid": pa.array(rows["rid"].copy()), "n": pa.array(rows["n"].copy()), "backed": pa.array(backed), "total": pa.array(total)})
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    pair = F.explode(let(hashes, zipped).cast("array<struct<first: bigint, second: bigint>>")).alias("pair")
+    return texts.where(F.size("words") > 0).select("rid", pair).select("rid", "pair.first", "pair.second")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
@@ -235,39 +61,22 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rid = F.xxhash64(F.lit(1), F.col(key).cast("string"), body).alias("rid")
     counts = settle(word_counts(docs, text), "word-counts")
-    start = START.decode()
-    words = counts.agg(F.sum(F.when(F.col("word") != start, F.col("n")))).first()[0] or 0
-    frequent = counts.where((F.col("n") * TABLE >= words) | (F.col("word") == start)).collect()
-    known = sorted((_hash(r["word"].encode()), float(r["n"])) for r in frequent)
-    table = (np.array([h for h, _ in known], dtype=np.uint64), np.array([n for _, n in known]))
-    spread = {h: n for h, n in known if n * SPREAD >= words}
-    parts = max(1, -(-words // PART_WORDS))
-    packed = docs.select(rid, body.alias("text")).mapInArrow(
-        _packer(parts, np.array(sorted(spread), dtype=np.uint64)), "part int, slice long, blob binary, rows binary"
-    )
-    scored = settle(packed.groupBy("part").applyInArrow(_scorer(words, spread, table, cutoff), _OUT), "pairs")
-    open_ends = scored.where("sums is null and rows is null").groupBy("slice", "doc", "word").agg(F.sum("n").alias("n"))
-    others = counts.where((F.col("n") * TABLE < words) & (F.col("n") >= cutoff))
-    values = (
-        open_ends.join(others.select(F.xxhash64("word").alias("word"), F.col("n").alias("count")), "word")
-        .groupBy("slice", "doc")
-        .agg((0 - F.sum(F.col("n") * F.log("count"))).alias("value"))
-    )
-    none = F.lit(None)
-    parts_of = scored.where("sums is not null or rows is not null").select("slice", "doc", none.cast("double").alias("value"), "sums", "rows")
-    more = values.select("slice", "doc", "value", none.cast("binary").alias("sums"), none.cast("binary").alias("rows"))
-    per_row = (
-        parts_of.unionByName(more)
-        .groupBy("slice")
-        .applyInArrow(_summed, "rid long, n long, backed long, total double")
-        .groupBy("rid")
-        .agg(F.max("n").alias("n"), F.max("backed").alias("backed"), F.max("total").alias("total"))
-    )
-    # rows that repeat key and text share a rid and have equal sums
-    rows = docs.select(F.col(key).alias("key"), rid)
-    return rows.join(per_row, "rid", "left").select(
+    words = counts.agg(F.sum(F.when(F.col("word") != START, F.col("n")))).first()[0] or 0
+    entries = _pairs(docs.select(rid, _words(text).alias("words")))
+    pair = F.xxhash64("first", "second").alias("pair")
+    seen = F.col("n") >= cutoff
+    kinds = entries.groupBy("first", "second").agg(F.count("*").alias("n"))
+    kinds = kinds.select(pair, "n", F.when(seen, F.col("first")).otherwise(F.col("second")).alias("word"))
+    count = counts.select(F.xxhash64("word").alias("word"), F.col("n").alias("count"))
+    value = F.when(seen, F.log(F.col("n") / F.col("count"))).otherwise(F.log(F.col("count") * BACKOFF / max(words, 1)))
+    scores = kinds.join(count, "word").select("pair", F.when(seen, 0).otherwise(1).alias("backed"), value.alias("value"))
+    sums = entries.select("rid", pair).join(scores, "pair").groupBy("rid")
+    per_row = settle(sums.agg(F.count("*").alias("n"), F.sum("backed").alias("backed"), F.sum("value").alias("total")), "sums")
+    # rows that repeat key and text share a rid and its sums
+    rows = docs.select(F.col(key).alias("key"), rid, F.size(_words(text)).cast("long").alias("n_words")).join(per_row, "rid", "left")
+    return rows.select(
         F.col("key").alias(key),
-        F.coalesce("n", F.lit(0)).alias("n_words"),
-        F.coalesce("backed", F.lit(0)).alias("n_backed_off"),
-        F.round(F.when(F.col("n") > 0, F.col("total") / F.col("n")), 6).alias("mean_log_score"),
+        "n_words",
+        F.coalesce(F.expr("backed div (n div n_words)"), F.lit(0).cast("long")).alias("n_backed_off"),
+        F.round(F.col("total") / F.col("n"), 6).alias("mean_log_score"),
     )
