@@ -98,9 +98,62 @@ SELECT id, thread, parent, CAST(depth AS BIGINT) AS depth, CAST((q1 IS NOT NULL)
 FROM l JOIN r USING (id)
 """
 
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(w)) AS words FROM d WHERE len(w) > 0),
+q AS (SELECT iid, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS iid, item_id, list_distinct({_TERMS}) AS w FROM benchmark)),
+v AS (SELECT DISTINCT term FROM q),
+t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) JOIN v USING (term) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY term, docs),
+m AS (SELECT rid, doc_id, 10 + (90 * len(w) * docs) // words AS m FROM d, s WHERE len(w) > 0),
+x AS (SELECT term, rid, doc_id, weight * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS share FROM t JOIN f USING (term) JOIN m USING (rid)),
+r AS (SELECT iid, item_id, rid, doc_id, CAST(sum(share) AS BIGINT) AS score FROM q JOIN x USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) <= 10
+"""
+
+#: CRC-32 bit by bit: a byte is mixed in, then eight steps (-1) follow.
+_BYTES = "flatten(list_transform(string_split({0}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))"
+_STEPS = "flatten(list_transform({0}, lambda b: [CAST(b AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+_CRC = "xor(list_reduce([CAST(4294967295 AS BIGINT)] || {0}, lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), CAST(4294967295 AS BIGINT))"
+
+SPELLING = f"""
+WITH RECURSIVE t AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents
+),
+r AS (SELECT doc, run, count(*) AS k FROM t WHERE length(run) >= 5 GROUP BY ALL),
+h AS (SELECT run, k, {_CRC.format(_STEPS.format(_BYTES.format("(doc || ':' || run)")))} AS h FROM r),
+w AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM h
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+),
+g AS (SELECT word, n, p, substring(word, 1, p) || substring(word, p + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS p FROM w)),
+e AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM g a JOIN g b USING (p, rest) WHERE a.word <> b.word
+  UNION SELECT w.word, g.word, g.n FROM w JOIN g ON g.rest = w.word
+  UNION SELECT g.word, w.word, w.n FROM w JOIN g ON g.rest = w.word
+),
+b AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM e GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n
+  FROM w LEFT JOIN b USING (word)
+),
+z AS (
+  SELECT word, word AS root FROM f WHERE form IS NULL
+  UNION ALL SELECT f.word, z.root FROM f JOIN z ON f.form = z.word
+)
+SELECT word, form, root, n, n_near, CAST(form_n AS BIGINT) AS form_n FROM f JOIN z USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_quotes": QUOTES,
     "op6_decontamination": DECONTAMINATION,
     "op9_lm_score": LM_SCORE,
+    "op12_ranked_search": LEXICAL,
+    "op13_spelling_variants": SPELLING,
 }

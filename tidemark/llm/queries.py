@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, fm_quality, line_dedup, lm_score, pii, quotes, rules_quality, secrets_forest, simhash
+from tidemark.llm import bpe, decontam, fm_quality, lexical, line_dedup, lm_score, packing, pii, quotes, rules_quality, secrets_forest, simhash, spelling
 from tidemark.llm.common import table
 
 
@@ -57,6 +57,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), slip=spelling.SLIP)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quotes": op2_quotes,
@@ -68,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
