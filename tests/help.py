@@ -47,13 +47,21 @@ def aggregate(rows, function, size=None, column=2):
     values = [r[column] for r in rows if r[column] is not None]
     if function == "count":
         return len(values)
-    if function == "distinct":
+    if function in ("distinct", "approx_distinct"):  # sketches of a few values are exact
         return len(set(values))
+    if function == "last_distinct":
+        newest = {}
+        for r in rows:
+            if r[column] is not None:
+                newest[r[column]] = max(newest.get(r[column], r[1]), r[1])
+        return [v for _, v in sorted(((t, v) for v, t in newest.items()), reverse=True)[:size]] or None
     if function == "last":
         newest = sorted(((r[1], r[column]) for r in rows if r[column] is not None), reverse=True)
         return [v for _, v in newest[:size]] or None
     if not values:
         return None
+    if function in ("min", "max"):
+        return min(values) if function == "min" else max(values)
     return sum(values) if function == "sum" else sum(values) / len(values)
 
 

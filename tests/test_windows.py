@@ -24,8 +24,8 @@ from tidemark.functions.time import CONTINUOUS, bucket
 from tidemark.operators.lookup import current_values
 from tidemark.operators.rolling import linear_answers
 from tidemark.operators.points import points_of
-from tidemark.operators.tiles import TileSet, build_tiles, finish, merge_tiles, rolled
-from tidemark.operators.windows import aggregate_asof
+from tidemark.operators.tiles import TileSet, build_tiles, finish, merge_tiles
+from tidemark.operators.windows import aggregate_asof, rolled
 
 SPINE = "id int, k string, t timestamp"
 COLUMN = {"v": 2, "s": 3}
@@ -69,6 +69,83 @@ def check(done, want, aggregates, interval):
         assert all(same(x, y) for x, y in zip(got, want[r.id])), (r, want[r.id])
 
 
+WITHOUT_INVERSE = [
+    Aggregate("v", "min", 15 * MINUTE),
+    Aggregate("v", "min", 2 * HOUR),
+    Aggregate("v", "max", HOUR),
+    Aggregate("s", "max", 30 * MINUTE),
+    Aggregate("s", "approx_distinct", HOUR),
+    Aggregate("s", "last_distinct", HOUR, 3),
+    Aggregate("s", "last_distinct", 15 * MINUTE, 3),
+    Aggregate("v", "last_distinct", 5 * MINUTE, 2),
+    Aggregate("v", "mean", HOUR),
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_least_greatest_sketched_and_different_values(spark, seed):
+    events, spine = random_events(400, seed), spine_of(seed + 200)
+    tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", WITHOUT_INVERSE, FIVE)
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, WITHOUT_INVERSE)
+    check(done, expected(spine, events, WITHOUT_INVERSE, FIVE), WITHOUT_INVERSE, FIVE)
+
+
+def test_values_without_inverse_over_many_cells(spark):
+    """A window of 600 tiles is cut into cells, of which some are whole."""
+    events = random_events(500, 11, minutes=3000)
+    spine = [(i, k, t) for i, (k, t, _, _) in enumerate(random_events(120, 12, minutes=3300))]
+    wanted = [Aggregate("v", "min", 600 * MINUTE), Aggregate("v", "max", 77 * MINUTE), Aggregate("s", "approx_distinct", 600 * MINUTE)]
+    tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, MINUTE)
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
+    check(done, expected(spine, events, wanted, MINUTE), wanted, MINUTE)
+
+
+def test_no_tile_and_no_frame_holds_a_row_per_value(spark):
+    events = spark.range(20_000).selectExpr("'a' AS k", "timestamp_micros(id * 1000) AS t", "CAST(id AS string) AS s")
+    wanted = [Aggregate("s", "approx_distinct", 5 * MINUTE)]
+    tiles = build_tiles(events, ["k"], "t", wanted, FIVE)
+    assert list(tiles.parts()) == ["merged"] and tiles.merged.count() == 1
+    got = current_values(tiles, wanted, datetime(1970, 1, 1, 0, 5)).first()[wanted[0].feature(FIVE)]
+    assert abs(got - 20_000) < 20_000 * 5 * 1.04 / 64
+
+
+def test_merging_keeps_what_has_no_inverse(spark):
+    events = random_events(300, 21)
+    halves = [build_tiles(spark.createDataFrame(events[i::2], EVENT), ["k"], "t", WITHOUT_INVERSE, FIVE) for i in (0, 1)]
+    stacked = halves[0].replace({n: p.unionByName(halves[1].parts()[n]) for n, p in halves[0].parts().items()})
+    merged, spine = merge_tiles(stacked), spine_of(22)
+    assert merged.merged.count() == merged.merged.select("k", "_at").distinct().count()
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", merged, WITHOUT_INVERSE)
+    check(done, expected(spine, events, WITHOUT_INVERSE, FIVE), WITHOUT_INVERSE, FIVE)
+
+
+def test_continuous_values_without_inverse(spark):
+    events = random_events(300, 31)
+    spine = [(i, k, t) for i, (k, t, _, _) in enumerate(events) if t is not None]
+    wanted = [Aggregate("v", f, w) for f in ("min", "max") for w in (40 * MINUTE, 5 * HOUR)]
+    wanted.append(Aggregate("s", "approx_distinct", 3 * HOUR))
+    tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", wanted, CONTINUOUS)
+    done = aggregate_asof(spark.createDataFrame(spine, SPINE), "t", tiles, wanted)
+    want = {
+        i: [aggregate(window_rows(events, k, t - a.window, t, "right"), a.function, a.size, COLUMN[a.column]) for a in wanted]
+        for i, k, t in spine
+    }
+    check(done, want, wanted, CONTINUOUS)
+    with pytest.raises(ValueError, match="need an interval"):
+        build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", [Aggregate("s", "last_distinct", HOUR, 2)], CONTINUOUS)
+
+
+def test_listings_of_values_without_inverse(spark):
+    events = random_events(120, 41, minutes=200)
+    tiles = build_tiles(spark.createDataFrame(events, EVENT), ["k"], "t", WITHOUT_INVERSE, FIVE)
+    rows = rolled(tiles, WITHOUT_INVERSE).collect()
+    assert rows
+    for r in rows:
+        for a in WITHOUT_INVERSE:
+            inside = window_rows(events, r.k, r.window_end - a.window, r.window_end)
+            assert same(r[a.feature(FIVE)], aggregate(inside, a.function, a.size, COLUMN[a.column])), (r, a)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_tiled_aggregates_match_brute_force(spark, seed):
     events, spine = random_events(400, seed), spine_of(seed + 100)

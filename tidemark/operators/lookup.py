@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.aggregates import Aggregate, check
+from tidemark.functions.aggregates import MERGED, Aggregate, check, merge_of
 from tidemark.functions.time import CONTINUOUS, bucket_start, instant_micros, micros
 from tidemark.operators.points import AT
-from tidemark.operators.tiles import TileSet, fill_empty, keep_newest
+from tidemark.operators.tiles import TileSet, fill_empty, keep_newest, keep_newest_values
 from tidemark.sources.tables import instant
 
 
+def newest_lists(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One list of values per key, newest first, from few rows of each."""
+    ordered = F.sort_array(F.collect_list(F.struct("_ts", "_value")), asc=False)
+    listed = rows.groupBy(*keys).agg(ordered.alias("_l"))
+    return listed.select(*keys, F.transform("_l", lambda item: item["_value"]).alias(name))
+
+
 def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime) -> DataFrame:
     """Aggregates of every key as of one moment.
 
@@ -36,24 +43,23 @@ def current_values(tiles: TileSet, aggregates: list[Aggregate], moment: datetime
     for a in aggregates:
         inside = F.col(AT) >= now - a.buckets(interval)
         name = a.feature(interval)
-        if a.function in ("count", "sum", "mean"):
-            n = F.sum(F.when(inside, F.col(f"n_{a.column}")))
-            if a.function == "count":
-                merged.append(n.alias(name))
+        if a.function in MERGED:
+            held = {p[0]: merge_of(p)(F.when(inside, F.col(p))) for p in a.partials}
+            if a.function == "mean":
+                value = F.when(held["n"] > 0, held["s"] / held["n"])
+            elif a.function == "approx_distinct":
+                value = F.hll_sketch_estimate(held["h"])
             else:
-                total = F.sum(F.when(inside, F.col(f"s_{a.column}")))
-                value = total if a.function == "sum" else F.when(n > 0, total / n)
-                merged.append(value.alias(name))
+                value = held[a.partials[-1][0]]
+            merged.append(value.alias(name))
         elif a.function == "distinct":
             values = recent.distinct[a.column].filter(inside)
             pairs = values.select(*keys, "_value").distinct()
             parts.append(pairs.groupBy(*keys).agg(F.count("_value").alias(name)))
         else:
-            newest = keep_newest(recent.recent[(a.column, a.size)].filter(inside), keys, a.size)
-            ordered = F.sort_array(F.collect_list(F.struct("_ts", "_value")), asc=False)
-            listed = newest.groupBy(*keys).agg(ordered.alias("_l"))
-            values = F.transform("_l", lambda item: item["_value"]).alias(name)
-            parts.append(listed.select(*keys, values))
+            rows = recent.parts()[a.part].filter(inside).select(*keys, "_ts", "_value")
+            keep = keep_newest if a.function == "last" else keep_newest_values
+            parts.append(newest_lists(keep(rows, keys, a.size), keys, name))
     if merged:
         parts.insert(0, recent.merged.groupBy(*keys).agg(*merged))
     table = parts[0]

@@ -1,11 +1,12 @@
 """Window aggregates in linear time, for continuous windows and very long ones.
 
-A sliding frame re-adds the whole window for every row, which a dense key cannot afford.
+A sliding frame re-adds the whole window for every row, which a dense key cannot afford, and what
+has no inverse, such as a maximum, cannot be taken out of a running total either.
 Here time is cut into cells, a whole number per window, and a value is put together from
 three parts: the end of the cell the window starts in, the whole cells between, and the
 start of the cell it ends in. Moving the events of the starting cell forward by one window
-length puts all three parts of a point into one (key, cell) group, so two running sums
-finish it: linear work, one shuffle, and a group that is a small fraction of a window long
+length puts all three parts of a point into one (key, cell) group, so two running totals, one
+from the front and one from the back, finish it: linear work, one shuffle, and a group that is a small fraction of a window long
 however many events a key has.
 """
 
@@ -19,10 +20,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.aggregates import MERGED, Aggregate
+from tidemark.functions.aggregates import MERGED, PARTIALS, Aggregate, merge_of, partials_of
 from tidemark.functions.time import CONTINUOUS, floor_div, micros
 from tidemark.operators.points import AT
-from tidemark.operators.tiles import TileSet, finish, keep_newest
+from tidemark.operators.tiles import EPOCH, EPOCH_WINDOWS, TileSet, keep_newest, repeat_over_epochs
 
 CELL = "_cell"
 #: Cells per window at most. A longer continuous window has longer cells; results are the same.
@@ -55,28 +56,42 @@ def _between(
     cell: int,
     wanted: dict[int, list[str]],
 ) -> DataFrame:
-    """Sums over the whole cells of each window before an end cell, as rows in front of it.
+    """Partials over the whole cells of each window before an end cell, as rows in front of it.
 
     ``wanted`` has the partials of each window, by the window's length in intervals.
     """
-    step = interval * cell
     partials = sorted({p for listed in wanted.values() for p in listed})
     coarse = (
         events.withColumn(AT, floor_div(F.col(AT), cell))
         .groupBy(*keys, AT)
-        .agg(*[F.sum(p).alias(f"s_{p}") for p in partials])
-        .withColumns({f"n_{p}": F.lit(1) for p in partials})
+        .agg(*[merge_of(p)(p).alias(p) for p in partials])
     )
-    sums = {(w, p): Aggregate(p, "sum", step * (w // cell - 1)) for w, listed in wanted.items() for p in listed}
-    done = finish(ends, TileSet(tuple(keys), step, coarse), list(sums.values()))
+    done = over_cells(ends, coarse, keys, {w // cell - 1: listed for w, listed in wanted.items()})
     return done.select(
         *keys,
         F.col(AT).alias(CELL),
         (F.col(AT) * cell - 1).alias(AT),
-        *[F.col(a.feature(step)).alias(f"_mid{w}_{p}") for (w, p), a in sums.items()],
+        *[F.col(f"_{w // cell - 1}_{p}").alias(f"_mid{w}_{p}") for w, listed in wanted.items() for p in listed],
     )
 
 
+def over_cells(points: DataFrame, cells: DataFrame, keys: list[str], wanted: dict[int, list[str]]) -> DataFrame:
+    """Partials over the ``w`` cells before each point, as ``_<w>_<partial>``; a sliding frame each.
+
+    Cells are few per window, so the frames are short; epochs bound what a task sees of a key.
+    """
+    reach = max(wanted)
+    length = EPOCH_WINDOWS * reach
+    marks = points.select(*keys, AT, floor_div(F.col(AT), length).alias(EPOCH), F.lit(True).alias("_point"))
+    both = repeat_over_epochs(cells, reach, length).unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, EPOCH).orderBy(AT)
+    found = both.select(
+        *keys, AT, "_point",
+        *[merge_of(p)(p).over(order.rangeBetween(-w, -1)).alias(f"_{w}_{p}") for w, listed in wanted.items() for p in listed],
+    )
+    return found.filter("_point").drop("_point")
+
+
 def _passes(merged: list[Aggregate], interval: timedelta) -> list[list[Aggregate]]:
     """All windows together, or one length at a time where they have no usable common cell."""
     lengths = sorted({a.buckets(interval) for a in merged})
@@ -89,7 +104,7 @@ def _passes(merged: list[Aggregate], interval: timedelta) -> list[list[Aggregate
 
 
 def _all_windows(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) -> DataFrame:
-    """All window lengths in one union and one pair of running sums.
+    """All window lengths in one union and one pair of running totals.
 
     The cells are the same for all lengths, so the events before a point in its cell are summed
     once; each length adds the events of the cell it starts in, moved forward, and its sum over
@@ -102,7 +117,7 @@ def _all_windows(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) ->
     needed: dict[int, list[str]] = {}
     for w in lengths:
         mine = [a for a in wanted if a.buckets(interval) == w]
-        needed[w] = sorted({f"n_{a.column}" for a in mine} | {f"s_{a.column}" for a in mine if a.function != "count"})
+        needed[w] = partials_of(mine)
     partials = sorted({p for listed in needed.values() for p in listed})
     events = tiles.merged.select(*keys, AT, *partials)
     # A continuous point sees events up to and including its own microsecond.
@@ -141,14 +156,15 @@ def _all_windows(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) ->
         *keys,
         (F.col(AT) - after).alias(AT),
         "_point",
-        *[F.sum(c).over(forward).alias(c) for c in before],
-        *[F.sum(c).over(backward).alias(c) for c in behind],
+        *[merge_of(c.split("_", 2)[2])(c).over(forward).alias(c) for c in before],
+        *[merge_of(c.split("_", 2)[2])(c).over(backward).alias(c) for c in behind],
     ).filter("_point")
 
     def total(p: str, w: int) -> Column:
+        """What the three parts come to; a part without events is null and adds nothing."""
         names = [f"_pre_{p}", f"_suf{w}_{p}", *([f"_mid{w}_{p}"] if w in spread else [])]
-        known = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
-        return F.when(known, reduce(lambda a, b: a + b, [F.coalesce(n, F.lit(0)) for n in names]))
+        combine = PARTIALS[p[0]].combine
+        return reduce(lambda a, b: F.coalesce(combine(a, b), a, b), [F.col(n) for n in names])
 
     def value(a: Aggregate) -> Column:
         w = a.buckets(interval)
@@ -156,6 +172,10 @@ def _all_windows(points: DataFrame, tiles: TileSet, wanted: list[Aggregate]) ->
             return total(f"n_{a.column}", w)
         if a.function == "sum":
             return total(f"s_{a.column}", w)
+        if a.function in ("min", "max"):
+            return total(*a.partials, w)
+        if a.function == "approx_distinct":
+            return F.hll_sketch_estimate(total(*a.partials, w))
         n = total(f"n_{a.column}", w)
         return F.when(n > 0, total(f"s_{a.column}", w) / n)
 

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.aggregates import MERGED, Aggregate, check
+from tidemark.functions.aggregates import COUNTS, LISTS, MERGED, PARTIALS, Aggregate, check, merge_of, partials_of
 from tidemark.functions.time import as_micros, bucket, bucket_start, floor_div, micros
 from tidemark.operators.points import AT, all_present
 
@@ -32,9 +32,10 @@ EPOCH_WINDOWS = 4
 class TileSet:
     """Tiles of one view. All frames carry the keys and the interval number ``_at``.
 
-    ``merged`` has one row per key and interval with counts ``n_<column>`` and sums
-    ``s_<column>``; ``distinct`` one row per key, interval and value; ``recent`` the
-    newest few values of each interval.
+    ``merged`` has one row per key and interval with its partials: counts ``n_<column>``, sums
+    ``s_<column>``, least and greatest values ``l_<column>`` and ``g_<column>``, sketches
+    ``h_<column>``. ``distinct`` has one row per key, interval and value; ``recent`` the newest few
+    values of each interval, ``newest`` the newest few different ones at their newest times.
     """
 
     keys: tuple[str, ...]
@@ -42,12 +43,14 @@ class TileSet:
     merged: DataFrame | None = None
     distinct: dict[str, DataFrame] = field(default_factory=dict)
     recent: dict[tuple[str, int], DataFrame] = field(default_factory=dict)
+    newest: dict[tuple[str, int], DataFrame] = field(default_factory=dict)
 
     def parts(self) -> dict[str, DataFrame]:
         """Every frame under a name that can serve as a folder name."""
         named = {} if self.merged is None else {"merged": self.merged}
         named |= {f"distinct_{c}": d for c, d in self.distinct.items()}
-        return named | {f"recent{n}_{c}": d for (c, n), d in self.recent.items()}
+        named |= {f"recent{n}_{c}": d for (c, n), d in self.recent.items()}
+        return named | {f"newest{n}_{c}": d for (c, n), d in self.newest.items()}
 
     def map(self, change: Callable[[DataFrame], DataFrame]) -> TileSet:
         return self.replace({name: change(df) for name, df in self.parts().items()})
@@ -59,6 +62,7 @@ class TileSet:
             named.get("merged"),
             {c: named[f"distinct_{c}"] for c in self.distinct},
             {(c, n): named[f"recent{n}_{c}"] for c, n in self.recent},
+            {(c, n): named[f"newest{n}_{c}"] for c, n in self.newest},
         )
 
     def cells(self) -> DataFrame:
@@ -69,13 +73,6 @@ class TileSet:
         return reduce(DataFrame.unionByName, pairs).distinct()
 
 
-def _partials(aggregates: list[Aggregate]) -> tuple[list[str], list[str]]:
-    merged = [a for a in aggregates if a.function in MERGED]
-    counted = sorted({a.column for a in merged})
-    summed = sorted({a.column for a in merged if a.function != "count"})
-    return counted, summed
-
-
 def keep_newest(df: DataFrame, by: list[str], size: int) -> DataFrame:
     # A rank filter: Spark drops all but `size` rows per group before the shuffle too.
     order = Window.partitionBy(*by).orderBy(F.desc("_ts"), F.desc("_value"))
@@ -83,6 +80,11 @@ def keep_newest(df: DataFrame, by: list[str], size: int) -> DataFrame:
     return ranked.filter(F.col("_rank") <= size).drop("_rank")
 
 
+def keep_newest_values(df: DataFrame, by: list[str], size: int) -> DataFrame:
+    """The newest few different values, each with its newest time."""
+    return keep_newest(df.groupBy(*by, "_value").agg(F.max("_ts").alias("_ts")), by, size)
+
+
 def build_tiles(
     events: DataFrame,
     keys: list[str],
@@ -94,22 +96,23 @@ def build_tiles(
     check(aggregates, interval)
     rows = events.filter(all_present([*keys, ts])).withColumn(AT, bucket(F.col(ts), interval))
     by = [*keys, AT]
-    counted, summed = _partials(aggregates)
+    partials = partials_of(aggregates)
     merged = None
-    if counted:
-        merged = rows.groupBy(*by).agg(
-            *[F.count(c).alias(f"n_{c}") for c in counted],
-            *[F.sum(c).alias(f"s_{c}") for c in summed],
-        )
+    if partials:
+        merged = rows.groupBy(*by).agg(*[PARTIALS[p[0]].build(p[2:]).alias(p) for p in partials])
     distinct = {
         c: rows.select(*by, F.col(c).alias("_value")).filter("_value IS NOT NULL").distinct()
         for c in sorted({a.column for a in aggregates if a.function == "distinct"})
     }
-    recent = {}
-    for c, n in sorted({(a.column, a.size) for a in aggregates if a.function == "last"}):
-        stamped = rows.select(*by, as_micros(F.col(ts)).alias("_ts"), F.col(c).alias("_value"))
-        recent[(c, n)] = keep_newest(stamped.filter("_value IS NOT NULL"), by, n)
-    return TileSet(tuple(keys), interval, merged, distinct, recent)
+
+    def stamped(c: str) -> DataFrame:
+        found = rows.select(*by, as_micros(F.col(ts)).alias("_ts"), F.col(c).alias("_value"))
+        return found.filter("_value IS NOT NULL")
+
+    lists = {f: sorted({(a.column, a.size) for a in aggregates if a.function == f}) for f in LISTS}
+    recent = {(c, n): keep_newest(stamped(c), by, n) for c, n in lists["last"]}
+    newest = {(c, n): keep_newest_values(stamped(c), by, n) for c, n in lists["last_distinct"]}
+    return TileSet(tuple(keys), interval, merged, distinct, recent, newest)
 
 
 def merge_tiles(tiles: TileSet) -> TileSet:
@@ -119,16 +122,17 @@ def merge_tiles(tiles: TileSet) -> TileSet:
     def merge(name: str, df: DataFrame) -> DataFrame:
         if name == "merged":
             added = [c for c in df.columns if c not in by]
-            return df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in added])
+            return df.groupBy(*by).agg(*[merge_of(c)(c).alias(c) for c in added])
         if name.startswith("distinct_"):
             return df.select(*by, "_value").distinct()
-        size = int(name.split("_", 1)[0].removeprefix("recent"))
-        return keep_newest(df.select(*by, "_ts", "_value"), by, size)
+        kind, size = name[:6], int(name.split("_", 1)[0][6:])
+        keep = keep_newest if kind == "recent" else keep_newest_values
+        return keep(df.select(*by, "_ts", "_value"), by, size)
 
     return tiles.replace({name: merge(name, df) for name, df in tiles.parts().items()})
 
 
-def _repeat_over_epochs(df: DataFrame, reach: int, length: int) -> DataFrame:
+def repeat_over_epochs(df: DataFrame, reach: int, length: int) -> DataFrame:
     """Each tile in every epoch that holds a point whose window can reach it: one or two."""
     first = floor_div(F.col(AT) + 1, length)
     final = floor_div(F.col(AT) + reach, length)
@@ -188,6 +192,25 @@ def _recent_lists(df: DataFrame, keys: list[str], name: str, size: int) -> DataF
     return listed.filter(ends).drop("_next")
 
 
+def _newest_lists(df: DataFrame, keys: list[str], name: str, size: int, reach: int) -> DataFrame:
+    """Per cell, the newest ``size`` different values up to and including it, newest first.
+
+    A value may be in any number of cells, so no fixed number of earlier rows is enough. Lists are
+    put together by doubling: after k steps a cell's list covers 2^k cells that hold data, and no
+    window has more of them than intervals. All steps share one order of the rows.
+    """
+    order = Window.partitionBy(*keys, EPOCH).orderBy(AT)
+    item = F.struct("_ts", "_value")
+    listed = df.groupBy(*keys, EPOCH, AT).agg(F.sort_array(F.collect_list(item), asc=False).alias(name))
+    for k in range((reach - 1).bit_length()):
+        listed = listed.withColumn("_older", F.lag(name, 1 << k).over(order))
+        known = F.transform(F.col(name), lambda i: i["_value"])
+        more = F.filter("_older", lambda i: ~F.array_contains(known, i["_value"]))
+        both = F.slice(F.concat(F.col(name), F.coalesce(more, F.filter(name, lambda _: F.lit(False)))), 1, size)
+        listed = listed.withColumn(name, both).drop("_older")
+    return listed
+
+
 def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
     """Values at distinct ``points``, given by keys and an interval number ``_at``.
 
@@ -199,10 +222,8 @@ def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> Da
     wanted = [a for a in aggregates if a.function in MERGED]
     rows = []
     if wanted:
-        counted, summed = _partials(wanted)
-        partials = [*[f"n_{c}" for c in counted], *[f"s_{c}" for c in summed]]
-        merged = tiles.merged.select(*keys, AT, *partials)
-        rows.append(_repeat_over_epochs(merged, reach, length))
+        merged = tiles.merged.select(*keys, AT, *partials_of(wanted))
+        rows.append(repeat_over_epochs(merged, reach, length))
     for column in {a.column: None for a in aggregates if a.function == "distinct"}:
         windows = sorted(
             a.buckets(interval)
@@ -211,8 +232,13 @@ def finish(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> Da
         )
         rows.append(_presence_steps(tiles.distinct[column], keys, column, windows, length))
     for column, size in {(a.column, a.size): None for a in aggregates if a.function == "last"}:
-        repeated = _repeat_over_epochs(tiles.recent[(column, size)], reach, length)
+        repeated = repeat_over_epochs(tiles.recent[(column, size)], reach, length)
         rows.append(_recent_lists(repeated, keys, f"r_{column}_{size}", size))
+    different = [a for a in aggregates if a.function == "last_distinct"]
+    for column, size in {(a.column, a.size): None for a in different}:
+        repeated = repeat_over_epochs(tiles.newest[(column, size)], reach, length)
+        longest = max(a.buckets(interval) for a in different if (a.column, a.size) == (column, size))
+        rows.append(_newest_lists(repeated, keys, f"v_{column}_{size}", size, longest))
     marks = points.select(
         *keys, AT, floor_div(F.col(AT), length).alias(EPOCH), F.lit(True).alias("_point")
     )
@@ -240,22 +266,26 @@ def _raw(a: Aggregate, order: WindowSpec, interval: timedelta) -> Column:
     if a.function == "distinct":
         steps = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return F.sum(f"d_{a.column}_{a.buckets(interval)}").over(steps)
-    before = order.rangeBetween(Window.unboundedPreceding, -1)
-    return F.last(f"r_{a.column}_{a.size}", ignorenulls=True).over(before)
+    if a.function in LISTS:
+        before = order.rangeBetween(Window.unboundedPreceding, -1)
+        name = "r" if a.function == "last" else "v"
+        return F.last(f"{name}_{a.column}_{a.size}", ignorenulls=True).over(before)
+    raise ValueError(f"{a.function} is finished in linear time only")
 
 
 def _finished(a: Aggregate, raw: Column, interval: timedelta) -> Column:
-    if a.function != "last":
+    if a.function not in LISTS:
         return raw
     oldest = (F.col(AT) - a.buckets(interval)) * F.lit(micros(interval))
     inside = F.filter(raw, lambda item: item["_ts"] >= oldest)
-    values = F.reverse(F.transform(inside, lambda item: item["_value"]))
+    values = F.transform(inside, lambda item: item["_value"])
+    values = F.reverse(values) if a.function == "last" else values
     return F.when(F.size(inside) > 0, values)
 
 
 def fill_empty(df: DataFrame, names: list[str], aggregates: list[Aggregate]) -> DataFrame:
     """Nothing seen counts as 0; sums, means and lists of nothing stay null."""
-    zero = [n for n, a in zip(names, aggregates) if a.function in ("count", "distinct")]
+    zero = [n for n, a in zip(names, aggregates) if a.function in COUNTS]
     return df.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in zero})
 
 
@@ -276,20 +306,3 @@ def boundaries(tiles: TileSet, reach: int, low: int | None, high: int | None) ->
     spans = spans.select(*keys, first.alias("_first"), final.alias("_final"))
     spans = spans.filter(F.col("_first") <= F.col("_final"))
     return spans.select(*keys, F.explode(F.sequence("_first", "_final")).alias(AT))
-
-
-def rolled(
-    tiles: TileSet,
-    aggregates: list[Aggregate],
-    low: int | None = None,
-    high: int | None = None,
-) -> DataFrame:
-    """Values per key at each interval boundary in ``[low, high)``, while not empty."""
-    check(aggregates, tiles.interval)
-    reach = max(a.buckets(tiles.interval) for a in aggregates)
-    points = boundaries(tiles, reach, low, high)
-    names = [a.feature(tiles.interval) for a in aggregates]
-    done = fill_empty(finish(points, tiles, aggregates), names, aggregates)
-    return done.select(
-        *tiles.keys, bucket_start(F.col(AT), tiles.interval).alias("window_end"), *names
-    )

@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.aggregates import MERGED, Aggregate, check
+from tidemark.functions.aggregates import MERGED, SUMMED, Aggregate, check
 from tidemark.functions.time import CONTINUOUS, bucket, bucket_start
 from tidemark.operators.points import AT, attach, points_of
 from tidemark.operators.rolling import linear_answers
-from tidemark.operators.tiles import TileSet, fill_empty, finish
+from tidemark.operators.tiles import TileSet, boundaries, fill_empty, finish
 
 #: Windows over more intervals are put together from cells instead of adding up every tile for
 #: every point. Values are the same but for the order in which floats are added.
@@ -26,7 +26,7 @@ def combine(sets: list[tuple[TileSet, list[Aggregate]]]) -> tuple[TileSet, list[
     stay rows of their own.
     """
     keys, interval = sets[0][0].keys, sets[0][0].interval
-    merged, distinct, recent, wanted = [], {}, {}, []
+    merged, distinct, recent, newest, wanted = [], {}, {}, {}, []
     for i, (tiles, aggregates) in enumerate(sets):
         if tiles.merged is not None:
             partials = [c for c in tiles.merged.columns if c not in (*keys, AT)]
@@ -34,22 +34,24 @@ def combine(sets: list[tuple[TileSet, list[Aggregate]]]) -> tuple[TileSet, list[
             merged.append(tiles.merged.select(*keys, AT, *renamed))
         distinct |= {f"{i}_{c}": part for c, part in tiles.distinct.items()}
         recent |= {(f"{i}_{c}", n): part for (c, n), part in tiles.recent.items()}
+        newest |= {(f"{i}_{c}", n): part for (c, n), part in tiles.newest.items()}
         wanted += [replace(a, column=f"{i}_{a.column}") for a in aggregates]
     stacked = None
     if merged:
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), merged)
-    return TileSet(keys, interval, stacked, distinct, recent), wanted
+    return TileSet(keys, interval, stacked, distinct, recent, newest), wanted
 
 
 def answers(points: DataFrame, tiles: TileSet, aggregates: list[Aggregate]) -> DataFrame:
     """Values at distinct points.
 
     Counts, sums and means over very many intervals, and all continuous ones, take the way
-    whose work does not grow with the window.
+    whose work does not grow with the window; so do least and greatest values and sketches, which
+    cannot be taken out of a window again.
     """
 
     def is_long(a: Aggregate) -> bool:
-        return a.function in MERGED and a.buckets(tiles.interval) > LONG
+        return a.function in MERGED and (a.function not in SUMMED or a.buckets(tiles.interval) > LONG)
 
     long = [a for a in aggregates if tiles.interval == CONTINUOUS or is_long(a)]
     short = [a for a in aggregates if a not in long]
@@ -112,3 +114,20 @@ def aggregate_asof(
 ) -> DataFrame:
     """Spine columns first and unchanged, then each aggregate as of the row's time."""
     return aggregates_asof(spine, ts, [("", tiles, aggregates)], **options)
+
+
+def rolled(
+    tiles: TileSet,
+    aggregates: list[Aggregate],
+    low: int | None = None,
+    high: int | None = None,
+) -> DataFrame:
+    """Values per key at each interval boundary in ``[low, high)``, while not empty."""
+    check(aggregates, tiles.interval)
+    reach = max(a.buckets(tiles.interval) for a in aggregates)
+    points = boundaries(tiles, reach, low, high)
+    names = [a.feature(tiles.interval) for a in aggregates]
+    done = fill_empty(answers(points, tiles, aggregates), names, aggregates)
+    return done.select(
+        *tiles.keys, bucket_start(F.col(AT), tiles.interval).alias("window_end"), *names
+    )
