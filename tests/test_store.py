@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from help import DAY, EVENT, HOUR, MINUTE, plain, random_events
 
 from tidemark.functions.aggregates import Aggregate
@@ -262,3 +263,202 @@ def test_lookups_read_published_values(spark, source, tmp_path):
     assert "Window" not in plan and "ExistingRDD[k" not in plan.replace("ExistingRDD[id", "")
     with pytest.raises(ValueError, match="nothing published"):
         store.published(row_view(source), FIRST)
+
+
+# -- declarations that changed ------------------------------------------------
+
+
+def wide_view(source, factor=1, **changes):
+    @stream_view(
+        source=source, keys=["k"], ts="t", interval=30 * MINUTE, aggregations=[Aggregate("v", "sum", DAY)],
+    )
+    def wide(events):
+        return f"SELECT k, t, v * {factor} AS v, s FROM {events}"
+
+    return replace(wide, **changes)
+
+
+def frame_view(source, factor):
+    @batch_view(sources=[source], keys=["k"], ts="t", schedule=DAY, mode="frame")
+    def framed(events):
+        return events.select("k", "t", (events["v"] * factor).alias("v"))
+
+    return framed
+
+
+def unequal(a, b):
+    return a != b
+
+
+MORE = (Aggregate("v", "sum", DAY), Aggregate("s", "distinct", DAY), Aggregate("s", "count", DAY), Aggregate("v", "max", DAY))
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"aggregations": MORE},
+        {"factor": 10},
+        {"start": None, "before": {"start": FIRST + 2 * DAY + 10 * MINUTE}},
+        {"start": FIRST + 2 * DAY + 10 * MINUTE},
+        {"start": FIRST + 3 * DAY, "before": {"start": FIRST + DAY}},
+    ],
+)
+def test_what_was_stored_under_another_declaration(spark, source, spine, change, tmp_path):
+    """Never an answer from what was not stored: what is missing comes from the source."""
+    change = dict(change)
+    before, now = wide_view(source, **change.pop("before", {})), wide_view(source, **change)
+    store = Store(spark, str(tmp_path))
+    store.backfill(before, FIRST, LAST, 2)
+    want = plain(now.historical(spine, "t"))
+    assert unequal(want, plain(before.historical(spine, "t")))
+    assert plain(now.historical(spine, "t", store=store)) == want
+    # and the earlier declaration still finds all of its own
+    assert store.loaded(before) == [(FIRST, LAST)]
+    store.materialize(now, FIRST + DAY, FIRST + 2 * DAY)
+    assert plain(now.historical(spine, "t", store=store)) == want
+    assert plain(before.historical(spine, "t", store=store)) == plain(before.historical(spine, "t"))
+
+
+def test_rows_with_another_column_or_other_code(spark, source, spine, tmp_path):
+    store, view = Store(spark, str(tmp_path)), row_view(source)
+    store.backfill(view, FIRST, LAST, 1)
+
+    @batch_view(sources=[source], keys=["k"], ts="t", schedule=DAY)
+    def rows(events):
+        return f"SELECT k, t, v, s FROM {events}"
+
+    assert not store.has(rows)
+    assert plain(rows.historical(spine, "t", store=store)) == plain(rows.historical(spine, "t"))
+    store.backfill(frame_view(source, 1), FIRST, LAST, 1)
+    assert store.has(frame_view(source, 1)) and not store.has(frame_view(source, 2))
+    tenfold = frame_view(source, 10)
+    assert plain(tenfold.historical(spine, "t", store=store)) == plain(tenfold.historical(spine, "t"))
+
+
+def test_a_layout_can_be_stored_anew(spark, source, spine, tmp_path):
+    store, view = Store(spark, str(tmp_path)), mixed_view(source)
+    store.backfill(view, FIRST, LAST, 1)
+    other = replace(view, interval=HOUR, aggregations=view.aggregations[:2])
+    store.backfill(other, FIRST, LAST, 1)
+    for v in (view, other):
+        assert store.loaded(v) == [(FIRST, LAST)]
+        assert plain(v.historical(spine, "t", store=store)) == plain(v.historical(spine, "t"))
+
+
+def test_finished_windows_of_another_declaration_are_not_shown(spark, source, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.emit_window(wide_view(source, 10), FIRST + 2 * DAY)
+    store.emit_window(wide_view(source), FIRST + 2 * DAY)
+    assert plain(store.finished(wide_view(source))) == [r for r in plain(wide_view(source).run()) if r[1] == FIRST + 2 * DAY]
+
+
+def test_many_runs_leave_one_job_to_name(spark, source, tmp_path):
+    store, view = Store(spark, str(tmp_path)), row_view(source)
+    for _ in range(12):
+        store.materialize(view, FIRST, FIRST + 2 * DAY)
+    plan = store.rows(view)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_run") and " OR " not in plan
+    store.materialize(view, FIRST + DAY, FIRST + 3 * DAY)
+    other = frame_view(source, 3)
+    store.materialize(replace(other, name="rows"), FIRST, FIRST + DAY)
+    want = plain(store.rows(view))
+    # what a job that died left behind
+    spark.range(3).selectExpr("'x' AS k", "timestamp'2024-01-01 01:00:00' AS t", "1D AS v").withColumns(
+        {"day": F.lit("2024-01-01"), "_run": F.lit(5)}
+    ).write.partitionBy("day", "_run").mode("append").parquet(f"{tmp_path}/rows/rows")
+    assert plain(store.rows(view)) == want
+    store.compact(view)
+    assert plain(store.rows(view)) == want
+    assert store.loaded(view) == [(FIRST, FIRST + 3 * DAY)]
+    plan = store.rows(view)._jdf.queryExecution().executedPlan().toString()
+    assert " OR " not in plan
+    # of the first day the rewritten job, and the one of the other code; of the others one each
+    folders = sorted(p.parent.name for p in (tmp_path / "rows" / "rows").glob("day=*/_run=*"))
+    assert folders == ["day=2024-01-01", "day=2024-01-01", "day=2024-01-02", "day=2024-01-03"]
+    assert len(list((tmp_path / "rows" / "loaded").glob("*.parquet"))) == 3
+    assert plain(store.rows(replace(other, name="rows"))) == plain(other.frame().filter(f"t < '{FIRST + DAY}'"))
+    store.compact(view)
+    assert plain(store.rows(view)) == want
+
+
+# -- published values that are carried forward --------------------------------
+
+ALL_KINDS = (
+    Aggregate("v", "count", 6 * HOUR), Aggregate("v", "sum", DAY), Aggregate("v", "mean", 2 * DAY), Aggregate("s", "count", DAY),
+    Aggregate("s", "distinct", DAY), Aggregate("s", "distinct", 6 * HOUR), Aggregate("s", "last", DAY, 3), Aggregate("s", "last_distinct", DAY, 3),
+    Aggregate("v", "min", DAY), Aggregate("v", "max", 6 * HOUR), Aggregate("s", "approx_distinct", DAY),
+)
+
+
+class Watched(Store):
+    """A store that notes which ranges are asked for."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.asked = []
+
+    def rows_or_computed(self, view, start, end):
+        self.asked.append((start, end))
+        return super().rows_or_computed(view, start, end)
+
+    def tiles_or_computed(self, view, start, end):
+        self.asked.append((start, end))
+        return super().tiles_or_computed(view, start, end)
+
+
+def current(store, view, moment):
+    frame = store.published(view, moment).frame
+    return plain(frame.select(*view.keys, *view.features))
+
+
+@pytest.mark.parametrize("some", [ALL_KINDS, ALL_KINDS[:4]])
+def test_published_windows_move_on(spark, source, tmp_path, some):
+    view = replace(mixed_view(source), aggregations=some)
+    store, fresh = Watched(spark, str(tmp_path / "a")), Store(spark, str(tmp_path / "b"))
+    for hours in (30, 31, 37, 37, 90):  # a short step, one past a window, none, one past all windows
+        moment = FIRST + hours * HOUR + 10 * MINUTE
+        store.asked.clear()
+        store.publish(view, moment)
+        fresh.publish(view, moment, anew=True)
+        assert current(store, view, moment) == current(fresh, view, moment)
+        want = view.snapshot(moment).frame.select("k", *view.features)
+        assert current(store, view, moment) == plain(want)
+        if hours == 31 and some == ALL_KINDS[:4]:
+            # what arrived, and what left each of the windows
+            ends = sorted({(a, b) for a, b in store.asked})
+            assert all(b - a == HOUR for a, b in ends) and len(ends) == 4
+
+
+def test_published_rows_move_on(spark, source, tmp_path):
+    for view in (row_view(source), replace(row_view(source), schedule=None)):
+        store = Watched(spark, str(tmp_path / str(view.schedule)))
+        for moment in (FIRST + DAY, FIRST + 2 * DAY + 5 * HOUR, FIRST + 2 * DAY + 6 * HOUR, FIRST + 4 * DAY):
+            store.asked.clear()
+            store.publish(view, moment)
+            assert current(store, view, moment) == plain(view.snapshot(moment).frame.select("k", "v"))
+            if moment != FIRST + DAY:
+                ((low, _),) = store.asked
+                assert low >= FIRST + DAY
+
+
+def test_a_range_that_is_loaded_again_is_published_anew(spark, source, tmp_path):
+    store, view = Watched(spark, str(tmp_path)), wide_view(source)
+    fewer = Source("events", source.batch.filter(f"t < '{FIRST + DAY}'"), "t", filtered=True)
+    store.backfill(wide_view(fewer), FIRST, FIRST + 2 * DAY, 1)
+    store.publish(view, FIRST + 2 * DAY)
+    store.backfill(view, FIRST, FIRST + 3 * DAY, 1)
+    store.publish(view, FIRST + 2 * DAY + HOUR)
+    assert current(store, view, FIRST + 3 * DAY) == plain(view.snapshot(FIRST + 2 * DAY + HOUR).frame.select("k", *view.features))
+    # another body has nothing published
+    with pytest.raises(ValueError, match="nothing published"):
+        store.published(wide_view(source, 10), LAST)
+
+
+def test_the_digest_follows_what_a_body_does(source):
+    from tidemark.plans.declared import body_digest
+
+    assert body_digest(wide_view(source)) == body_digest(wide_view(source))
+    assert body_digest(wide_view(source)) != body_digest(wide_view(source, 2))
+    assert body_digest(frame_view(source, 2)) == body_digest(frame_view(source, 2))
+    assert body_digest(frame_view(source, 2)) != body_digest(frame_view(source, 3))
+    assert body_digest(wide_view(source)) != body_digest(wide_view(replace(source, filtered=False)))

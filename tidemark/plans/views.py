@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.aggregates import Aggregate, check
+from tidemark.functions.aggregates import COUNTS, Aggregate, check
 from tidemark.functions.time import (
     CONTINUOUS,
     EPOCH,
@@ -22,8 +22,8 @@ from tidemark.functions.time import (
 )
 from tidemark.operators.asof import FeatureTable, asof_join, latest
 from tidemark.operators.lookup import Snapshot, current_values
-from tidemark.operators.tiles import TileSet, build_tiles, rolled
-from tidemark.operators.windows import aggregates_asof
+from tidemark.operators.tiles import TileSet, build_tiles
+from tidemark.operators.windows import aggregates_asof, rolled
 from tidemark.sources.spine import spine_of
 from tidemark.sources.tables import Source, between, only_between
 
@@ -144,6 +144,13 @@ class View:
             rows, self.ts, tuple(self.features), prefix, self.schedule, self.ttl, order
         )
 
+    def whole_table(self, rows: DataFrame) -> FeatureTable:
+        """Rows as a table of all columns, so that newest rows of parts resolve ties as the whole does."""
+        if self.aggregations:
+            raise ValueError(f"view {self.name} aggregates: its latest values come from its tiles")
+        table = self.table(rows)
+        return replace(table, features=table.order)
+
     def tiles(self, start: datetime | None = None, end: datetime | None = None) -> TileSet:
         return self.tiles_of(between(self.frame(start, end), self.ts, start, end))
 
@@ -167,7 +174,7 @@ class View:
         names = tuple(self.features)
         if not self.aggregations:
             return Snapshot(rows, self.keys, names, prefix, self.ts, self.ttl)
-        zero = [a.feature(self.interval) for a in self.aggregations if a.function in ("count", "distinct")]
+        zero = [a.feature(self.interval) for a in self.aggregations if a.function in COUNTS]
         step = micros(self.interval)
         seen = EPOCH + timedelta(microseconds=instant_micros(moment) // step * step)
         return Snapshot(rows, self.keys, names, prefix, zero=tuple(zero), seen=seen)
