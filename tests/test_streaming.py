@@ -1,15 +1,18 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
+from datetime import datetime
 
 import pytest
-from help import EVENT, HOUR, MINUTE, at, plain, random_events
+from help import DAY, EVENT, HOUR, MINUTE, T0, at, plain, random_events
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import Aggregate
 from tidemark.operators.lookup import current_values
 from tidemark.plans.service import Service
+from tidemark.plans.store import Store
 from tidemark.plans.views import stream_view
 from tidemark.sources import push
 from tidemark.sources.tables import Source, stream_from
@@ -318,6 +321,78 @@ def test_a_batch_without_its_mark_is_not_read(spark, tmp_path):
     assert sorted(r.x for r in log.read("a").collect()) == [1, 2]
 
 
+def days_of(df):
+    return sorted({f.split("day=")[1].split("/")[0] for f in df.inputFiles() if "/day=" in f})
+
+
+def test_bases_are_cut_by_day_and_folds_leave_other_days_alone(spark, tmp_path):
+    """Batches of one day each, one late; a fold after every batch."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events = [(k, t and T0 + day * DAY + (t - T0), v, s) for day in (0, 1, 2, 3, 1) for k, t, v, s in random_events(40, day, minutes=300)]
+    stream = None
+    for i in range(5):
+        spark.createDataFrame(events[i * 40 : (i + 1) * 40], EVENT).coalesce(1).write.mode("append").parquet(path)
+        stream = stream or stream_from(spark, "parquet", SCHEMA, path=path)
+        view = mixed(Source("events", spark.read.schema(SCHEMA).parquet(path), "t", stream))
+        finish(tile_stream(view, out))
+        fold_tiles(spark, view, out)
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+    written = sorted(p.parent.name + "/" + p.name for p in (tmp_path / "out" / "merged" / "bases").glob("upto=*/day=*"))
+    assert written == ["upto=0/day=2024-01-01", "upto=1/day=2024-01-02", "upto=2/day=2024-01-03", "upto=3/day=2024-01-04", "upto=4/day=2024-01-02"]
+    start, end = T0 + DAY + HOUR, T0 + 2 * DAY + 2 * HOUR
+    some = stream_tiles(spark, view, out, start, end)
+    want = view.tiles().map(lambda t: t.filter(f"_at >= {int((start - datetime(1970, 1, 1)) / (5 * MINUTE))} AND _at < {int((end - datetime(1970, 1, 1)) / (5 * MINUTE))}"))
+    assert parts(some) == parts(want)
+    assert days_of(some.merged) == ["2024-01-02", "2024-01-03"]
+    assert days_of(stream_tiles(spark, view, out, T0 + 9 * DAY, T0 + 10 * DAY).merged) == []
+    log = BatchLog(spark, out)
+    log.prune(list(view.tiles().parts()))
+    left = sorted(p.parent.name + "/" + p.name for p in (tmp_path / "out" / "merged" / "bases").glob("upto=*/day=*"))
+    assert left == [w for w in written if w != "upto=1/day=2024-01-02"]
+    assert not list((tmp_path / "out" / "merged" / "batches").glob("batch=*"))
+    assert parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+
+
+@pytest.mark.parametrize("until", [120, 300, 700])
+def test_the_stream_answers_beyond_the_daily_load(spark, tmp_path, until):
+    """The store up to its last range, the stream from there on, and nothing twice."""
+    source = landed(spark, str(tmp_path / "in"), "mixed")
+    out = str(tmp_path / "out")
+    tiled, listed = mixed(source), rows(source)
+    finish(tile_stream(tiled, f"{out}/tiles"))
+    finish(row_stream(listed, f"{out}/rows"))
+    spine = [(i, k, t) for i, (k, t, _, _) in enumerate(random_events(60, 5, minutes=800)) if t]
+    frame = spark.createDataFrame(spine, "id int, k string, t timestamp")
+    history = StreamHistory(spark, {tiled.name: f"{out}/tiles"}, {listed.name: f"{out}/rows"})
+    # the sources end with the load, so all that comes after it must be the stream's
+    ended = replace(source, batch=source.batch.filter(f"t < '{at(until)}'"), filtered=True)
+    store = Store(spark, f"{out}/store", beyond=history)
+    for make in (mixed, rows):
+        view = make(ended)
+        store.materialize(view, T0, at(until))
+        assert plain(view.historical(frame, "t", store=store)) == plain(make(source).historical(frame, "t"))
+        late = replace(view, start=at(until - 60))
+        want = replace(make(source), start=at(until - 60)).historical(frame, "t")
+        assert plain(late.historical(frame, "t", store=store)) == plain(want)
+
+
+def test_a_timed_trigger_takes_what_arrives(spark, tmp_path):
+    """The query keeps running and writes what lands between two triggers."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source = landed(spark, path, "mixed")
+    view = mixed(source)
+    query = tile_stream(view, out, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and parts(stream_tiles(spark, view, out)) == parts(view.tiles())
+        spark.createDataFrame(random_events(50, 9), EVENT).coalesce(1).write.mode("append").parquet(path)
+        query.processAllAvailable()
+        later = mixed(replace(source, batch=spark.read.schema(SCHEMA).parquet(path)))
+        assert parts(stream_tiles(spark, later, out)) == parts(later.tiles())
+    finally:
+        query.stop()
+
+
 def test_latest_of_an_aggregating_view_comes_from_tiles(spark, tmp_path):
     source = landed(spark, str(tmp_path / "in"), "mixed")
     view, out = mixed(source), str(tmp_path / "out")

@@ -245,6 +245,65 @@ class Fraud:
 
         return last_stores
 
+    @cached_property
+    def different_stores(self) -> View:
+        """The newest ten different stores of two weeks, each at its newest visit."""
+
+        @stream_view(
+            source=self.txn_source,
+            keys=["user_id"],
+            ts="timestamp",
+            interval=DAY,
+            aggregations=[Aggregate("merchant", "last_distinct", 14 * DAY, 10)],
+        )
+        def different_stores(transactions):
+            return f"SELECT user_id, timestamp, merchant FROM {transactions}"
+
+        return different_stores
+
+    @cached_property
+    def extremes(self) -> View:
+        @stream_view(
+            source=self.txn_source,
+            keys=["user_id"],
+            ts="timestamp",
+            interval=10 * MINUTE,
+            aggregations=[Aggregate("amt", f, w) for f in ("min", "max") for w in (HOUR, 3 * DAY)],
+        )
+        def extremes(transactions):
+            return f"SELECT user_id, timestamp, amt FROM {transactions}"
+
+        return extremes
+
+    @cached_property
+    def live_extremes(self) -> View:
+        @stream_view(
+            source=self.txn_source,
+            keys=["user_id"],
+            ts="timestamp",
+            aggregations=[Aggregate("amt", f, w) for f in ("min", "max") for w in (HOUR, 3 * DAY)],
+        )
+        def live_extremes(transactions):
+            return f"SELECT user_id, timestamp, amt FROM {transactions}"
+
+        return live_extremes
+
+    @cached_property
+    def rough_variety(self) -> View:
+        """Users per merchant, counted exactly and by sketches."""
+
+        @stream_view(
+            source=self.txn_source,
+            keys=["merchant"],
+            ts="timestamp",
+            interval=DAY,
+            aggregations=[Aggregate("user_id", f, w * DAY) for w in (7, 30) for f in ("distinct", "approx_distinct")],
+        )
+        def rough_variety(transactions):
+            return f"SELECT merchant, timestamp, user_id FROM {transactions}"
+
+        return rough_variety
+
     @cached_property
     def live(self) -> View:
         """Without an interval: every window ends at the very moment asked about."""

@@ -97,6 +97,9 @@ ORACLES["amount_metrics"] = f"""WITH {TXN}, {windows('w', 'user_id', '10 MINUTE'
 SELECT * FROM w"""
 ORACLES["from_source_parity"] = ORACLES["amount_metrics"]
 ORACLES["partly_loaded_store"] = ORACLES["amount_metrics"]
+ORACLES["store_after_redeclaration"] = ORACLES["amount_metrics"]
+ORACLES["store_compacted"] = ORACLES["amount_metrics"]
+ORACLES["hybrid_store_stream"] = ORACLES["amount_metrics"]
 LATE = windows("w", "user_id", "10 MINUTE", AMOUNTS).replace(
     "LEFT JOIN txn f ON", """LEFT JOIN txn f ON f."timestamp" >= TIMESTAMP '2024-01-15' AND"""
 )
@@ -118,6 +121,35 @@ LAST = {
 }
 ORACLES["last10_merchants_14d"] = f"""WITH {TXN}, {windows('w', 'user_id', '1 DAY', LAST)}
 SELECT event_id, CASE WHEN merchants <> '' THEN merchants END AS merchants FROM w"""
+DIFFERENT = f"""WITH {TXN}, visits AS (
+  SELECT s.event_id, f.merchant, max(f."timestamp") AS t
+  FROM (SELECT event_id, user_id, time_bucket(INTERVAL 1 DAY, "timestamp") AS b FROM txn) s
+  JOIN txn f ON f.user_id = s.user_id AND f."timestamp" < s.b AND f."timestamp" >= s.b - INTERVAL 14 DAY
+  WHERE f.merchant IS NOT NULL GROUP BY s.event_id, f.merchant),
+lists AS (
+  SELECT event_id, array_to_string((list(merchant ORDER BY t DESC, merchant DESC))[1:10], ',') AS merchants
+  FROM visits GROUP BY event_id)
+SELECT txn.event_id, merchants FROM txn LEFT JOIN lists USING (event_id)"""
+ORACLES["last10_different_stores"] = DIFFERENT
+ORACLES["stream_different_stores"] = DIFFERENT
+EXTREMES = {
+    f"amt_{f}_{w}_10m": (f"round({f}(f.amt) FILTER ({{}}), 6)", n)
+    for f in ("min", "max") for w, n in (("1h", "1 HOUR"), ("3d", "3 DAY"))
+}
+ORACLES["amount_extremes"] = f"""WITH {TXN}, {windows('w', 'user_id', '10 MINUTE', EXTREMES)}
+SELECT * FROM w"""
+ORACLES["continuous_extremes"] = f"""WITH {TXN}
+SELECT s.event_id,
+  round(min(f.amt) FILTER (f."timestamp" > s."timestamp" - INTERVAL 1 HOUR), 6) AS amt_min_1h_continuous,
+  round(min(f.amt), 6) AS amt_min_3d_continuous,
+  round(max(f.amt) FILTER (f."timestamp" > s."timestamp" - INTERVAL 1 HOUR), 6) AS amt_max_1h_continuous,
+  round(max(f.amt), 6) AS amt_max_3d_continuous
+FROM txn s LEFT JOIN txn f ON f.user_id = s.user_id AND f."timestamp" <= s."timestamp"
+  AND f."timestamp" > s."timestamp" - INTERVAL 3 DAY
+GROUP BY s.event_id"""
+USERS = {f"user_id_distinct_{w}_1d": ("count(DISTINCT f.user_id) FILTER ({})", DAYS[w]) for w in ("7d", "30d")}
+ORACLES["approximate_users"] = f"""WITH {TXN}, {windows('w', 'merchant', '1 DAY', USERS)}
+SELECT *, true AS within_7d, true AS within_30d FROM w"""
 ORACLES["continuous_count_1h"] = f"""WITH {TXN}
 SELECT s.event_id,
   count(f.amt) FILTER (f."timestamp" > s."timestamp" - INTERVAL 1 HOUR) AS amt_count_1h_continuous,
@@ -315,6 +347,7 @@ SELECT event_id, user_id, amt, CASE WHEN {FRESH} THEN issuer END AS card__issuer
   m AS amounts__amt_mean_3d_10m, s AS amounts__amt_sum_1d_10m
 FROM txn LEFT JOIN issued USING (user_id) LEFT JOIN recent USING (user_id)"""
 ORACLES["latest_published"] = ORACLES["latest_lookup"]
+ORACLES["latest_published_twice"] = ORACLES["latest_lookup"]
 ORACLES["latest_vector"] = f"""WITH {NEWEST}
 SELECT event_id, 'card__issuer' AS name, CASE WHEN {FRESH} THEN issuer END AS value
 FROM txn LEFT JOIN issued USING (user_id)

@@ -135,6 +135,51 @@ def last10_merchants_14d(fraud):
     return done.select("event_id", F.array_join(name, ",").alias("merchants"))
 
 
+@query
+def last10_different_stores(fraud):
+    view = fraud.different_stores
+    (name,) = view.features
+    done = view.historical(fraud.spine, "timestamp")
+    return done.select("event_id", F.array_join(name, ",").alias("merchants"))
+
+
+@query
+def stream_different_stores(fraud):
+    """The same lists, from tiles that shuffled micro-batches wrote and a fold merged."""
+    view = _shuffled(fraud, fraud.different_stores)
+    path = workdir(fraud.spark, "tiles")
+    finish(tile_stream(view, path))
+    fold_tiles(fraud.spark, view, path)
+    (name,) = view.features
+    history = StreamHistory(fraud.spark, {view.name: path})
+    done = view.historical(fraud.spine, "timestamp", store=history)
+    return done.select("event_id", F.array_join(name, ",").alias("merchants"))
+
+
+@query
+def amount_extremes(fraud):
+    view = fraud.extremes
+    return keyed(view.historical(fraud.spine, "timestamp"), view.features)
+
+
+@query
+def continuous_extremes(fraud):
+    view = fraud.live_extremes
+    return keyed(view.historical(fraud.spine, "timestamp"), view.features)
+
+
+@query
+def approximate_users(fraud):
+    """Exact counts, and whether the sketches are within five standard errors of them."""
+    view = fraud.rough_variety
+    done = view.historical(fraud.spine, "timestamp")
+    out = []
+    for w in ("7d", "30d"):
+        exact, rough = F.col(f"user_id_distinct_{w}_1d"), F.col(f"user_id_approx_distinct_{w}_1d")
+        out += [exact, (F.abs(rough - exact) <= F.ceil(exact * (5 * 1.04 / 64))).alias(f"within_{w}")]
+    return done.select("event_id", *out)
+
+
 @query
 def continuous_count_1h(fraud):
     view = fraud.live
@@ -359,6 +404,56 @@ def partly_loaded_store(fraud):
     return keyed(done, fraud.amounts.features)
 
 
+@query
+def store_after_redeclaration(fraud):
+    """A view stored under earlier declarations: another body, a later start, fewer aggregates.
+
+    What was not stored, or was stored by something else, comes from the source.
+    """
+    view, (first, last) = fraud.amounts, fraud.days
+    store = Store(fraud.spark, workdir(fraud.spark, "store"))
+
+    def tenfold(transactions):
+        return f"SELECT user_id, timestamp, amt * 10 AS amt FROM {transactions}"
+
+    store.backfill(replace(view, body=tenfold), first, last, 1)
+    store.backfill(replace(view, start=ONE_DAY), first, datetime(2024, 1, 25), 1)
+    store.incremental(view[["amt_sum_1d_10m"]], datetime(2024, 1, 27))
+    counted = (*view.aggregations, Aggregate("merchant", "distinct", DAY))
+
+    def wider(transactions):
+        return f"SELECT user_id, timestamp, amt, merchant FROM {transactions}"
+
+    store.incremental(replace(view, body=wider, aggregations=counted), datetime(2024, 1, 20))
+    done = view.historical(fraud.spine, "timestamp", store=store)
+    return keyed(done, view.features)
+
+
+@query
+def store_compacted(fraud):
+    """A range loaded again and again in overlapping pieces, then written anew in one."""
+    view, (first, last) = fraud.amounts, fraud.days
+    store = _stored(fraud, view, 2)
+    for k in range(3):
+        store.materialize(view, datetime(2024, 1, 10, 6 * k), datetime(2024, 1, 12, 6 * k))
+    store.compact(view)
+    done = view.historical(fraud.spine, "timestamp", store=store)
+    return keyed(done, view.features)
+
+
+@query
+def hybrid_store_stream(fraud):
+    """The daily load up to a day, the stream's tiles from there on, each interval from one of them."""
+    view = _shuffled(fraud, fraud.amounts)
+    tiles = workdir(fraud.spark, "tiles")
+    finish(tile_stream(view, tiles))
+    fold_tiles(fraud.spark, view, tiles)
+    store = Store(fraud.spark, workdir(fraud.spark, "store"), beyond=StreamHistory(fraud.spark, {view.name: tiles}))
+    store.backfill(view, fraud.days[0], ONE_DAY, 1)
+    done = view.historical(fraud.spine, "timestamp", store=store)
+    return keyed(done, view.features)
+
+
 @query
 def view_start_respected(fraud):
     """A view that starts at a day counts nothing from before it, stored or not."""
@@ -444,6 +539,20 @@ def latest_published(fraud):
     return found.drop("amounts__effective_ts")
 
 
+@query
+def latest_published_twice(fraud):
+    """Values published two days apart: the second publish only adds and takes out what changed."""
+    kept = fraud.amounts[["amt_mean_3d_10m", "amt_sum_1d_10m"]]
+    service = Service.of("latest", [fraud.card, kept])
+    store = Store(fraud.spark, workdir(fraud.spark, "store"))
+    for view in (fraud.card, kept):
+        for moment in (NOW - 2 * DAY, NOW):
+            store.publish(view, moment)
+    shots = {v.name: store.published(v, NOW, f"{v.name}__") for v in (fraud.card, kept)}
+    found = service.lookup(_requests(fraud), NOW, snapshots=shots, effective=True)
+    return found.drop("amounts__effective_ts")
+
+
 @query
 def latest_vector(fraud):
     """One array of names and values per request, shown as its parts."""
