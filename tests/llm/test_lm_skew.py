@@ -5,10 +5,26 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from tidemark.llm import lm_score
 
 
-def test_frequent_pairs_are_joined_not_gathered(spark):
+def test_hashes_are_those_of_spark(spark):
+    rows = [("hello", "wörld"), ("a", "\x02"), ("x" * 100, "naïve")]
+    got = spark.createDataFrame(rows, "a string, b string").selectExpr("xxhash64(a) AS a", "xxhash64(b) AS b", "xxhash64(xxhash64(a), xxhash64(b)) AS p", "xxhash64(xxhash64(a)) AS w")
+    for (a, b), r in zip(rows, got.collect()):
+        words = lm_score.word_hashes(f"{a.upper()} {b}" if a.isascii() else f"{a} {b}")
+        assert words.view(np.int64).tolist() == [r.a, r.b]
+        assert lm_score.pair_hash(words[:1], words[1:]).view(np.int64)[0] == r.p
+        assert lm_score.hash_long(words[:1], np.array([lm_score.SEED], np.uint64)).view(np.int64)[0] == r.w
+
+
+@pytest.mark.parametrize("known,frequent", [(1 << 17, 2048), (3, 2), (1, 1)])
+def test_frequent_pairs_are_joined_not_gathered(spark, monkeypatch, known, frequent):
+    monkeypatch.setattr(lm_score, "KNOWN", known)
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
     texts = ["junk phrase here"] * 40 + [f"Junk phrase word{i % 7} \x02 word{i}" for i in range(60)] + ["junk phrase " * 50, "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     words = [(t or "").lower().split() for t in texts]
@@ -23,4 +39,4 @@ def test_frequent_pairs_are_joined_not_gathered(spark):
         assert (got[k]["n_words"], got[k]["n_backed_off"]) == (len(w), sum(n < 2 for n, _, _ in found))
         assert got[k]["mean_log_score"] is None if not w else abs(got[k]["mean_log_score"] - sum(logs) / len(w)) < 1e-5
     # no Python group gathers what one pair or document has
-    assert "InArrow" not in result._jdf.queryExecution().toString()
+    assert "GroupsInArrow" not in result._jdf.queryExecution().toString()

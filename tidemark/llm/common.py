@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import delete
 from tidemark.session import workdir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,14 +15,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Makes Spark delete the shuffle files of a job when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows read back from a table in the shared folder, so that lineage ends there.
 
-    Lost executors then cost a read, not a recomputation.
+    Lost executors then cost a read, not a recomputation. Nothing reads the shuffles of a job whose
+    rows are written, so their files go at once and not when the driver next collects its garbage.
     """
-    folder = workdir(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder, before = workdir(spark, purpose), spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def discard(settled: DataFrame) -> None:
+    """Delete the files of a table that ``settle`` wrote and nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in settled.inputFiles()}:
+        delete(settled.sparkSession, folder)
 
 
 def kind_of(df: DataFrame, column: str) -> str:

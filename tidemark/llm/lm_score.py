@@ -4,51 +4,227 @@ The score of a word after another is the count of the pair over the count of the
 pair is seen at least twice; else 0.4 times the share of the word. A text's score is the mean
 logarithm over its words.
 
-Pairs are counted by Spark, partly before the shuffle, so a pair of any frequency is one row per task.
-A counted pair needs the count of one word, of its first if it is seen often enough and else of its
-second; the table of word counts is joined on that. The scores of the pairs are then joined to the
-pairs of the texts, which travel as one hash each, and summed per document. Frequent words and pairs
-are skew on the left of these joins, each with one row on the right, and adaptive execution splits it.
+Tasks turn texts into the hashes of their words and pairs; Spark counts, joins and sums them. Every
+word starts with what it scores when it backs off, and a pair that is seen often enough adds the
+difference. So only such pairs are in a table, a small part of all there are, and a pair that finds
+no row there needs none.
+
+Words of the largest counts, ``KNOWN`` of them, and the seen pairs of the ``FREQUENT`` most frequent
+ones go to every task: their number is bounded whatever the input. What they score is summed where
+the text is read. All else is joined: the rows of a text that are left travel as one hash each, in
+``SLICES`` parts by that hash, so that the files of one part's shuffle are gone before the next. No
+word or pair that is left is frequent, so no task of the join has much more to do than others.
+
+Hashes have 64 bits. Among 10^12 different pairs in the table, a pair that is not there finds the row
+of another one in 20 million times.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import ascii_lower, let, settle
+from tidemark.llm.common import discard, kind_of, settle
 
 BACKOFF = 0.4
 CUTOFF = 2
+KNOWN, FREQUENT = 1 << 17, 2_048
+SLICES = 2
 #: Stands before the first word of a text.
-START = "\x02"
+START = b"\x02"
+SEED = 42
+_HELD = 1 << 19
+_LONGEST = 40
+_AT_ONCE = 1 << 20
+_ROWS = 256
+# The primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p)
+    for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
 
 
-def _words(text: str) -> Column:
-    words = F.split(ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]+")
-    return F.array_remove(words, "")
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): the count of every word, and of the start of a text as the word U+0002."""
-    real = docs.select(_words(text).alias("words")).where(F.size("words") > 0)
-    return (
-        real.select(F.explode(F.concat(F.array(F.lit(START)), "words")).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-    )
+def hash_long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of eight bytes each, as Spark hashes a long."""
+    h = (seed + _P5 + np.uint64(8)) ^ (_turned(x * _P2, 31) * _P1)
+    h = _turned(h, 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The hash of two word hashes, Spark's ``xxhash64(first, second)``."""
+    return hash_long(second, hash_long(first, np.full(len(first), SEED, np.uint64)))
+
+
+class _Hashes(dict):
+    """Word hashes, Spark's ``xxhash64(word)``; long words and more than a bound are not kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = xxh64_intdigest(word, SEED)
+        if len(word) <= _LONGEST:
+            if len(self) >= _HELD:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_hashes = _Hashes()
+_START = np.uint64(xxh64_intdigest(START, SEED))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """The hashes of the words of a whole text, between ASCII white space, with A-Z in lower case."""
+    words = (text or "").encode().lower().split()
+    return np.array([_hashes[w] for w in words], np.uint64)
+
+
+def _first_of(words: np.ndarray) -> np.ndarray:
+    """The word before each word."""
+    return np.concatenate([[_START], words[:-1]]) if len(words) else words
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def _counted(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """Different rows of some columns of hashes and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    starts = np.flatnonzero(new)
+    n = np.diff(np.append(starts, len(order)))
+    return pa.RecordBatch.from_arrays([*[_signed(c[starts]) for c in columns], pa.array(n, pa.int64())], names=names)
+
+
+def _word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        for text in batch.column(0):
+            words = word_hashes(text.as_py())
+            if len(words):
+                held.append(np.append(words, _START))
+                size += len(words) + 1
+            if size >= _AT_ONCE:
+                yield _counted([np.concatenate(held)], ["word", "n"])
+                held, size = [], 0
+    if held:
+        yield _counted([np.concatenate(held)], ["word", "n"])
 
 
-def _pairs(texts: DataFrame) -> DataFrame:
-    """(rid, first, second) of (rid, words): the hashes of each word and the one before it."""
+def _pair_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        for text in batch.column(0):
+            words = word_hashes(text.as_py())
+            if len(words):
+                held.append((_first_of(words), words))
+                size += len(words)
+            if size >= _AT_ONCE:
+                yield _counted([np.concatenate(x) for x in zip(*held)], ["first", "second", "n"])
+                held, size = [], 0
+    if held:
+        yield _counted([np.concatenate(x) for x in zip(*held)], ["first", "second", "n"])
 
-    def zipped(h: Column) -> Column:
-        before = F.concat(F.array(F.xxhash64(F.lit(START))), F.slice(h, F.lit(1), F.size(h) - 1))
-        return F.arrays_zip(before.alias("first"), h.alias("second"))
 
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    pair = F.explode(let(hashes, zipped).cast("array<struct<first: bigint, second: bigint>>")).alias("pair")
-    return texts.where(F.size("words") > 0).select("rid", pair).select("rid", "pair.first", "pair.second")
+class _Known:
+    """What tasks know: logarithms of frequent words, and gains of pairs of the most frequent."""
+
+    def __init__(self, words: np.ndarray, logs: np.ndarray, first: np.ndarray, second: np.ndarray, gains: np.ndarray):
+        order = np.argsort(words)
+        self.words, self.logs = words[order], logs[order]
+        self.frequent = np.zeros(len(words), bool)
+        self.frequent[:FREQUENT] = True
+        self.frequent = self.frequent[order]
+        pairs = pair_hash(first, second)
+        order = np.argsort(pairs)
+        self.pairs, self.gains = pairs[order], gains[order]
+
+    @staticmethod
+    def places(of: np.ndarray, within: np.ndarray) -> np.ndarray:
+        """Where values stand in a sorted array, -1 for those that do not."""
+        if not len(within):
+            return np.full(len(of), -1)
+        at = np.minimum(np.searchsorted(within, of), len(within) - 1)
+        return np.where(within[at] == of, at, -1)
+
+    def split(self, words: np.ndarray) -> tuple[float, int, np.ndarray]:
+        """Of one text: the sum that is known, how many pairs it holds, and the hashes to look up."""
+        at = self.places(words, self.words)
+        known = at >= 0
+        frequent = np.zeros(len(words), bool)
+        frequent[known] = self.frequent[at[known]]
+        before = np.zeros(len(words), bool)
+        before[1:] = frequent[:-1]
+        start = self.places(np.array([_START]), self.words)[0]
+        before[:1] = start >= 0 and self.frequent[start]
+        pairs, here = pair_hash(_first_of(words), words), frequent & before
+        found = self.places(pairs[here], self.pairs)
+        found = found[found >= 0]
+        total = float(self.logs[at[known]].sum() + self.gains[found].sum())
+        # a word's hash and a pair's are told apart by hashing the word's once more
+        rare = hash_long(words[~known], np.full((~known).sum(), SEED, np.uint64))
+        return total, len(found), np.concatenate([pairs[~here], rare])
+
+
+def _looked_up(shared, part: int):
+    """(r1, r2, what): the hashes of each text that are to be looked up, of one slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS):
+                rows = batch.slice(at, _ROWS)
+                found = [known.split(word_hashes(t.as_py()))[2] for t in rows.column(2)]
+                found = [x[(x >> np.uint64(32)) % np.uint64(SLICES) == part] for x in found]
+                of = np.repeat(np.arange(len(rows)), [len(x) for x in found])
+                ids = [pa.array(rows.column(c).to_numpy()[of]) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ids, _signed(np.concatenate(found))], names=["r1", "r2", "what"])
+
+    return run
+
+
+def _summed(shared):
+    """(key, r1, r2, n, known, seen): of each text, its number of words and what needs no join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS):
+                rows = batch.slice(at, _ROWS)
+                words = [word_hashes(t.as_py()) for t in rows.column(3)]
+                sums = [known.split(w)[:2] for w in words]
+                columns = [rows.column(2), rows.column(0), rows.column(1)]
+                columns += [pa.array([len(w) for w in words], pa.int64()), pa.array([s for s, _ in sums], pa.float64()), pa.array([n for _, n in sums], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "r1", "r2", "n", "known", "seen"])
+
+    return run
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the count of every word by its hash, and of the start of a text as the word U+0002."""
+    texts = docs.select(F.col(text).cast("string"))
+    return texts.mapInArrow(_word_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def seen_pairs(docs: DataFrame, text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
+    """(first, second, n): the count of every pair that is seen often enough, by the hashes of its words."""
+    texts = docs.select(F.col(text).cast("string"))
+    counted = texts.mapInArrow(_pair_counter, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= cutoff)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
@@ -58,25 +234,59 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     have no words and a null mean. Rows that repeat key and text count twice in the tables and get
     equal rows. A null key is kept, other columns are ignored, an empty table gives an empty result.
     """
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rid = F.xxhash64(F.lit(1), F.col(key).cast("string"), body).alias("rid")
+    context = docs.sparkSession.sparkContext
+    start = int(_START.view(np.int64))
     counts = settle(word_counts(docs, text), "word-counts")
-    words = counts.agg(F.sum(F.when(F.col("word") != START, F.col("n")))).first()[0] or 0
-    entries = _pairs(docs.select(rid, _words(text).alias("words")))
-    pair = F.xxhash64("first", "second").alias("pair")
-    seen = F.col("n") >= cutoff
-    kinds = entries.groupBy("first", "second").agg(F.count("*").alias("n"))
-    kinds = kinds.select(pair, "n", F.when(seen, F.col("first")).otherwise(F.col("second")).alias("word"))
-    count = counts.select(F.xxhash64("word").alias("word"), F.col("n").alias("count"))
-    value = F.when(seen, F.log(F.col("n") / F.col("count"))).otherwise(F.log(F.col("count") * BACKOFF / max(words, 1)))
-    scores = kinds.join(count, "word").select("pair", F.when(seen, 0).otherwise(1).alias("backed"), value.alias("value"))
-    sums = entries.select("rid", pair).join(scores, "pair").groupBy("rid")
-    per_row = settle(sums.agg(F.count("*").alias("n"), F.sum("backed").alias("backed"), F.sum("value").alias("total")), "sums")
-    # rows that repeat key and text share a rid and its sums
-    rows = docs.select(F.col(key).alias("key"), rid, F.size(_words(text)).cast("long").alias("n_words")).join(per_row, "rid", "left")
-    return rows.select(
+    words = counts.agg(F.sum(F.when(F.col("word") != start, F.col("n")))).first()[0] or 0
+    share = BACKOFF / max(words, 1)
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN)
+    frequent = top.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
+    kinds = settle(seen_pairs(docs, text, cutoff), "seen-pairs")
+    one = counts.select(F.col("word").alias("first"), F.col("n").alias("n1"))
+    two = counts.select(F.col("word").alias("second"), F.col("n").alias("n2"))
+    gain = F.log(F.col("n") / F.col("n1")) - F.log(F.col("n2") * share)
+    gains = settle(kinds.join(one, "first").join(two, "second").select("first", "second", gain.alias("value")), "gains")
+    discard(kinds)
+    listed = top.toArrow()
+    by = F.broadcast(frequent)
+    held = gains.join(by.withColumnRenamed("word", "first"), "first", "left_semi").join(by.withColumnRenamed("word", "second"), "second", "left_semi").toArrow()
+    numbers = lambda table, name: table.column(name).to_numpy()
+    known = _Known(
+        numbers(listed, "word").view(np.uint64),
+        np.log(numbers(listed, "n") * share) if listed.num_rows else np.zeros(0),
+        numbers(held, "first").view(np.uint64),
+        numbers(held, "second").view(np.uint64),
+        numbers(held, "value"),
+    )
+    shared = context.broadcast(known)
+
+    rare = counts.join(F.broadcast(top.select("word")), "word", "left_anti")
+    table = gains.select(F.xxhash64("first", "second").alias("what"), "value", F.lit(1).alias("pair")).unionByName(
+        rare.select(F.xxhash64("word").alias("what"), F.log(F.col("n") * share).alias("value"), F.lit(0).alias("pair"))
+    )
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    named = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    ids = [F.xxhash64(F.lit(1), F.col(key).cast("string"), body).alias("r1"), F.xxhash64(F.lit(2), F.length(body), named, body).alias("r2")]
+    texts = docs.select(*ids, body.alias("text"))
+    sums = []
+    for part in range(SLICES):
+        rows = texts.mapInArrow(_looked_up(shared, part), "r1 long, r2 long, what long")
+        mine = table.where(F.pmod(F.shiftrightunsigned("what", 32), F.lit(SLICES)) == part)
+        found = rows.join(mine.hint("shuffle_hash"), "what")
+        found = found.groupBy("r1", "r2").agg(F.sum("pair").alias("pairs"), F.sum("value").alias("value"))
+        sums.append(settle(found, "sums"))
+    # rows that repeat key and text share their ids, and so their sums
+    mine = docs.select(*ids, F.col(key).alias("key"), body.alias("text")).mapInArrow(
+        _summed(shared), f"key {kind_of(docs, key)}, r1 long, r2 long, n long, known double, seen long"
+    )
+    mine = settle(mine, "known-sums")
+    copies = mine.groupBy("r1", "r2").agg(F.count("*").alias("copies"))
+    more = reduce(DataFrame.unionByName, sums).groupBy("r1", "r2").agg(F.sum("pairs").alias("pairs"), F.sum("value").alias("value"))
+    more = more.join(copies, ["r1", "r2"]).select("r1", "r2", F.expr("pairs div copies").alias("pairs"), (F.col("value") / F.col("copies")).alias("value"))
+    done = mine.join(more, ["r1", "r2"], "left").fillna(0, ["pairs"]).fillna(0.0, ["value"])
+    return done.select(
         F.col("key").alias(key),
-        "n_words",
-        F.coalesce(F.expr("backed div (n div n_words)"), F.lit(0).cast("long")).alias("n_backed_off"),
-        F.round(F.col("total") / F.col("n"), 6).alias("mean_log_score"),
+        F.col("n").alias("n_words"),
+        (F.col("n") - F.col("seen") - F.col("pairs")).alias("n_backed_off"),
+        F.round(F.when(F.col("n") > 0, (F.col("known") + F.col("value")) / F.col("n")), 6).alias("mean_log_score"),
     )
