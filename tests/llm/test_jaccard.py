@@ -73,3 +73,68 @@ def test_awkward_rows(spark):
     assert sorted(map(str, got)) == sorted(f"Row(doc_id={k}, component_id={1 if t and t.strip() else 3})" for k, t in rows)
     assert sorted(str(r["doc_id"]) for r in jaccard.deduplicate(docs).collect()) == ["1", "3", "None", "None"]
     assert jaccard.deduplicate(docs.where("doc_id = -1")).collect() == []
+
+
+def pages_of_one_template(n: int, seed: int, own: int = 42) -> dict:
+    """Texts that share most of their words, with a similarity of about 0.71 to one another."""
+    rng = random.Random(seed)
+    shared = [f"t{rng.randrange(10**6)}" for _ in range(205)]
+    return {k: " ".join([*shared[:100], *(f"u{k}x{i}" for i in range(own)), *shared[100:]]) for k in range(n)}
+
+
+def compared(spark, monkeypatch, docs: dict) -> tuple[dict, int]:
+    """The groups, and how many pairs were compared shingle by shingle."""
+    seen, real = [], jaccard._verified
+
+    def counting(pairs, sets, similarity):
+        seen.append(pairs.count())
+        return real(pairs, sets, similarity)
+
+    monkeypatch.setattr(jaccard, "_verified", counting)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    return dict(map(tuple, jaccard.near_duplicates(frame).collect())), sum(seen)
+
+
+def test_unlike_pages_of_a_template_are_not_all_compared(spark, monkeypatch):
+    sizes = {}
+    for n in (200, 400):
+        docs = pages_of_one_template(n, 1)
+        a, b = shingles(docs[0]), shingles(docs[1])
+        assert 0.68 < len(a & b) / len(a | b) < 0.75
+        groups, sizes[n] = compared(spark, monkeypatch, docs)
+        monkeypatch.undo()
+        assert groups == {k: k for k in docs}
+    assert sizes[200] < 200 * 40 and sizes[400] < 2.6 * sizes[200]
+
+
+def test_alike_pages_among_unlike_ones_are_found(spark, monkeypatch):
+    """Pairs just above the similarity in a bucket of pages just below it, with sizes that differ."""
+    docs, rng = pages_of_one_template(120, 2, own=30), random.Random(9)
+    for k in range(0, 60, 3):
+        words = docs[k].split()
+        for at in rng.sample(range(len(words)), 3):
+            words[at] = f"n{k}"
+        docs[200 + k] = " ".join(words + [f"more{k}"] * rng.randrange(12))
+    groups, _ = compared(spark, monkeypatch, docs)
+    assert groups == least_of_groups(docs)
+    assert 100 < len(set(groups.values())) < len(docs)
+
+
+def test_prefix_join_misses_no_pair(spark):
+    """Against all pairs, on sets of many sizes around the similarity, with every node open."""
+    rng, docs = random.Random(4), {}
+    for k in range(150):
+        base = k // 10
+        size, pool = rng.randrange(10, 60), random.Random(base)
+        words = [f"b{base}w{pool.randrange(500)}" for _ in range(60)][:size]
+        for at in rng.sample(range(size), rng.randrange(2)):
+            words[at] = f"x{rng.randrange(5)}"
+        docs[k] = " ".join(words)
+    sets = {k: shingles(t) for k, t in docs.items()}
+    ids: dict = {}
+    rows = [(k, [ids.setdefault(x, len(ids)) for x in sorted(v)]) for k, v in sets.items()]
+    nodes = spark.createDataFrame([(k, len(v), k) for k, v in sets.items()], "node long, n long, root long")
+    found = spark.createDataFrame(rows, "node long, found array<long>")
+    got = {tuple(r) for r in jaccard.prefix_pairs(nodes, found, 0.8).collect()}
+    want = {(a, b) for a in docs for b in docs if a < b and alike(sets[a], sets[b])}
+    assert len(want) > 50 and want <= got
