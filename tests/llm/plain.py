@@ -92,7 +92,7 @@ def _often(windows: list) -> set:
 
 def line_templates(line: str) -> list[tuple]:
     tokens = ["<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^ \t\x0B\f\r]+", line)]
-    if len(tokens) < 4:
+    if not tokens:
         return []
     out, rest = [tuple(tokens)], len(tokens) - 2
     if len(tokens) >= 10:

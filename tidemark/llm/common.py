@@ -43,6 +43,17 @@ def discard(settled: DataFrame) -> None:
         delete(settled.sparkSession, folder)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own that the table does not have, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

@@ -4,11 +4,11 @@ A line is parsed by its number of tokens, then by its leading tokens, then by th
 a digit are variable fields and read as ``<*>`` everywhere. Behind the leading tokens a line of
 ``GENERAL`` tokens or more is cut into five even stretches; a template also arises from leaving any
 one stretch variable. So two lines share a template if they are equal but for numbers and, in
-longer lines, for one stretch of a fifth of the tokens (a similarity of 0.8).
+longer lines, for one stretch of a fifth of the tokens. Changes scattered over several stretches are
+not found, also where 0.8 of the tokens agree.
 
 A template that occurs in at least two documents recurs. The document with the smallest key keeps
-its lines, all other documents lose theirs. Lines of fewer than ``LEAST`` tokens are left alone:
-they recur by chance.
+its lines, all other documents lose theirs, whatever their length; a line without a token is no line.
 
 Only hashes of templates and places of lines are shuffled; texts move once, to meet the places of
 their dropped lines. A template of very many lines is one row per task before the shuffle.
@@ -19,9 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let
+from tidemark.llm.common import fresh, let
 
-LEAST = 4
 GENERAL = 10
 LEADING = 2
 STRETCHES = 5
@@ -57,7 +56,7 @@ def template_keys(tokens: Column) -> Column:
         )
         whole = F.array(F.xxhash64(n, w))
         return (
-            F.when(n < LEAST, F.array().cast("array<bigint>")).when(n < GENERAL, whole).otherwise(F.concat(whole, open_ones))
+            F.when(n == 0, F.array().cast("array<bigint>")).when(n < GENERAL, whole).otherwise(F.concat(whole, open_ones))
         )
 
     return let(tokens, keys)
@@ -105,16 +104,17 @@ def without_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text",
     repeat a key are one document, so their lines do not recur by themselves. Empty tables give
     empty results.
     """
-    kept = _kept_text(F.col(f"d.{text}").cast("string")).alias("kept")
-    rows = _joined(docs, key, text).select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], kept.alias("__kept"), F.col("x.places").isNotNull().alias("__cut"))
-    gone = F.col("__cut") & ~F.col("__kept").rlike("\\S")
+    kept = _kept_text(F.col(f"d.{text}").cast("string"))
+    kept_, cut = fresh(docs, "kept", "cut")
+    rows = _joined(docs, key, text).select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns], kept.alias(kept_), F.col("x.places").isNotNull().alias(cut))
+    gone = F.col(cut) & ~F.col(kept_).rlike("\\S")
 
     def column(name: str) -> Column:
         if name == text:
-            return F.col("__kept").alias(name)
+            return F.col(kept_).alias(name)
         if name == size:
-            return F.when(F.col("__cut"), F.length("__kept")).otherwise(F.col(name)).cast(docs.schema[name].dataType).alias(name)
-        return F.col(name)
+            return F.when(F.col(cut), F.length(kept_)).otherwise(F.col(name)).cast(docs.schema[name].dataType).alias(name)
+        return F.col(f"`{name}`")
 
     return rows.where(~gone).select(*[column(c) for c in docs.columns])
 

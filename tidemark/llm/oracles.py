@@ -37,7 +37,7 @@ LINE_DEDUP = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, unnest(range(0, len(ls))) AS place, unnest(ls) AS line FROM d),
 t AS (SELECT rid, doc_id, place, list_transform({_TOKENS}, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m FROM l),
-u AS (SELECT *, len(m) AS n FROM t WHERE doc_id IS NOT NULL AND len(m) >= 4),
+u AS (SELECT *, len(m) AS n FROM t WHERE doc_id IS NOT NULL AND len(m) > 0),
 k AS (
   SELECT rid, doc_id, place, 'whole ' || array_to_string(m, ' ') AS template FROM u
   UNION ALL SELECT rid, doc_id, place, unnest([{_OPEN}]) FROM u WHERE n >= 10
