@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from tidemark.llm.common import kind_of, settle
+from tidemark.llm.common import fresh, kind_of, settle
 from tidemark.llm.components import components
 
 WORDS = 4
@@ -148,6 +148,8 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     ``prints`` has one row for each different ``fp``.
     """
+    # a settled table of few bytes has few files, but every row of it becomes 31
+    prints = prints.repartition("fp")
     keyed = prints.select("fp", F.posexplode(_keys(F.col("fp"), 0)).alias("mask", "key"))
     large = (
         keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("mask", "key")
@@ -194,7 +196,8 @@ def keep_least(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str
     stays = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
     rest = [text, *(c for c in docs.columns if c not in (key, text))]
     first = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
-    kept = docs.join(stays, key, "left_semi").withColumn("__first", first).where("__first = 1")
+    (mark,) = fresh(docs, "first")
+    kept = docs.join(stays, key, "left_semi").withColumn(mark, first).where(F.col(mark) == 1)
     return kept.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
 
 
