@@ -181,6 +181,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(pairs, np.array([r["label"] for r in rows], dtype=np.float64))
 
 
+def _scores(model: Machine, texts: pa.Array, sizes: pa.Array | None, slots: _Slots) -> np.ndarray:
+    """The scores of a column of texts with their metadata, some hundred texts at a time."""
+    out = [np.zeros(0)]
+    for at in range(0, len(texts), 256):
+        part = texts[at : at + 256]
+        known = [None] * len(part) if sizes is None else [n.as_py() for n in sizes[at : at + 256]]
+        found = [inputs(str(t.as_py() or "").encode(), n, slots) for t, n in zip(part, known, strict=True)]
+        starts = np.concatenate([[0], np.cumsum([len(a) for a, _ in found])[:-1]])
+        margins = model.margins(np.concatenate([a for a, _ in found]), np.concatenate([v for _, v in found]), starts)
+        out.append(probability(margins.astype(np.float64)))
+    return np.concatenate(out)
+
+
 def score(docs: DataFrame, model: Machine, key: str = "doc_id", text: str = "text", metadata: str | None = "n_chars") -> DataFrame:
     """(key, score) for every row, whole texts.
 
@@ -192,19 +205,8 @@ def score(docs: DataFrame, model: Machine, key: str = "doc_id", text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _Slots()
         for batch in batches:
-            out = []
-            texts, sizes = batch.column(1), batch.column(2)
-            for at in range(0, len(texts), 256):
-                found = [
-                    inputs((t.as_py() or "").encode(), n.as_py(), slots)
-                    for t, n in zip(texts[at : at + 256], sizes[at : at + 256], strict=True)
-                ]
-                starts = np.concatenate([[0], np.cumsum([len(a) for a, _ in found])[:-1]])
-                margins = model.margins(np.concatenate([a for a, _ in found]), np.concatenate([v for _, v in found]), starts)
-                out.append(probability(margins.astype(np.float64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())], names=["key", "score"]
-            )
+            scores = _scores(model, batch.column(1), batch.column(2), slots)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["key", "score"])
 
     rows = docs.select(F.col(key), F.col(text).cast("string"), _metadata(docs, metadata))
     return rows.mapInArrow(run, f"key {kind_of(docs, key)}, score double").select(F.col("key").alias(key), "score")
@@ -227,11 +229,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _Slots()
         for batch in batches:
-            keep = []
-            for i, t in enumerate(batch.column(place)):
-                n = None if meta is None else batch.column(meta)[i].as_py()
-                a, v = inputs(str(t.as_py() or "").encode(), n, slots)
-                keep.append(bool(probability(model.margins(a, v, np.zeros(1, dtype=np.int64)))[0] >= THRESHOLD))
+            keep = _scores(model, batch.column(place), None if meta is None else batch.column(meta), slots) >= THRESHOLD
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, schema)
