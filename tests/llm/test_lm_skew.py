@@ -15,7 +15,10 @@ def test_hashes_are_those_of_spark(spark):
     rows = [("hello", "wörld"), ("a", "\x02"), ("x" * 100, "naïve")]
     got = spark.createDataFrame(rows, "a string, b string").selectExpr("xxhash64(a) AS a", "xxhash64(b) AS b", "xxhash64(xxhash64(a), xxhash64(b)) AS p", "xxhash64(xxhash64(a)) AS w")
     for (a, b), r in zip(rows, got.collect()):
-        words = lm_score.word_hashes(f"{a.upper()} {b}" if a.isascii() else f"{a} {b}")
+        words = lm_score.Words()
+        ids, before, _ = words.block([f"{a.upper()} {b}"])
+        assert before.tolist() == [0, ids[0]]
+        words = words.hashes[ids]
         assert words.view(np.int64).tolist() == [r.a, r.b]
         assert lm_score.pair_hash(words[:1], words[1:]).view(np.int64)[0] == r.p
         assert lm_score.hash_long(words[:1], np.array([lm_score.SEED], np.uint64)).view(np.int64)[0] == r.w

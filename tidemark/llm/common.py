@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.files import delete
 from tidemark.session import workdir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,12 +36,6 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def discard(settled: DataFrame) -> None:
-    """Delete the files of a table that ``settle`` wrote and nothing reads any more."""
-    for folder in {f.rpartition("/")[0] for f in settled.inputFiles()}:
-        delete(settled.sparkSession, folder)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names for columns of one's own that the table does not have, in any case of letters."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import discard, kind_of, settle
+from tidemark.llm.common import settle
 
 BACKOFF = 0.4
 CUTOFF = 2
@@ -39,8 +40,7 @@ SLICES = 2
 #: Stands before the first word of a text.
 START = b"\x02"
 SEED = 42
-_HELD = 1 << 19
-_LONGEST = 40
+_HELD, _HELD_BYTES, _WIDE = 1 << 19, 1 << 24, 1 << 31
 _AT_ONCE = 1 << 20
 _ROWS = 256
 # The primes of XXH64.
@@ -68,163 +68,170 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return hash_long(second, hash_long(first, np.full(len(first), SEED, np.uint64)))
 
 
-class _Hashes(dict):
-    """Word hashes, Spark's ``xxhash64(word)``; long words and more than a bound are not kept."""
+class Words(dict):
+    """Numbers for the words that a task meets, and what is known of each, by its number.
 
-    def __missing__(self, word: bytes) -> int:
-        found = xxh64_intdigest(word, SEED)
-        if len(word) <= _LONGEST:
-            if len(self) >= _HELD:
-                self.clear()
-            self[word] = found
-        return found
-
-
-_hashes = _Hashes()
-_START = np.uint64(xxh64_intdigest(START, SEED))
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """The hashes of the words of a whole text, between ASCII white space, with A-Z in lower case."""
-    words = (text or "").encode().lower().split()
-    return np.array([_hashes[w] for w in words], np.uint64)
+    A word's number gives its hash, Spark's ``xxhash64(word)``, and with ``known`` the logarithm of
+    what it scores and its place among the most frequent words. Number 0 is the start of a text.
+    Numbers hold for one block of texts: when there are too many, all are given anew.
+    """
 
+    def __init__(self, known: Known | None = None):
+        super().__init__()
+        self.known = known
+        self.renew()
 
-def _first_of(words: np.ndarray) -> np.ndarray:
-    """The word before each word."""
-    return np.concatenate([[_START], words[:-1]]) if len(words) else words
+    @property
+    def full(self) -> bool:
+        return len(self) > _HELD or self.size > _HELD_BYTES
 
+    def renew(self) -> None:
+        self.clear()
+        self.size = 0
+        self.fresh: list[int] = []
+        self.hashes = np.zeros(0, np.uint64)
+        self.logs, self.ranks = np.zeros(0), np.zeros(0, np.int64)
+        self[START]  # noqa: B018  its number
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.hashes) + len(self.fresh)
+        self.fresh.append(xxh64_intdigest(word, SEED))
+        self.size += len(word)
+        return number
+
+    def block(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of some texts: the number of each word, of the word before it, and its text's place."""
+        if self.full:
+            self.renew()
+        words = [(t or "").encode().lower().split() for t in texts]
+        lengths = np.array([len(w) for w in words])
+        ids = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
+        before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
+        before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+        if self.fresh:
+            new = np.array(self.fresh, np.uint64)
+            self.fresh = []
+            self.hashes = np.concatenate([self.hashes, new])
+            if self.known is not None:
+                logs, ranks = self.known.of(new)
+                self.logs, self.ranks = np.concatenate([self.logs, logs]), np.concatenate([self.ranks, ranks])
+        return ids, before, np.repeat(np.arange(len(texts)), lengths)
+
+
+class Known:
+    """What tasks know: logarithms of frequent words, and gains of pairs of the most frequent."""
 
+    def __init__(self, words: np.ndarray, logs: np.ndarray, first: np.ndarray, second: np.ndarray, gains: np.ndarray):
+        order = np.argsort(words)
+        self.words, self.logs, self.ranks = words[order], logs[order], np.where(order < FREQUENT, order, -1)
+        self.gains = np.full((min(FREQUENT, len(words)),) * 2, np.nan)
+        self.gains[self.of(first)[1], self.of(second)[1]] = gains
 
-def _counted(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """Different rows of some columns of hashes and how often each occurs."""
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(len(order), bool)
-    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
-    starts = np.flatnonzero(new)
-    n = np.diff(np.append(starts, len(order)))
-    return pa.RecordBatch.from_arrays([*[_signed(c[starts]) for c in columns], pa.array(n, pa.int64())], names=names)
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words, their logarithms, nan if not known, and their places among the most frequent, or -1."""
+        if not len(self.words):
+            return np.full(len(hashes), np.nan), np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        here = self.words[at] == hashes
+        return np.where(here, self.logs[at], np.nan), np.where(here, self.ranks[at], -1)
 
 
-def _word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     for batch in batches:
-        for text in batch.column(0):
-            words = word_hashes(text.as_py())
-            if len(words):
-                held.append(np.append(words, _START))
-                size += len(words) + 1
-            if size >= _AT_ONCE:
-                yield _counted([np.concatenate(held)], ["word", "n"])
-                held, size = [], 0
-    if held:
-        yield _counted([np.concatenate(held)], ["word", "n"])
-
+        for at in range(0, len(batch), _ROWS):
+            rows = batch.slice(at, _ROWS)
+            yield rows, rows.column(column).to_pylist()
 
-def _pair_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for batch in batches:
-        for text in batch.column(0):
-            words = word_hashes(text.as_py())
-            if len(words):
-                held.append((_first_of(words), words))
-                size += len(words)
-            if size >= _AT_ONCE:
-                yield _counted([np.concatenate(x) for x in zip(*held)], ["first", "second", "n"])
-                held, size = [], 0
-    if held:
-        yield _counted([np.concatenate(x) for x in zip(*held)], ["first", "second", "n"])
 
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
-class _Known:
-    """What tasks know: logarithms of frequent words, and gains of pairs of the most frequent."""
 
-    def __init__(self, words: np.ndarray, logs: np.ndarray, first: np.ndarray, second: np.ndarray, gains: np.ndarray):
-        order = np.argsort(words)
-        self.words, self.logs = words[order], logs[order]
-        self.frequent = np.zeros(len(words), bool)
-        self.frequent[:FREQUENT] = True
-        self.frequent = self.frequent[order]
-        pairs = pair_hash(first, second)
-        order = np.argsort(pairs)
-        self.pairs, self.gains = pairs[order], gains[order]
-
-    @staticmethod
-    def places(of: np.ndarray, within: np.ndarray) -> np.ndarray:
-        """Where values stand in a sorted array, -1 for those that do not."""
-        if not len(within):
-            return np.full(len(of), -1)
-        at = np.minimum(np.searchsorted(within, of), len(within) - 1)
-        return np.where(within[at] == of, at, -1)
-
-    def split(self, words: np.ndarray) -> tuple[float, int, np.ndarray]:
-        """Of one text: the sum that is known, how many pairs it holds, and the hashes to look up."""
-        at = self.places(words, self.words)
-        known = at >= 0
-        frequent = np.zeros(len(words), bool)
-        frequent[known] = self.frequent[at[known]]
-        before = np.zeros(len(words), bool)
-        before[1:] = frequent[:-1]
-        start = self.places(np.array([_START]), self.words)[0]
-        before[:1] = start >= 0 and self.frequent[start]
-        pairs, here = pair_hash(_first_of(words), words), frequent & before
-        found = self.places(pairs[here], self.pairs)
-        found = found[found >= 0]
-        total = float(self.logs[at[known]].sum() + self.gains[found].sum())
-        # a word's hash and a pair's are told apart by hashing the word's once more
-        rare = hash_long(words[~known], np.full((~known).sum(), SEED, np.uint64))
-        return total, len(found), np.concatenate([pairs[~here], rare])
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first, second, n): how often each pair occurs, and with a null second each word."""
+    words, counts, held, size = Words(), np.zeros(0, np.int64), [], 0
+
+    def pairs() -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        first, second = words.hashes[found // _WIDE], words.hashes[found % _WIDE]
+        return pa.RecordBatch.from_arrays([_signed(first), _signed(second), pa.array(n)], names=["first", "second", "n"])
+
+    def singles() -> pa.RecordBatch:
+        some = counts > 0
+        return pa.RecordBatch.from_arrays([_signed(words.hashes[some]), pa.nulls(some.sum(), pa.int64()), pa.array(counts[some])], names=["first", "second", "n"])
+
+    for _, texts in _blocks(batches, 0):
+        if held and (size >= _AT_ONCE or words.full):
+            yield pairs()
+            held, size = [], 0
+        if words.full:
+            yield singles()
+            counts = np.zeros(0, np.int64)
+        ids, before, of = words.block(texts)
+        if len(ids):
+            more = np.bincount(ids, minlength=len(words.hashes))
+            more[: len(counts)] += counts
+            counts = more
+            counts[0] += 1 + (of[1:] != of[:-1]).sum()
+            held.append(before * _WIDE + ids)
+            size += len(ids)
+    if held:
+        yield pairs()
+    if len(counts):
+        yield singles()
+
+
+def _split(words: Words, texts: list) -> tuple[np.ndarray, ...]:
+    """Of some texts: what of each needs no join (words, sum, pairs), and the hashes to look up with
+    the places of their texts."""
+    known = words.known
+    ids, before, of = words.block(texts)
+    first, second, logs = words.ranks[before], words.ranks[ids], words.logs[ids]
+    here = (first >= 0) & (second >= 0)
+    gains = np.full(len(ids), np.nan)
+    gains[here] = known.gains[first[here], second[here]]
+    seen, rare = ~np.isnan(gains), np.isnan(logs)
+    total = np.where(seen, gains, 0) + np.where(rare, 0, logs)
+    pairs = pair_hash(words.hashes[before[~here]], words.hashes[ids[~here]])
+    # a word's hash and a pair's are told apart by hashing the word's once more
+    single = hash_long(words.hashes[ids[rare]], np.full(rare.sum(), SEED, np.uint64))
+    n = len(texts)
+    sums = np.bincount(of, minlength=n), np.bincount(of, total, n), np.bincount(of, seen, n).astype(np.int64)
+    return *sums, np.concatenate([pairs, single]), np.concatenate([of[~here], of[rare]])
 
 
 def _looked_up(shared, part: int):
-    """(r1, r2, what): the hashes of each text that are to be looked up, of one slice."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), _ROWS):
-                rows = batch.slice(at, _ROWS)
-                found = [known.split(word_hashes(t.as_py()))[2] for t in rows.column(2)]
-                found = [x[(x >> np.uint64(32)) % np.uint64(SLICES) == part] for x in found]
-                of = np.repeat(np.arange(len(rows)), [len(x) for x in found])
-                ids = [pa.array(rows.column(c).to_numpy()[of]) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*ids, _signed(np.concatenate(found))], names=["r1", "r2", "what"])
-
-    return run
-
-
-def _summed(shared):
-    """(key, r1, r2, n, known, seen): of each text, its number of words and what needs no join."""
+    """Of each text, the hashes of one slice that are to be looked up; in the first slice also a row
+    of its own, with its number of words and one, and the sum and number of pairs that need no join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), _ROWS):
-                rows = batch.slice(at, _ROWS)
-                words = [word_hashes(t.as_py()) for t in rows.column(3)]
-                sums = [known.split(w)[:2] for w in words]
-                columns = [rows.column(2), rows.column(0), rows.column(1)]
-                columns += [pa.array([len(w) for w in words], pa.int64()), pa.array([s for s, _ in sums], pa.float64()), pa.array([n for _, n in sums], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "r1", "r2", "n", "known", "seen"])
+        words = Words(shared.value)
+        for rows, texts in _blocks(batches, 2):
+            n, known, seen, what, of = _split(words, texts)
+            mine = (what >> np.uint64(32)) % np.uint64(SLICES) == part
+            what, of = what[mine], of[mine]
+            order = np.argsort(of, kind="stable")
+            what, of, zero = what[order], of[order], np.zeros(len(of), np.int64)
+            ids = [rows.column(c).to_numpy() for c in (0, 1)]
+            numbers = [zero, zero.astype(float), zero]
+            if part == 0:
+                # any hash that differs from text to text, so that no task gets all of these rows
+                what = np.concatenate([what, ids[0].view(np.uint64)])
+                of = np.concatenate([of, np.arange(len(texts))])
+                numbers = [np.concatenate(x) for x in zip(numbers, (n + 1, known, seen))]
+            columns = [*(pa.array(x[of]) for x in ids), _signed(what), *map(pa.array, numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["r1", "r2", "what", "n", "known", "seen"])
 
     return run
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): the count of every word by its hash, and of the start of a text as the word U+0002."""
-    texts = docs.select(F.col(text).cast("string"))
-    return texts.mapInArrow(_word_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def seen_pairs(docs: DataFrame, text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
-    """(first, second, n): the count of every pair that is seen often enough, by the hashes of its words."""
-    texts = docs.select(F.col(text).cast("string"))
-    counted = texts.mapInArrow(_pair_counter, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= cutoff)
+def counts_of(docs: DataFrame, text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
+    """(first, second, n): the count of every pair that is seen often enough, by the hashes of its
+    words, and of every word, with a null second. The start of a text counts as the word U+0002."""
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(_counter, "first long, second long, n long")
+    # pairs of a million words are one row each already: to add up once more before the shuffle is in vain
+    counted = counted.repartition("first", "second").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("second").isNull() | (F.col("n") >= cutoff))
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int = CUTOFF) -> DataFrame:
@@ -235,23 +242,24 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     equal rows. A null key is kept, other columns are ignored, an empty table gives an empty result.
     """
     context = docs.sparkSession.sparkContext
-    start = int(_START.view(np.int64))
-    counts = settle(word_counts(docs, text), "word-counts")
+    start = int(np.uint64(xxh64_intdigest(START, SEED)).view(np.int64))
+    counted = settle(counts_of(docs, text, cutoff), "counts")
+    counts = counted.where("second IS NULL").select(F.col("first").alias("word"), "n")
     words = counts.agg(F.sum(F.when(F.col("word") != start, F.col("n")))).first()[0] or 0
     share = BACKOFF / max(words, 1)
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN)
     frequent = top.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word")
-    kinds = settle(seen_pairs(docs, text, cutoff), "seen-pairs")
     one = counts.select(F.col("word").alias("first"), F.col("n").alias("n1"))
     two = counts.select(F.col("word").alias("second"), F.col("n").alias("n2"))
     gain = F.log(F.col("n") / F.col("n1")) - F.log(F.col("n2") * share)
+    kinds = counted.where("second IS NOT NULL")
     gains = settle(kinds.join(one, "first").join(two, "second").select("first", "second", gain.alias("value")), "gains")
-    discard(kinds)
+
     listed = top.toArrow()
     by = F.broadcast(frequent)
     held = gains.join(by.withColumnRenamed("word", "first"), "first", "left_semi").join(by.withColumnRenamed("word", "second"), "second", "left_semi").toArrow()
     numbers = lambda table, name: table.column(name).to_numpy()
-    known = _Known(
+    known = Known(
         numbers(listed, "word").view(np.uint64),
         np.log(numbers(listed, "n") * share) if listed.num_rows else np.zeros(0),
         numbers(held, "first").view(np.uint64),
@@ -270,23 +278,23 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     texts = docs.select(*ids, body.alias("text"))
     sums = []
     for part in range(SLICES):
-        rows = texts.mapInArrow(_looked_up(shared, part), "r1 long, r2 long, what long")
+        rows = texts.mapInArrow(_looked_up(shared, part), "r1 long, r2 long, what long, n long, known double, seen long")
         mine = table.where(F.pmod(F.shiftrightunsigned("what", 32), F.lit(SLICES)) == part)
-        found = rows.join(mine.hint("shuffle_hash"), "what")
-        found = found.groupBy("r1", "r2").agg(F.sum("pair").alias("pairs"), F.sum("value").alias("value"))
+        found = rows.join(mine.hint("shuffle_hash"), "what", "left").groupBy("r1", "r2")
+        found = found.agg(
+            F.count_if(F.col("n") > 0).alias("copies"),
+            F.sum("n").alias("n"),
+            F.sum(F.col("seen") + F.coalesce("pair", F.lit(0))).alias("pairs"),
+            F.sum(F.col("known") + F.coalesce("value", F.lit(0.0))).alias("value"),
+        )
         sums.append(settle(found, "sums"))
     # rows that repeat key and text share their ids, and so their sums
-    mine = docs.select(*ids, F.col(key).alias("key"), body.alias("text")).mapInArrow(
-        _summed(shared), f"key {kind_of(docs, key)}, r1 long, r2 long, n long, known double, seen long"
-    )
-    mine = settle(mine, "known-sums")
-    copies = mine.groupBy("r1", "r2").agg(F.count("*").alias("copies"))
-    more = reduce(DataFrame.unionByName, sums).groupBy("r1", "r2").agg(F.sum("pairs").alias("pairs"), F.sum("value").alias("value"))
-    more = more.join(copies, ["r1", "r2"]).select("r1", "r2", F.expr("pairs div copies").alias("pairs"), (F.col("value") / F.col("copies")).alias("value"))
-    done = mine.join(more, ["r1", "r2"], "left").fillna(0, ["pairs"]).fillna(0.0, ["value"])
-    return done.select(
+    whole = reduce(DataFrame.unionByName, sums).groupBy("r1", "r2").agg(*[F.sum(c).alias(c) for c in ("copies", "n", "pairs", "value")])
+    n = F.expr("(n - copies) div copies")
+    whole = whole.select("r1", "r2", n.alias("n"), F.expr("pairs div copies").alias("pairs"), (F.col("value") / F.col("copies")).alias("value"))
+    return docs.select(*ids, F.col(key).alias("key")).join(whole, ["r1", "r2"]).select(
         F.col("key").alias(key),
         F.col("n").alias("n_words"),
-        (F.col("n") - F.col("seen") - F.col("pairs")).alias("n_backed_off"),
-        F.round(F.when(F.col("n") > 0, (F.col("known") + F.col("value")) / F.col("n")), 6).alias("mean_log_score"),
+        (F.col("n") - F.col("pairs")).alias("n_backed_off"),
+        F.round(F.when(F.col("n") > 0, F.col("value") / F.col("n")), 6).alias("mean_log_score"),
     )
