@@ -462,3 +462,34 @@ def test_the_digest_follows_what_a_body_does(source):
     assert body_digest(frame_view(source, 2)) == body_digest(frame_view(source, 2))
     assert body_digest(frame_view(source, 2)) != body_digest(frame_view(source, 3))
     assert body_digest(wide_view(source)) != body_digest(wide_view(replace(source, filtered=False)))
+
+
+def test_lookups_take_what_the_store_has_published(spark, source, tmp_path):
+    """By itself, and only values as of the moment, or as old as the caller allows."""
+    store, moment = Store(spark, str(tmp_path)), FIRST + 3 * DAY + 10 * MINUTE
+    requests = spark.createDataFrame([(0, "hot"), (1, "k1"), (2, "none"), (3, None)], "id int, k string")
+    service = Service.of("s", [row_view(source), mixed_view(source)])
+    for view in service.features:
+        store.publish(view, moment)
+    want = plain(service.lookup(requests, moment, effective=True))
+
+    def reads_published(df):
+        return sorted({f.split("/latest/")[0].rsplit("/", 1)[1] for f in df.inputFiles() if "/latest/" in f})
+
+    found = service.lookup(requests, moment, store=store, effective=True)
+    assert plain(found) == want and reads_published(found) == ["mixed", "rows"]
+    # within the same interval tiles have not changed, rows may have
+    later = service.lookup(requests, moment + 5 * MINUTE, store=store)
+    assert plain(later) == plain(service.lookup(requests, moment + 5 * MINUTE)) and reads_published(later) == ["mixed"]
+    old = service.lookup(requests, moment + HOUR, store=store, stale=HOUR)
+    assert plain(old) == plain(service.lookup(requests, moment)) and reads_published(old) == ["mixed", "rows"]
+
+
+def test_requests_are_joined_once_per_key_set(spark, source):
+    requests = spark.createDataFrame([(i, "hot", f"wide{i}") for i in range(50)], "id int, k string, w string")
+    found = Service.of("s", [row_view(source), mixed_view(source)]).lookup(requests, LAST)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) >= 2 and found.count() == 50
+    wide = [line for line in plan.splitlines() if "LogicalRDD" in line and "w#" in line]
+    assert len(wide) <= 2

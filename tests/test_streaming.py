@@ -233,26 +233,34 @@ def test_dry_run_reports_and_writes_nothing(spark, tmp_path):
     }
     path = str(tmp_path / "in")
     push.ingest(pushed, schemas(), path, "1")
-    assert spark.read.schema(CLICK).parquet(f"{path}/clicks").count() == 0
-    reasons = sorted((r.source, r.reason) for r in spark.read.parquet(f"{path}/_rejected").collect())
+    assert push.ingested(spark, path, "clicks").count() == 0
+    reasons = sorted((r.source, r.reason) for r in push.ingested(spark, path, "_rejected").collect())
     assert reasons == [("clicks", "does not fit"), ("unknown", "unknown source")]
-    assert sorted(r.envelope for r in spark.read.parquet(f"{path}/_malformed").collect()) == ["not json", "{}"]
+    assert sorted(r.envelope for r in push.ingested(spark, path, "_malformed").collect()) == ["not json", "{}"]
 
 
 def test_records_without_their_time_are_kept_aside(spark, tmp_path):
     path = str(tmp_path / "in")
     pushed = frame(spark, envelope(False, clicks=[{"word": "a", "n": 1}, {"timestamp": day(1), "word": "b", "n": 2}]))
     push.ingest(pushed, schemas(), path, "1", required={"clicks": "timestamp"})
-    assert [r.word for r in spark.read.parquet(f"{path}/clicks").collect()] == ["b"]
-    assert [r.reason for r in spark.read.parquet(f"{path}/_rejected").collect()] == ["no timestamp"]
+    assert [r.word for r in push.ingested(spark, path, "clicks").collect()] == ["b"]
+    assert [r.reason for r in push.ingested(spark, path, "_rejected").collect()] == ["no timestamp"]
 
 
 def test_accepted_records_are_written_per_source(spark, tmp_path):
     path = str(tmp_path / "in")
     for run in ("a", "b", "a"):  # a run that is tried again counts once
         push.ingest(frame(spark, envelope(False, **SAMPLE)), schemas(), path, run)
-    assert spark.read.parquet(f"{path}/clicks").count() == 4
-    assert spark.read.parquet(f"{path}/visits").agg(F.sum("n")).first()[0] == 20
+    assert push.ingested(spark, path, "clicks").count() == 4
+    assert push.ingested(spark, path, "visits").agg(F.sum("n")).first()[0] == 20
+    # an attempt that died before its mark is not read
+    push.typed(push.unpack(frame(spark, envelope(False, **SAMPLE))), "clicks", schemas()["clicks"]).write.parquet(f"{path}/clicks/run=c/attempt=1")
+    assert push.ingested(spark, path, "clicks").count() == 4
+
+
+def test_an_envelope_is_parsed_once(spark):
+    plan = push.sorted_out(frame(spark, envelope(False, **SAMPLE)), schemas())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("workspace_name") == 1 or plan.count("from_json(StructField(workspace_name") <= 1
 
 
 def test_pushed_records_feed_aggregates(spark, tmp_path):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import MERGED, Aggregate, check, merge_of
 from tidemark.functions.time import CONTINUOUS, bucket_start, instant_micros, micros
-from tidemark.operators.points import AT
+from tidemark.operators.points import AT, all_present
 from tidemark.operators.tiles import TileSet, fill_empty, keep_newest, keep_newest_values
 from tidemark.sources.tables import instant
 
@@ -95,26 +96,40 @@ def lookup(
 ) -> DataFrame:
     """Requests with the latest values of their keys; unknown keys get nulls.
 
-    Plain equi joins: Spark broadcasts what is small and splits a key asked for often.
+    Tables with the same keys meet on the distinct keys that are asked for, which are narrow, so
+    requests with all their columns are joined once per key set. Plain equi joins: Spark broadcasts
+    what is small and splits a key asked for often.
     """
     out = requests
+    groups: dict[tuple[str, ...], list[Snapshot]] = {}
     for snap in snapshots:
-        table = snap.frame
-        alive = F.lit(True)
-        if snap.ttl is not None:
-            limit = instant_micros(moment) - micros(snap.ttl)
-            alive = F.unix_micros(F.col(snap.ts)) > F.lit(limit)
-        columns = [F.when(alive, F.col(f)).alias(snap.prefix + f) for f in snap.features]
-        seen = f"{snap.prefix}effective_ts"
-        if effective and snap.seen is None:
-            columns.append(F.when(alive, F.col("effective_ts")).alias(seen))
-        out = out.join(table.select(*snap.keys, *columns), list(snap.keys), "left")
-        if effective and snap.seen is not None:
-            out = out.withColumn(seen, instant(snap.seen))
-        zeros = [snap.prefix + f for f in snap.zero]
-        out = out.withColumns({z: F.coalesce(F.col(z), F.lit(0)) for z in zeros})
-    added = [c for c in out.columns if c not in requests.columns]
-    return out.select(*requests.columns, *added)
+        groups.setdefault(snap.keys, []).append(snap)
+    for keys, mine in groups.items():
+        tables = [_shown(snap, moment, effective) for snap in mine]
+        if len(tables) > 1:
+            asked = requests.select(*keys).filter(all_present(list(keys))).distinct()
+            tables = [reduce(lambda a, b: a.join(b, list(keys), "left"), [asked, *tables])]
+        out = out.join(tables[0], list(keys), "left")
+    zeros = [snap.prefix + f for snap in snapshots for f in snap.zero]
+    out = out.withColumns({z: F.coalesce(F.col(f"`{z}`"), F.lit(0)) for z in zeros})
+    seen = {f"{s.prefix}effective_ts": instant(s.seen) for s in snapshots if effective and s.seen is not None}
+    out = out.withColumns(seen)
+    added = []
+    for snap in snapshots:
+        added += [snap.prefix + f for f in snap.features] + [f"{snap.prefix}effective_ts"] * effective
+    return out.select(*[f"`{c}`" for c in (*requests.columns, *added)])
+
+
+def _shown(snap: Snapshot, moment: datetime, effective: bool) -> DataFrame:
+    """The keys and output columns of a snapshot; values older than its age limit are null."""
+    alive = F.lit(True)
+    if snap.ttl is not None:
+        limit = instant_micros(moment) - micros(snap.ttl)
+        alive = F.unix_micros(F.col(snap.ts)) > F.lit(limit)
+    columns = [F.when(alive, F.col(f"`{f}`")).alias(snap.prefix + f) for f in snap.features]
+    if effective and snap.seen is None:
+        columns.append(F.when(alive, F.col("effective_ts")).alias(f"{snap.prefix}effective_ts"))
+    return snap.frame.select(*snap.keys, *columns)
 
 
 def vector(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:

@@ -146,11 +146,13 @@ class Service:
         snapshots: dict[str, Snapshot] | None = None,
         effective: bool = False,
         spark: SparkSession | None = None,
+        stale: timedelta = timedelta(0),
     ) -> DataFrame:
         """The latest features for a batch of requests: keys, and request columns if needed.
 
         Values are what was visible at the moment. A view's values come from ``snapshots``
-        if given there, else from the store or the sources.
+        if given there, else from what the store has published as of the moment, or at most
+        ``stale`` before it, else from the store's history or the sources.
         """
         views = self._views()
         spark = spark or (views[0].sources[0].batch.sparkSession if views else None)
@@ -158,8 +160,12 @@ class Service:
         for request in [r for o in self._on_demand() for r in o.requests]:
             df = request.apply(df)
         given = snapshots or {}
+        published = getattr(store, "newest", lambda *_: None)
         shots = [
-            given.get(v.name) or v.snapshot(moment, store, f"{v.name}{SEP}") for v in views
+            given.get(v.name)
+            or published(v, moment, stale, f"{v.name}{SEP}")
+            or v.snapshot(moment, store, f"{v.name}{SEP}")
+            for v in views
         ]
         return self._finish(lookup(df, shots, moment, effective), df.columns, effective)
 

@@ -396,6 +396,17 @@ class Store:
         frame = self.spark.read.parquet(f"{self.path}/{view.name}/latest/run={mark['run']}/values")
         return view.snapshot_of(frame, moment_of(mark["at"]), prefix)
 
+    def newest(self, view: View, moment: datetime, stale: timedelta = timedelta(0), prefix: str = "") -> Snapshot | None:
+        """Published values that are as of a moment, or at most ``stale`` older; None if there are none."""
+        mark = self._published(view, instant_micros(moment))
+        if mark is None:
+            return None
+        at, least = mark["at"], instant_micros(moment - stale)
+        if view.aggregations and view.interval != CONTINUOUS:
+            # between two boundaries nothing changes
+            at, least = at // micros(view.interval), least // micros(view.interval)
+        return self.published(view, moment, prefix) if at >= least else None
+
     # -- reads ----------------------------------------------------------------
 
     @staticmethod

@@ -767,9 +767,9 @@ def ingest_rejects(fraud):
     path = workdir(fraud.spark, "ingest")
     for _ in range(2):  # a retry replaces what the run wrote
         push.ingest(envelopes, schemas, path, "0", required={"clicks": "timestamp", "user_clicks": "timestamp"})
-    read = fraud.spark.read.parquet
-    kept = [read(f"{path}/{s}").select(F.lit(s).alias("kind")) for s in schemas]
-    aside = [read(f"{path}/_rejected").select(F.col("reason").alias("kind")), read(f"{path}/_malformed").select(F.lit("malformed").alias("kind"))]
+    kept = [push.ingested(fraud.spark, path, s).select(F.lit(s).alias("kind")) for s in schemas]
+    rejected, broken = (push.ingested(fraud.spark, path, n) for n in (push.REJECTED, push.MALFORMED))
+    aside = [rejected.select(F.col("reason").alias("kind")), broken.select(F.lit("malformed").alias("kind"))]
     every = kept[0]
     for df in [*kept[1:], *aside]:
         every = every.unionByName(df)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,39 +81,46 @@ def report(records: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
     )
 
 
-def malformed(envelopes: DataFrame, column: str = "value") -> DataFrame:
-    """The envelopes that cannot be unpacked: no JSON, not of the wire format, or without records.
+def _lacks(schema: T.StructType, needed: str | None) -> Column:
+    if needed is None:
+        return F.lit(False)
+    return F.exists(F.array(_parsed(schema)), lambda p: p[needed].isNull())
 
-    They have no sources to report under, so they are kept and counted as a whole.
-    """
-    marked = T.StructType([*T.StructType.fromDDL(ENVELOPE).fields, T.StructField(_BAD, T.StringType())])
-    parsed = F.from_json(F.col(column), marked, {"columnNameOfCorruptRecord": _BAD})
-    bad = F.exists(F.array(parsed), lambda e: e.isNull() | e[_BAD].isNotNull() | e["records"].isNull())
-    return envelopes.filter(bad | F.col(column).isNull()).select(F.col(column).alias("envelope"))
 
+LANDED = "source string, record string, reason string, kind string"
+RUNS = "run string, attempt long"
+REJECTED, MALFORMED = "_rejected", "_malformed"
 
-def rejected(records: DataFrame, schemas: dict[str, T.StructType], required: dict[str, str] | None = None) -> DataFrame:
-    """Records that an ingest does not take, with the reason; dry runs are no ingest.
 
-    ``required`` names a column per source, such as its time, without which a record is no event.
+def sorted_out(
+    envelopes: DataFrame, schemas: dict[str, T.StructType], column: str = "value", required: dict[str, str] | None = None
+) -> DataFrame:
+    """(source, record, reason, kind) of all that is no dry run, each envelope parsed once.
+
+    The kind is the record's source if it is accepted, else ``_rejected`` with a reason;
+    an envelope that cannot be unpacked is ``_malformed`` and its own record.
     """
+    marked = T.StructType([*T.StructType.fromDDL(ENVELOPE).fields, T.StructField(_BAD, T.StringType())])
+    parsed = envelopes.select(F.col(column).alias("text"), F.from_json(F.col(column), marked, {"columnNameOfCorruptRecord": _BAD}).alias("e"))
+    bad = F.col("e").isNull() | F.col(f"e.{_BAD}").isNotNull() | F.col("e.records").isNull() | F.col("text").isNull()
+
+    def row(source: Column, record: Column, malformed: bool) -> Column:
+        return F.struct(source.alias("source"), record.alias("record"), F.lit(malformed).alias("malformed"))
+
+    by_source = F.transform(
+        F.map_entries("e.records"), lambda entry: F.transform(entry["value"], lambda item: row(entry["key"], item["record"], False))
+    )
+    whole = F.array(row(F.lit(None).cast("string"), F.col("text"), True))
+    taken = F.when(F.coalesce(F.col("e.dry_run"), F.lit(False)), F.slice(whole, 1, 0)).otherwise(F.flatten(by_source))
+    rows = parsed.select(F.inline(F.when(bad, whole).otherwise(taken)))
     reason = F.lit("unknown source")
     for source, schema in schemas.items():
-        needed = (required or {}).get(source)
         fits = F.exists(F.array(_parsed(schema)), _fits)
-        mine = F.when(~fits, "does not fit").when(_lacks(schema, needed), f"no {needed}")
+        mine = F.when(~fits, "does not fit").when(_lacks(schema, (required or {}).get(source)), f"no {(required or {}).get(source)}")
         reason = F.when(F.col("source") == source, mine).otherwise(reason)
-    return (
-        records.filter(~F.col("dry_run"))
-        .select("source", "record", reason.alias("reason"))
-        .filter(F.col("reason").isNotNull())
-    )
-
-
-def _lacks(schema: T.StructType, needed: str | None) -> Column:
-    if needed is None:
-        return F.lit(False)
-    return F.exists(F.array(_parsed(schema)), lambda p: p[needed].isNull())
+    told = rows.withColumn("reason", F.when(~F.col("malformed"), reason))
+    kind = F.when(F.col("malformed"), MALFORMED).when(F.col("reason").isNotNull(), REJECTED).otherwise(F.col("source"))
+    return told.select("source", "record", "reason", kind.alias("kind"))
 
 
 def ingest(
@@ -124,17 +133,29 @@ def ingest(
 ) -> None:
     """Write the accepted records of every source, and keep aside all that is not accepted.
 
-    ``run`` names the job's input. Each run has folders of its own, which a retry replaces, so
-    nothing is written twice. Malformed envelopes and rejected records lie beside the sources.
+    ``run`` names the job's input. Envelopes are unpacked once, into a table by kind, and each
+    source is written from its own part of it. The mark of the attempt comes last: readers see all
+    of a run or none, and of a run that is tried again the newest whole attempt only.
     """
-    records = unpack(envelopes, column)
+    spark, attempt = envelopes.sparkSession, time.time_ns()
+    landed = _folder(path, "_landed", run, attempt)
+    sorted_out(envelopes, schemas, column, required).write.partitionBy("kind").parquet(landed)
+    records = spark.read.schema(LANDED).parquet(landed)
+    for source, schema in schemas.items():
+        typed(records.filter(F.col("kind") == source), source, schema).write.parquet(_folder(path, source, run, attempt))
+    mark = spark.createDataFrame([(run, attempt)], RUNS)
+    mark.coalesce(1).write.mode("append").parquet(f"{path}/_runs")
 
-    def put(df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/{name}/run={run}")
 
-    for source, schema in schemas.items():
-        rows = accepted(records, source, schema)
-        needed = (required or {}).get(source)
-        put(rows if needed is None else rows.filter(F.col(needed).isNotNull()), source)
-    put(rejected(records, schemas, required), "_rejected")
-    put(malformed(envelopes, column), "_malformed")
+def _folder(path: str, name: str, run: str, attempt: int) -> str:
+    return f"{path}/{name}/run={run}/attempt={attempt}"
+
+
+def ingested(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """What whole runs have taken in for a source, or what they kept aside as rejected or malformed."""
+    runs = spark.read.schema(RUNS).parquet(f"{path}/_runs").groupBy("run").agg(F.max("attempt").alias("attempt")).collect()
+    if name not in (REJECTED, MALFORMED):
+        return spark.read.parquet(*[_folder(path, name, r["run"], r["attempt"]) for r in runs])
+    rows = spark.read.schema(LANDED).parquet(*[_folder(path, "_landed", r["run"], r["attempt"]) for r in runs])
+    rows = rows.filter(F.col("kind") == name)
+    return rows.select("source", "record", "reason") if name == REJECTED else rows.select(F.col("record").alias("envelope"))
