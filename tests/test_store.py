@@ -397,13 +397,13 @@ class Watched(Store):
         super().__init__(*args)
         self.asked = []
 
-    def rows_or_computed(self, view, start, end):
+    def rows_or_computed(self, view, start, end, days=None):
         self.asked.append((start, end))
-        return super().rows_or_computed(view, start, end)
+        return super().rows_or_computed(view, start, end, days)
 
-    def tiles_or_computed(self, view, start, end):
+    def tiles_or_computed(self, view, start, end, days=None):
         self.asked.append((start, end))
-        return super().tiles_or_computed(view, start, end)
+        return super().tiles_or_computed(view, start, end, days)
 
 
 def current(store, view, moment):
@@ -493,3 +493,21 @@ def test_requests_are_joined_once_per_key_set(spark, source):
     assert len(joins) >= 2 and found.count() == 50
     wide = [line for line in plan.splitlines() if "LogicalRDD" in line and "w#" in line]
     assert len(wide) <= 2
+
+
+def test_the_times_of_a_spine_prune_the_store_by_themselves(spark, source, spine, tmp_path):
+    """Without a period, only days that some row of the spine can see are opened."""
+    store, aged = Store(spark, str(tmp_path)), replace(row_view(source), ttl=DAY)
+    some = spine.filter(f"t >= '{FIRST + 4 * DAY}'")
+    service = Service.of("s", [aged, mixed_view(source)])
+    want = plain(service.historical(some, "t"))
+    for view in service.features:
+        store.backfill(view, FIRST, LAST, 1)
+        done = view.historical(some, "t", store=store)
+        assert plain(done) == plain(view.historical(some, "t"))
+        assert "dynamicpruning" in done._jdf.queryExecution().executedPlan().toString()
+    assert plain(service.historical(some, "t", store=store)) == want
+    # without an age limit all earlier rows can matter
+    endless = row_view(source)
+    assert "dynamicpruning" not in endless.historical(some, "t", store=store)._jdf.queryExecution().executedPlan().toString()
+    assert plain(service.historical(spine.filter("false"), "t", store=store)) == []

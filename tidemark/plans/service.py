@@ -106,16 +106,17 @@ class Service:
             df = request.apply(df)
         # All lookups take their points from the spine itself, not from one another.
         base, kept, parts = df, df.columns, []
+        times = base if period is None else None
         for keys in dict.fromkeys(v.keys for v in views):
             mine = [v for v in views if v.keys == keys]
             tables = [
-                v.table(v.stored_rows(store, period), f"{v.name}{SEP}")
+                v.table(v.stored_rows(store, period, times, ts), f"{v.name}{SEP}")
                 for v in mine
                 if not v.aggregations
             ]
             tiled: dict[timedelta, list[Part]] = {}
             for view in [v for v in mine if v.aggregations]:
-                part = view.part(store, period, f"{view.name}{SEP}")
+                part = view.part(store, period, f"{view.name}{SEP}", times, ts)
                 tiled.setdefault(view.interval, []).append(part)
                 parts.append(part)
             finest, found = _by_key(base, list(keys), ts, tables, tiled, effective)

@@ -421,9 +421,12 @@ class Store:
             kept = kept & ((F.col(RUN) != run) | any_of)
         return kept
 
-    def _part(self, view: View, marks: list[Row], name: str, like: DataFrame, low: int | None, high: int | None):
+    def _part(
+        self, view: View, marks: list[Row], name: str, like: DataFrame, low: int | None, high: int | None, days: DataFrame | None = None
+    ):
         """The stored rows of one part in ``[low, high)``, and the ranges that are not stored, each
-        with whether it lies after all that is."""
+        with whether it lies after all that is. ``days`` lists the days that matter; Spark learns
+        them when the job runs and opens only their partitions."""
         segments = self._segments(view, marks, name, like)
         ranges = ranges_of(segments)
         gaps = [(a, b, bool(ranges) and a is not None and a >= ranges[-1][1]) for a, b in uncovered(ranges, low, high)]
@@ -449,17 +452,22 @@ class Store:
         if high is not None:
             part = part.filter(time < high)
         part = part.filter(self._inside(touched, time, whole))
+        if days is not None:
+            # one row per day of the calendar at most, whatever the spine
+            part = part.join(F.broadcast(days), "day", "left_semi")
         return part.select(*[f"`{c}`" for c in like.columns]), gaps
 
     def rows(self, view: View, start: datetime | None = None, end: datetime | None = None):
         """Stored rows of ``[start, end)``."""
         return self._part(view, self._marks(view), "rows", view.frame(), _at(start), _at(end))[0]
 
-    def _tiles(self, view: View, start: datetime | None, end: datetime | None) -> tuple[TileSet, dict]:
+    def _tiles(
+        self, view: View, start: datetime | None, end: datetime | None, days: DataFrame | None = None
+    ) -> tuple[TileSet, dict]:
         """Stored tiles, whole where they touch the range, and the gaps of each part."""
         step, marks, like = micros(view.interval), self._marks(view), view.tiles()
         low = None if start is None else instant_micros(start) // step * step
-        found_ = {n: self._part(view, marks, n, df, low, _at(end)) for n, df in like.parts().items()}
+        found_ = {n: self._part(view, marks, n, df, low, _at(end), days) for n, df in like.parts().items()}
         return like.replace({n: df for n, (df, _) in found_.items()}), {n: gaps for n, (_, gaps) in found_.items()}
 
     def tiles(
@@ -468,9 +476,9 @@ class Store:
         """Stored tiles in the shape the view would compute them, whole where they touch the range."""
         return self._tiles(view, start, end)[0]
 
-    def rows_or_computed(self, view: View, start, end) -> DataFrame:
+    def rows_or_computed(self, view: View, start, end, days: DataFrame | None = None) -> DataFrame:
         """The rows of a range: stored ones, and others where nothing is loaded."""
-        rows, gaps = self._part(view, self._marks(view), "rows", view.frame(), _at(start), _at(end))
+        rows, gaps = self._part(view, self._marks(view), "rows", view.frame(), _at(start), _at(end), days)
         for low, high, after in gaps:
             low, high = _moment(low), _moment(high)
             if after and self._streams(view):
@@ -480,9 +488,9 @@ class Store:
             rows = rows.unionByName(more)
         return rows
 
-    def tiles_or_computed(self, view: View, start, end) -> TileSet:
+    def tiles_or_computed(self, view: View, start, end, days: DataFrame | None = None) -> TileSet:
         """The tiles of a range: each part stored where it is loaded, and others elsewhere."""
-        stored, gaps = self._tiles(view, start, end)
+        stored, gaps = self._tiles(view, start, end, days)
         more = {gap: self._more(view, *gap) for gap in {g for listed in gaps.values() for g in listed}}
         parts = {}
         for name, df in stored.parts().items():

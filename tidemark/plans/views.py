@@ -199,28 +199,46 @@ class View:
         """Spine rows with the view's features, under their bare names, as of each row's time.
 
         Computes from the sources, unless a ``store`` holds the view. A ``period`` promises
-        that all spine times lie in it; only events that can matter there are then read.
+        that all spine times lie in it; only events that can matter there are then read. Without
+        one, the days that a store reads are those that the spine's times ask for.
         """
         spine = spine_of(self.sources[0].batch.sparkSession, spine)
         if period is not None:
             spine = only_between(spine, ts, period)
+        times = spine if period is None else None
         if not self.aggregations:
-            table = self.table(self.stored_rows(store, period))
+            table = self.table(self.stored_rows(store, period, times, ts))
             return asof_join(spine, list(self.keys), ts, [table], effective)
-        return aggregates_asof(spine, ts, [self.part(store, period, "")], effective)
+        return aggregates_asof(spine, ts, [self.part(store, period, "", times, ts)], effective)
 
-    def stored_rows(self, store, period=None) -> DataFrame:
-        """Rows for a period, from a store that holds the view or else computed."""
+    def days_for(self, spine: DataFrame, ts: str) -> DataFrame | None:
+        """The days of events that can matter for the times of a spine; None if that is all before them.
+
+        One row per day of the calendar at most.
+        """
+        back = self.reach + self.interval if self.aggregations else self.ttl
+        if back is None:
+            return None
+        day = F.to_date(F.col(ts))
+        days = spine.select(day.alias("last")).distinct().filter(F.col("last") > F.lit("0001-01-01").cast("date"))
+        first = F.date_sub("last", -(-back // timedelta(days=1)))
+        every = days.select(F.explode(F.sequence(first, F.col("last"))).alias("date")).distinct()
+        return every.select(F.date_format("date", "yyyy-MM-dd").alias("day"))
+
+    def stored_rows(self, store, period=None, spine: DataFrame | None = None, ts: str | None = None) -> DataFrame:
+        """Rows for a period or the times of a spine, from a store that holds the view or else computed."""
         start, end = self.reads(period)
         if store is not None and store.has(self):
-            return store.rows_or_computed(self, start, end)
+            days = None if spine is None else self.days_for(spine, ts)
+            return store.rows_or_computed(self, start, end, days)
         return between(self.frame(start, end), self.ts, start, end)
 
-    def part(self, store, period, prefix: str):
-        """Prefix, tiles for a period and aggregates, as the joins take them."""
+    def part(self, store, period, prefix: str, spine: DataFrame | None = None, ts: str | None = None):
+        """Prefix, tiles for a period or the times of a spine, and aggregates, as the joins take them."""
         start, end = self.reads(period)
         if store is not None and store.has(self):
-            tiles = store.tiles_or_computed(self, start, end)
+            days = None if spine is None else self.days_for(spine, ts)
+            tiles = store.tiles_or_computed(self, start, end, days)
         else:
             tiles = self.tiles(start, end)
         return prefix, tiles, list(self.aggregations)

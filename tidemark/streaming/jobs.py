@@ -298,10 +298,14 @@ class StreamHistory:
     def has(self, view: View) -> bool:
         return view.name in self.folders
 
-    def rows_or_computed(self, view: View, start: datetime | None, end: datetime | None) -> DataFrame:
+    def rows_or_computed(
+        self, view: View, start: datetime | None, end: datetime | None, days: DataFrame | None = None
+    ) -> DataFrame:
         return between(stream_rows(self.spark, view, self.folders[view.name]), view.ts, start, end)
 
-    def tiles_or_computed(self, view: View, start: datetime | None, end: datetime | None) -> TileSet:
+    def tiles_or_computed(
+        self, view: View, start: datetime | None, end: datetime | None, days: DataFrame | None = None
+    ) -> TileSet:
         # one interval more: a continuous window sees its own moment
         end = None if end is None else end + view.interval
         return stream_tiles(self.spark, view, self.folders[view.name], start, end)
