@@ -511,3 +511,35 @@ def test_the_times_of_a_spine_prune_the_store_by_themselves(spark, source, spine
     endless = row_view(source)
     assert "dynamicpruning" not in endless.historical(some, "t", store=store)._jdf.queryExecution().executedPlan().toString()
     assert plain(service.historical(spine.filter("false"), "t", store=store)) == []
+
+
+def test_bucketed_tables_are_not_shuffled(spark, source, tmp_path):
+    """Two published tables of one key set meet the requests without an exchange of their own."""
+    store, moment = Store(spark, str(tmp_path)), FIRST + 3 * DAY
+    requests = spark.createDataFrame([(i, k) for i, k in enumerate(["hot", "k1", "none", None])], "id int, k string")
+    service = Service.of("s", [row_view(source), wide_view(source)])
+    want = plain(service.lookup(requests, moment))
+    for at_ in (FIRST + DAY, moment):
+        for view in service.features:
+            store.publish(view, at_, buckets=4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = service.lookup(requests, moment, store=store)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plain(found) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+    assert len(scans) == 2 and all("Bucketed: true" in lines[i] for i in scans)
+    for i in scans:
+        above, depth = [], len(lines[i]) - len(lines[i].lstrip(" :+-"))
+        for line in reversed(lines[:i]):
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if indent < depth:
+                above.append(line)
+                depth = indent
+        until = next(j for j, line in enumerate(above) if "Join" in line)
+        assert not any("Exchange" in line for line in above[:until])
+    assert spark.catalog.listTables() == [] or all("published_" not in t.name for t in spark.catalog.listTables())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -25,7 +26,7 @@ from tidemark.sources.tables import between
 DAY = timedelta(days=1)
 RUN = "_run"
 MARK = "low long, high long, run long, part string, fields string, shape string, body string, start long"
-PUBLISHED = "at long, run long, loaded long, features array<string>, shape string, body string, start long, rules string"
+PUBLISHED = "at long, run long, loaded long, features array<string>, shape string, body string, start long, rules string, buckets int"
 Segment = tuple[int, int, int]
 
 
@@ -330,7 +331,7 @@ class Store:
         ]
         return max(fits, key=lambda m: (m["at"], m["run"]), default=None)
 
-    def publish(self, view: View, moment: datetime, anew: bool = False) -> None:
+    def publish(self, view: View, moment: datetime, anew: bool = False, buckets: int | None = None) -> None:
         """Keep the view's values per key at a moment as a table that lookups read.
 
         Values published earlier are carried forward: rows that became visible since are merged
@@ -339,7 +340,11 @@ class Store:
         before the last publish was loaded again since. Rows that reached a source late, without
         their range being loaded again, are seen only then.
 
-        Each publish has a folder of its own; its mark follows, so readers see all of it or none.
+        Each publish has a folder of its own; its mark follows, so readers see all of it or none. With
+        ``buckets`` the values lie sorted in so many parts by their keys: lookups then shuffle their
+        requests and never the table, and tables of one key set with as many buckets meet in one
+        pass. Spark keeps that only for tables with a name, so the session's catalog has one for the
+        moment of writing or opening it.
         """
         at = instant_micros(moment)
         marks = self._marks(view)
@@ -348,15 +353,41 @@ class Store:
             before = None
         run = max([time.time_ns(), *([before["run"] + 1] if before else [])])
         write = self._publish_tiles if view.aggregations else self._publish_rows
-        write(view, moment, before, f"{self.path}/{view.name}/latest/run={run}")
+        folder = f"{self.path}/{view.name}/latest/run={run}"
+        self._write_values(write(view, moment, before, folder), f"{folder}/values", view.keys, buckets)
         loaded = max([0, *(m["run"] for m in marks)])
         rules = f"{view.schedule} {view.ttl}"
-        mark = (at, run, loaded, list(view.features), shape(view), body_digest(view), start_of(view), rules)
+        mark = (at, run, loaded, list(view.features), shape(view), body_digest(view), start_of(view), rules, buckets or 0)
         self.spark.createDataFrame([mark], PUBLISHED).coalesce(1).write.mode("append").parquet(
             f"{self.path}/{view.name}/published"
         )
 
-    def _publish_rows(self, view: View, moment: datetime, before: Row | None, folder: str) -> None:
+    def _write_values(self, values: DataFrame, folder: str, keys: tuple[str, ...], buckets: int | None) -> None:
+        if not buckets:
+            values.write.parquet(folder)
+            return
+        name, by = f"published_{uuid.uuid4().hex}", list(keys)
+        writer = values.repartition(buckets, *by).write.format("parquet").bucketBy(buckets, *by).sortBy(*by)
+        writer.option("path", folder).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
+
+    def _values(self, view: View, mark: Row) -> DataFrame:
+        folder = f"{self.path}/{view.name}/latest/run={mark['run']}/values"
+        plain = self.spark.read.parquet(folder)
+        if not mark["buckets"]:
+            return plain
+        name, by = f"published_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in view.keys)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+            f"INTO {mark['buckets']} BUCKETS LOCATION '{folder}'"
+        )
+        table = self.spark.table(name)
+        table.schema  # noqa: B018  opened before its name goes; the files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        return table
+
+    def _publish_rows(self, view: View, moment: datetime, before: Row | None, folder: str) -> DataFrame:
         low, carried = None, None
         if before is not None:
             # the first time that was not visible yet
@@ -367,9 +398,9 @@ class Store:
         rows = self.rows_or_computed(view, _moment(low), moment + CONTINUOUS)
         if carried is not None:
             rows = rows.unionByName(carried.select(*[f"`{c}`" for c in rows.columns]))
-        latest(view.whole_table(rows), list(view.keys), moment).write.parquet(f"{folder}/values")
+        return latest(view.whole_table(rows), list(view.keys), moment)
 
-    def _publish_tiles(self, view: View, moment: datetime, before: Row | None, folder: str) -> None:
+    def _publish_tiles(self, view: View, moment: datetime, before: Row | None, folder: str) -> DataFrame:
         keys, wanted, step = list(view.keys), list(view.aggregations), view.interval
         now = boundary_of(moment, wanted, step)
 
@@ -385,16 +416,14 @@ class Store:
         for name, part in state.items():
             part.write.parquet(f"{folder}/state_{name}")
         state = {n: self.spark.read.schema(p.schema).parquet(f"{folder}/state_{n}") for n, p in state.items()}
-        values = values_of(state, read, wanted, keys, step, now, moment)
-        values.write.parquet(f"{folder}/values")
+        return values_of(state, read, wanted, keys, step, now, moment)
 
     def published(self, view: View, moment: datetime, prefix: str = "") -> Snapshot:
         """The newest published values that are not newer than a moment."""
         mark = self._published(view, instant_micros(moment))
         if mark is None:
             raise ValueError(f"view {view.name} has nothing published up to {moment}")
-        frame = self.spark.read.parquet(f"{self.path}/{view.name}/latest/run={mark['run']}/values")
-        return view.snapshot_of(frame, moment_of(mark["at"]), prefix)
+        return view.snapshot_of(self._values(view, mark), moment_of(mark["at"]), prefix)
 
     def newest(self, view: View, moment: datetime, stale: timedelta = timedelta(0), prefix: str = "") -> Snapshot | None:
         """Published values that are as of a moment, or at most ``stale`` older; None if there are none."""

@@ -533,7 +533,7 @@ def latest_published(fraud):
     service = Service.of("latest", [fraud.card, kept])
     store = Store(fraud.spark, workdir(fraud.spark, "store"))
     for view in (fraud.card, kept):
-        store.publish(view, NOW)
+        store.publish(view, NOW, buckets=8)
     shots = {v.name: store.published(v, NOW, f"{v.name}__") for v in (fraud.card, kept)}
     found = service.lookup(_requests(fraud), NOW, snapshots=shots, effective=True)
     return found.drop("amounts__effective_ts")
