@@ -104,7 +104,7 @@ def test_unlike_pages_of_a_template_are_not_all_compared(spark, monkeypatch):
         groups, sizes[n] = compared(spark, monkeypatch, docs)
         monkeypatch.undo()
         assert groups == {k: k for k in docs}
-    assert sizes[200] < 200 * 40 and sizes[400] < 2.6 * sizes[200]
+    assert sizes[200] < 200 * 100 and sizes[400] < 2.6 * sizes[200]
 
 
 def test_alike_pages_among_unlike_ones_are_found(spark, monkeypatch):
