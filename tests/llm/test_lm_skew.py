@@ -24,7 +24,7 @@ def test_hashes_are_those_of_spark(spark):
         assert lm_score.hash_long(words[:1], np.array([lm_score.SEED], np.uint64)).view(np.int64)[0] == r.w
 
 
-@pytest.mark.parametrize("known,frequent", [(1 << 17, 2048), (3, 2), (1, 1)])
+@pytest.mark.parametrize("known,frequent", [(1 << 18, 2048), (3, 2), (1, 1)])
 def test_frequent_pairs_are_joined_not_gathered(spark, monkeypatch, known, frequent):
     monkeypatch.setattr(lm_score, "KNOWN", known)
     monkeypatch.setattr(lm_score, "FREQUENT", frequent)

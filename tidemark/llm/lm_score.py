@@ -35,13 +35,13 @@ from tidemark.llm.common import settle
 
 BACKOFF = 0.4
 CUTOFF = 2
-KNOWN, FREQUENT = 1 << 17, 2_048
+KNOWN, FREQUENT = 1 << 18, 2_048
 SLICES = 2
 #: Stands before the first word of a text.
 START = b"\x02"
 SEED = 42
-_HELD, _HELD_BYTES, _WIDE = 1 << 19, 1 << 24, 1 << 31
-_AT_ONCE = 1 << 20
+_HELD, _HELD_BYTES, _WIDE = 1 << 20, 1 << 25, 1 << 31
+_AT_ONCE = 1 << 22
 _ROWS = 256
 # The primes of XXH64.
 _P1, _P2, _P3, _P4, _P5 = (
@@ -229,7 +229,7 @@ def counts_of(docs: DataFrame, text: str = "text", cutoff: int = CUTOFF) -> Data
     """(first, second, n): the count of every pair that is seen often enough, by the hashes of its
     words, and of every word, with a null second. The start of a text counts as the word U+0002."""
     counted = docs.select(F.col(text).cast("string")).mapInArrow(_counter, "first long, second long, n long")
-    # pairs of a million words are one row each already: to add up once more before the shuffle is in vain
+    # pairs of four million words are one row each already: to add up once more before the shuffle is in vain
     counted = counted.repartition("first", "second").groupBy("first", "second").agg(F.sum("n").alias("n"))
     return counted.where(F.col("second").isNull() | (F.col("n") >= cutoff))
 
