@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.aggregates import COUNTS, LISTS, MERGED, PARTIALS, Aggregate, check, merge_of, partials_of
-from tidemark.functions.time import as_micros, bucket, bucket_start, floor_div, micros
+from tidemark.functions.time import as_micros, bucket, floor_div, micros
 from tidemark.operators.points import AT, all_present
 
 EPOCH = "_epoch"
