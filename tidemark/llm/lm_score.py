@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import settle
+from tidemark.llm.common import discard, settle
 
 BACKOFF = 0.4
 CUTOFF = 2
@@ -244,7 +244,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     context = docs.sparkSession.sparkContext
     start = int(np.uint64(xxh64_intdigest(START, SEED)).view(np.int64))
     counted = settle(counts_of(docs, text, cutoff), "counts")
-    counts = counted.where("second IS NULL").select(F.col("first").alias("word"), "n")
+    counts = settle(counted.where("second IS NULL").select(F.col("first").alias("word"), "n"), "word-counts")
     words = counts.agg(F.sum(F.when(F.col("word") != start, F.col("n")))).first()[0] or 0
     share = BACKOFF / max(words, 1)
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN)
@@ -253,11 +253,19 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     two = counts.select(F.col("word").alias("second"), F.col("n").alias("n2"))
     gain = F.log(F.col("n") / F.col("n1")) - F.log(F.col("n2") * share)
     kinds = counted.where("second IS NOT NULL")
-    gains = settle(kinds.join(one, "first").join(two, "second").select("first", "second", gain.alias("value")), "gains")
+    frequent = settle(frequent, "frequent-words")
+    by = [F.broadcast(frequent.select(F.col("word").alias(c), F.lit(True).alias(f"{c}_frequent"))) for c in ("first", "second")]
+    found = kinds.join(one, "first").join(two, "second").join(by[0], "first", "left").join(by[1], "second", "left")
+    # the words themselves are only needed of pairs that go to every task
+    both = F.col("first_frequent") & F.col("second_frequent")
+    gains = settle(
+        found.select(F.xxhash64("first", "second").alias("what"), gain.alias("value"), *[F.when(both, F.col(c)).alias(c) for c in ("first", "second")]),
+        "gains",
+    )
+    discard(counted)
 
     listed = top.toArrow()
-    by = F.broadcast(frequent)
-    held = gains.join(by.withColumnRenamed("word", "first"), "first", "left_semi").join(by.withColumnRenamed("word", "second"), "second", "left_semi").toArrow()
+    held = gains.where("first IS NOT NULL").select("first", "second", "value").toArrow()
     numbers = lambda table, name: table.column(name).to_numpy()
     known = Known(
         numbers(listed, "word").view(np.uint64),
@@ -269,7 +277,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     shared = context.broadcast(known)
 
     rare = counts.join(F.broadcast(top.select("word")), "word", "left_anti")
-    table = gains.select(F.xxhash64("first", "second").alias("what"), "value", F.lit(1).alias("pair")).unionByName(
+    table = gains.select("what", "value", F.lit(1).alias("pair")).unionByName(
         rare.select(F.xxhash64("word").alias("what"), F.log(F.col("n") * share).alias("value"), F.lit(0).alias("pair"))
     )
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
