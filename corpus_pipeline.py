@@ -20,8 +20,8 @@ def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return jaccard.deduplicate(docs)
+    """One document of each group that SimHash or exact similarity links: the one with the smallest id."""
+    return jaccard.deduplicate(docs, by_prints=True)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -66,6 +66,38 @@ def test_stage_drops_what_fingerprints_miss(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
 
 
+def test_stage_drops_what_only_fingerprints_link(spark):
+    """Texts that repeat the same words and end differently: near by SimHash, not by different shingles."""
+    import corpus_pipeline
+
+    rng, rows = random.Random(6), []
+    for k in range(6):
+        base = [f"w{rng.randrange(3000)}" for _ in range(31)]
+        for i in range(3):
+            words = base * 80 + [f"x{rng.randrange(10**6)}" for _ in range(12)]
+            rows.append((3 * k + i, " ".join(words), "en", "a", 1))
+    # the first of the next pair is alike to the second by shingles, so both kinds of links make one group
+    words = rows[1][1].split()
+    rows.append((100, " ".join(words[:31] + words[-43:]), "en", "a", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert jaccard.deduplicate(docs).count() == 18
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = plain.near_duplicates([r[:2] for r in rows])
+    assert len({c for _, _, c in want}) == 7
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 3, 6, 9, 12, 15]
+
+
+@pytest.mark.parametrize("drop", [jaccard.deduplicate, simhash.deduplicate])
+def test_a_key_of_several_texts_stays_in_each_group(spark, drop):
+    words = [[f"{c}{i}" for i in range(40)] for c in "abc"]
+    one, two, three = map(" ".join, words)
+    rows = [(1, one), (5, one), (5, two), (7, two), (8, three), (8, one + " end"), (8, three), (1, three)]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)
+    got = sorted((r["doc_id"], r["text"]) for r in drop(docs).collect())
+    assert got[:3] == [(1, one), (1, three), (5, two)] and len(got) == (3 if drop is jaccard.deduplicate else len(got))
+
+
 def test_awkward_rows(spark):
     rows = [(1, "x y z"), (1, "x y z"), (None, "x y z"), (None, None), (2, "X  y\nz"), (3, None), (4, ""), (5, " \n")]
     docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)

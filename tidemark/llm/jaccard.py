@@ -35,7 +35,7 @@ from xxhash import xxh64_digest, xxh64_intdigest
 
 from tidemark.llm.common import settle
 from tidemark.llm.components import components
-from tidemark.llm.simhash import keep_least
+from tidemark.llm.simhash import keep_least, row_links, row_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -202,20 +202,12 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, similarity: float = SIMILARITY, small: int = SMALL
-) -> DataFrame:
-    """(key, component_id) for every row.
+def _grouped(hashed: DataFrame, texts: DataFrame, prints: tuple[DataFrame, DataFrame] | None, width: int, similarity: float, small: int) -> DataFrame:
+    """(node, root) of the nodes that are linked with others.
 
-    The component id is the smallest key that the row reaches over links, itself included. Null and
-    empty texts are alike. Repeated keys keep a row each; a null key counts as no candidate for the
-    smallest one, and a group of null keys only has a null id. An empty table gives an empty result.
+    ``hashed`` has (row, node, n, found) with the bands of each, ``texts`` (row, text). ``prints`` are
+    fingerprints (row, fp) and links (a, b) among them: rows that these link are of one group as well.
     """
-    row = F.xxhash64(F.lit(1), F.col(key).cast("string"), _body(text)).alias("row")
-    hashed = _hashed(docs.select(row, _body(text).alias("text")), width, False)
-    hashed = settle(hashed.dropDuplicates(["row"]), "shingles")
-    rows = settle(docs.select(F.col(key).alias("key"), row).join(hashed.select("row", "node"), "row"), "rows")
-    least = settle(rows.groupBy("node").agg(F.min("key").alias("least")), "nodes")
     nodes = settle(hashed.groupBy("node").agg(F.min("row").alias("row"), F.max("n").alias("n"), F.max("found").alias("found")), "bands")
     exploded = nodes.select(F.explode("found").alias("bucket"), "node", "n")
     print_of = F.xxhash64("node")
@@ -228,19 +220,58 @@ def near_duplicates(
     shared = settle(shared.groupBy("size", "print", "first", "last").agg(F.min("bucket").alias("bucket")).select("bucket"), "buckets")
     members = settle(exploded.join(shared, "bucket"), "shared-buckets")
     met = settle(members.select("node").distinct().join(nodes.select("node", "row"), "node").select("row"), "met")
-    texts = docs.select(row, _body(text).alias("text")).join(met, "row", "left_semi")
-    sets = settle(_hashed(texts, width, True).dropDuplicates(["node"]).select("node", "found"), "sets")
-    roots = components(links(members, sets, similarity, small))
+    sets = settle(_hashed(texts.join(met, "row", "left_semi"), width, True).dropDuplicates(["node"]).select("node", "found"), "sets")
+    found = links(members, sets, similarity, small)
+    return components(found if prints is None else found.unionByName(_print_links(hashed, *prints)))
+
+
+def _print_links(hashed: DataFrame, prints: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b) that tie nodes to their fingerprints, and those to each other; fingerprints are nodes by a hash."""
+    as_node = lambda c: F.xxhash64(F.lit("fingerprint"), c)
+    pairs = settle(prints.join(hashed.select("row", "node"), "row").select("fp", "node").distinct(), "fingerprint-nodes")
+    several = pairs.groupBy("fp").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("fp")
+    matter = settle(several.unionByName(found.select(F.explode(F.array("a", "b")).alias("fp"))).distinct(), "linked-fingerprints")
+    ties = pairs.join(matter, "fp", "left_semi").select("node", as_node("fp").alias("other"))
+    ties = ties.unionByName(found.select(as_node("a").alias("node"), as_node("b").alias("other")))
+    return settle(ties.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")), "fingerprint-links")
+
+
+def _bucketed(docs: DataFrame, key: str, text: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """(row, text) of all rows, and what ``_hashed`` gives for the different ones, with bands."""
+    texts = docs.select(row_of(key, text).alias("row"), _body(text).alias("text"))
+    return texts, settle(_hashed(texts, width, False).dropDuplicates(["row"]), "shingles")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, similarity: float = SIMILARITY, small: int = SMALL
+) -> DataFrame:
+    """(key, component_id) for every row.
+
+    The component id is the smallest key that the row reaches over links, itself included. Null and
+    empty texts are alike. Repeated keys keep a row each; a null key counts as no candidate for the
+    smallest one, and a group of null keys only has a null id. An empty table gives an empty result.
+    """
+    texts, hashed = _bucketed(docs, key, text, width)
+    rows = settle(docs.select(F.col(key).alias("key"), row_of(key, text).alias("row")).join(hashed.select("row", "node"), "row"), "rows")
+    least = settle(rows.groupBy("node").agg(F.min("key").alias("least")), "nodes")
+    roots = _grouped(hashed, texts, None, width, similarity, small)
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = settle(named.join(group, "root").select("node", "component_id"), "groups")
     return rows.join(named, "node").select(F.col("key").alias(key), "component_id")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, similarity: float = SIMILARITY, by_prints: bool = False
+) -> DataFrame:
     """The documents that stay: of each group the one with the smallest key, columns unchanged.
 
-    Of rows that repeat that key, the first by text and then by the other columns stays. Rows
+    With ``by_prints`` the links of SimHash fingerprints count too, and groups go by either kind. Of
+    rows of a group that repeat that key, the first by text and then by the other columns stays. Rows
     without a key cannot be told apart and all stay.
     """
-    return keep_least(docs, near_duplicates(docs, key, text, width, similarity), key, text)
+    prints = row_links(docs, key, text) if by_prints else None
+    texts, hashed = _bucketed(docs, key, text, width)
+    roots = _grouped(hashed, texts, prints, width, similarity, SMALL)
+    groups = hashed.select("row", "node").join(roots, "node", "left").select("row", F.coalesce("root", "node").alias("group"))
+    return keep_least(docs, settle(groups, "groups"), key, text)

@@ -191,20 +191,45 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     )
 
 
-def keep_least(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose key is the component id of their group in ``found``, one row for each."""
-    stays = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
+def row_of(key: str, text: str) -> Column:
+    """What tells the rows of a table apart: a hash of key and text, as a key may stand at several texts."""
+    return F.xxhash64(F.lit(1), F.col(key).cast("string"), F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def row_links(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """(row, fp) of the different rows, and the links (a, b) among their fingerprints."""
+    texts = docs.select(row_of(key, text).alias("row"), F.col(text).alias("text"))
+    rows = settle(fingerprints(texts, "row", "text", width).withColumnRenamed("key", "row").dropDuplicates(["row"]), "fingerprints")
+    prints = settle(rows.select("fp").distinct(), "prints")
+    return rows, settle(links(prints), "links")
+
+
+def keep_least(docs: DataFrame, groups: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each group the document with the smallest key, columns unchanged.
+
+    ``groups`` has (row, group) with the group of every different ``row_of`` the documents. Of rows
+    of a group that repeat its smallest key, the first by text and then by the other columns stays.
+    """
+    row, group, first = fresh(docs, "row", "group", "first")
+    narrow = docs.where(F.col(key).isNotNull()).select(row_of(key, text).alias("row"), F.col(key).alias("key"))
+    named = narrow.distinct().join(groups, "row")
+    least = named.groupBy("group").agg(F.min("key").alias("key"))
+    # a key that stands in several groups stays in those where it is the smallest
+    stays = named.join(least, ["group", "key"]).select(F.col("row").alias(row), F.col("group").alias(group))
     rest = [text, *(c for c in docs.columns if c not in (key, text))]
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
-    (mark,) = fresh(docs, "first")
-    kept = docs.join(stays, key, "left_semi").withColumn(mark, first).where(F.col(mark) == 1)
+    order = F.row_number().over(Window.partitionBy(group).orderBy(*rest))
+    kept = docs.where(F.col(key).isNotNull()).withColumn(row, row_of(key, text)).join(stays, row)
+    kept = kept.withColumn(first, order).where(F.col(first) == 1)
     return kept.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay: of each group the one with the smallest key, columns unchanged.
 
-    Of rows that repeat that key, the first by text and then by the other columns stays. Rows
-    without a key cannot be told apart and all stay.
+    Of rows of a group that repeat that key, the first by text and then by the other columns stays.
+    Rows without a key cannot be told apart and all stay.
     """
-    return keep_least(docs, near_duplicates(docs, key, text), key, text)
+    rows, found = row_links(docs, key, text)
+    roots = components(found).withColumnRenamed("node", "fp")
+    groups = rows.join(roots, "fp", "left").select("row", F.coalesce("root", "fp").alias("group"))
+    return keep_least(docs, settle(groups, "groups"), key, text)
