@@ -301,3 +301,16 @@ def test_factorisation_in_linear_time_equals_all_pairs():
     pairs = sum(float(v[i] @ v[j]) * values[i] * values[j] for i in range(20) for j in range(i + 1, 20))
     want = 0.3 + float(model.weights[slots] @ values) + pairs
     assert abs(model.margins(slots, values, np.array([0]))[0] - want) < 1e-3
+
+
+def test_words_are_found_once_for_the_hits(spark, docs, items):
+    """An inner explode made Spark find all words and hash all windows in a filter, and then again."""
+    plan = decontam.hits(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert plan.count("xxhash64(10") <= 1
+
+
+def test_words_are_those_of_the_negated_class(spark):
+    chars = spark.range(0, 0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    for word, other in ((decontam.WORD, "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), (decontam.RAW_WORD, "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")):
+        assert chars.where(F.col("c").rlike(word) != F.col("c").rlike(other)).count() == 0

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ascii_lower, let, settle
 
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``, by what it holds: Java takes several times as long for the other.
+WORD = "[a-z0-9\\x80-\\x{10FFFF}]+"
 #: The same words before lower-casing.
-RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+RAW_WORD = "[a-zA-Z0-9\\x80-\\x{10FFFF}]+"
 WINDOW = 10
 BLOCK = 200_000
 
@@ -29,15 +30,9 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def _window_hashes(words: Column, length: int) -> Column:
-    """One hash per window of so many words; none if there are fewer words."""
-
-    def one(i: Column) -> Column:
-        return F.xxhash64(F.lit(length), *[F.get(words, i + k) for k in range(length)])
-
-    count = F.size(words) - length + 1
-    places = F.when(count > 0, F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1))
-    return F.transform(F.coalesce(places, F.array().cast("array<int>")), one)
+def _window_hash(words: Column, place: Column, length: int) -> Column:
+    """The hash of the window of so many words at a place; one that runs over the end equals no other."""
+    return F.xxhash64(F.lit(length), *[F.get(words, place + k) for k in range(length)])
 
 
 def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -86,26 +81,17 @@ def hits(
     sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.count("*").alias("n")).collect()}
     blocks = max(1, -(-sum(sizes.values()) // block))
     words = _keyed(docs, key, text).select("doc", "body", words_of(F.col("text")).alias("words"))
-    lengths = sorted(sizes)
-    hashes = [lambda w, n=n: _window_hashes(w, n) for n in lengths]
-    hashed = words.withColumn(
-        "hashes",
-        let(F.col("words"), lambda w: F.concat(*[h(w) for h in hashes]))
-        if lengths
-        else F.array().cast("array<bigint>"),
-    )
-    windows = hashed.select("doc", "body", "words", F.posexplode("hashes").alias("place", "hash"))
-    before = F.lit(0)
-    start = F.col("place")
-    for n in lengths:
-        start = F.when(F.col("length") == n, F.col("place") - before).otherwise(start)
-        before = before + F.greatest(F.size("words") - n + 1, F.lit(0))
+    # outer: before an inner explode Spark asks for the size of the array, and so finds all words twice
+    places = words.select("doc", "body", "words", F.posexplode_outer("words").alias("start", "word"))
+    hashes = [_window_hash(F.col("words"), F.col("start"), n) for n in sorted(sizes)] or [F.lit(0).cast("long")]
+    one_hash = hashes[0] if len(hashes) == 1 else F.explode_outer(F.array(*hashes))
+    windows = places.select("doc", "body", "words", "start", one_hash.alias("hash"))
     found = None
     for b in range(blocks):
-        part = F.broadcast(grams.where(F.pmod("hash", F.lit(blocks)) == b))
+        # not by ``hash``: Spark would test it on every window of the documents too, and hash each twice
+        part = grams.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == b) if blocks > 1 else grams
         one = (
-            windows.join(part, "hash")
-            .withColumn("start", start)
+            windows.join(F.broadcast(part), "hash")
             .where(F.slice("words", F.col("start") + 1, F.col("length")) == F.col("gram"))
             .select("doc", "body", F.struct("start", (F.col("start") + F.col("length")).alias("end")).alias("span"), "items")
         )
