@@ -43,3 +43,29 @@ def test_frequent_pairs_are_joined_not_gathered(spark, monkeypatch, known, frequ
         assert got[k]["mean_log_score"] is None if not w else abs(got[k]["mean_log_score"] - sum(logs) / len(w)) < 1e-5
     # no Python group gathers what one pair or document has
     assert "GroupsInArrow" not in result._jdf.queryExecution().toString()
+
+
+def test_blocks_copy_only_new_words():
+    """All that was known of a task's words was copied with every block of texts."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import lm_score
+
+    known = lm_score.Known(*(np.zeros(0, kind) for kind in (np.uint64, float, np.uint64, np.uint64, float)))
+    words, held = lm_score.Words(known), []
+    for k in range(200):
+        words.block([" ".join(f"w{k}x{i}" for i in range(100))])
+        if not any(words.hashes is h for h in held):
+            held.append(words.hashes)
+    assert len(held) < 10 and words.n == 20_001
+    texts = [" ".join(f"w{(k * i) % 700}" for i in range(50)) for k in range(1_000)] + ["", None]
+    rows = [r for b in lm_score._counter(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])) for r in b.to_pylist()]
+    lists = [(t or "").split() for t in texts]
+    assert sum(r["n"] for r in rows if r["second"] is None) == sum(map(len, lists)) + 1_000
+    singles = sorted(r["n"] for r in rows if r["second"] is None)
+    counts: dict = {}
+    for word in [w for x in lists for w in x] + ["\x02"] * 1_000:
+        counts[word] = counts.get(word, 0) + 1
+    assert singles == sorted(counts.values())
+    assert sum(r["n"] for r in rows if r["second"] is not None) == sum(map(len, lists))

@@ -43,6 +43,7 @@ SEED = 42
 _HELD, _HELD_BYTES, _WIDE = 1 << 20, 1 << 25, 1 << 31
 _AT_ONCE = 1 << 22
 _ROWS = 256
+_ROOM = 1 << 12
 # The primes of XXH64.
 _P1, _P2, _P3, _P4, _P5 = (
     np.uint64(p)
@@ -73,7 +74,8 @@ class Words(dict):
 
     A word's number gives its hash, Spark's ``xxhash64(word)``, and with ``known`` the logarithm of
     what it scores and its place among the most frequent words. Number 0 is the start of a text.
-    Numbers hold for one block of texts: when there are too many, all are given anew.
+    Numbers hold for one block of texts: when there are too many, all are given anew. The arrays
+    have room for more words than the ``n`` there are, so a block copies only what is new.
     """
 
     def __init__(self, known: Known | None = None):
@@ -89,16 +91,25 @@ class Words(dict):
         self.clear()
         self.size = 0
         self.fresh: list[int] = []
-        self.hashes = np.zeros(0, np.uint64)
-        self.logs, self.ranks = np.zeros(0), np.zeros(0, np.int64)
+        self.n = 0
+        self.hashes = np.zeros(_ROOM, np.uint64)
+        self.logs, self.ranks = np.zeros(_ROOM), np.zeros(_ROOM, np.int64)
         self[START]  # noqa: B018  its number
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.hashes) + len(self.fresh)
+        self[word] = number = self.n + len(self.fresh)
         self.fresh.append(xxh64_intdigest(word, SEED))
         self.size += len(word)
         return number
 
+    def _with(self, held: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """The array with values for new words; twice as long when it has no room for them."""
+        until = self.n + len(new)
+        if until > len(held):
+            held = np.concatenate([held[: self.n], np.zeros(2 * until - self.n, held.dtype)])
+        held[self.n : until] = new
+        return held
+
     def block(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: the number of each word, of the word before it, and its text's place."""
         if self.full:
@@ -111,10 +122,11 @@ class Words(dict):
         if self.fresh:
             new = np.array(self.fresh, np.uint64)
             self.fresh = []
-            self.hashes = np.concatenate([self.hashes, new])
+            self.hashes = self._with(self.hashes, new)
             if self.known is not None:
                 logs, ranks = self.known.of(new)
-                self.logs, self.ranks = np.concatenate([self.logs, logs]), np.concatenate([self.ranks, ranks])
+                self.logs, self.ranks = self._with(self.logs, logs), self._with(self.ranks, ranks)
+            self.n += len(new)
         return ids, before, np.repeat(np.arange(len(texts)), lengths)
 
 
@@ -149,30 +161,32 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(first, second, n): how often each pair occurs, and with a null second each word."""
-    words, counts, held, size = Words(), np.zeros(0, np.int64), [], 0
+    words, counts, held, size, starts = Words(), np.zeros(0, np.int64), [], 0, 0
 
     def pairs() -> pa.RecordBatch:
+        nonlocal counts
         found, n = np.unique(np.concatenate(held), return_counts=True)
-        first, second = words.hashes[found // _WIDE], words.hashes[found % _WIDE]
-        return pa.RecordBatch.from_arrays([_signed(first), _signed(second), pa.array(n)], names=["first", "second", "n"])
+        first, second = found // _WIDE, found % _WIDE
+        more = np.bincount(second, n, words.n).astype(np.int64)
+        more[: len(counts)] += counts
+        counts = more
+        return pa.RecordBatch.from_arrays([_signed(words.hashes[first]), _signed(words.hashes[second]), pa.array(n)], names=["first", "second", "n"])
 
     def singles() -> pa.RecordBatch:
-        some = counts > 0
-        return pa.RecordBatch.from_arrays([_signed(words.hashes[some]), pa.nulls(some.sum(), pa.int64()), pa.array(counts[some])], names=["first", "second", "n"])
+        counts[0] += starts
+        some = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([_signed(words.hashes[some]), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], names=["first", "second", "n"])
 
     for _, texts in _blocks(batches, 0):
         if held and (size >= _AT_ONCE or words.full):
             yield pairs()
             held, size = [], 0
-        if words.full:
+        if words.full and len(counts):
             yield singles()
-            counts = np.zeros(0, np.int64)
+            counts, starts = np.zeros(0, np.int64), 0
         ids, before, of = words.block(texts)
         if len(ids):
-            more = np.bincount(ids, minlength=len(words.hashes))
-            more[: len(counts)] += counts
-            counts = more
-            counts[0] += 1 + (of[1:] != of[:-1]).sum()
+            starts += 1 + (of[1:] != of[:-1]).sum()
             held.append(before * _WIDE + ids)
             size += len(ids)
     if held:
