@@ -118,3 +118,14 @@ def test_exchanges_of_each_kind_empty_a_bin():
     assert len(packing.exchange([[0], [1], [2, 3]], lengths, 1024)) == 2
     lengths = [500, 400, 524, 500, 100, 24]  # only an exchange makes room
     assert len(packing.exchange([[0, 1, 4], [2, 3], [5]], lengths, 1024)) == 2
+
+
+def test_plain_words_are_merged_without_a_split():
+    """The split was looked for again in chunks that are one word."""
+    from tidemark.llm import packing
+
+    words = packing.Encoder(packing.default_path())
+    texts = ["plain Words only", " and more of THEM", "don", "x" * 39, "y" * 500, " a" * 50]
+    want = [np.array(words.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    words.ranks = words.library = object()
+    assert [words.encode(t) for t in texts] == want

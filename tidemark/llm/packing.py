@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,12 +36,15 @@ CAPACITY = 1024
 END = 2
 #: Pieces that one task packs, on average.
 GROUP = 8_192
-_KNOWN = 1 << 18
+_KNOWN = 1 << 19
 _LONGEST_KNOWN = 40
 _ROWS = 4_096
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Where the split of the tokenizer always has a border: around ASCII words and before spaces.
 _CHUNK = re.compile(f" ?[A-Za-z]++(?![^\x00-\x7f])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: What the split leaves whole: there is nothing to look for before merging.
+_WHOLE = re.compile(" ?[A-Za-z]+")
+_FORMATS = [struct.Struct(f"<{n}I") for n in range(_LONGEST_KNOWN + 1)]
 #: Letters, marks and digits up to here are told apart alike by both libraries.
 _COMMON = re.compile("[\x00-\u024f]*")
 
@@ -74,31 +78,35 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             facts = json.load(f)
         self.special = [t["content"] for t in facts["added_tokens"]]
-        self.ranks = self._ranks(facts)
+        self.ranks, self.merges = self._ranks(facts)
         self.known = lru_cache(_KNOWN)(self._merged)
 
     @staticmethod
-    def _ranks(facts: dict) -> tiktoken.Encoding | None:
+    def _ranks(facts: dict) -> tuple[tiktoken.Encoding | None, tiktoken.Encoding | None]:
+        """The merges behind the split of the file, and the same merges for texts that it leaves whole."""
         split, model = facts["pre_tokenizer"] or {}, facts["model"]
         plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         rest = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
         if facts["normalizer"] or not plain or model["type"] != "BPE" or any(model.get(r) for r in rest):
-            return None
+            return None, None
         byte, special = _byte_of_letter(), {t["content"] for t in facts["added_tokens"]}
         ranks = {bytes(map(byte.__getitem__, t)): i for t, i in model["vocab"].items() if t not in special}
         made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         if made != sorted(made):  # ids are then no ranks
-            return None
+            return None, None
         import public_tokenizers
 
-        return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        made = [tiktoken.Encoding("pieces", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (public_tokenizers.PATTERN, "(?s).+")]
+        return made[0], made[1]
 
     def _merged(self, chunk: str) -> bytes:
-        if _COMMON.fullmatch(chunk):
+        if _WHOLE.fullmatch(chunk):
+            ids = self.merges.encode_ordinary(chunk)
+        elif _COMMON.fullmatch(chunk):
             ids = self.ranks.encode_ordinary(chunk)
         else:
             ids = self.library.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return _FORMATS[len(ids)].pack(*ids) if len(ids) < len(_FORMATS) else np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
