@@ -314,3 +314,18 @@ def test_words_are_those_of_the_negated_class(spark):
     chars = spark.range(0, 0x110000).where("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
     for word, other in ((decontam.WORD, "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), (decontam.RAW_WORD, "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")):
         assert chars.where(F.col("c").rlike(word) != F.col("c").rlike(other)).count() == 0
+
+
+def test_latin_pieces_need_no_library():
+    """Every chunk beyond ASCII went to the tokenizers library to be evened out and split."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    library, words = Tokenizer.from_file(bpe.default_path()), bpe.Vocabulary(bpe.default_path())
+    rng, letters = random.Random(2), [chr(c) for c in range(0x20, 0x100) if not 0x7F <= c < 0xA0] + ["'s", "'ll"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(2_000)]
+    texts += [x for c in range(0x100) for x in (chr(c), f"É{chr(c)}ß", f"1{chr(c)}²")]
+    want = [bpe._packed(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    words.library = None
+    assert [words.encode(t) for t in texts] == want

@@ -32,9 +32,12 @@ from tidemark.llm.common import kind_of
 END = "￿"
 NEVER = 1 << 60
 _KNOWN = 200_000
+_KNOWN_CHUNKS = 600_000
 _LONGEST_KNOWN = 64
 _ROWS = 256
+_FORMATS = [struct.Struct(f"<{n}I") for n in range(_LONGEST_KNOWN + 2)]
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_LATIN = re.compile("[\x00-\xff]*")
 
 
 def default_path() -> str:
@@ -52,7 +55,7 @@ def _byte_letters() -> dict[int, str]:
 
 def _packed(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _FORMATS[len(ids)].pack(*ids) if len(ids) < len(_FORMATS) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Memory(dict):
@@ -62,9 +65,9 @@ class _Memory(dict):
     strings are not kept.
     """
 
-    def __init__(self, work):
+    def __init__(self, work, known: int = _KNOWN):
         super().__init__()
-        self.work, self.older = work, {}
+        self.work, self.known, self.older = work, known, {}
 
     def __missing__(self, key):
         found = self.older.get(key)
@@ -72,7 +75,7 @@ class _Memory(dict):
             found = self.work(key)
             if isinstance(key, str) and len(key) > _LONGEST_KNOWN:
                 return found
-        if len(self) >= _KNOWN:
+        if len(self) >= self.known:
             self.older = dict(self)
             self.clear()
         self[key] = found
@@ -91,6 +94,7 @@ class Vocabulary:
         special = self.library.get_added_tokens_decoder()
         self.special = {t.content: i for i, t in special.items()}
         self.token_of = {i: t for t, i in ids.items()} | {i: t.content for i, t in special.items()}
+        self.tokens = [self.token_of.get(i) for i in range(max(self.token_of) + 1)]
         self.parts: dict[int, tuple[int, int]] = {}
         self.rank_of: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], int] = {}
@@ -106,11 +110,14 @@ class Vocabulary:
                 self.whole[shape] = i
                 self.automaton.add_word(shape, (len(shape), i))
         self.automaton.make_automaton()
+        self.edges: tuple[dict, dict] = {}, {}
         self.tested = _Memory(lambda pair: self.compatible(pair >> 20, pair & (1 << 20) - 1))
         self.words = _Memory(self.encode_word)
-        self.chunks = _Memory(self.encode_chunk)
+        self.chunks = _Memory(self.encode_chunk, _KNOWN_CHUNKS)
         self.letters = _byte_letters()
-        self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+        self.by_byte = {b: letter for b, letter in self.letters.items() if letter != chr(b)}
+        # letters and numbers up to U+00FF, where nothing has to be composed
+        self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+")
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def _edge(self, token: int, side: int, used_up: int) -> list[tuple[int, int]]:
@@ -137,9 +144,22 @@ class Vocabulary:
         left, right = self.parts[token]
         return not self._crossed(left, right, self.rank_of[token]) and self.reachable(left) and self.reachable(right)
 
+    def _whole_edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The edge of a token that is never used up."""
+        edge = self.edges[side].get(token)
+        if edge is None:
+            edge = self.edges[side][token] = self._edge(token, side, NEVER)
+        return edge
+
     def compatible(self, first: int, second: int) -> bool:
         """Whether merging never crosses the border between two tokens."""
-        return not self._crossed(first, second, NEVER)
+        pairs, right = self.pairs, self._whole_edge(second, 0)
+        for x, x_gone in self._whole_edge(first, 1):
+            for y, y_gone in right:
+                rank = pairs.get((x, y))
+                if rank is not None and rank < x_gone and rank <= y_gone:
+                    return False
+        return True
 
     def encode_word(self, word: str) -> bytes:
         """Packed ids of one word, given in byte letters."""
@@ -147,28 +167,34 @@ class Vocabulary:
         whole = self.whole.get(shape)
         if whole is not None:
             return _packed([whole])
-        last: list[int | None] = [None] * (len(shape) + 1)
-        back = [0] * (len(shape) + 1)
-        last[0] = -1
+        # the last token of each prefix, or -1, and where it starts
+        last, back = [-1] * (len(shape) + 1), [0] * (len(shape) + 1)
         tested = self.tested
         for at, (length, token) in self.automaton.iter(shape):
-            if last[at + 1] is None:
-                start = at + 1 - length
-                before = last[start]
-                if before is not None and (start == 0 or tested[before << 20 | token]):
-                    last[at + 1], back[at + 1] = token, start
+            at += 1
+            if last[at] < 0:
+                start = at - length
+                if start:
+                    before = last[start]
+                    if before < 0 or not tested[before << 20 | token]:
+                        continue
+                last[at], back[at] = token, start
         out, at = [], len(shape)
         while at:
             out.append(last[at])
             at = back[at]
-        return _packed(out[::-1])
+        out.reverse()
+        return _packed(out)
 
     def _encode_piece(self, piece: str) -> bytes:
         """Packed ids of a piece without special tokens."""
         if piece.isascii():
-            words = self.plain.findall(piece.lower())
+            lowered = piece.lower()
+            words = [lowered] if lowered.isalpha() else self.plain.findall(lowered)
             if not piece.isprintable():
                 words = ["".join(self.letters[b] for b in w.encode()) for w in words]
+        elif _LATIN.fullmatch(piece):
+            words = [w.encode().decode("latin-1").translate(self.by_byte) for w in self.plain.findall(piece.lower())]
         else:
             normal = self.library.normalizer.normalize_str(piece)
             words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
@@ -193,7 +219,7 @@ class Vocabulary:
 
     def decode(self, packed: bytes) -> str:
         """The tokens of the ids with a space between them: the file names no decoder."""
-        return " ".join(map(self.token_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 @lru_cache(maxsize=2)
