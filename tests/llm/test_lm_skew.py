@@ -69,3 +69,55 @@ def test_blocks_copy_only_new_words():
         counts[word] = counts.get(word, 0) + 1
     assert singles == sorted(counts.values())
     assert sum(r["n"] for r in rows if r["second"] is not None) == sum(map(len, lists))
+
+
+def test_words_are_hashed_all_at_once(monkeypatch):
+    """Python looked at every word of every text; now only at those of 32 bytes and more."""
+    import random
+
+    import pyarrow as pa
+    from xxhash import xxh64_intdigest
+
+    rng, called = random.Random(3), []
+    texts = ["".join(rng.choice("aAbZ\u00c9\u20ac\U0001f600\x00\x1c\x85\xa0 \t\n\x0b\x0c\r") for _ in range(rng.randrange(90))) for _ in range(400)]
+    texts += [None, "", " ", "\x02 \x02", " ".join("w" * k for k in range(1, 70))]
+    lists = [(t or "").encode().lower().split() for t in texts]
+    monkeypatch.setattr(lm_score, "xxh64_intdigest", lambda word, seed: called.append(word) or xxh64_intdigest(word, seed))
+    words = lm_score.Words()
+    for _ in range(2):
+        ids, before, of = words.block(texts)
+        assert words.hashes[ids].tolist() == [xxh64_intdigest(w, lm_score.SEED) for x in lists for w in x]
+        assert words.hashes[before].tolist() == [xxh64_intdigest(w, lm_score.SEED) for x in lists for w in [b"\x02", *x][: len(x)]]
+        assert of.tolist() == [k for k, x in enumerate(lists) for _ in x]
+    assert words.n == len({w for x in lists for w in x} | {b"\x02"})
+    assert all(len(w) >= 32 for w in called if w != lm_score.START)
+    assert lm_score.hash_words(pa.array(["skip", "one", "", "two"]).slice(1, 2)).tolist() == [xxh64_intdigest(b"one", 42), xxh64_intdigest(b"", 42)]
+
+
+def test_numbers_stay_when_the_places_grow():
+    words = lm_score.Words()
+    first = words.block([" ".join(f"a{k}" for k in range(5_000))])[0]
+    words.block([" ".join(f"b{k}" for k in range(40_000))])
+    assert words.block([" ".join(f"a{k}" for k in range(5_000))])[0].tolist() == first.tolist()
+    assert len(words.places) >= 2 * words.n and words.n == 45_001
+
+
+@pytest.mark.parametrize("block,held", [(1 << 22, 1 << 20), (64, 20), (1, 1)])
+def test_each_text_is_split_once_for_its_joins(monkeypatch, block, held):
+    """Every text was split again for each part of the joins; now all it looks up leaves in one pass."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm_score, "_BLOCK", block, raising=False)
+    monkeypatch.setattr(lm_score, "_HELD", held)
+    texts = [" ".join(f"w{(k * i) % 37}" for i in range(k)) for k in range(30)] + [""]
+
+    class Shared:
+        value = lm_score.Known(*(np.zeros(0, kind) for kind in (np.uint64, float, np.uint64, np.uint64, float)))
+
+    ids = pa.array(range(len(texts)), pa.int64())
+    rows = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["r1", "r2", "text"])
+    found = [r for b in lm_score._looked_up(Shared)(iter([rows])) for r in b.to_pylist()]
+    for k, text in enumerate(texts):
+        n = len(text.split())
+        # a row for each pair and each word, and one of the text
+        assert sorted(r["n"] for r in found if r["r1"] == k) == [0] * 2 * n + [n + 1]

@@ -11,9 +11,10 @@ no row there needs none.
 
 Words of the largest counts, ``KNOWN`` of them, and the seen pairs of the ``FREQUENT`` most frequent
 ones go to every task: their number is bounded whatever the input. What they score is summed where
-the text is read. All else is joined: the rows of a text that are left travel as one hash each, in
-``SLICES`` parts by that hash, so that the files of one part's shuffle are gone before the next. No
-word or pair that is left is frequent, so no task of the join has much more to do than others.
+the text is read. All else is joined: the rows of a text that are left travel as one hash each. The
+texts are joined in ``SLICES`` parts, each text in one, so that it is split once for all its joins and
+the files of one part's shuffle are gone before the next. No word or pair that is left is frequent, so
+no task of the join has much more to do than others.
 
 Hashes have 64 bits. Among 10^12 different pairs in the table, a pair that is not there finds the row
 of another one in 20 million times.
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -36,13 +37,14 @@ from tidemark.llm.common import discard, settle
 BACKOFF = 0.4
 CUTOFF = 2
 KNOWN, FREQUENT = 1 << 18, 2_048
-SLICES = 2
+SLICES = 3
 #: Stands before the first word of a text.
 START = b"\x02"
 SEED = 42
-_HELD, _HELD_BYTES, _WIDE = 1 << 20, 1 << 25, 1 << 31
+_HELD, _WIDE = 1 << 20, 1 << 31
 _AT_ONCE = 1 << 22
-_ROWS = 256
+#: Bytes of text in one block of texts.
+_BLOCK = 1 << 22
 _ROOM = 1 << 12
 # The primes of XXH64.
 _P1, _P2, _P3, _P4, _P5 = (
@@ -69,65 +71,128 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return hash_long(second, hash_long(first, np.full(len(first), SEED, np.uint64)))
 
 
-class Words(dict):
-    """Numbers for the words that a task meets, and what is known of each, by its number.
+def hash_words(words: pa.Array) -> np.ndarray:
+    """XXH64 of every word, as Spark hashes a string: the same step of all words at once."""
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    starts, lengths = at[:-1] - at[0], np.diff(at)
+    # room for a read of eight bytes that begins in the last word
+    held = np.zeros(at[-1] - at[0] + 8, np.uint8)
+    if at[-1] > at[0]:
+        held[:-8] = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    eight, four = (np.lib.stride_tricks.sliding_window_view(held, n) for n in (8, 4))
+    h = np.uint64(SEED) + _P5 + lengths.astype(np.uint64)
+    for done in (0, 8, 16):
+        some = np.flatnonzero(lengths >= done + 8)
+        read = eight[starts[some] + done].view("<u8").ravel()
+        h[some] = _turned(h[some] ^ (_turned(read * _P2, 31) * _P1), 27) * _P1 + _P4
+    some = np.flatnonzero(lengths & 4)
+    read = four[starts[some] + (lengths[some] & ~7)].view("<u4").ravel().astype(np.uint64)
+    h[some] = _turned(h[some] ^ (read * _P1), 23) * _P2 + _P3
+    for k in range(3):
+        some = np.flatnonzero((lengths & 3) > k)
+        read = held[starts[some] + (lengths[some] & ~3) + k].astype(np.uint64)
+        h[some] = _turned(h[some] ^ (read * _P5), 11) * _P1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    h ^= h >> np.uint64(32)
+    long = np.flatnonzero(lengths >= 32)
+    h[long] = [xxh64_intdigest(w, SEED) for w in words.take(pa.array(long)).to_pylist()]
+    return h
+
+
+class Words:
+    """Numbers for the words that a task meets, by their hashes, and what is known of each, by its number.
 
     A word's number gives its hash, Spark's ``xxhash64(word)``, and with ``known`` the logarithm of
     what it scores and its place among the most frequent words. Number 0 is the start of a text.
+    Arrow splits a block of texts and finds its different words; only those are hashed and numbered.
     Numbers hold for one block of texts: when there are too many, all are given anew. The arrays
     have room for more words than the ``n`` there are, so a block copies only what is new.
     """
 
     def __init__(self, known: Known | None = None):
-        super().__init__()
         self.known = known
         self.renew()
 
     @property
     def full(self) -> bool:
-        return len(self) > _HELD or self.size > _HELD_BYTES
+        return self.n > _HELD
 
     def renew(self) -> None:
-        self.clear()
-        self.size = 0
-        self.fresh: list[int] = []
         self.n = 0
         self.hashes = np.zeros(_ROOM, np.uint64)
         self.logs, self.ranks = np.zeros(_ROOM), np.zeros(_ROOM, np.int64)
-        self[START]  # noqa: B018  its number
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = self.n + len(self.fresh)
-        self.fresh.append(xxh64_intdigest(word, SEED))
-        self.size += len(word)
-        return number
-
-    def _with(self, held: np.ndarray, new: np.ndarray) -> np.ndarray:
+        # the number of a word stands in the place that its hash begins with, or in the next free one
+        self.places = np.full(4 * _ROOM, -1)
+        self._numbers(np.array([xxh64_intdigest(START, SEED)], np.uint64))
+
+    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, all at once place by place; words that are new get the next ones."""
+        if 2 * (self.n + len(hashes)) > len(self.places):
+            held, self.n = self.hashes[: self.n].copy(), 0
+            self.places = np.full(4 << (len(held) + len(hashes)).bit_length(), -1)
+            # all keep the numbers they had
+            had = np.argsort(self._placed(held))
+            self.hashes[: self.n], taken = held, self.places >= 0
+            self.places[taken] = had[self.places[taken]]
+        begun, numbers = self.n, self._placed(hashes)
+        if self.known is not None and self.n > begun:
+            logs, ranks = self.known.of(self.hashes[begun : self.n])
+            self.logs, self.ranks = self._with(self.logs, begun, logs), self._with(self.ranks, begun, ranks)
+        return numbers
+
+    def _placed(self, hashes: np.ndarray) -> np.ndarray:
+        numbers, left = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+        place = (hashes >> np.uint64(65 - len(self.places).bit_length())).astype(np.int64)
+        while len(left):
+            there = self.places[place[left]]
+            # of the new words that meet in a free place one gets it, the others look there again
+            new = left[there < 0]
+            self.places[place[new]] = new
+            new = new[self.places[place[new]] == new]
+            self.places[place[new]] = self.n + np.arange(len(new))
+            self.hashes = self._with(self.hashes, self.n, hashes[new])
+            self.n += len(new)
+            there = self.places[place[left]]
+            same = self.hashes[there] == hashes[left]
+            numbers[left[same]] = there[same]
+            left = left[~same]
+            place[left] = (place[left] + 1) % len(self.places)
+        return numbers
+
+    @staticmethod
+    def _with(held: np.ndarray, begun: int, new: np.ndarray) -> np.ndarray:
         """The array with values for new words; twice as long when it has no room for them."""
-        until = self.n + len(new)
+        until = begun + len(new)
         if until > len(held):
-            held = np.concatenate([held[: self.n], np.zeros(2 * until - self.n, held.dtype)])
-        held[self.n : until] = new
+            held = np.concatenate([held[:begun], np.zeros(2 * until - begun, held.dtype)])
+        held[begun:until] = new
         return held
 
-    def block(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def block(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: the number of each word, of the word before it, and its text's place."""
         if self.full:
             self.renew()
-        words = [(t or "").encode().lower().split() for t in texts]
-        lengths = np.array([len(w) for w in words])
-        ids = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
-        before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
-        before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
-        if self.fresh:
-            new = np.array(self.fresh, np.uint64)
-            self.fresh = []
-            self.hashes = self._with(self.hashes, new)
-            if self.known is not None:
-                logs, ranks = self.known.of(new)
-                self.logs, self.ranks = self._with(self.logs, logs), self._with(self.ranks, ranks)
-            self.n += len(new)
-        return ids, before, np.repeat(np.arange(len(texts)), lengths)
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        of = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        words = split.flatten().dictionary_encode()
+        kinds, at = words.dictionary, words.indices.to_numpy(zero_copy_only=False)
+        # before and after white space at the ends of a text stands an empty word
+        empty = pc.index(kinds, pa.scalar("", kinds.type)).as_py()
+        if empty >= 0:
+            here = at != empty
+            kinds, at, of = pc.filter(kinds, pc.not_equal(kinds, "")), at[here], of[here]
+            at = at - (at > empty)
+        ids = self._numbers(hash_words(kinds))[at]
+        before = np.zeros_like(ids)
+        before[1:] = np.where(of[1:] == of[:-1], ids[:-1], 0)
+        return ids, before, of
 
 
 class Known:
@@ -148,11 +213,16 @@ class Known:
         return np.where(here, self.logs[at], np.nan), np.where(here, self.ranks[at], -1)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The rows in blocks of so much text, or of one row."""
     for batch in batches:
-        for at in range(0, len(batch), _ROWS):
-            rows = batch.slice(at, _ROWS)
-            yield rows, rows.column(column).to_pylist()
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at, read = 0, 0
+        while at < len(batch):
+            until = max(at + 1, int(np.searchsorted(ends, read + _BLOCK, "right")))
+            rows = batch.slice(at, until - at)
+            yield rows, rows.column(column)
+            at, read = until, ends[until - 1]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -195,7 +265,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield singles()
 
 
-def _split(words: Words, texts: list) -> tuple[np.ndarray, ...]:
+def _split(words: Words, texts: pa.Array) -> tuple[np.ndarray, ...]:
     """Of some texts: what of each needs no join (words, sum, pairs), and the hashes to look up with
     the places of their texts."""
     known = words.known
@@ -214,25 +284,21 @@ def _split(words: Words, texts: list) -> tuple[np.ndarray, ...]:
     return *sums, np.concatenate([pairs, single]), np.concatenate([of[~here], of[rare]])
 
 
-def _looked_up(shared, part: int):
-    """Of each text, the hashes of one slice that are to be looked up; in the first slice also a row
-    of its own, with its number of words and one, and the sum and number of pairs that need no join."""
+def _looked_up(shared):
+    """Of each text, the hashes that are to be looked up, and a row of its own, with its number of
+    words and one, and the sum and number of pairs that need no join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(shared.value)
         for rows, texts in _blocks(batches, 2):
             n, known, seen, what, of = _split(words, texts)
-            mine = (what >> np.uint64(32)) % np.uint64(SLICES) == part
-            what, of = what[mine], of[mine]
             order = np.argsort(of, kind="stable")
             what, of, zero = what[order], of[order], np.zeros(len(of), np.int64)
             ids = [rows.column(c).to_numpy() for c in (0, 1)]
-            numbers = [zero, zero.astype(float), zero]
-            if part == 0:
-                # any hash that differs from text to text, so that no task gets all of these rows
-                what = np.concatenate([what, ids[0].view(np.uint64)])
-                of = np.concatenate([of, np.arange(len(texts))])
-                numbers = [np.concatenate(x) for x in zip(numbers, (n + 1, known, seen))]
+            # any hash that differs from text to text, so that no task gets all of these rows
+            what = np.concatenate([what, ids[0].view(np.uint64)])
+            of = np.concatenate([of, np.arange(len(texts))])
+            numbers = [np.concatenate(x) for x in zip([zero, zero.astype(float), zero], (n + 1, known, seen))]
             columns = [*(pa.array(x[of]) for x in ids), _signed(what), *map(pa.array, numbers)]
             yield pa.RecordBatch.from_arrays(columns, names=["r1", "r2", "what", "n", "known", "seen"])
 
@@ -300,9 +366,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
     texts = docs.select(*ids, body.alias("text"))
     sums = []
     for part in range(SLICES):
-        rows = texts.mapInArrow(_looked_up(shared, part), "r1 long, r2 long, what long, n long, known double, seen long")
-        mine = table.where(F.pmod(F.shiftrightunsigned("what", 32), F.lit(SLICES)) == part)
-        found = rows.join(mine.hint("shuffle_hash"), "what", "left").groupBy("r1", "r2")
+        mine = texts.where(F.pmod("r1", F.lit(SLICES)) == part)
+        rows = mine.mapInArrow(_looked_up(shared), "r1 long, r2 long, what long, n long, known double, seen long")
+        found = rows.join(table.hint("shuffle_hash"), "what", "left").groupBy("r1", "r2")
         found = found.agg(
             F.count_if(F.col("n") > 0).alias("copies"),
             F.sum("n").alias("n"),
@@ -311,7 +377,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", cutoff: int
         )
         sums.append(settle(found, "sums"))
     # rows that repeat key and text share their ids, and so their sums
-    whole = reduce(DataFrame.unionByName, sums).groupBy("r1", "r2").agg(*[F.sum(c).alias(c) for c in ("copies", "n", "pairs", "value")])
+    whole = reduce(DataFrame.unionByName, sums)
     n = F.expr("(n - copies) div copies")
     whole = whole.select("r1", "r2", n.alias("n"), F.expr("pairs div copies").alias("pairs"), (F.col("value") / F.col("copies")).alias("value"))
     return docs.select(*ids, F.col(key).alias("key")).join(whole, ["r1", "r2"]).select(
